@@ -44,12 +44,26 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandlake.llm.toxicity import op7_toxicity as op
+
+    return op(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandlake.llm.language import op10_language as op
+
+    return op(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_token_ids": op2_token_ids,
         "op3_line_dedup": op3_line_dedup,
         "op6_decontaminate": op6_decontaminate,
+        "op7_toxicity": op7_toxicity,
+        "op10_language": op10_language,
     }
 
 
