@@ -38,6 +38,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op(_read(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandlake.llm.simhash import op5_simhash as op
+
+    return op(_read(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandlake.llm.decontaminate import op6_decontaminate as op
 
@@ -61,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_token_ids": op2_token_ids,
         "op3_line_dedup": op3_line_dedup,
+        "op5_simhash": op5_simhash,
         "op6_decontaminate": op6_decontaminate,
         "op7_toxicity": op7_toxicity,
         "op10_language": op10_language,
