@@ -38,6 +38,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op(_read(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandlake.llm.quality import op4_quality as op
+
+    return op(_read(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandlake.llm.simhash import op5_simhash as op
 
@@ -67,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_token_ids": op2_token_ids,
         "op3_line_dedup": op3_line_dedup,
+        "op4_quality": op4_quality,
         "op5_simhash": op5_simhash,
         "op6_decontaminate": op6_decontaminate,
         "op7_toxicity": op7_toxicity,
