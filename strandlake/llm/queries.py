@@ -62,6 +62,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandlake.llm.secrets import op8_secrets as op
+
+    return op(_read(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandlake.llm.language import op10_language as op
 
@@ -77,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash": op5_simhash,
         "op6_decontaminate": op6_decontaminate,
         "op7_toxicity": op7_toxicity,
+        "op8_secrets": op8_secrets,
         "op10_language": op10_language,
     }
 
