@@ -1,30 +1,88 @@
 """Token ids by the tokenizers library, with a memo of the pieces between spaces.
 
-Both public vocabularies used here cut a text at white space before merging, so
-the ids of a text are those of its space-separated pieces one after another. A
-piece met before is not encoded again: its ids are kept as bytes.
+Both kinds of vocabulary used here cut a text at white space before merging, so the ids
+of a text are those of its space-separated pieces one after another. A piece met before
+is not encoded again: its ids are kept as bytes, within a bound. A new piece that is a
+plain word, perhaps with one mark behind it, goes straight to the library's BPE model;
+any other goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from array import array
 
 #: Pieces in each of the two generations that one Python worker remembers, per vocabulary.
-MEMO_PIECES = 350_000
+MEMO_PIECES = 500_000
 #: Longer pieces are encoded but not remembered.
-MEMO_CHARS = 64
+MEMO_CHARS = 48
 
-#: In such a piece (but for a line break before it), white space is not one space or line break between words.
-_odd_space = re.compile(r"\A\n?\Z|\A.+\s|\A[^\S\n]|[\x1c-\x1f\x85]", re.S)
+_word = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!]?)")
+#: White space in a piece beyond one line break before it.
+_odd_space = re.compile(r"\A\n?\Z|.\s|\A[^\S\n]|[\x1c-\x1f\x85]", re.S)
 _encoders: dict[tuple, "Encoder"] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE writes each byte as a printable character: itself or one from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class Memo(dict):
+    """Piece -> ids as bytes; None: the text needs the whole tokenizer."""
+
+    def __init__(self, tokenizer, leading_space: bool):
+        super().__init__()
+        self.older: dict[str, bytes | None] = {}
+        self.tokenizer, self.model, self.leading_space = tokenizer, tokenizer.model, leading_space
+        self.letters = _byte_letters()
+        self.space = self.letters[32] if leading_space else ""
+        self.marks = {c: self.encoded(c) for c in ".,!\n"}
+
+    def __missing__(self, piece: str) -> bytes | None:
+        found = self.older.pop(piece, 0)
+        if found == 0:
+            found = self.new(piece)
+        if len(piece) <= MEMO_CHARS:
+            self[piece] = found
+        return found
+
+    def age(self) -> None:
+        """Between texts: what wasn't used for a whole generation is forgotten."""
+        if len(self) > MEMO_PIECES:
+            self.older = dict(self)
+            self.clear()
+
+    def new(self, piece: str) -> bytes | None:
+        m = _word.fullmatch(piece)
+        if m and (self.leading_space or not m[1]):
+            line, word, mark = m.groups()
+            if mark:
+                return self[line + word] + self.marks[mark]
+            if self.leading_space:
+                return (self.marks[line] + self.merged(word)) if line else self.merged(word, self.space)
+            # lower case and composed form, as the vocabulary's normaliser has them for these letters
+            return self.merged(unicodedata.normalize("NFC", word).lower())
+        if not self.leading_space:
+            return self.encoded(piece)
+        return None if _odd_space.search(piece) else self.encoded(piece if piece[0] == "\n" else " " + piece)
+
+    def merged(self, word: str, space: str = "") -> bytes:
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array("H", [t.id for t in self.model.tokenize(space + letters)]).tobytes()
+
+    def encoded(self, text: str) -> bytes:
+        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
 class Encoder:
     """Texts to ids of 16 bits each, in the machine's (little-endian) order.
 
     ``leading_space``: the vocabulary joins a space to the word after it (byte-level
-    BPE); otherwise white space only separates.
+    BPE); otherwise it is lower-cased and white space only separates.
     """
 
     def __init__(self, path: str, leading_space: bool):
@@ -32,55 +90,26 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.space = " " if leading_space else ""
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of over 16 bits aren't supported")
-        self.memo: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
-
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.leading_space = leading_space
+        self.memo = Memo(self.tokenizer, leading_space)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, as bytes."""
-        out: list[bytes | None] = [None] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
-        whole: list[int] = []
-        new: set[str] = set()
-        if len(self.memo) > MEMO_PIECES:
-            self.memo, self.older = {}, self.memo
-        memo = self.memo
-        for i, text in enumerate(texts):
-            if not text:
-                out[i] = b""
-            else:
-                pieces = text.replace("\n", " \n").split(" ") if self.space else text.replace("\n", " ").split(" ")
-                if self.space:  # the first piece has no space before it: a line break, one id, stands in
-                    pieces[0] = "\n" + pieces[0]
-                cut.append((i, pieces))
-                new.update(pieces)
-        new.difference_update(memo)
-        memo.update((p, self.older[p]) for p in new & self.older.keys())
-        order = [p for p in new if p not in memo]
-        if order:
-            memo.update(zip(order, self._pieces(order)))
-        for i, pieces in cut:
-            try:
-                out[i] = b"".join(map(memo.__getitem__, pieces))[2 if self.space else 0 :]
-            except TypeError:  # None: white space that the vocabulary joins differently
-                whole.append(i)
-        for p in order:
-            if len(p) > MEMO_CHARS:
-                del memo[p]
-        for i, ids in zip(whole, self._bytes([texts[i] for i in whole]) if whole else []):
-            out[i] = ids
-        return out
-
-    def _pieces(self, pieces: list[str]) -> list[bytes | None]:
-        if not self.space:
-            return self._bytes(pieces)
-        ids = self._bytes([p if p[:1] == "\n" else " " + p for p in pieces])
-        return [None if _odd_space.search(p) else x for p, x in zip(pieces, ids)]
+        self.memo.age()
+        return [self.one(t) if t else b"" for t in texts]
+
+    def one(self, text: str) -> bytes:
+        get = self.memo.__getitem__
+        if not self.leading_space:
+            return b"".join(map(get, text.replace("\n", " ").split(" ")))
+        pieces = text.replace("\n", " \n").split(" ")
+        pieces[0] = "\n" + pieces[0]  # no space before the first piece: a line break, one id, stands in
+        try:
+            return b"".join(map(get, pieces))[2:]
+        except TypeError:  # None: white space that the vocabulary joins differently
+            return self.memo.encoded(text)
 
 
 def encoder(path: str, leading_space: bool) -> Encoder:
