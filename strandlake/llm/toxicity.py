@@ -146,32 +146,30 @@ class Model:
         x = a * math.log1p(self.evidence(self.scored(words), len(words))) + b
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, x))))
 
-    def calibrate(self, rows: list[tuple[int, int, list[tuple[int, float]]]]) -> None:
-        """Fits lambda, K and the curve to labelled rows (label, tokens, scored tokens)."""
+    def calibrate(self, rows: list[tuple[int, int, bytes]]) -> None:
+        """Fits lambda, K and the curve to labelled rows (label, tokens, scored tokens as pairs of doubles)."""
         labels = np.array([y for y, _, _ in rows], dtype=float)
         self.share = float(labels.mean()) if len(labels) else 0.0
         if not len(labels) or labels.min() == labels.max():
             return
-        scores: Counter = Counter()
-        for y, n, found in rows:
-            if not y:
-                scores.update(s for _, s in found)
-                scores[-self.penalty] += n - len(found)
-        s, c = np.array(list(scores), dtype=float), np.array(list(scores.values()), dtype=float)
-        if len(s) and s.max() > 0 and (s * c).sum() < 0:
+        pairs = lambda found: [(int(i), s) for i, s in np.frombuffer(found, "<f8").reshape(-1, 2).tolist()]
+        clean = [(n, found) for y, n, found in rows if not y]
+        s, c = np.unique(np.frombuffer(b"".join(f for _, f in clean), "<f8")[1::2], return_counts=True)
+        size = sum(n for n, _ in clean)
+        s, c = np.append(s, -self.penalty), np.append(c, size - c.sum())
+        if s.max() > 0 and (s * c).sum() < 0:
             lo, hi = 1e-6, 50.0
             for _ in range(100):  # the positive root of E[exp(lambda s)] = 1
                 mid = (lo + hi) / 2
                 lo, hi = (lo, mid) if (c * np.exp(np.clip(mid * s, -700, 700))).sum() > c.sum() else (mid, hi)
             self.lam = (lo + hi) / 2
         # K: so that segments as high as the median of clean texts' highest are expected as often as found
-        tops = [max((x[2] for x in self.passages(found, n)), default=0.0) for y, n, found in rows if not y]
+        tops = [max((x[2] for x in self.passages(pairs(f), n)), default=0.0) for n, f in clean]
         high = sorted(t for t in tops if t > 0)
         if high:
             level = high[len(high) // 2]
-            size = sum(n for y, n, _ in rows if not y)
             self.k = max(1e-12, sum(t >= level for t in high) / max(1, size) * math.exp(min(self.lam * level, 600.0)))
-        x = np.array([math.log1p(self.evidence(found, n)) for _, n, found in rows])
+        x = np.array([math.log1p(self.evidence(pairs(f), n)) for _, n, f in rows])
         self.curve = _logistic(x, labels)
 
 
@@ -213,8 +211,8 @@ def _sparse(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch
         words = [tokens(t or "") for t in batch.column(0).to_pylist()]
         found = [own.scored(w) for w in words]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(1), pa.array([len(w) for w in words], pa.int64()), pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int64())), pa.array([[s for _, s in f] for f in found], pa.list_(pa.float64()))],
-            ["toxic", "n", "places", "scores"],
+            [batch.column(1), pa.array([len(w) for w in words], pa.int64()), pa.array([np.array(f, dtype="<f8").tobytes() for f in found], pa.binary())],
+            ["toxic", "n", "found"],
         )
 
 
@@ -236,8 +234,8 @@ def learn(rows: DataFrame, *, fit_docs: int = FIT_DOCS, prior: float = PRIOR, mi
         weights = {r["token"]: r["odds"] - penalty for r in told.collect()}
     model = Model(weights, penalty)
     sent = spark.sparkContext.broadcast(model)
-    got = rows.mapInArrow(partial(_sparse, model=sent), "toxic int, n long, places array<long>, scores array<double>").collect()
-    model.calibrate([(r["toxic"], r["n"], list(zip(r["places"], r["scores"]))) for r in got])
+    got = rows.mapInArrow(partial(_sparse, model=sent), "toxic int, n long, found binary").toArrow()
+    model.calibrate(list(zip(*(got.column(c).to_pylist() for c in ("toxic", "n", "found")))))
     return model
 
 
