@@ -68,6 +68,12 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op(_read(spark, sf_dir, "documents"))
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandlake.llm.passages import op9_passages as op
+
+    return op(_read(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandlake.llm.language import op10_language as op
 
@@ -84,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_decontaminate": op6_decontaminate,
         "op7_toxicity": op7_toxicity,
         "op8_secrets": op8_secrets,
+        "op9_passages": op9_passages,
         "op10_language": op10_language,
     }
 
