@@ -11,7 +11,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     """A public tokenizer's file; its folder is installed beside the Python libraries."""
     return import_module("public_tokenizers").path(name)
 
@@ -23,13 +23,13 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandlake.llm.packing import op1_packing as op
 
-    return op(_read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return op(_read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandlake.llm.token_files import op2_token_ids as op
 
-    return op(_read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+    return op(_read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

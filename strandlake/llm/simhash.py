@@ -15,12 +15,11 @@ at ``radius`` or fewer differing bits are found like this:
    bits masked; classes that share a key are candidates and are verified by their
    distance.
 
-A key that more than ``BUCKET`` classes share isn't paired out: its classes take an
-exact way without pairs. They send each fingerprint and all those within half the
-radius, rounded up (1 + 64 keys for two); classes that share such a point are linked
-to its smallest one. For an even radius sharing a point is the same as being within the
-radius, so no link between components is lost or invented; for an odd radius they
-are verified.
+A key that more than ``BUCKET`` classes share isn't paired out. At a radius of two its classes take an
+exact way without pairs: they send each fingerprint and all those at one differing bit
+(65 keys); classes that share such a point are linked to its smallest one, and sharing a
+point is the same as being within the radius, so no link is lost or invented. At larger radii the
+bucket is cut into blocks, and each two blocks meet in one bounded group.
 
 Defined results: no word: fingerprint zero, linked like any other; fewer words than a
 shingle: the whole sequence is one; rows without an id take part as the last document;
@@ -53,32 +52,54 @@ PARTS = 3
 #: Classes under one key that are compared with each other.
 BUCKET = 64
 SKETCH = 1 << 10
+#: Minima in a document's sketch: a power of two, at most 2^16.
+BINS = 128
+#: Up to this radius, large buckets are linked through points.
+POINTS_RADIUS = 2
 
 
-def fingerprint(raw: bytes, size: int) -> int:
-    """The SimHash of a text's word shingles; A-Z are lower-cased."""
-    words = raw.translate(_fold).split(b" ")
-    words = [w for w in words if w]
+def shingle_hashes(raw: bytes, size: int) -> np.ndarray:
+    """XXH64 of a text's word shingles, A-Z lower-cased, repeats included."""
+    words = [w for w in raw.translate(_fold).split(b" ") if w]
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     text = b" ".join(words)
     n = len(words) - size + 1
     if n < 2:
-        return xxhash.xxh64_intdigest(text, SEED)
+        return np.array([xxhash.xxh64_intdigest(text, SEED)], dtype="<u8")
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     view, digest = memoryview(text), xxhash.xxh64_intdigest
-    h = np.array([digest(view[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[size - 1 :].tolist())], dtype="<u8")
+    return np.array([digest(view[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[size - 1 :].tolist())], dtype="<u8")
+
+
+def fingerprint(h: np.ndarray) -> int:
+    """Bit by bit what over half of the hashes have."""
     counts = np.zeros(BITS, dtype=np.int64)
-    for lo in range(0, n, 8192):
+    for lo in range(0, len(h), 8192):
         counts += np.unpackbits(h[lo : lo + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * counts > len(h), bitorder="little").view("<u8")[0])
+
+
+def sketch(h: np.ndarray) -> bytes:
+    """One-permutation min-hash: 16 bits of the least hash in each of BINS equal ranges; 0: none there."""
+    out = np.zeros(BINS, dtype="<u2")
+    if len(h):
+        v = np.sort(mix64(h, 5))
+        bin_ = (v >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+        first = np.concatenate([[True], bin_[1:] != bin_[:-1]])
+        out[bin_[first]] = (v[first] & np.uint64(0xFFFF)).astype(np.uint16) | np.uint16(1)
+    return out.tobytes()
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _fingerprints(batches: Iterator[pa.RecordBatch], size: int, sketched: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        got = np.array([fingerprint(raw, size) for raw in utf8(batch.column(1))], dtype=np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got)], ["doc", "fp"])
+        fps, sketches = [], []
+        for raw in utf8(batch.column(1)):
+            h = shingle_hashes(raw, size)
+            fps.append(fingerprint(h))
+            sketches.append(sketch(h) if sketched else None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(sketches, pa.binary())], ["doc", "fp", "sketch"])
 
 
 def _bits(fp: np.ndarray) -> np.ndarray:
@@ -192,31 +213,65 @@ def _probes(fp: Column, chosen: list[tuple[list[int], int]]) -> Column:
     return F.array(*out)
 
 
-def _verify(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+def _near(v: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i < j) of fingerprints within the radius."""
+    left, right = [], []
+    for lo in range(0, len(v), 256):
+        d = np.bitwise_count((v[lo : lo + 256, None] ^ v[None, lo:]).view(np.uint64)) <= radius
+        i, j = np.nonzero(np.triu(d, 1))
+        left.append(i + lo)
+        right.append(j + lo)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _to_firsts(i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+    """Of all pairs those that tie each place to the firsts of clusters before it: no more than these are needed."""
+    before: dict[int, list[int]] = {}
+    for a, b in zip(i.tolist(), j.tolist()):
+        before.setdefault(b, []).append(a)
+    later, out = set(), []
+    for b in sorted(before):
+        firsts = [a for a in before[b] if a not in later]
+        if firsts:
+            later.add(b)
+            out.extend((a, b) for a in firsts)
+        else:
+            out.append((before[b][0], b))
+    return out
+
+
+def _verify(batches: Iterator[pa.RecordBatch], radius: int, firsts: bool) -> Iterator[pa.RecordBatch]:
     """Links within each bucket (a bounded list of fingerprints)."""
     for batch in batches:
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for own in batch.column(0):
-            v = np.array(own.as_py(), dtype=np.int64)
-            i, j = np.triu_indices(len(v), 1)
-            d = np.bitwise_count((v[i] ^ v[j]).view(np.uint64)) <= radius
-            left.append(v[i][d])
-            right.append(v[j][d])
+        values, at = batch.column(0).values.to_numpy(), batch.column(0).offsets.to_numpy()
+        for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
+            v = np.sort(values[lo:hi])
+            i, j = _near(v, radius)
+            if firsts and len(i) > 1:
+                i, j = np.array(_to_firsts(i, j), dtype=np.int64).T
+            left.append(v[i])
+            right.append(v[j])
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["fa", "fb"])
 
 
-def links(classes: DataFrame, *, radius: int = RADIUS, parts: int = PARTS, bucket: int = BUCKET) -> DataFrame:
-    """Pairs (fa, fb) of fingerprints that connect all classes within the radius.
+def links(classes: DataFrame, *, radius: int = RADIUS, parts: int = PARTS, bucket: int = BUCKET, firsts: bool = False) -> DataFrame:
+    """Pairs (fa, fb) of fingerprints within the radius that connect all classes within it.
 
-    ``classes`` has distinct fingerprints in column fp.
+    ``classes`` has distinct fingerprints in column fp. With ``firsts`` a bucket ties its
+    classes to the firsts of clusters, not to each other.
     """
     chosen = plan(classes, radius, parts)
     sent = classes.select("fp", F.explode(_probes(F.col("fp"), chosen)).alias("key")).select("fp", "key.probe", "key.value")
-    hot = materialise(sent.groupBy("probe", "value").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > bucket).select("probe", "value"), "buckets")
-    groups = sent.join(hot, ["probe", "value"], "left_anti").groupBy("probe", "value").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    found = groups.select("fps").mapInArrow(partial(_verify, radius=radius), "fa long, fb long")
-    many = sent.join(hot, ["probe", "value"], "left_semi").select("fp").distinct()
-    return found.unionByName(_by_points(many, radius)).distinct()
+    hot = materialise(sent.groupBy("probe", "value").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > bucket), "buckets")
+    groups = sent.join(hot.select("probe", "value"), ["probe", "value"], "left_anti").groupBy("probe", "value").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    found = groups.select("fps").mapInArrow(partial(_verify, radius=radius, firsts=firsts), "fa long, fb long")
+    if radius <= POINTS_RADIUS:
+        many = sent.join(hot.select("probe", "value"), ["probe", "value"], "left_semi").select("fp").distinct()
+        rest = _by_points(many, radius)
+    else:
+        rest = _by_blocks(sent.join(hot, ["probe", "value"]), radius, bucket, firsts)
+    return found.unionByName(rest).distinct()
 
 
 def _by_points(classes: DataFrame, radius: int) -> DataFrame:
@@ -225,30 +280,60 @@ def _by_points(classes: DataFrame, radius: int) -> DataFrame:
     flips = [sum(1 << b for b in own) for r in range(reach + 1) for own in itertools.combinations(range(BITS), r)]
     signed = [f - (1 << 64) if f >> 63 else f for f in flips]
     points = classes.select("fp", F.explode(F.array(*(F.col("fp").bitwiseXOR(F.lit(s)) for s in signed))).alias("point"))
-    if radius % 2 == 0:
-        low = points.groupBy("point").agg(F.min("fp").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        return points.join(low.select("point", "low"), "point").where("fp <> low").select(F.col("low").alias("fa"), F.col("fp").alias("fb"))
-    # a point is shared by at most as many classes as there are flips: a bounded list
-    groups = points.groupBy("point").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    return groups.select("fps").mapInArrow(partial(_verify, radius=radius), "fa long, fb long")
+    low = points.groupBy("point").agg(F.min("fp").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return points.join(low.select("point", "low"), "point").where("fp <> low").select(F.col("low").alias("fa"), F.col("fp").alias("fb"))
+
 
+def _by_blocks(sent: DataFrame, radius: int, bucket: int, firsts: bool) -> DataFrame:
+    """Large buckets cut into blocks by a hash; each two blocks meet in a bounded group."""
+    blocks = F.ceil(2 * F.col("size") / bucket).cast("int")
+    own = sent.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    met = own.select("fp", "probe", "value", F.explode(F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, own) as a, greatest(x, own) as b))")).alias("x"))
+    groups = met.groupBy("probe", "value", "x").agg(F.collect_list("fp").alias("fps"))
+    return groups.select("fps").mapInArrow(partial(_verify, radius=radius, firsts=firsts), "fa long, fb long")
 
-def fingerprints(docs: DataFrame, *, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, fp): a fingerprint for each row, written to the shared folder."""
+
+def fingerprints(docs: DataFrame, *, shingle: int, sketched: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, fp, sketch): of each row, written to the shared folder."""
     ship_code(docs.sparkSession)
     own = docs.select(doc_key(id_col).alias("doc"), F.col(text_col).alias("text"))
-    return materialise(own.mapInArrow(partial(_fingerprints, size=shingle), "doc long, fp long"), "simhash")
+    return materialise(own.mapInArrow(partial(_fingerprints, size=shingle, sketched=sketched), "doc long, fp long, sketch binary"), "simhash")
+
+
+def _similar(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches tell a Jaccard similarity of at least ``least``."""
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, BINS) for k in (2, 3))
+        some = ((a | b) != 0).sum(1)
+        same = ((a == b) & (a != 0)).sum(1)
+        yield batch.filter(pa.array(same >= least * some)).select([0, 1])
 
 
-def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = RADIUS, parts: int = PARTS, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, fp, component): component is the smallest id that links reach, the document's own included."""
-    prints = fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col)
-    classes = materialise(prints.groupBy("fp").agg(F.min("doc").alias("low")), "classes")
-    edges = links(classes, radius=radius, parts=parts, bucket=bucket)
+def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = RADIUS, parts: int = PARTS, bucket: int = BUCKET, similarity: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, fp, component): component is the smallest id that links reach, the document's own included.
+
+    With ``similarity`` a link also needs that Jaccard similarity of the shingle sets, as
+    sketches of BINS minima tell it.
+    """
+    prints = fingerprints(docs, shingle=shingle, sketched=similarity is not None, id_col=id_col, text_col=text_col)
+    classes = materialise(prints.groupBy("fp").agg(F.min("doc").alias("low"), F.min("sketch").alias("sketch")), "classes")
+    edges = links(classes, radius=radius, parts=parts, bucket=bucket, firsts=similarity is not None)
+    if similarity is not None:
+        a, b = classes.select(F.col("fp").alias("fa"), F.col("sketch").alias("sa")), classes.select(F.col("fp").alias("fb"), F.col("sketch").alias("sb"))
+        edges = edges.join(a, "fa").join(b, "fb").select("fa", "fb", "sa", "sb").mapInArrow(partial(_similar, least=similarity), "fa long, fb long")
     reached = components(edges.toDF("a", "b"), "simhash-components").toDF("fp", "root")
     rooted = classes.join(reached, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     label = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component")), "root").select("fp", "component")
-    return prints.join(label, "fp")
+    return prints.select("doc", "fp").join(label, "fp")
+
+
+def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Of each group of near-duplicates the row with the smallest id, all its columns; of rows
+    with the same id in a group one."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    first = found.where("doc = component").select(F.col("doc").alias("__doc")).distinct()
+    own = docs.withColumn("__doc", doc_key(id_col)).join(first, "__doc", "left_semi")
+    return own.dropDuplicates(["__doc"]).drop("__doc")
 
 
 def op5_simhash(docs: DataFrame) -> DataFrame:
