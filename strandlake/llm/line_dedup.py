@@ -227,7 +227,7 @@ class LineIndex:
             sent = self.spark.sparkContext.broadcast(held)
             postings = postings.withColumn("shard", _shard(self.shards)).mapInArrow(partial(_probe, filters=sent, shards=self.shards), "h1 long, h2 long, doc long")
         gone = postings.join(shared, KEY).where(F.col("doc") > F.col("first"))
-        return gone.select("doc", *KEY).distinct().groupBy("doc").agg(F.collect_list(F.struct(*KEY)).alias("keys"))
+        return gone.groupBy("doc").agg(F.collect_set(F.struct(*KEY)).alias("keys"))
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """The documents with n_lines, n_dropped, kept_text and kept_sha256."""
