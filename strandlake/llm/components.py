@@ -37,8 +37,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     now = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
 
     def state(e: DataFrame):
-        r = e.agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("s"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-        return r["n"], r["s"], r["x"]
+        r = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
+        return r["n"], r["x"]
 
     was = state(now)
     if not was[0]:
