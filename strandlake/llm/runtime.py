@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-import atexit
-import os
 import tempfile
-import uuid
 import zipfile
-from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from strandlake.storage import materialise, scratch_path, shared_dir
+
+__all__ = ["NULL_ID", "crc_mod", "doc_key", "materialise", "mix64", "scratch_path", "shared_dir", "ship_code", "utf8"]
+
 #: Sorts after every other document: the place of rows without an id.
 NULL_ID = (1 << 63) - 1
 
 _shipped: set[str] = set()
-_scratch: dict[str, str] = {}
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -36,48 +35,6 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir.
-
-    Only where that setting is missing (tests on one machine) a temporary folder
-    is set instead.
-    """
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = _scratch.setdefault(sc.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="strandlake-shared-")
-        if not _scratch[sc.applicationId]:
-            _scratch[sc.applicationId] = base
-            sc.setCheckpointDir(base)
-    elif "://" not in base and base.startswith("/"):
-        base = sc._jvm.org.apache.hadoop.fs.Path(base).getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(sc._jvm.org.apache.hadoop.fs.Path(base)).toString()
-    return base.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder name in the shared folder; it is removed when the driver's Python ends."""
-    path = f"{shared_dir(spark)}/strandlake-{label}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
-    return path
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # the session may have ended before
-        pass
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def doc_key(id_col: str = "doc_id") -> Column:
     """The id under which a row takes part; rows without id count as one last document."""
     return F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
@@ -88,13 +45,8 @@ def crc_mod(id_col: str, m: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(m))
 
 
-def raw_texts(column: pa.Array) -> Iterator[bytes]:
-    """UTF-8 bytes of each text; null counts as empty."""
-    for x in column.cast(pa.binary()):
-        yield x.as_py() or b""
-
-
 def utf8(column: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of each text; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
@@ -106,6 +58,3 @@ def mix64(values: np.ndarray, salt: int) -> np.ndarray:
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
 
-
-def local_name(path: str) -> str:
-    return os.path.basename(path.rstrip("/"))
