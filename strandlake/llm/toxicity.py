@@ -156,7 +156,9 @@ class Model:
         clean = [(n, found) for y, n, found in rows if not y]
         s, c = np.unique(np.frombuffer(b"".join(f for _, f in clean), "<f8")[1::2], return_counts=True)
         size = sum(n for n, _ in clean)
-        s, c = np.append(s, -self.penalty), np.append(c, size - c.sum())
+        # one more token than was seen, shared by all scores: clean rows may have none of them
+        all_ = np.array(list(self.weights.values()))
+        s, c = np.concatenate([s, all_, [-self.penalty]]), np.concatenate([c, np.full(len(all_), 1 / max(1, len(all_))), [size - c.sum()]])
         if s.max() > 0 and (s * c).sum() < 0:
             lo, hi = 1e-6, 50.0
             for _ in range(100):  # the positive root of E[exp(lambda s)] = 1
