@@ -109,7 +109,9 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ho
     common = materialise(boilerplate(own, line_docs=line_docs, line_percent=line_percent), "boilerplate")
     hit = _lines(own).join(common, "line").groupBy("doc", "copy", "line").agg(F.max("chars").alias("chars"))
     lost = hit.groupBy("doc", "copy").agg(F.sum("chars").alias("lost_chars"))
-    ruled = text_rules(own, **rules).drop("text", "host")
+    # written first: a filter on the result would otherwise be moved into the rules' expressions,
+    # which then run anew for every element of every array
+    ruled = materialise(text_rules(own, **rules).drop("text", "host"), "text-rules")
     joined = ruled.join(lost, ["doc", "copy"], "left").withColumn("lost_chars", F.coalesce("lost_chars", F.lit(0)))
     left = F.col("line_chars") - F.col("lost_chars")
     depleted = (F.col("lost_chars") > 0) & (left < left_chars) & (100 * left < left_percent * F.col("line_chars"))
