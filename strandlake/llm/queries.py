@@ -95,6 +95,52 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+LINES_SQL = f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+keyed AS (SELECT doc_id, i, line, translate(trim(line, {BLANKS}), '{UPPER}', '{LOWER}') AS key FROM (SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM split) l),
+shared AS (SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+judged AS (SELECT k.doc_id, k.i, k.line, s.first IS NOT NULL AND s.first <> k.doc_id AS gone FROM keyed k LEFT JOIN shared s ON k.key = s.key)
+SELECT doc_id, count(*)::bigint AS n_lines, count(*) FILTER (gone)::bigint AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM judged GROUP BY doc_id
+"""
+
+QUALITY_SQL = f"""
+WITH split AS (SELECT doc_id, source, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws,
+                      list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, {BLANKS}) <> '') AS ls FROM documents),
+words AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM split),
+grams AS (SELECT doc_id, i, w AS a, lead(w, 1) OVER o AS b, lead(w, 2) OVER o AS c FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (SELECT doc_id, i FROM grams WHERE c IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1),
+repeated AS (SELECT doc_id, count(DISTINCT i + k)::bigint AS n FROM twice CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) t GROUP BY doc_id),
+lined AS (SELECT doc_id, source, generate_subscripts(xs, 1) AS i, unnest(xs) AS x FROM (SELECT doc_id, source, list_transform(ls, lambda y: trim(lower(y), {BLANKS})) AS xs FROM split) s),
+near AS (SELECT *, lag(x) OVER o AS p, lead(x) OVER o AS q FROM lined WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+firsts AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY doc_id, x ORDER BY i) = 1),
+seen AS (SELECT source, x, count(*) AS n, count(DISTINCT (coalesce('+' || p, ''), coalesce('+' || q, ''))) AS nears FROM firsts GROUP BY ALL),
+hosts AS (SELECT source, count(*) AS docs FROM documents GROUP BY source),
+bad AS (SELECT s.source, s.x FROM seen s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source WHERE n >= 50 AND nears >= 50 AND 100 * n > 10 * docs AND 100 * nears > 10 * docs),
+lost AS (SELECT l.doc_id, sum(length(l.x)) AS n FROM lined l JOIN bad b ON l.source IS NOT DISTINCT FROM b.source AND l.x = b.x GROUP BY l.doc_id),
+whole AS (SELECT doc_id, sum(length(x)) AS n FROM lined GROUP BY doc_id),
+told AS (SELECT s.doc_id, len(s.ws)::bigint AS n_words, length(array_to_string(s.ws, ''))::bigint AS word_chars, (length(s.text) - length(regexp_replace(s.text, '[#*$%&|<>]', '', 'g')))::bigint AS n_symbols,
+                (len(s.ls) - len(list_distinct(s.ls)))::bigint AS n_dup_lines, coalesce(r.n, 0)::bigint AS n_repeat_words, coalesce(l.n, 0) AS lost, coalesce(t.n, 0) - coalesce(l.n, 0) AS stays, coalesce(t.n, 0) AS total
+         FROM split s LEFT JOIN repeated r USING (doc_id) LEFT JOIN lost l USING (doc_id) LEFT JOIN whole t USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (lost > 0 AND stays < 120 AND 100 * stays < 30 * total) AS kept FROM told
+"""
+
+BENCHMARK_SQL = f"""
+WITH items AS (SELECT item_id::varchar AS item, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+windows AS (SELECT DISTINCT item, least(10, len(ws)) AS size, array_to_string(ws[i:i + 9], ' ') AS w FROM (SELECT item, ws, unnest(range(1, greatest(2, len(ws) - 8))) AS i FROM items WHERE len(ws) > 0) x),
+docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+places AS (SELECT doc_id, size, i, array_to_string(ws[i:i + size - 1], ' ') AS w FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM docs CROSS JOIN (SELECT DISTINCT size FROM windows) s) x),
+hits AS (SELECT p.doc_id, p.i, p.size, v.item FROM places p JOIN windows v ON p.size = v.size AND p.w = v.w),
+marked AS (SELECT doc_id, count(DISTINCT i)::bigint AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS i FROM hits) x GROUP BY doc_id),
+named AS (SELECT doc_id, count(*)::bigint AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM hits) x GROUP BY doc_id)
+SELECT d.doc_id, len(d.ws)::bigint AS n_words, coalesce(m.n, 0)::bigint AS n_hit, coalesce(a.n, 0)::bigint AS n_items, sha256(coalesce(a.ids, '')) AS items_sha256, coalesce(m.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN marked m USING (doc_id) LEFT JOIN named a USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """DuckDB's SQL for the queries that SQL can express."""
-    return {}
+    """DuckDB's SQL for the queries that SQL can express on whole tables in reasonable time."""
+    return {"op3_line_dedup": LINES_SQL, "op4_quality": QUALITY_SQL, "op6_decontaminate": BENCHMARK_SQL}
