@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strandlake.storage import materialise, scratch_path, shared_dir
 
-__all__ = ["NULL_ID", "crc_mod", "doc_key", "materialise", "mix64", "scratch_path", "shared_dir", "ship_code", "utf8"]
+__all__ = ["NULL_ID", "crc_mod", "doc_key", "materialise", "mix64", "scratch_path", "shared_dir", "ship_code", "slices", "utf8"]
 
 #: Sorts after every other document: the place of rows without an id.
 NULL_ID = (1 << 63) - 1
@@ -45,6 +46,13 @@ def crc_mod(id_col: str, m: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(m))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that a worker holds few texts as Python objects at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -4,7 +4,7 @@ Fit, on labelled rows (at most ``FIT_DOCS``, dealt by a hash of the id): the log
 of toxic against clean rows to have a token, both with an informative Dirichlet prior
 that follows the token's frequency in all rows. Words also count by their first letters,
 for forms that weren't seen. Tokens whose log-odds aren't ``MIN_Z`` standard errors
-above zero score nothing but the common penalty: the sum over a clean text drifts
+above zero, or are below the penalty, cost just the common penalty: the sum over a clean text drifts
 down, so that high segments are rare events.
 
 Score: a linear scan (Ruzzo and Tompa) finds all maximal scoring segments of a text.
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.runtime import crc_mod, materialise, ship_code
+from strandlake.llm.runtime import crc_mod, materialise, ship_code, slices
 
 #: Labelled rows that a fit uses, at most (about).
 FIT_DOCS = 40_000
@@ -197,7 +197,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each token and stem the toxic and the clean rows that have it, summed within a batch."""
-    for batch in batches:
+    for batch in slices(batches, 2000):
         rows = (Counter(), Counter())
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             own = set(tokens(text or ""))
@@ -209,7 +209,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sparse(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     """For each labelled text its number of tokens and the scored ones."""
     own = model.value
-    for batch in batches:
+    for batch in slices(batches):
         words = [tokens(t or "") for t in batch.column(0).to_pylist()]
         found = [own.scored(w) for w in words]
         yield pa.RecordBatch.from_arrays(
@@ -233,7 +233,8 @@ def learn(rows: DataFrame, *, fit_docs: int = FIT_DOCS, prior: float = PRIOR, mi
         # a token in nearly all rows would leave nothing outside it
         odds = F.log(a / F.greatest(n1 + prior - a, F.lit(1.0))) - F.log(b / F.greatest(n0 + prior - b, F.lit(1.0)))
         told = counts.where(seen >= min_texts).select("token", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z")).where(F.col("z") >= min_z)
-        weights = {r["token"]: r["odds"] - penalty for r in told.collect()}
+        # what scores less than the penalty costs the penalty, like any other token
+        weights = {r["token"]: r["odds"] - penalty for r in told.where(F.col("odds") > penalty).collect()}
     model = Model(weights, penalty)
     sent = spark.sparkContext.broadcast(model)
     got = rows.mapInArrow(partial(_sparse, model=sent), "toxic int, n long, found binary").toArrow()
@@ -243,7 +244,7 @@ def learn(rows: DataFrame, *, fit_docs: int = FIT_DOCS, prior: float = PRIOR, mi
 
 def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     own = model.value
-    for batch in batches:
+    for batch in slices(batches):
         got = [own.probability(tokens(t or "")) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64())], ["key", "score"])
 
