@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm.components import components
-from strandlake.llm.runtime import doc_key, materialise, mix64, ship_code, utf8
+from strandlake.llm.runtime import NULL_ID, doc_key, materialise, mix64, ship_code, slices, utf8
 
 #: What A-Z become and what separates words.
 _fold = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 32 or 9 <= c <= 13 else c for c in range(256))
@@ -53,8 +53,8 @@ PARTS = 3
 BUCKET = 64
 SKETCH = 1 << 10
 #: Minima in a document's sketch: a power of two, at most 2^16.
-BINS = 128
-#: Up to this radius, large buckets are linked through points.
+BINS = 256
+#: At this radius, large buckets are linked through points.
 POINTS_RADIUS = 2
 
 
@@ -93,13 +93,15 @@ def sketch(h: np.ndarray) -> bytes:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], size: int, sketched: bool) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        fps, sketches = [], []
-        for raw in utf8(batch.column(1)):
+    for batch in slices(batches):
+        fps, others, sketches = [], [], []
+        for raw in utf8(batch.column(2)):
             h = shingle_hashes(raw, size)
             fps.append(fingerprint(h))
+            others.append(fingerprint(mix64(h, 6)) if sketched else 0)
             sketches.append(sketch(h) if sketched else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(sketches, pa.binary())], ["doc", "fp", "sketch"])
+        signed = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (fps, others)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *signed, pa.array(sketches, pa.binary())], ["doc", "copy", "fp", "fp2", "sketch"])
 
 
 def _bits(fp: np.ndarray) -> np.ndarray:
@@ -213,95 +215,127 @@ def _probes(fp: Column, chosen: list[tuple[list[int], int]]) -> Column:
     return F.array(*out)
 
 
-def _near(v: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i < j) of fingerprints within the radius."""
-    left, right = [], []
+def _pairs(v: np.ndarray, lo: int, radius: int, before: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places i < j of fingerprints within the radius, i from ``lo`` on, 256 at a time; without pairs that
+    agree under one of the masks ``before``: another bucket tells those."""
+    x = v[lo : lo + 256, None] ^ v[None, lo:]
+    i, j = np.nonzero(np.triu(np.bitwise_count(x) <= radius, 1))
+    x = x[i, j]
+    for m in before:
+        if not len(x):
+            break
+        keep = (x & np.uint64(m)) != 0
+        i, j, x = i[keep], j[keep], x[keep]
+    return i + lo, j + lo
+
+
+def _dense(v: np.ndarray, radius: int, before: list[int]) -> list[tuple[int, int]]:
+    """Links that connect what all pairs connect, about one or two a fingerprint: each to the firsts it is near,
+    and what is still apart by one pair."""
+    root = list(range(len(v)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    out, free = [], np.ones(len(v), dtype=bool)
+    for first in range(len(v)):
+        if not free[first]:
+            continue
+        x = v[first + 1 :] ^ v[first]
+        near = np.bitwise_count(x) <= radius
+        for m in before:
+            near &= (x & np.uint64(m)) != 0
+        for j in (np.flatnonzero(near) + first + 1).tolist():
+            free[j] = False
+            out.append((first, j))
+            root[find(j)] = find(first)
     for lo in range(0, len(v), 256):
-        d = np.bitwise_count((v[lo : lo + 256, None] ^ v[None, lo:]).view(np.uint64)) <= radius
-        i, j = np.nonzero(np.triu(d, 1))
-        left.append(i + lo)
-        right.append(j + lo)
-    return np.concatenate(left), np.concatenate(right)
+        i, j = _pairs(v, lo, radius, before)
+        label = np.array([find(k) for k in range(len(v))])
+        _, at = np.unique(label[i] * len(v) + label[j], return_index=True)
+        for a, b in zip(i[at].tolist(), j[at].tolist()):
+            if find(a) != find(b):
+                out.append((a, b))
+                root[find(b)] = find(a)
+    return out
 
 
-def _to_firsts(i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
-    """Of all pairs those that tie each place to the firsts of clusters before it: no more than these are needed."""
-    before: dict[int, list[int]] = {}
-    for a, b in zip(i.tolist(), j.tolist()):
-        before.setdefault(b, []).append(a)
-    later, out = set(), []
-    for b in sorted(before):
-        firsts = [a for a in before[b] if a not in later]
-        if firsts:
-            later.add(b)
-            out.extend((a, b) for a in firsts)
-        else:
-            out.append((before[b][0], b))
-    return out
+def bucket_links(v: np.ndarray, radius: int, before: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Linked places in a bucket: all pairs while they are at most two a fingerprint, else enough to connect them."""
+    left, right, total = [], [], 0
+    for lo in range(0, len(v), 256):
+        i, j = _pairs(v, lo, radius, before)
+        total += len(i)
+        if total > 2 * len(v):
+            return tuple(np.array(_dense(v, radius, before), dtype=np.int64).reshape(-1, 2).T)
+        left.append(i)
+        right.append(j)
+    return np.concatenate(left), np.concatenate(right)
 
 
-def _verify(batches: Iterator[pa.RecordBatch], radius: int, firsts: bool) -> Iterator[pa.RecordBatch]:
-    """Links within each bucket (a bounded list of fingerprints)."""
+def _verify(batches: Iterator[pa.RecordBatch], radius: int, masks: list[int]) -> Iterator[pa.RecordBatch]:
+    """Links within each bucket (a probe and a bounded list of fingerprints)."""
     for batch in batches:
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        values, at = batch.column(0).values.to_numpy(), batch.column(0).offsets.to_numpy()
-        for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
+        values, at = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
+        for probe, lo, hi in zip(batch.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist()):
             v = np.sort(values[lo:hi])
-            i, j = _near(v, radius)
-            if firsts and len(i) > 1:
-                i, j = np.array(_to_firsts(i, j), dtype=np.int64).T
+            i, j = bucket_links(v.view(np.uint64), radius, masks[:probe])
             left.append(v[i])
             right.append(v[j])
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["fa", "fb"])
 
 
-def links(classes: DataFrame, *, radius: int = RADIUS, parts: int = PARTS, bucket: int = BUCKET, firsts: bool = False) -> DataFrame:
+def links(classes: DataFrame, *, radius: int = RADIUS, parts: int = PARTS, bucket: int = BUCKET) -> DataFrame:
     """Pairs (fa, fb) of fingerprints within the radius that connect all classes within it.
 
-    ``classes`` has distinct fingerprints in column fp. With ``firsts`` a bucket ties its
-    classes to the firsts of clusters, not to each other.
+    ``classes`` has distinct fingerprints in column fp. A pair is told by the first probe that brings it
+    together, and a bucket tells about one or two links a class, however dense it is.
     """
     chosen = plan(classes, radius, parts)
+    masks = [m for bits, t in chosen if t >= 0 for m in _masks(bits, t)]
     sent = classes.select("fp", F.explode(_probes(F.col("fp"), chosen)).alias("key")).select("fp", "key.probe", "key.value")
     hot = materialise(sent.groupBy("probe", "value").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > bucket), "buckets")
     groups = sent.join(hot.select("probe", "value"), ["probe", "value"], "left_anti").groupBy("probe", "value").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    found = groups.select("fps").mapInArrow(partial(_verify, radius=radius, firsts=firsts), "fa long, fb long")
-    if radius <= POINTS_RADIUS:
+    found = groups.select("probe", "fps").mapInArrow(partial(_verify, radius=radius, masks=masks), "fa long, fb long")
+    if radius == POINTS_RADIUS:
         many = sent.join(hot.select("probe", "value"), ["probe", "value"], "left_semi").select("fp").distinct()
-        rest = _by_points(many, radius)
+        rest = _by_points(many)
     else:
-        rest = _by_blocks(sent.join(hot, ["probe", "value"]), radius, bucket, firsts)
+        rest = _by_blocks(sent.join(hot, ["probe", "value"]), radius, bucket, masks)
     return found.unionByName(rest).distinct()
 
 
-def _by_points(classes: DataFrame, radius: int) -> DataFrame:
-    """Links through the points near fingerprints, without pairing any group out."""
-    reach = (radius + 1) // 2
-    flips = [sum(1 << b for b in own) for r in range(reach + 1) for own in itertools.combinations(range(BITS), r)]
-    signed = [f - (1 << 64) if f >> 63 else f for f in flips]
+def _by_points(classes: DataFrame) -> DataFrame:
+    """Links at a radius of two through the points at one bit, without pairing any group out."""
+    signed = [0, *(1 << b for b in range(BITS - 1)), -(1 << (BITS - 1))]
     points = classes.select("fp", F.explode(F.array(*(F.col("fp").bitwiseXOR(F.lit(s)) for s in signed))).alias("point"))
     low = points.groupBy("point").agg(F.min("fp").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
     return points.join(low.select("point", "low"), "point").where("fp <> low").select(F.col("low").alias("fa"), F.col("fp").alias("fb"))
 
 
-def _by_blocks(sent: DataFrame, radius: int, bucket: int, firsts: bool) -> DataFrame:
+def _by_blocks(sent: DataFrame, radius: int, bucket: int, masks: list[int]) -> DataFrame:
     """Large buckets cut into blocks by a hash; each two blocks meet in a bounded group."""
     blocks = F.ceil(2 * F.col("size") / bucket).cast("int")
     own = sent.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     met = own.select("fp", "probe", "value", F.explode(F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, own) as a, greatest(x, own) as b))")).alias("x"))
     groups = met.groupBy("probe", "value", "x").agg(F.collect_list("fp").alias("fps"))
-    return groups.select("fps").mapInArrow(partial(_verify, radius=radius, firsts=firsts), "fa long, fb long")
+    return groups.select("probe", "fps").mapInArrow(partial(_verify, radius=radius, masks=masks), "fa long, fb long")
 
 
 def fingerprints(docs: DataFrame, *, shingle: int, sketched: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, fp, sketch): of each row, written to the shared folder."""
+    """(doc, copy, fp, fp2, sketch): of each row, written to the shared folder. ``copy`` is a hash of the text,
+    ``fp2`` comes from other hashes of the same shingles; it and the sketch are made only if asked for."""
     ship_code(docs.sparkSession)
-    own = docs.select(doc_key(id_col).alias("doc"), F.col(text_col).alias("text"))
-    return materialise(own.mapInArrow(partial(_fingerprints, size=shingle, sketched=sketched), "doc long, fp long, sketch binary"), "simhash")
+    own = docs.select(doc_key(id_col).alias("doc"), F.xxhash64(text_col).alias("copy"), F.col(text_col).alias("text"))
+    return materialise(own.mapInArrow(partial(_fingerprints, size=shingle, sketched=sketched), "doc long, copy long, fp long, fp2 long, sketch binary"), "simhash")
 
 
 def _similar(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sketches tell a Jaccard similarity of at least ``least``."""
+    """Pairs whose sketches, in the columns after them, tell a Jaccard similarity of at least ``least``."""
     for batch in batches:
         a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, BINS) for k in (2, 3))
         some = ((a | b) != 0).sum(1)
@@ -309,34 +343,55 @@ def _similar(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
         yield batch.filter(pa.array(same >= least * some)).select([0, 1])
 
 
-def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = RADIUS, parts: int = PARTS, bucket: int = BUCKET, similarity: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, fp, component): component is the smallest id that links reach, the document's own included.
+def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = RADIUS, parts: int = PARTS, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, fp, component): component is the smallest id that links reach, the document's own included."""
+    prints = fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col).select("doc", "fp")
+    classes = materialise(prints.groupBy("fp").agg(F.min("doc").alias("low")), "classes")
+    edges = links(classes, radius=radius, parts=parts, bucket=bucket)
+    return prints.join(_labelled(classes, edges).drop("root"), "fp")
 
-    With ``similarity`` a link also needs that Jaccard similarity of the shingle sets, as
-    sketches of BINS minima tell it.
-    """
-    prints = fingerprints(docs, shingle=shingle, sketched=similarity is not None, id_col=id_col, text_col=text_col)
-    classes = materialise(prints.groupBy("fp").agg(F.min("doc").alias("low"), F.min("sketch").alias("sketch")), "classes")
-    edges = links(classes, radius=radius, parts=parts, bucket=bucket, firsts=similarity is not None)
-    if similarity is not None:
-        a, b = classes.select(F.col("fp").alias("fa"), F.col("sketch").alias("sa")), classes.select(F.col("fp").alias("fb"), F.col("sketch").alias("sb"))
-        edges = edges.join(a, "fa").join(b, "fb").select("fa", "fb", "sa", "sb").mapInArrow(partial(_similar, least=similarity), "fa long, fb long")
+
+def _labelled(classes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(fp, root, component) of classes (fp, low): the smallest fp and the smallest low that edges reach."""
     reached = components(edges.toDF("a", "b"), "simhash-components").toDF("fp", "root")
     rooted = classes.join(reached, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    label = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component")), "root").select("fp", "component")
-    return prints.select("doc", "fp").join(label, "fp")
+    return rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component")), "root").select("fp", "root", "component")
+
+
+def similar_documents(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, radius: int = 9, parts: int = 5, bucket: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, copy, root, component): groups of documents whose shingle sets have that Jaccard similarity, or are linked by such.
+
+    Candidates are within the radius in one of two independent fingerprints: at a similarity of 0.8
+    nine or ten of 64 bits are expected to differ, and the second fingerprint finds most of what the
+    first one misses. Sketches of BINS minima decide.
+    """
+    prints = fingerprints(docs, shingle=shingle, sketched=True, id_col=id_col, text_col=text_col)
+    own = F.xxhash64("fp", "fp2")
+    classes = materialise(prints.groupBy(own.alias("cls")).agg(F.min("doc").alias("low"), F.min("fp").alias("fp"), F.min("fp2").alias("fp2"), F.min("sketch").alias("sketch")), "classes")
+    edges = None
+    for table in ("fp", "fp2"):
+        first = materialise(classes.groupBy(F.col(table).alias("fp")).agg(F.min("cls").alias("first")), "firsts")
+        equal = classes.join(first.withColumnRenamed("fp", table), table).where("cls <> first").select(F.col("first").alias("a"), F.col("cls").alias("b"))
+        near = links(first, radius=radius, parts=parts, bucket=bucket)
+        met = near.join(first.toDF("fa", "a"), "fa").join(first.toDF("fb", "b"), "fb").select("a", "b").unionByName(equal)
+        edges = met if edges is None else edges.unionByName(met)
+    sketches = classes.select("cls", "sketch")
+    both = edges.distinct().join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
+    kept = both.select("a", "b", "sa", "sb").mapInArrow(partial(_similar, least=similarity), "a long, b long")
+    label = _labelled(classes.select(F.col("cls").alias("fp"), "low"), kept).toDF("cls", "root", "component")
+    return prints.select("doc", "copy", own.alias("cls")).join(label, "cls").select("doc", "copy", "root", "component")
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Of each group of near-duplicates the row with the smallest id, all its columns; of rows
-    with the same id in a group one."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    first = found.where("doc = component").select(F.col("doc").alias("__doc")).distinct()
-    own = docs.withColumn("__doc", doc_key(id_col)).join(first, "__doc", "left_semi")
-    return own.dropDuplicates(["__doc"]).drop("__doc")
+    """Of each group of near-duplicates the row with the smallest id, all its columns; of rows with that
+    id in the group one. Rows without an id come last, and each group of them keeps its own."""
+    found = similar_documents(docs, id_col=id_col, text_col=text_col, **options)
+    first = found.groupBy("root").agg(F.min(F.struct("doc", "copy")).alias("x")).select(F.col("x.doc").alias("__doc"), F.col("x.copy").alias("__copy")).distinct()
+    own = docs.withColumns({"__doc": doc_key(id_col), "__copy": F.xxhash64(text_col)})
+    return own.join(first, ["__doc", "__copy"], "left_semi").dropDuplicates(["__doc", "__copy"]).drop("__doc", "__copy")
 
 
 def op5_simhash(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
-    doc = F.when(F.col("doc") != F.lit((1 << 63) - 1), F.col("doc"))
-    return found.select(doc.alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+    known = lambda c: F.when(F.col(c) != F.lit(NULL_ID), F.col(c))
+    return found.select(known("doc").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), known("component").alias("component_id"))
