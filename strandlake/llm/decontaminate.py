@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.runtime import ship_code, utf8
+from strandlake.llm.runtime import ship_code, slices, utf8
 
 WINDOW = 10
 #: Benchmark words in one automaton at most.
@@ -73,7 +73,7 @@ def _automaton_of(items: list[tuple[str, bytes]], window: int):
 def _scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], window: int) -> Iterator[pa.RecordBatch]:
     found, of_window = _automaton_of(items, window)
     names = [i for i, _ in items]
-    for batch in batches:
+    for batch in slices(batches):
         rows: dict[str, list] = {"n_words": [], "first": [], "last": [], "start": [], "end": [], "items": []}
         for raw in utf8(batch.column(1)):
             words = words_of(raw)
@@ -156,7 +156,7 @@ def op6_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _clean(batches: Iterator[pa.RecordBatch], text_at: int, items: list[tuple[str, bytes]], window: int) -> Iterator[pa.RecordBatch]:
     found, _ = _automaton_of(items, window)
-    for batch in batches:
+    for batch in slices(batches):
         if found is not None:
             texts = ((b" " + b" ".join(words_of(raw)) + b" ").decode("latin-1") for raw in utf8(batch.column(text_at)))
             batch = batch.filter(pa.array([next(found.iter(t), None) is None for t in texts], pa.bool_()))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.llm import cuckoo
-from strandlake.llm.runtime import doc_key, scratch_path, ship_code, utf8
+from strandlake.llm.runtime import doc_key, scratch_path, ship_code, slices, utf8
 
 #: What a strip removes from both ends of a line.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -65,7 +65,7 @@ def line_keys(lines: list[bytes], min_points: int = MIN_POINTS) -> list[bytes |
 
 
 def _postings(batches: Iterator[pa.RecordBatch], min_points: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found, docs, counts = [], batch.column(0).to_numpy(), []
         for text in utf8(batch.column(1)):
             keys = {k for k in line_keys(text.split(b"\n"), min_points) if k}
@@ -110,8 +110,8 @@ def _probe(batches: Iterator[pa.RecordBatch], filters, shards: int) -> Iterator[
 
 def _drop(batches: Iterator[pa.RecordBatch], text_at: int, keys_at: int, min_points: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo in range(0, batch.num_rows, 2000):
-            part = batch.slice(lo, 2000)
+        for lo in range(0, batch.num_rows, 500):
+            part = batch.slice(lo, 500)
             total, dropped, kept = [], [], []
             for text, gone in zip(utf8(part.column(text_at)), part.column(keys_at).to_pylist()):
                 if gone is None:

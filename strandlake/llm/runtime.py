@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from strandlake.llm import tokens
 from strandlake.storage import materialise, scratch_path, shared_dir
 
 __all__ = ["NULL_ID", "crc_mod", "doc_key", "materialise", "mix64", "scratch_path", "shared_dir", "ship_code", "slices", "utf8"]
@@ -47,7 +48,11 @@ def crc_mod(id_col: str, m: int) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of few rows, so that a worker holds few texts as Python objects at a time."""
+    """The batches in parts of few rows, so that a worker holds few texts as Python objects at a time.
+
+    What an encoder has left in the worker is freed first.
+    """
+    tokens.forget()
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
             yield batch.slice(lo, rows)

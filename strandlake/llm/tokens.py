@@ -14,7 +14,7 @@ import unicodedata
 from array import array
 
 #: Pieces in each of the two generations that one Python worker remembers, per vocabulary.
-MEMO_PIECES = 500_000
+MEMO_PIECES = 350_000
 #: Longer pieces are encoded but not remembered.
 MEMO_CHARS = 48
 
@@ -118,3 +118,8 @@ def encoder(path: str, leading_space: bool) -> Encoder:
     if key not in _encoders:
         _encoders[key] = Encoder(path, leading_space)
     return _encoders[key]
+
+
+def forget() -> None:
+    """Frees the memory of this worker's encoders, for operators that don't encode."""
+    _encoders.clear()
