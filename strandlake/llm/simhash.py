@@ -54,9 +54,20 @@ BUCKET = 64
 SKETCH = 1 << 10
 #: Minima in a document's sketch: a power of two, at most 2^16.
 BINS = 256
+#: Minima in a band and bands: at a similarity of 0.8 a pair shares a band but for 2 in 10,000, at 0.85 but for 6 in a million.
+ROWS = 7
+BANDS = 36
+#: Candidates of which each two are compared in one task.
+GROUP = 512
+#: Columns of a membership matrix at a time.
+COLUMNS = 4096
+#: Candidates whose keys are broadcast, at most.
+SENT = 1_000_000
 #: At this radius, large buckets are linked through points.
 POINTS_RADIUS = 2
 
+_salts, _factors = (mix64(np.arange(BANDS * ROWS, dtype=np.uint64), salt) | np.uint64(1) for salt in (10, 11))
+
 
 def shingle_hashes(raw: bytes, size: int) -> np.ndarray:
     """XXH64 of a text's word shingles, A-Z lower-cased, repeats included."""
@@ -92,16 +103,40 @@ def sketch(h: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch], size: int, sketched: bool) -> Iterator[pa.RecordBatch]:
+def _fingerprints(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        fps, others, sketches = [], [], []
+        fps = [fingerprint(shingle_hashes(raw, size)) for raw in utf8(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], ["doc", "fp"])
+
+
+def band_keys(h: np.ndarray) -> np.ndarray:
+    """A key for each of BANDS groups of ROWS minima, of distinct shingle hashes; none for an empty set."""
+    if not len(h):
+        return np.zeros(0, np.int64)
+    low = np.full(BANDS * ROWS, (1 << 64) - 1, dtype=np.uint64)
+    for lo in range(0, len(h), 1024):
+        low = np.minimum(low, ((h[None, lo : lo + 1024] ^ _salts[:, None]) * _factors[:, None]).min(1))
+    weighed = (mix64(low, 7) * _factors).reshape(BANDS, ROWS).sum(1, dtype=np.uint64)
+    return mix64(weighed + np.arange(BANDS, dtype=np.uint64), 8).view(np.int64)
+
+
+def _banded(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """(doc, copy, cls, keys): cls is a hash of the whole shingle set."""
+    for batch in slices(batches):
+        sets, keys = [], []
         for raw in utf8(batch.column(2)):
-            h = shingle_hashes(raw, size)
-            fps.append(fingerprint(h))
-            others.append(fingerprint(mix64(h, 6)) if sketched else 0)
-            sketches.append(sketch(h) if sketched else None)
-        signed = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (fps, others)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *signed, pa.array(sketches, pa.binary())], ["doc", "copy", "fp", "fp2", "sketch"])
+            h = np.unique(shingle_hashes(raw, size))
+            sets.append(xxhash.xxh3_64_intdigest(h.tobytes(), SEED))
+            keys.append(band_keys(h))
+        at = np.cumsum([0, *map(len, keys)], dtype=np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(sets, dtype=np.uint64).view(np.int64)), lists], ["doc", "copy", "cls", "keys"])
+
+
+def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        sets = [np.unique(shingle_hashes(raw, size)).tobytes() for raw in utf8(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["cls", "shingles"])
 
 
 def _bits(fp: np.ndarray) -> np.ndarray:
@@ -326,26 +361,65 @@ def _by_blocks(sent: DataFrame, radius: int, bucket: int, masks: list[int]) -> D
     return groups.select("probe", "fps").mapInArrow(partial(_verify, radius=radius, masks=masks), "fa long, fb long")
 
 
-def fingerprints(docs: DataFrame, *, shingle: int, sketched: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, copy, fp, fp2, sketch): of each row, written to the shared folder. ``copy`` is a hash of the text,
-    ``fp2`` comes from other hashes of the same shingles; it and the sketch are made only if asked for."""
-    ship_code(docs.sparkSession)
-    own = docs.select(doc_key(id_col).alias("doc"), F.xxhash64(text_col).alias("copy"), F.col(text_col).alias("text"))
-    return materialise(own.mapInArrow(partial(_fingerprints, size=shingle, sketched=sketched), "doc long, copy long, fp long, fp2 long, sketch binary"), "simhash")
+def alike(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Links that connect all sets whose Jaccard similarity is at least ``least``: every two are compared, by exact
+    counts, and only then are the links thinned, to one fewer than the sets at most."""
+    n, sizes = len(sets), np.array([len(x) for x in sets])
+    values, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), sizes)
+    shared = count[at] > 1
+    column, row = (np.cumsum(count > 1) - 1)[at[shared]], row[shared]
+    common = np.zeros((n, n), dtype=np.float64)
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    for lo in range(0, int((count > 1).sum()), COLUMNS):
+        i, j = np.searchsorted(column, (lo, lo + COLUMNS))
+        member = np.zeros((n, COLUMNS), dtype=np.float32)
+        member[row[i:j], column[i:j] - lo] = 1
+        common += member @ member.T
+    near = common >= least * (sizes[:, None] + sizes[None, :] - common) - 1e-9
+    out, free = [], np.ones(n, dtype=bool)
+    for start in range(n):
+        todo = [start] if free[start] else []
+        free[start] = False
+        while todo:
+            k = todo.pop()
+            for j in np.flatnonzero(near[k] & free).tolist():
+                free[j] = False
+                out.append((k, j))
+                todo.append(j)
+    return out
+
 
+def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Links of each group; its rows (g, cls, shingles) come one after another."""
 
-def _similar(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sketches, in the columns after them, tell a Jaccard similarity of at least ``least``."""
+    def links_of(own: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        names = np.array([c for c, _ in own], dtype=np.int64)
+        i, j = np.array(alike([np.frombuffer(x, "<u8") for _, x in own], least), dtype=np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(names[i]), pa.array(names[j])], ["a", "b"])
+
+    now, own = None, []
     for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, BINS) for k in (2, 3))
-        some = ((a | b) != 0).sum(1)
-        same = ((a == b) & (a != 0)).sum(1)
-        yield batch.filter(pa.array(same >= least * some)).select([0, 1])
+        for g, c, x in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            if g != now and own:
+                yield links_of(own)
+                own = []
+            now = g
+            own.append((c, x))
+    if own:
+        yield links_of(own)
+
+
+def fingerprints(docs: DataFrame, *, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, fp) of each row, written to the shared folder."""
+    ship_code(docs.sparkSession)
+    return materialise(docs.select(doc_key(id_col).alias("doc"), F.col(text_col).alias("text")).mapInArrow(partial(_fingerprints, size=shingle), "doc long, fp long"), "simhash")
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = RADIUS, parts: int = PARTS, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, fp, component): component is the smallest id that links reach, the document's own included."""
-    prints = fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col).select("doc", "fp")
+    prints = fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col)
     classes = materialise(prints.groupBy("fp").agg(F.min("doc").alias("low")), "classes")
     edges = links(classes, radius=radius, parts=parts, bucket=bucket)
     return prints.join(_labelled(classes, edges).drop("root"), "fp")
@@ -358,28 +432,36 @@ def _labelled(classes: DataFrame, edges: DataFrame) -> DataFrame:
     return rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component")), "root").select("fp", "root", "component")
 
 
-def similar_documents(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, radius: int = 9, parts: int = 5, bucket: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, group: int = GROUP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, copy, root, component): groups of documents whose shingle sets have that Jaccard similarity, or are linked by such.
 
-    Candidates are within the radius in one of two independent fingerprints: at a similarity of 0.8
-    nine or ten of 64 bits are expected to differ, and the second fingerprint finds most of what the
-    first one misses. Sketches of BINS minima decide.
+    Texts with the same shingle set are one class. Classes that share a band of minima are candidates, and so is what
+    they connect: every two of such a group are compared by their whole sets. A group of over ``group``
+    classes is cut into blocks by a hash, of which each two meet.
     """
-    prints = fingerprints(docs, shingle=shingle, sketched=True, id_col=id_col, text_col=text_col)
-    own = F.xxhash64("fp", "fp2")
-    classes = materialise(prints.groupBy(own.alias("cls")).agg(F.min("doc").alias("low"), F.min("fp").alias("fp"), F.min("fp2").alias("fp2"), F.min("sketch").alias("sketch")), "classes")
-    edges = None
-    for table in ("fp", "fp2"):
-        first = materialise(classes.groupBy(F.col(table).alias("fp")).agg(F.min("cls").alias("first")), "firsts")
-        equal = classes.join(first.withColumnRenamed("fp", table), table).where("cls <> first").select(F.col("first").alias("a"), F.col("cls").alias("b"))
-        near = links(first, radius=radius, parts=parts, bucket=bucket)
-        met = near.join(first.toDF("fa", "a"), "fa").join(first.toDF("fb", "b"), "fb").select("a", "b").unionByName(equal)
-        edges = met if edges is None else edges.unionByName(met)
-    sketches = classes.select("cls", "sketch")
-    both = edges.distinct().join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
-    kept = both.select("a", "b", "sa", "sb").mapInArrow(partial(_similar, least=similarity), "a long, b long")
+    ship_code(docs.sparkSession)
+    own = docs.select(doc_key(id_col).alias("doc"), F.xxhash64(text_col).alias("copy"), F.col(text_col).alias("text"))
+    prints = materialise(own.mapInArrow(partial(_banded, size=shingle), "doc long, copy long, cls long, keys array<long>"), "bands")
+    classes = materialise(prints.groupBy("cls").agg(F.min(F.struct("doc", "copy")).alias("x"), F.first("keys").alias("keys")).select("cls", F.col("x.doc").alias("low"), F.col("x.copy").alias("copy"), "keys"), "classes")
+    sent = classes.select("cls", F.explode("keys").alias("key"))
+    # written first: so the join deals both sides out by itself and can split a hot key
+    low = materialise(sent.groupBy("key").agg(F.min("cls").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first"), "band-firsts")
+    star = sent.join(low, "key").where("cls <> first").select(F.col("first").alias("a"), F.col("cls").alias("b"))
+    reached = components(star, "candidates")
+    sizes = reached.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    cut = reached.join(sizes, "component").withColumn("blocks", F.when(F.col("size") > group, F.ceil(2 * F.col("size") / group)).otherwise(1).cast("int"))
+    some = materialise(cut.withColumnRenamed("node", "cls").join(classes.select("cls", "low", "copy"), "cls"), "candidates")
+    n = some.count()
+    names = some.select("cls", F.col("low").alias("doc"), "copy")
+    texts = own.join(F.broadcast(names) if n <= SENT else names, ["doc", "copy"]).select("cls", "text")
+    sets = texts.mapInArrow(partial(_sets, size=shingle), "cls long, shingles binary").dropDuplicates(["cls"])
+    sets = materialise(sets, "shingle-sets")
+    block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    met = some.withColumn("own", block).select("cls", F.explode(F.expr("transform(sequence(0, blocks - 1), x -> xxhash64(component, least(x, own), greatest(x, own)))")).alias("g"))
+    groups = met.join(sets, "cls").select("g", "cls", "shingles").repartition("g").sortWithinPartitions("g")
+    kept = groups.mapInArrow(partial(_verified, least=similarity), "a long, b long")
     label = _labelled(classes.select(F.col("cls").alias("fp"), "low"), kept).toDF("cls", "root", "component")
-    return prints.select("doc", "copy", own.alias("cls")).join(label, "cls").select("doc", "copy", "root", "component")
+    return prints.select("doc", "copy", "cls").join(label, "cls").select("doc", "copy", "root", "component")
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -194,3 +194,38 @@ def test_sketch():
         a, b = (np.frombuffer(simhash.sketch(x), "<u2") for x in (pool[:2000], pool[n : 2000 + n]))
         assert abs(((a == b) & (a != 0)).sum() / ((a | b) != 0).sum() - share) < 0.15
     assert not any(simhash.sketch(np.zeros(0, "<u8")))
+
+
+def brute_kept(rows, least):
+    """The smallest id of each group that links of that similarity connect."""
+    sets = [shingles(t) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        same = len(sets[i] & sets[j])
+        if same >= least * (len(sets[i]) + len(sets[j]) - same) - 1e-9:
+            a, b = sorted((root(i), root(j)))
+            label[b] = a
+    return {rows[i][0] for i in range(len(rows)) if root(i) == i}
+
+
+@pytest.mark.parametrize("group", [512, 40])
+def test_base_with_variants(spark, group):
+    """Variants are like their base, but not like each other: each has to meet the base."""
+    rng = random.Random(15)
+    base = [f"w{k}" for k in range(400)]
+    rows = [(300, " ".join(base))]
+    for i in range(300):
+        own = list(base)
+        for k in rng.sample(range(5, 395), 7):
+            own[k] = f"v{i}x{k}"
+        rows.append((i, " ".join(own)))
+    rng.shuffle(rows)
+    want = brute_kept(sorted(rows), 0.8)
+    found = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, similarity=0.8, group=group)
+    assert {r.doc_id for r in found.collect()} == want and len(want) < 5
