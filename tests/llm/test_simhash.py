@@ -229,3 +229,17 @@ def test_base_with_variants(spark, group):
     want = brute_kept(sorted(rows), 0.8)
     found = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, similarity=0.8, group=group)
     assert {r.doc_id for r in found.collect()} == want and len(want) < 5
+
+
+def test_recall_near_the_limit(spark):
+    """Pairs just over 0.8 go, pairs just under it stay: nothing is estimated."""
+    rng = random.Random(16)
+    rows = []
+    for g in range(300):
+        base = [f"g{g}w{k}" for k in range(404)]
+        cut = rng.randint(30, 58)  # of 400 shingles the last are others: (400 - cut) / (400 + cut)
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(base[:-cut] + [f"h{g}w{k}" for k in range(cut)]))]
+    want = brute_kept(rows, 0.8)
+    found = {r.doc_id for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, similarity=0.8).collect()}
+    assert want <= found and len(found - want) <= 1
+    assert 300 < len(want) < 600
