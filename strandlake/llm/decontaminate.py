@@ -12,7 +12,8 @@ in blocks of at most ``BLOCK_WORDS`` words: a benchmark beyond that is searched
 several scans, whose hits are united by document, so no size is cut off.
 
 Defined results: a null or empty text has no words; items without words match nothing;
-equal items all count; rows with the same id are scanned apart; empty tables give no
+equal items all count; items without an id are searched for like others, count together as
+one in n_items and have no part in items_sha256; rows with the same id are scanned apart; empty tables give no
 rows or no hits; other columns are ignored, whatever their names.
 """
 
@@ -44,7 +45,7 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.translate(_fold).split()
 
 
-def automaton(items: list[tuple[str, bytes]], window: int):
+def automaton(items: list[tuple[str | None, bytes]], window: int):
     """The automaton, None if nothing is to be found, and the items of each window."""
     import ahocorasick
 
@@ -61,7 +62,7 @@ def automaton(items: list[tuple[str, bytes]], window: int):
     return (made if where else None), [sorted(x) for x in where.values()]
 
 
-def _automaton_of(items: list[tuple[str, bytes]], window: int):
+def _automaton_of(items: list[tuple[str | None, bytes]], window: int):
     """The last one built in this worker, or a new one."""
     tag = hashlib.sha256(repr((items, window)).encode()).hexdigest()
     if tag not in _built:
@@ -70,7 +71,7 @@ def _automaton_of(items: list[tuple[str, bytes]], window: int):
     return _built[tag]
 
 
-def _scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], window: int) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str | None, bytes]], window: int) -> Iterator[pa.RecordBatch]:
     found, of_window = _automaton_of(items, window)
     names = [i for i, _ in items]
     for batch in slices(batches):
@@ -106,12 +107,12 @@ def _scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], win
             rows["n_words"].append(len(words))
             for k, v in (("first", first), ("last", last), ("start", start), ("end", stop)):
                 rows[k].append(v)
-            rows["items"].append(sorted({names[k] for n in got for k in of_window[n]}))
+            rows["items"].append(sorted({names[k] for n in got for k in of_window[n]}, key=lambda x: (x is None, x or "")))
         longs = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows["n_words"], pa.int64()), *(pa.array(rows[k], longs) for k in ("first", "last", "start", "end")), pa.array(rows["items"], pa.list_(pa.string()))], ["doc_id", *rows])
 
 
-def _blocks(items: DataFrame, block_words: int) -> list[list[tuple[str, bytes]]]:
+def _blocks(items: DataFrame, block_words: int) -> list[list[tuple[str | None, bytes]]]:
     """The items by blocks of bounded size, read one block at a time."""
     sized = items.select("item", "text", F.length("text").alias("n"))
     total = sized.agg(F.sum("n")).first()[0] or 0
@@ -127,7 +128,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = W
     of the original text (start, end exclusive), and the ids of the items that occur."""
     ship_code(docs.sparkSession)
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(item_text_col, F.lit("")).alias("text")).where("item is not null")
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(item_text_col, F.lit("")).alias("text"))
     schema = f"doc_id {own.schema[0].dataType.simpleString()}, n_words long, first array<long>, last array<long>, start array<long>, end array<long>, items array<string>"
     blocks = _blocks(items, block_words)
     if len(blocks) == 1:
@@ -154,7 +155,7 @@ def op6_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-def _clean(batches: Iterator[pa.RecordBatch], text_at: int, items: list[tuple[str, bytes]], window: int) -> Iterator[pa.RecordBatch]:
+def _clean(batches: Iterator[pa.RecordBatch], text_at: int, items: list[tuple[str | None, bytes]], window: int) -> Iterator[pa.RecordBatch]:
     found, _ = _automaton_of(items, window)
     for batch in slices(batches):
         if found is not None:
@@ -166,7 +167,7 @@ def _clean(batches: Iterator[pa.RecordBatch], text_at: int, items: list[tuple[st
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents in which no window of an item occurs, all their columns, without a shuffle."""
     ship_code(docs.sparkSession)
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(item_text_col, F.lit("")).alias("text")).where("item is not null")
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(item_text_col, F.lit("")).alias("text"))
     for block in _blocks(items, block_words):
         docs = docs.mapInArrow(partial(_clean, text_at=docs.columns.index(text_col), items=block, window=window), docs.schema)
     return docs

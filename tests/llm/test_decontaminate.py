@@ -71,3 +71,14 @@ def test_offsets(spark, items):
     found = find_contamination(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
     cut = {r.doc_id: [dict(rows)[r.doc_id][a:b] for a, b in zip(r["start"], r["end"])] for r in found}
     assert cut == {1: ["ONE! TWO"], 2: ["日本語のテキスト"], 3: []} or cut == {1: ["ONE! TWO"], 2: ["日本語のテキスト"], 3: ["one, two"]}
+
+
+def test_items_without_id(spark):
+    items = spark.createDataFrame([(None, "one two"), (None, "three four"), (5, "four five")], "item_id long, text string")
+    table = spark.createDataFrame([(1, "zero one two"), (2, "three four five"), (3, "five four")], "doc_id long, text string")
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert told(op6_decontaminate(table, items)) == [(1, 3, 2, 1, sha(""), True), (2, 3, 3, 2, sha("5"), True), (3, 2, 0, 0, sha(""), False)]
+    for words in (400_000, 1):
+        assert [r.doc_id for r in remove_contaminated(table, items, block_words=words).collect()] == [3]
+    many = find_contamination(table, items, block_words=1).collect()
+    assert {r.doc_id: r["items"] for r in many} == {1: [None], 2: ["5", None], 3: []}
