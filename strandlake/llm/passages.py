@@ -13,11 +13,9 @@ sliding windows, and the tree over them alone gives the same windows.
 2. Interval join: windows with a signature are laid on each other at c; where what they
    have in common has room for a passage, it is verified: the longest stretch around c
    whose shingles have a Jaccard similarity of ``SIMILARITY`` or more, from codes of the
-   words around c. Groups of up to ``BUCKET`` windows are compared each with each cluster's
-   first. In larger groups stretches of exactly ``PASSAGE`` words are compared by hash at
-   several alignments and linked to the smallest, without pairs; the groups' remaining
-   firsts are compared as before if they are few enough. So a passage with over BUCKET
-   different surroundings is found by its exact stretches, whatever their number.
+   words around c. Every two different windows of a group are compared. Groups of over ``BUCKET`` windows
+   have windows with the same words around c linked to the first, and the others cut into blocks, of which each two
+   meet in a bounded group. Links that follow from others are left out after that.
 3. Verified stretches are united within a text, and united ones that links connect are
    a class.
 
@@ -52,8 +50,10 @@ HASHES = 3
 BUCKET = 64
 #: Words on each side of c that are verified.
 SIDE = 64
-#: Exact stretches of a large group: the words after the shingle, at these alignments.
-STEP = 9
+#: Larger groups meet in blocks, two of which have so many times BUCKET windows.
+BLOCK = 16
+#: Groups of so many different windows are compared one by one, others row by row.
+NARROW = 16
 #: Words that are worked on at a time; a longer text is a batch of its own.
 BATCH_WORDS = 1 << 21
 #: Bytes of the filter of shared signatures that is broadcast, at most.
@@ -226,29 +226,106 @@ class Around:
         return best
 
 
+def _first_gaps(x: np.ndarray, length: np.ndarray, n: int) -> list[np.ndarray]:
+    """``_gaps`` of many pairs: where the first n differing places are, -1 behind the end."""
+    x = np.concatenate([x, np.ones((len(x), 1), dtype=bool)], axis=1)
+    x |= np.arange(x.shape[1]) >= length[:, None]
+    out, row, over = [], np.arange(len(x)), np.zeros(len(x), dtype=bool)
+    for _ in range(n):
+        at = x.argmax(1)
+        out.append(np.where(over, -1, at))
+        over |= at >= length
+        x[row, at] = over
+    return out
+
+
+def _similar_pairs(own: list[Around], codes: list[tuple[int, bytes]], size: int, passage: int, similarity: float) -> Iterator[tuple[int, int, int, int]]:
+    """(i, j, words before c, words from c on) of each two windows i < j that have a passage in common."""
+    if len(own) <= NARROW:
+        for j, x in enumerate(own):
+            for i in range(j):
+                got = own[i].common(x, size, passage, similarity)
+                if got:
+                    yield i, j, *got
+        return
+    before, after = np.array([x.before for x in own]), np.array([x.after for x in own])
+    left, right = np.zeros((len(own), before.max()), np.uint8), np.zeros((len(own), after.max()), np.uint8)
+    for k, (b, c) in enumerate(codes):
+        left[k, :b] = np.frombuffer(c[:b], np.uint8)[::-1]
+        right[k, : len(c) - b] = np.frombuffer(c[b:], np.uint8)
+    worst = size * (1 + similarity) / (1 - similarity)
+    n = int((before.max() + after.max()) / worst) + 1
+    for i in range(len(own) - 1):
+        a, b = np.minimum(before[i], before[i + 1 :]), np.minimum(after[i], after[i + 1 :])
+        some = np.flatnonzero((a + b >= passage) & (right[i + 1 :, :size] == right[i, :size]).all(1))
+        if not len(some):
+            continue
+        a, b, at = a[some], b[some], some + i + 1
+        lefts, rights = _first_gaps(left[at] != left[i], a, n), _first_gaps(right[at] != right[i], b, n)
+        best, x, y = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        for k, p in enumerate(lefts):
+            for m, q in enumerate(rights):
+                better = (p >= 0) & (q >= 0) & (p + q >= passage) & (p + q - size + 1 >= (k + m) * worst) & (p + q > best)
+                best, x, y = np.where(better, p + q, best), np.where(better, p, x), np.where(better, q, y)
+        for k in np.flatnonzero(best).tolist():
+            yield i, int(at[k]), int(x[k]), int(y[k])
+
+
+def group_links(rows: list[tuple[int, int, int, bytes]], size: int, passage: int, similarity: float) -> list[tuple[int, int, int, int, int]]:
+    """Links of windows (text, c, before, codes) of a signature: every two are compared, and what
+    follows from others is left out.
+
+    All stretches of a window contain c, so they unite: the one that reaches furthest to the left, the one
+    that does to the right, and links that connect what all of them connect are enough.
+    """
+    alike: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+    for text, c, before, codes in sorted(rows):
+        if len(codes) >= passage:
+            alike.setdefault((before, codes), []).append((text, c))
+    kinds, members, out = list(alike), list(alike.values()), []
+    other = [next((m for m in own if m[0] != own[0][0]), None) for own in members]  # of another text than the first
+    for (before, codes), own, two in zip(kinds, members, other):
+        if two:
+            for text, c in own[1:]:
+                t, k = own[0] if text != own[0][0] else two
+                out.append((t, k - before, text, c - before, len(codes)))
+    around = [Around(before, codes) for before, codes in kinds]
+    furthest: dict[tuple[int, str], tuple[int, tuple]] = {}
+    root, kept = list(range(len(kinds))), set()
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for link in _similar_pairs(around, kinds, size, passage, similarity):
+        i, j, x, y = link
+        if members[i][0][0] == members[j][0][0] and not other[i] and not other[j]:
+            continue  # both in one text only
+        for k in (i, j):
+            for side, reach in (("left", x), ("right", y)):
+                if (k, side) not in furthest or reach > furthest[k, side][0]:
+                    furthest[k, side] = (reach, link)
+        if find(i) != find(j):
+            root[find(j)] = find(i)
+            kept.add(link)
+    for i, j, x, y in kept | {link for _, link in furthest.values()}:
+        u, v = members[i][0], members[j][0]
+        if u[0] == v[0]:
+            u, v = (other[i], v) if other[i] else (u, other[j])
+        # a kind that one text has in several places isn't linked in itself
+        pairs = {(u, v)} | ({(m, v) for m in members[i]} if not other[i] else set()) | ({(u, m) for m in members[j]} if not other[j] else set())
+        out += [(t, c - x, t2, c2 - x, x + y) for (t, c), (t2, c2) in pairs]
+    return out
+
+
 def _compare(batches: Iterator[pa.RecordBatch], size: int, passage: int, similarity: float) -> Iterator[pa.RecordBatch]:
     """Links within each group (a bounded list of windows)."""
     for batch in batches:
         out = []
         for group in batch.column(0):
-            rows = sorted((r["text"], r["c"], r["before"], r["codes"]) for r in group.as_py())
-            firsts: list[tuple[tuple, Around]] = []
-            alike: dict[tuple, tuple] = {}
-            for row in rows:
-                text, c, before, codes = row
-                same = alike.setdefault((before, codes), row)
-                if same is not row:
-                    if len(codes) >= passage:
-                        out.append((same[0], same[1] - before, text, c - before, len(codes)))
-                    continue
-                own, linked = Around(before, codes), False
-                for (t, k, *_), other in firsts:
-                    got = own.common(other, size, passage, similarity)
-                    if got:
-                        out.append((t, k - got[0], text, c - got[0], sum(got)))
-                        linked = True
-                if not linked:
-                    firsts.append((row, own))
+            out += group_links([(r["text"], r["c"], r["before"], r["codes"]) for r in group.as_py()], size, passage, similarity)
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
         yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], ["ta", "fa", "tb", "fb", "n"])
 
@@ -257,26 +334,23 @@ def _links(windows: DataFrame, *, shingle: int, passage: int, similarity: float,
     """(ta, fa, tb, fb, n): verified stretches of n words in two texts, from windows (sig, text, c, before, codes)."""
     sizes = windows.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
     hot = materialise(sizes.where(F.col("size") > bucket).select("sig"), "hot-signatures")
-    many = windows.join(hot, "sig", "left_semi")
-    rest = passage - shingle
-    after = F.length("codes") - F.col("before") - shingle
-    steps = sorted({*range(0, rest, STEP), rest})
-    # the exact stretch with r words behind the shingle, where the window has room for it
-    cut = [
-        F.when((after >= r) & (F.col("before") >= rest - r), F.struct(F.lit(r).alias("r"), F.xxhash64("sig", F.lit(r), F.substring("codes", F.col("before") - (rest - r) + 1, F.lit(passage))).alias("key"))) for r in steps
-    ]
-    keyed = many.select("sig", "text", "c", F.explode(F.filter(F.array(*cut), lambda x: x.isNotNull())).alias("x")).select("sig", "text", "c", "x.r", "x.key")
-    # written first: so the join deals both sides out by itself and can split a hot stretch
-    low = materialise(keyed.groupBy("key").agg(F.min(F.struct("text", "c")).alias("low"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "low"), "stretch-firsts")
-    starred = keyed.join(low, "key").where((F.col("text") != F.col("low.text")) | (F.col("c") != F.col("low.c")))
-    back = F.lit(rest) - F.col("r")
-    exact = starred.select(F.col("low.text").alias("ta"), (F.col("low.c") - back).alias("fa"), F.col("text").alias("tb"), (F.col("c") - back).alias("fb"), F.lit(passage).alias("n"))
-    # those that no exact stretch ties to another are compared too, where they are few
-    tied = starred.select("sig", "text", "c").distinct()
-    firsts = many.join(tied, ["sig", "text", "c"], "left_anti")
-    few = firsts.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") <= bucket).select("sig")
-    cold = windows.join(hot, "sig", "left_anti").unionByName(firsts.join(few, "sig", "left_semi"))
-    groups = cold.groupBy("sig").agg(F.collect_list(F.struct("text", "c", "before", "codes")).alias("rows")).where(F.size("rows") > 1)
+    many = windows.join(hot, "sig", "left_semi").where(F.length("codes") >= passage)
+    place = F.struct("text", "c")
+    # the same words around c in several texts: linked to the first, or its text's to the last
+    ends = materialise(many.groupBy("sig", "before", "codes").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low.text <> high.text"), "equal-windows")
+    same = many.join(ends, ["sig", "before", "codes"])
+    to = F.when(F.col("text") == F.col("low.text"), F.col("high")).otherwise(F.col("low"))
+    exact = same.withColumn("to", to).select(F.col("to.text").alias("ta"), (F.col("to.c") - F.col("before")).alias("fa"), F.col("text").alias("tb"), (F.col("c") - F.col("before")).alias("fb"), F.length("codes").alias("n"))
+    two = ends.select("sig", "before", "codes", F.explode(F.array("low", "high")).alias("x")).select("sig", "x.text", "x.c", "before", "codes")
+    firsts = materialise(many.join(ends, ["sig", "before", "codes"], "left_anti").select(two.columns).unionByName(two), "hot-windows")
+    # blocks of different windows, of which each two meet in a bounded group
+    group = bucket * BLOCK
+    sized = firsts.join(firsts.groupBy("sig").agg(F.count(F.lit(1)).alias("size")), "sig")
+    cut = sized.withColumn("blocks", F.when(F.col("size") > group, F.ceil(2 * F.col("size") / group)).otherwise(1).cast("int")).withColumn("own", F.pmod(F.xxhash64("before", "codes"), F.col("blocks")).cast("int"))
+    met = cut.withColumn("x", F.explode(F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, own) as a, greatest(x, own) as b))")))
+    cold = windows.join(hot, "sig", "left_anti").withColumn("x", F.expr("named_struct('a', 0, 'b', 0)"))
+    columns = ["sig", "x", "text", "c", "before", "codes"]
+    groups = cold.select(columns).unionByName(met.select(columns)).groupBy("sig", "x").agg(F.collect_list(F.struct("text", "c", "before", "codes")).alias("rows")).where(F.size("rows") > 1)
     found = groups.select("rows").mapInArrow(partial(_compare, size=shingle, passage=passage, similarity=similarity), "ta long, fa int, tb long, fb int, n int")
     return found.unionByName(exact).where("ta <> tb").distinct()
 

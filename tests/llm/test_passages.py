@@ -142,3 +142,64 @@ def test_common():
             continue
         best = max((y - x for x in [0, *(k + 1 for k in bad if k < before)] for y in [len(a), *(k for k in bad if k >= before)] if y - x >= 50 and y - x - 4 >= 45 * sum(x <= k < y for k in bad)), default=None)
         assert (got and sum(got)) == best
+
+
+def variants(n, rng):
+    """A passage in a base and in n texts, each with another one of its words 10 to 49 changed, in different surroundings."""
+    vocabulary = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(5000)]
+    prose = lambda k: rng.choices(vocabulary, k=k)
+    passage, rows = prose(60), []
+    for i in range(n + 1):
+        own = list(passage)
+        if i:
+            own[rng.randrange(10, 50)] = f"changed{i}"
+        rows.append((i, " ".join(prose(40) + own + prose(40))))
+    return rows
+
+
+@pytest.mark.parametrize("n", [4, 12])
+def test_changed_elsewhere(spark, n):
+    """Variants are like the base only, whatever comes first; a function whose c is at the changed word tells nothing."""
+    rows = variants(n, random.Random(n))
+    found = {r.doc for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), hashes=8).collect()}
+    assert len(found) >= 0.95 * len(rows)
+
+
+def test_group_links():
+    """Extents and classes of a group are those of all its pairs, by either way of comparing."""
+    rng = random.Random(21)
+    for n in (3, 12, 90):
+        base = bytes(rng.randrange(256) for _ in range(110))
+        rows = []
+        for i in range(n):
+            own, lo, hi = bytearray(base), rng.randint(0, 45), rng.randint(75, 110)
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                own[rng.randrange(110)] ^= 1 + i
+            rows.append((rng.randrange(max(2, 2 * n // 3)), 1000 * i, 50 - lo, bytes(own[lo:hi])))
+        want, got = {}, {}
+        everything = []
+        for i, a in enumerate(rows):
+            for b in rows[:i]:
+                both = passages.Around(*a[2:]).common(passages.Around(*b[2:]), 5, 50, 0.8) if a[0] != b[0] else None
+                if both:
+                    everything.append((a[0], a[1] - both[0], b[0], b[1] - both[0], sum(both)))
+        for links, reach in ((everything, want), (passages.group_links(rows, 5, 50, 0.8), got)):
+            label = {r[:2]: r[:2] for r in rows}
+
+            def root(k):
+                while label[k] != k:
+                    k = label[k]
+                return k
+
+            for ta, fa, tb, fb, m in links:
+                if ta == tb:
+                    continue
+                ends = [(t, round((f + 50) / 1000) * 1000, f) for t, f in ((ta, fa), (tb, fb))]
+                for t, c, f in ends:
+                    x, y = reach.get((t, c), (0, 0))[:2]
+                    reach[t, c] = (max(x, c - f), max(y, m - (c - f)))
+                u, v = sorted(root(e[:2]) for e in ends)
+                label[v] = u
+            for k in list(reach):
+                reach[k] = (*reach[k][:2], root(k))
+        assert got == want and (n < 12 or want)
