@@ -53,7 +53,9 @@ SIDE = 64
 #: Larger groups meet in blocks, two of which have so many times BUCKET windows.
 BLOCK = 16
 #: Groups of so many different windows are compared one by one, others row by row.
-NARROW = 16
+NARROW = 40
+#: Groups of so few different windows keep all links.
+FEW = 6
 #: Words that are worked on at a time; a longer text is a batch of its own.
 BATCH_WORDS = 1 << 21
 #: Bytes of the filter of shared signatures that is broadcast, at most.
@@ -239,14 +241,13 @@ def _first_gaps(x: np.ndarray, length: np.ndarray, n: int) -> list[np.ndarray]:
     return out
 
 
-def _similar_pairs(own: list[Around], codes: list[tuple[int, bytes]], size: int, passage: int, similarity: float) -> Iterator[tuple[int, int, int, int]]:
-    """(i, j, words before c, words from c on) of each two windows i < j that have a passage in common."""
+def _similar_pairs(own: list[Around], codes: list[tuple[int, bytes]], size: int, passage: int, similarity: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, words before c, words from c on): for each window the later ones that have a passage in common with it."""
     if len(own) <= NARROW:
-        for j, x in enumerate(own):
-            for i in range(j):
-                got = own[i].common(x, size, passage, similarity)
-                if got:
-                    yield i, j, *got
+        for i, x in enumerate(own):
+            got = [(j, *found) for j in range(i + 1, len(own)) if (found := x.common(own[j], size, passage, similarity))]
+            if got:
+                yield i, *np.array(got).T
         return
     before, after = np.array([x.before for x in own]), np.array([x.after for x in own])
     left, right = np.zeros((len(own), before.max()), np.uint8), np.zeros((len(own), after.max()), np.uint8)
@@ -267,8 +268,22 @@ def _similar_pairs(own: list[Around], codes: list[tuple[int, bytes]], size: int,
             for m, q in enumerate(rights):
                 better = (p >= 0) & (q >= 0) & (p + q >= passage) & (p + q - size + 1 >= (k + m) * worst) & (p + q > best)
                 best, x, y = np.where(better, p + q, best), np.where(better, p, x), np.where(better, q, y)
-        for k in np.flatnonzero(best).tolist():
-            yield i, int(at[k]), int(x[k]), int(y[k])
+        got = best > 0
+        if got.any():
+            yield i, at[got], x[got], y[got]
+
+
+def _told(kept: set[tuple[int, int, int, int]], members: list[list[tuple[int, int]]], other: list[tuple[int, int] | None]) -> list[tuple[int, int, int, int, int]]:
+    """Links of kinds of windows as links between places of different texts."""
+    out = []
+    for i, j, x, y in kept:
+        u, v = members[i][0], members[j][0]
+        if u[0] == v[0]:
+            u, v = (other[i], v) if other[i] else (u, other[j])
+        # a kind that one text has in several places isn't linked in itself
+        pairs = {(u, v)} | ({(m, v) for m in members[i]} if not other[i] else set()) | ({(u, m) for m in members[j]} if not other[j] else set())
+        out += [(t, c - x, t2, c2 - x, x + y) for (t, c), (t2, c2) in pairs]
+    return out
 
 
 def group_links(rows: list[tuple[int, int, int, bytes]], size: int, passage: int, similarity: float) -> list[tuple[int, int, int, int, int]]:
@@ -289,35 +304,38 @@ def group_links(rows: list[tuple[int, int, int, bytes]], size: int, passage: int
             for text, c in own[1:]:
                 t, k = own[0] if text != own[0][0] else two
                 out.append((t, k - before, text, c - before, len(codes)))
+    if len(kinds) < 2:
+        return out
     around = [Around(before, codes) for before, codes in kinds]
-    furthest: dict[tuple[int, str], tuple[int, tuple]] = {}
-    root, kept = list(range(len(kinds))), set()
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for link in _similar_pairs(around, kinds, size, passage, similarity):
-        i, j, x, y = link
-        if members[i][0][0] == members[j][0][0] and not other[i] and not other[j]:
-            continue  # both in one text only
-        for k in (i, j):
-            for side, reach in (("left", x), ("right", y)):
-                if (k, side) not in furthest or reach > furthest[k, side][0]:
-                    furthest[k, side] = (reach, link)
-        if find(i) != find(j):
-            root[find(j)] = find(i)
-            kept.add(link)
-    for i, j, x, y in kept | {link for _, link in furthest.values()}:
-        u, v = members[i][0], members[j][0]
-        if u[0] == v[0]:
-            u, v = (other[i], v) if other[i] else (u, other[j])
-        # a kind that one text has in several places isn't linked in itself
-        pairs = {(u, v)} | ({(m, v) for m in members[i]} if not other[i] else set()) | ({(u, m) for m in members[j]} if not other[j] else set())
-        out += [(t, c - x, t2, c2 - x, x + y) for (t, c), (t2, c2) in pairs]
-    return out
+    kept: set[tuple[int, int, int, int]] = set()
+    if len(kinds) <= FEW:
+        for j, x in enumerate(around):
+            for i in range(j):
+                if (members[i][0][0] != members[j][0][0] or other[i] or other[j]) and (got := around[i].common(x, size, passage, similarity)):
+                    kept.add((i, j, *got))
+        return out + _told(kept, members, other)
+    label, first, several = np.arange(len(kinds)), np.array([own[0][0] for own in members]), np.array([m is not None for m in other])
+    furthest = np.zeros((2, len(kinds)), np.int64)  # to the left and right, and by which links
+    by = np.zeros((2, len(kinds), 4), np.int64)
+    for i, j, x, y in _similar_pairs(around, kinds, size, passage, similarity):
+        told = (first[j] != first[i]) | several[j] | several[i]  # else both are in one text only
+        j, x, y = j[told], x[told], y[told]
+        if not len(j):
+            continue
+        rows_ = np.stack([np.full(len(j), i), j, x, y], axis=1)
+        for side, reach in enumerate((x, y)):
+            k = int(reach.argmax())
+            if reach[k] > furthest[side, i]:
+                furthest[side, i], by[side, i] = reach[k], rows_[k]
+            more = reach > furthest[side, j]
+            furthest[side, j[more]], by[side, j[more]] = reach[more], rows_[more]
+        apart = np.flatnonzero(label[j] != label[i])
+        if len(apart):
+            joined, at = np.unique(label[j[apart]], return_index=True)
+            kept |= set(map(tuple, rows_[apart[at]].tolist()))
+            label[np.isin(label, joined)] = label[i]
+    kept |= set(map(tuple, by[furthest > 0].tolist()))
+    return out + _told(kept, members, other)
 
 
 def _compare(batches: Iterator[pa.RecordBatch], size: int, passage: int, similarity: float) -> Iterator[pa.RecordBatch]:

@@ -157,7 +157,7 @@ def variants(n, rng):
     return rows
 
 
-@pytest.mark.parametrize("n", [4, 12])
+@pytest.mark.parametrize("n", [4, 12, 200])
 def test_changed_elsewhere(spark, n):
     """Variants are like the base only, whatever comes first; a function whose c is at the changed word tells nothing."""
     rows = variants(n, random.Random(n))
