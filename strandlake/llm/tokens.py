@@ -4,7 +4,9 @@ Both kinds of vocabulary used here cut a text at white space before merging, so
 of a text are those of its space-separated pieces one after another. A piece met before
 is not encoded again: its ids are kept as bytes, within a bound. A new piece that is a
 plain word, perhaps with one mark behind it, goes straight to the library's BPE model;
-any other goes through the whole tokenizer.
+any other goes through the whole tokenizer. So does a whole text in which the string of a
+special token may stand: by default it becomes that token's id, as the library has it;
+``special_as_text`` takes such strings for ordinary text instead.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ MEMO_CHARS = 48
 
 _word = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!]?)")
 #: White space in a piece beyond one line break before it.
+#: What every special token of these vocabularies begins with.
+MARK = "<|"
 _odd_space = re.compile(r"\A\n?\Z|.\s|\A[^\S\n]|[\x1c-\x1f\x85]", re.S)
 _encoders: dict[tuple, "Encoder"] = {}
 
@@ -85,11 +89,14 @@ class Encoder:
     BPE); otherwise it is lower-cased and white space only separates.
     """
 
-    def __init__(self, path: str, leading_space: bool):
+    def __init__(self, path: str, leading_space: bool, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.mark = None if special_as_text else MARK
+        if not all(t.content.startswith(MARK) for t in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("added tokens that don't begin with <| aren't supported")
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of over 16 bits aren't supported")
         self.leading_space = leading_space
@@ -101,6 +108,8 @@ class Encoder:
         return [self.one(t) if t else b"" for t in texts]
 
     def one(self, text: str) -> bytes:
+        if self.mark and self.mark in text:
+            return self.memo.encoded(text)
         get = self.memo.__getitem__
         if not self.leading_space:
             return b"".join(map(get, text.replace("\n", " ").split(" ")))
@@ -112,11 +121,11 @@ class Encoder:
             return self.memo.encoded(text)
 
 
-def encoder(path: str, leading_space: bool) -> Encoder:
+def encoder(path: str, leading_space: bool, special_as_text: bool = False) -> Encoder:
     """One per Python worker; a worker that is used again keeps it."""
-    key = (path, leading_space)
+    key = (path, leading_space, special_as_text)
     if key not in _encoders:
-        _encoders[key] = Encoder(path, leading_space)
+        _encoders[key] = Encoder(*key)
     return _encoders[key]
 
 

@@ -14,19 +14,26 @@ from strandlake.llm.tokens import Encoder
 from strandlake.storage import scratch_path
 
 WORD, BYTE = "word_bpe_49k.json", "byte_bpe_50k.json"
-ODD = ["", " ", "\n", " a b", "a  b", "a\n\nb", "\na", "x\n", "a \nb", "a\n b", "a\tb c", "é ë ΑΣ Σ", "it's\n's we'll", "12 345\x0bz\x1cq", "日本 語\n テ", "a b   c", "A.B, c!", "é x", "İ I", "<|endoftext|> x", "a\x85b"]
+ODD = ["", " ", "\n", " a b", "a  b", "a\n\nb", "\na", "x\n", "a \nb", "a\n b", "a\tb c", "é ë ΑΣ Σ", "it's\n's we'll", "12 345\x0bz\x1cq", "日本 語\n テ", "a b   c", "A.B, c!", "é x", "İ I", "<|endoftext|> x", "a\x85b", "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", "b <|startoftext|>", "<|startoftext|> A<|ENDOFTEXT|>", "a <| b |> <|endof text|>"]
 
 
+@pytest.mark.parametrize("as_text", [False, True])
 @pytest.mark.parametrize("name, space", [(WORD, False), (BYTE, True)])
-def test_pieces(vocab, tricky, name, space):
-    encoder, plain = Encoder(vocab(name), space), Tokenizer.from_file(vocab(name))
-    plain.encode_special_tokens = True
+def test_pieces(vocab, tricky, name, space, as_text):
+    encoder, plain = Encoder(vocab(name), space, as_text), Tokenizer.from_file(vocab(name))
+    if as_text:  # else as it is read from the file
+        plain.encode_special_tokens = True
     texts = ODD + [t for _, t in tricky if t]
     for _ in range(2):  # from new, then from the memo
         for text, ids in zip(texts, encoder(texts)):
             assert np.frombuffer(ids, "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids, text[:50]
 
 
+def test_special_ids(vocab):
+    ids = lambda name, space: np.frombuffer(Encoder(vocab(name), space)(["a <|endoftext|> b"])[0], "<u2").tolist()
+    assert ids(WORD, False) == [320, 49407, 321] and ids(BYTE, True) == [64, 220, 50256, 275]
+
+
 def test_tournament_tree():
     rng = random.Random(1)
     for n in (1, 2, 7, 64):
