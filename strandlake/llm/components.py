@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.runtime import materialise
+from strandlake.llm.runtime import drop, materialise
 
 ROUNDS = 60
 
@@ -44,7 +44,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     if not was[0]:
         return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for _ in range(ROUNDS):
-        now = materialise(_star(_star(now, True), False), label)
+        old, now = now, materialise(_star(_star(now, True), False), label)
+        drop(old)
         is_ = state(now)
         if is_ == was:
             break

@@ -4,20 +4,21 @@ Rules on a text by itself: its words (runs without ASCII white space), symbols,
 lines and words in repeated three-word windows. A text fails them with fewer than
 ``MIN_WORDS`` words or over ``REPEAT_PERCENT`` percent of its words in repeated windows.
 
-Rules across documents: lines are normalised (stripped, in lower case) and hashed; for each line and host the documents that have it are counted. A line is
-boilerplate of a host if at least ``LINE_DOCS`` of its documents and over ``LINE_PERCENT``
-percent of them have it, and not just as part of one repeated text: it must stand between
-as many different pairs of neighbouring lines. Boilerplate is removed; a document with fewer
-than ``LEFT_CHARS`` code points and less than ``LEFT_PERCENT`` percent of its lines left is depleted and
-rejected. So copies of one good text aren't taken for boilerplate: deduplication is for
-them.
+Rules across documents: lines are normalised (stripped, in lower case) and hashed; for each line
+and host the distinct documents that have it are counted, equal texts once. A line that at least
+``LINE_DOCS`` of a host's documents and over ``LINE_PERCENT`` percent of them have is boilerplate
+there and is removed. A document that loses lines is depleted, and rejected, if fewer than
+``MIN_WORDS`` words or less than ``LEFT_PERCENT`` percent of its lines' code points are left.
 
 Windows are compared by a 64-bit hash within one text, lines by one within a host.
 
-Defined results: a null text has no words and no lines and fails; an empty one is one line
-without a word; a null host is a host of its own; rows with the same id are counted
-and judged apart; an empty table gives no rows. ``judge`` keeps just its
-own columns; ``keep_good`` passes all columns on.
+Defined results: a null text has no words and no lines and fails, and stays null; an empty one is one
+line without a word; a null host is a host of its own; rows with the same id are judged apart, and
+count once for a host if their texts are equal; a line in exactly ``LINE_DOCS`` documents is within the
+first limit, one in exactly ``LINE_PERCENT`` percent isn't over the second; very long texts are
+taken whole; an empty table gives no rows. ``judge`` keeps just its own columns; ``keep_good`` passes all
+columns on, whatever their names, the text without its boilerplate lines. The id has to be a
+number or a text that is one.
 """
 
 from __future__ import annotations
@@ -29,10 +30,9 @@ from strandlake.llm.runtime import doc_key, materialise
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-LINE_DOCS = 50
+LINE_DOCS = 5
 LINE_PERCENT = 10
-LEFT_CHARS = 120
-LEFT_PERCENT = 30
+LEFT_PERCENT = 80
 
 BLANK = r"[\x20\x09-\x0D]+"
 
@@ -74,19 +74,20 @@ def text_rules(docs: DataFrame, *, text_col: str = "text", min_words: int = MIN_
     )
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, copy, host, line, near, chars): each text's distinct lines that aren't blank.
+#: What a strip removes from both ends of a line.
+ENDS = " \t\x0b\x0c\r"
 
-    ``line`` hashes the host and the line, ``near`` the lines around its first place, ``chars``
-    counts the code points of all its places.
-    """
-    trimmed = lambda x: F.btrim(x, F.lit(" \t\x0b\x0c\r"))
-    kept = docs.select("doc", "copy", "host", F.filter(F.transform(F.split(F.lower("text"), "\n"), trimmed), lambda x: x != "").alias("all"))
-    hashed = kept.select("doc", "copy", "host", "all", F.transform("all", lambda x: F.xxhash64("host", x)).alias("h"))
-    run = hashed.select("doc", "copy", "host", F.expr("sort_array(transform(all, (x, i) -> struct(h[i] as line, i as i, xxhash64(get(h, i - 1), get(h, i + 1)) as near, length(x) as chars)))").alias("s"))
-    first = run.select("doc", "copy", "host", F.size("s").alias("n"), F.expr("filter(transform(s, (x, k) -> struct(x.line as line, x.near as near, x.chars as chars, k as k, get(s, k - 1).line as before)), x -> not (x.line <=> x.before))").alias("f"))
-    each = first.select("doc", "copy", "host", F.explode(F.expr("transform(f, (x, j) -> struct(x.line as line, x.near as near, cast(x.chars as bigint) * (coalesce(get(f, j + 1).k, n) - x.k) as chars))")).alias("x"))
-    return each.select("doc", "copy", "host", "x.line", "x.near", "x.chars")
+
+def _line_key(host: Column, line: Column) -> Column:
+    """Hashes the host and the normalised line; null for a blank one."""
+    x = F.btrim(F.lower(line), F.lit(ENDS))
+    return F.when(x != "", F.xxhash64(host, x))
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc, copy, host, line): each text's distinct lines that aren't blank."""
+    keys = F.array_distinct(F.filter(F.transform(F.split("text", "\n"), lambda x: _line_key(F.col("host"), x)), lambda k: k.isNotNull()))
+    return docs.select("doc", "copy", "host", F.explode(keys).alias("line"))
 
 
 def boilerplate(docs: DataFrame, *, line_docs: int = LINE_DOCS, line_percent: int = LINE_PERCENT) -> DataFrame:
@@ -95,34 +96,53 @@ def boilerplate(docs: DataFrame, *, line_docs: int = LINE_DOCS, line_percent: in
     Both counts are pre-aggregated before each shuffle; a line in a third of all documents
     reaches its last task as one row from each.
     """
-    hosts = docs.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")).withColumnRenamed("host", "h")
-    seen = _lines(docs).groupBy("line", "near").agg(F.count(F.lit(1)).alias("n"), F.min("host").alias("host"))
-    common = seen.groupBy("line").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("nears"), F.min("host").alias("host"))
-    often = common.where((F.col("n") >= line_docs) & (F.col("nears") >= line_docs)).join(hosts, F.col("host").eqNullSafe(F.col("h")))
-    limit = F.col("host_docs") * line_percent
-    return often.where((100 * F.col("n") > limit) & (100 * F.col("nears") > limit)).select("line")
+    hosts = docs.select("host", "copy").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")).withColumnRenamed("host", "h")
+    seen = _lines(docs).groupBy("line", "copy").agg(F.min("host").alias("host"))
+    often = seen.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("host").alias("host")).where(F.col("n") >= line_docs)
+    return often.join(hosts, F.col("host").eqNullSafe(F.col("h"))).where(100 * F.col("n") > line_percent * F.col("host_docs")).select("line")
+
+
+def _own(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> list[Column]:
+    host = F.col(host_col).cast("string")
+    return [doc_key(id_col).alias("doc"), F.xxhash64(host, F.coalesce(text_col, F.lit(""))).alias("copy"), host.alias("host"), F.coalesce(text_col, F.lit("")).alias("text")]
+
+
+def _without(text: Column, host: Column, lost: Column) -> Column:
+    """The text without its lines whose key is in ``lost``."""
+    return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.coalesce(F.array_contains(lost, _line_key(host, x)), F.lit(False))), "\n")
+
+
+def _chars(text: Column) -> Column:
+    """Code points of the lines of a text, stripped."""
+    return F.aggregate(F.transform(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(ENDS)))), F.lit(0).cast("long"), lambda a, n: a + n)
 
 
-def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", left_chars: int = LEFT_CHARS, left_percent: int = LEFT_PERCENT, line_docs: int = LINE_DOCS, line_percent: int = LINE_PERCENT, **rules) -> DataFrame:
-    """For each row doc_id, the text rules' columns, line_chars, lost_chars, depleted and kept."""
-    own = docs.select(F.col(id_col).alias("doc_id"), doc_key(id_col).alias("doc"), F.xxhash64(text_col).alias("copy"), F.col(host_col).cast("string").alias("host"), F.coalesce(text_col, F.lit("")).alias("text"))
+def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", left_percent: int = LEFT_PERCENT, line_docs: int = LINE_DOCS, line_percent: int = LINE_PERCENT, min_words: int = MIN_WORDS, **rules) -> DataFrame:
+    """For each row doc_id, the text rules' columns, lost (keys of its lines that are boilerplate, null: none),
+    left_words and left_chars (of what stays), depleted and kept."""
+    own = docs.select(F.col(id_col).alias("doc_id"), *_own(docs, id_col, text_col, host_col))
     common = materialise(boilerplate(own, line_docs=line_docs, line_percent=line_percent), "boilerplate")
-    hit = _lines(own).join(common, "line").groupBy("doc", "copy", "line").agg(F.max("chars").alias("chars"))
-    lost = hit.groupBy("doc", "copy").agg(F.sum("chars").alias("lost_chars"))
+    hit = _lines(own).join(common, "line").groupBy("doc", "copy").agg(F.collect_set("line").alias("lost"))
+    stays = _without(F.col("text"), F.col("host"), F.col("lost"))
+    # a text that loses nothing isn't taken apart: only rows with hits are joined
+    left = own.join(hit, ["doc", "copy"]).dropDuplicates(["doc", "copy"]).withColumn("text", stays).select("doc", "copy", "lost", F.size(words_of(F.col("text"))).alias("left_words"), _chars(F.col("text")).alias("left_chars"))
     # written first: a filter on the result would otherwise be moved into the rules' expressions,
     # which then run anew for every element of every array
-    ruled = materialise(text_rules(own, **rules).drop("text", "host"), "text-rules")
-    joined = ruled.join(lost, ["doc", "copy"], "left").withColumn("lost_chars", F.coalesce("lost_chars", F.lit(0)))
-    left = F.col("line_chars") - F.col("lost_chars")
-    depleted = (F.col("lost_chars") > 0) & (left < left_chars) & (100 * left < left_percent * F.col("line_chars"))
-    return joined.withColumn("depleted", depleted).withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
+    ruled = materialise(text_rules(own, min_words=min_words, **rules).drop("text", "host"), "text-rules")
+    joined = ruled.join(materialise(left, "left-lines"), ["doc", "copy"], "left")
+    depleted = F.col("lost").isNotNull() & ((F.col("left_words") < min_words) | (100 * F.col("left_chars") < left_percent * F.col("line_chars")))
+    return joined.withColumn("depleted", depleted).withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows that are kept, with all their columns."""
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    bad = judge(docs, **options).where("not kept").select(F.col("doc").alias("__doc"), F.col("copy").alias("__copy"))
-    return docs.withColumns({"__doc": doc_key(id_col), "__copy": F.xxhash64(text_col)}).join(bad, ["__doc", "__copy"], "left_anti").drop("__doc", "__copy")
+    """The rows that are kept, with all their columns, and their texts without boilerplate lines."""
+    id_col, text_col, host_col = options.get("id_col", "doc_id"), options.get("text_col", "text"), options.get("host_col", "source")
+    told = judge(docs, **options).where("not kept or lost is not null").select("doc", "copy", "kept", "lost").dropDuplicates(["doc", "copy"])
+    doc, copy, host, _ = _own(docs, id_col, text_col, host_col)
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), doc, copy, host)
+    good = held.join(told, ["doc", "copy"], "left").where(F.coalesce("kept", F.lit(True)))
+    text = F.when(F.col("lost").isNull(), F.col("row")[text_col]).otherwise(_without(F.col("row")[text_col], F.col("host"), F.col("lost")))
+    return good.select(*(text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op4_quality(docs: DataFrame) -> DataFrame:

@@ -113,19 +113,17 @@ words AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM s
 grams AS (SELECT doc_id, i, w AS a, lead(w, 1) OVER o AS b, lead(w, 2) OVER o AS c FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
 twice AS (SELECT doc_id, i FROM grams WHERE c IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1),
 repeated AS (SELECT doc_id, count(DISTINCT i + k)::bigint AS n FROM twice CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) t GROUP BY doc_id),
-lined AS (SELECT doc_id, source, generate_subscripts(xs, 1) AS i, unnest(xs) AS x FROM (SELECT doc_id, source, list_transform(ls, lambda y: trim(lower(y), {BLANKS})) AS xs FROM split) s),
-near AS (SELECT *, lag(x) OVER o AS p, lead(x) OVER o AS q FROM lined WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-firsts AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY doc_id, x ORDER BY i) = 1),
-seen AS (SELECT source, x, count(*) AS n, count(DISTINCT (coalesce('+' || p, ''), coalesce('+' || q, ''))) AS nears FROM firsts GROUP BY ALL),
-hosts AS (SELECT source, count(*) AS docs FROM documents GROUP BY source),
-bad AS (SELECT s.source, s.x FROM seen s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source WHERE n >= 50 AND nears >= 50 AND 100 * n > 10 * docs AND 100 * nears > 10 * docs),
-lost AS (SELECT l.doc_id, sum(length(l.x)) AS n FROM lined l JOIN bad b ON l.source IS NOT DISTINCT FROM b.source AND l.x = b.x GROUP BY l.doc_id),
+lined AS (SELECT doc_id, source, text, unnest(xs) AS x FROM (SELECT doc_id, source, text, list_transform(ls, lambda y: trim(lower(y), {BLANKS})) AS xs FROM split) s),
+seen AS (SELECT source, x, count(DISTINCT text) AS n FROM lined GROUP BY ALL),
+hosts AS (SELECT source, count(DISTINCT text) AS docs FROM split GROUP BY source),
+bad AS (SELECT s.source, s.x FROM seen s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source WHERE n >= 5 AND 100 * n > 10 * docs),
+lost AS (SELECT l.doc_id, sum(length(l.x)) AS n, sum(len(list_filter(regexp_split_to_array(l.x, '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))) AS words FROM lined l JOIN bad b ON l.source IS NOT DISTINCT FROM b.source AND l.x = b.x GROUP BY l.doc_id),
 whole AS (SELECT doc_id, sum(length(x)) AS n FROM lined GROUP BY doc_id),
 told AS (SELECT s.doc_id, len(s.ws)::bigint AS n_words, length(array_to_string(s.ws, ''))::bigint AS word_chars, (length(s.text) - length(regexp_replace(s.text, '[#*$%&|<>]', '', 'g')))::bigint AS n_symbols,
-                (len(s.ls) - len(list_distinct(s.ls)))::bigint AS n_dup_lines, coalesce(r.n, 0)::bigint AS n_repeat_words, coalesce(l.n, 0) AS lost, coalesce(t.n, 0) - coalesce(l.n, 0) AS stays, coalesce(t.n, 0) AS total
+                (len(s.ls) - len(list_distinct(s.ls)))::bigint AS n_dup_lines, coalesce(r.n, 0)::bigint AS n_repeat_words, coalesce(l.n, 0) AS lost, len(s.ws) - coalesce(l.words, 0) AS left_words, coalesce(t.n, 0) - coalesce(l.n, 0) AS stays, coalesce(t.n, 0) AS total
          FROM split s LEFT JOIN repeated r USING (doc_id) LEFT JOIN lost l USING (doc_id) LEFT JOIN whole t USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (lost > 0 AND stays < 120 AND 100 * stays < 30 * total) AS kept FROM told
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (lost > 0 AND (left_words < 50 OR 100 * stays < 80 * total)) AS kept FROM told
 """
 
 BENCHMARK_SQL = f"""

@@ -13,9 +13,9 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.llm import tokens
-from strandlake.storage import materialise, scratch_path, shared_dir
+from strandlake.storage import drop, materialise, scratch_path, shared_dir
 
-__all__ = ["NULL_ID", "crc_mod", "doc_key", "materialise", "mix64", "scratch_path", "shared_dir", "ship_code", "slices", "utf8"]
+__all__ = ["NULL_ID", "crc_mod", "doc_key", "drop", "materialise", "mix64", "scratch_path", "shared_dir", "ship_code", "slices", "utf8"]
 
 #: Sorts after every other document: the place of rows without an id.
 NULL_ID = (1 << 63) - 1

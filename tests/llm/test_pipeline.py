@@ -10,7 +10,7 @@ import corpus_pipeline as pipeline
 from strandlake.storage import materialise
 from tests.llm.test_decontaminate import expected as contamination
 from tests.llm.test_lines import expected as deduped
-from tests.llm.test_quality import base
+from tests.llm.test_quality import judged
 from tests.llm.test_simhash import shingles
 
 DIR = "/root/testdata/sf0.001"
@@ -35,8 +35,9 @@ def test_columns(stages):
 
 def test_quality(stages):
     before, after = ({r.doc_id: r for r in s.collect()} for s in stages[:2])
-    assert set(after) == {i for i, r in before.items() if not base(r.text)[-1]}
-    assert all(before[i] == r for i, r in after.items())
+    want = judged([(r.doc_id, r.source, r.text) for r in before.values()], 5, 10, 80)
+    assert {i: r.text for i, r in after.items()} == {i: t for (i, _), (t, ok) in want.items() if ok}
+    assert all(r.n_chars == (before[i].n_chars if r.text == before[i].text else len(r.text)) for i, r in after.items())
 
 
 def test_lines(stages):

@@ -33,43 +33,64 @@ def test_rules(docs, tricky, sample, empty):
     assert op4_quality(empty).count() == 0
 
 
-def depleted(rows, line_docs, line_percent, left_chars, left_percent):
-    """(id) -> lost characters and the verdict, from whole tables in memory."""
-    lines = lambda t: [x for x in (y.strip(" \t\x0b\x0c\r") for y in (t or "").lower().split("\n")) if x]
-    docs, nears, hosts = Counter(), defaultdict(set), Counter(h for _, h, _ in rows)
+def judged(rows, line_docs, line_percent, left_percent):
+    """(id, text) -> the text without boilerplate and the verdict, from whole tables in memory."""
+    normal = lambda x: x.lower().strip(" \t\x0b\x0c\r")
+    seen, hosts = defaultdict(set), defaultdict(set)
     for _, h, t in rows:
-        own = lines(t)
-        for x in set(own):
-            k = own.index(x)
-            docs[h, x] += 1
-            nears[h, x].add((own[k - 1] if k else None, own[k + 1] if k + 1 < len(own) else None))
-    bad = {k for k in docs if min(docs[k], len(nears[k])) >= line_docs and 100 * min(docs[k], len(nears[k])) > line_percent * hosts[k[0]]}
+        hosts[h].add(t or "")
+        for x in (t or "").split("\n"):
+            seen[h, normal(x)].add(t)
+    bad = {k for k, v in seen.items() if k[1] and len(v) >= line_docs and 100 * len(v) > line_percent * len(hosts[k[0]])}
     out = {}
     for i, h, t in rows:
-        own = lines(t)
-        lost, total = sum(len(x) for x in own if (h, x) in bad), sum(map(len, own))
-        out[i] = (lost, lost > 0 and total - lost < left_chars and 100 * (total - lost) < left_percent * total)
+        lines = (t or "").split("\n")
+        stay = [x for x in lines if (h, normal(x)) not in bad]
+        size = lambda xs: sum(len(normal(x)) for x in xs)
+        gone = len(stay) < len(lines) and (len(WORD.findall("\n".join(stay))) < 50 or 100 * size(stay) < left_percent * size(lines))
+        out[i, t] = ("\n".join(stay) if t is not None else None, not base(t)[-1] and not gone)
     return out
 
 
-def test_line_frequency(spark):
-    menu = [f"Home | Products | Contact number {k}" for k in range(6)]
-    rows = []
-    for i in range(40):
-        own = f"something that only document {i} tells its readers " * (1 if i % 4 else 9)
-        rows.append((i, "a", "\n".join([f"title {i}", menu[i % 6], f"x{i}", menu[(i + 1) % 6].upper(), own])))
-    text = "\n".join(f"line {k} of a text that is copied whole, again and again" for k in range(12))
-    rows += [(100 + i, "b", text) for i in range(60)]  # copies are no boilerplate
-    rows += [(200, None, None), (201, None, ""), (202, "a", menu[0])]
-    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
-    limits = {"line_docs": 4, "line_percent": 5, "left_chars": 200, "left_percent": 60}
-    found = {r.doc_id: (r.lost_chars, r.depleted) for r in judge(df, **limits).collect()}
-    want = depleted(rows, *limits.values())
-    assert found == want
-    assert any(d for _, d in found.values()) and not any(found[100 + i][1] for i in range(60))
+def check(spark, rows, limits):
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, doc string, lost string, `a.b` int" if len(rows[0]) > 3 else "doc_id long, source string, text string")
+    want = judged([r[:3] for r in rows], **limits)
     kept = keep_good(df, **limits)
     assert kept.columns == df.columns
-    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in judge(df, **limits).where("kept").collect()}
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted((i, t) for (i, x), (t, ok) in want.items() if ok for r in rows if r[0] == i and r[2] == x)
+    return want
+
+
+def test_line_frequency(spark):
+    footer = ["Home | Products | Contact", "All rights reserved by the owner", "Cookies are used on these pages", "Call 1234 for help"]
+    rows = []
+    for i in range(400):  # the footer of four lines is found whole, and what has little else goes
+        own = " ".join(f"w{i}x{k}" for k in range(60 if i % 2 else 45))
+        rows.append((i, "a", "\n".join([f"title {i}", own, *(x.upper() if i % 3 else x for x in footer)]), "x", "y", 1))
+    text = "\n".join(" ".join(f"c{k}v{j}" for j in range(9)) for k in range(12))
+    rows += [(1000 + i, "b", text, "x", "y", 1) for i in range(60)]  # copies count once
+    rows += [(2000, None, None, "x", "y", 1), (2001, None, "", "x", "y", 1), (2002, "a", footer[0], "x", "y", 1), (1, "a", rows[1][2], "x", "y", 1)]
+    want = check(spark, rows, {"line_docs": 4, "line_percent": 5, "left_percent": 30})
+    assert not any(footer[3].upper() in (t or "").upper() for (i, _), (t, _) in want.items() if i < 400)
+    good = {i for (i, _), (_, ok) in want.items() if ok}
+    assert good == {i for i in range(400) if i % 2} | set(range(1000, 1060))
+
+
+def test_limits(spark):
+    """At the first limit a line is boilerplate, at the second it isn't yet."""
+    page = lambda i, x: (i, "a", "\n".join([" ".join(f"w{i}x{k}" for k in range(55)), x]))
+    for shared in (3, 4, 5):
+        check(spark, [page(i, "the same line" if i < shared else f"line {i}") for i in range(40)], {"line_docs": 4, "line_percent": 10, "left_percent": 50})
+
+
+def test_method_rejects(spark):
+    """At production limits there are documents that only line frequency rejects."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.source, r.text) for r in docs.collect()]
+    want = judged(rows, 5, 10, 80)
+    got = {r.doc_id: (r.base_failed, r.kept) for r in op4_quality(docs).collect()}
+    assert got == {i: (base(t)[-1], ok) for (i, t), (_, ok) in want.items()}
+    assert any(not failed and not kept for failed, kept in got.values())
 
 
 def test_native(spark, tmp_path):
