@@ -11,11 +11,16 @@ sliding windows, and the tree over them alone gives the same windows.
 1. Windows of all texts are grouped by function and signature; signatures in one text
    only are of no use. Copies of a text count as that text: windows carry a hash of it.
 2. Interval join: windows with a signature are laid on each other at c; where what they
-   have in common has room for a passage, it is verified: the longest stretch around c
-   whose shingles have a Jaccard similarity of ``SIMILARITY`` or more, from codes of the
-   words around c. Every two different windows of a group are compared. Groups of over ``BUCKET`` windows
-   have windows with the same words around c linked to the first, and the others cut into blocks, of which each two
-   meet in a bounded group. Links that follow from others are left out after that.
+   have in common has room for a passage, it is verified: the words around c are aligned to
+   both sides, run by run, across changed, inserted and deleted words, and the longest stretch whose
+   sets of shingles have a Jaccard similarity of ``SIMILARITY`` or more is told, if it is a passage
+   in both texts. In groups of up to ``BUCKET`` different windows every two are compared. In
+   larger ones a window that nothing is linked to yet is compared with all others, and
+   then, so that no two classes stay apart, each window outside the largest class: every window
+   that is like any other is linked, and what all links would connect is connected. Windows are
+   set aside there by the run around c (``NEAR`` words at least) and the nearest runs beside it
+   (edits of up to ``EDIT`` words at once). Groups of over ``BLOCK`` times ``BUCKET`` are cut
+   into blocks, of which each two meet in a bounded group. Equal windows are linked to the first.
 3. Verified stretches are united within a text, and united ones that links connect are
    a class.
 
@@ -24,8 +29,9 @@ it cannot come about by chance.
 
 Defined results: a null text or one of fewer words than a passage has no row; rows without
 an id come last; rows with the same id but different texts are apart, yet each counts for
-that id; a passage that only one text repeats in itself isn't told; an empty table gives no
-rows; other columns are ignored.
+that id; a passage that only one text repeats in itself isn't told; a very long text is a batch of
+its own and taken whole; an empty table gives no rows; other columns are ignored. The id has to be a number or a
+text that is one.
 """
 
 from __future__ import annotations
@@ -52,10 +58,10 @@ BUCKET = 64
 SIDE = 64
 #: Larger groups meet in blocks, two of which have so many times BUCKET windows.
 BLOCK = 16
-#: Groups of so many different windows are compared one by one, others row by row.
-NARROW = 40
-#: Groups of so few different windows keep all links.
-FEW = 6
+#: Words that are skipped at once in any pair.
+SKIP = 20
+#: Rows of a table that is broadcast, at most.
+SENT = 1_000_000
 #: Words that are worked on at a time; a longer text is a batch of its own.
 BATCH_WORDS = 1 << 21
 #: Bytes of the filter of shared signatures that is broadcast, at most.
@@ -128,13 +134,14 @@ def compact_windows(words: np.ndarray, text: np.ndarray, *, shingle: int = SHING
     whole = np.flatnonzero(text[: len(words) - passage + 1] == text[passage - 1 :])  # windows within a text
     border = np.searchsorted(text, np.arange(int(text[-1]) + 2))
     at = np.arange(n, dtype=np.uint64)
+    places = np.uint64((1 << max(24, n.bit_length())) - 1)
     for f in range(hashes):
         v = mix64(h, 100 + f)
-        key = (v & ~np.uint64((1 << 24) - 1)) | at
+        key = (v & ~places) | at
         low = sliding_min(key, t)[whole]
         if not len(low):
             continue
-        c = np.unique((low & np.uint64((1 << 24) - 1)).astype(np.int64))
+        c = np.unique((low & places).astype(np.int64))
         own = text[c]
         first, last = tree_extents(key[c].tolist(), c.tolist(), own.tolist(), border[own].tolist(), (border[own + 1] - shingle).tolist())
         yield v[c], own, np.array(first), c, np.array(last)
@@ -186,113 +193,196 @@ def _windows(batches: Iterator[pa.RecordBatch], shared, options: dict) -> Iterat
             )
 
 
-def _gaps(x: int, length: int, most: int) -> list[int]:
-    """Where the first ``most`` + 1 differing bytes are; what lies beyond the length is the end."""
-    out = []
-    while len(out) <= most:
-        at = SIDE * 2 - (x.bit_length() + 7) // 8 if x else length
-        if at >= length:
-            out.append(length)
+def _run(a: bytes, x: int, b: bytes, y: int) -> int:
+    """Equal words from place x of the one and y of the other on."""
+    n = min(len(a) - x, len(b) - y)
+    diff = int.from_bytes(a[x : x + n], "little") ^ int.from_bytes(b[y : y + n], "little")
+    return ((diff & -diff).bit_length() - 1) // 8 if diff else n
+
+
+def align(a: bytes, b: bytes, size: int) -> list[tuple[int, int, int]]:
+    """Where the runs that two sides have in common end, and each run's length, from c outwards.
+
+    After a difference the next run is the one that skips the fewest words; it has ``size`` words at least, as a
+    shorter one holds no shingle.
+    """
+    x = _run(a, 0, b, 0)
+    out, y = [(x, x, x)], x
+    while x + size <= len(a) and y + size <= len(b):
+        best = None
+        for k in range(min(SKIP, len(b) - size - y) + 1):
+            if best and best[0] <= k:
+                break
+            at = a.find(b[y + k : y + k + size], x, x + SKIP + size)
+            if at >= 0 and (best is None or at - x + k < best[0]):
+                best = (at - x + k, at, y + k)
+        if best is None:
             break
-        out.append(at)
-        x &= (1 << (8 * (SIDE * 2 - at - 1))) - 1
+        n = _run(a, best[1], b, best[2])
+        x, y = best[1] + n, best[2] + n
+        out.append((x, y, n))
     return out
 
 
-class Around:
-    """The words around c as two numbers, so that one xor compares a side."""
+def common(one: tuple[bytes, bytes], two: tuple[bytes, bytes], size: int, passage: int, similarity: float) -> tuple[int, int, int, int] | None:
+    """Words before c and from c on of the longest similar stretch, in the one and in the other; None: no passage.
 
-    __slots__ = ("before", "after", "left", "right")
+    Both are (words before c, backwards; words from c on).
+    """
+    if min(len(one[0]), len(two[0])) + min(len(one[1]), len(two[1])) + SKIP < passage or one[1][:size] != two[1][:size]:
+        return None  # no room, or equal signatures of different shingles
+    left, right = align(one[0], two[0], size), align(one[1], two[1], size)
+    best, most = None, 2 * passage - 1
+    more = 1 - size
+    for i, (xa, xb, n) in enumerate(left):
+        more += n - (size - 1 if i else 0)
+        shared = more
+        for j, (ya, yb, m) in enumerate(right):
+            shared += m - (size - 1 if j else 0)
+            la, lb = xa + ya, xb + yb
+            if la >= passage and lb >= passage and la + lb > most and shared >= similarity * (la + lb - 2 * (size - 1) - shared) - 1e-9:
+                best, most = (xa, ya, xb, yb), la + lb
+    return best
+
+
+def shortest_run(size: int, passage: int, similarity: float) -> int:
+    """Words of the longest run that two similar passages have in common, at least.
+
+    e separate edits spoil least when words are put in: (s - (size - 1) e) / (s + size e) >= similarity for s
+    shingles, and the words that stay lie in e + 1 runs.
+    """
+    least = lambda e: max(passage, e * (size - 1 + similarity * size) / (1 - similarity) + size - 1)
+    return int(min((least(e) - e) / (e + 1) for e in range(1, 2 * SIDE))) if similarity < 1 else passage
+
+
+class _Kinds:
+    """The different windows of a group as matrices, to tell many unlike ones at once."""
+
+    def __init__(self, sides: list[tuple[bytes, bytes]], size: int, passage: int, similarity: float):
+        self.size, self.passage = size, passage
+        self.length = np.array([[len(x) for x in s] for s in sides]).T
+        self.words, self.grams = [], []
+        for k in range(2):
+            m = self._matrix([s[k] for s in sides], size + SKIP + 1)
+            g = np.zeros((len(sides), m.shape[1] - size + 1), np.uint64)
+            for j in range(size):
+                g = (g << np.uint64(8)) | m[:, j : m.shape[1] - size + 1 + j]
+            self.words.append(m)
+            self.grams.append(g)
+        # fingerprints: the least hash of the grams in each run of that length
+        run = shortest_run(size, passage, similarity)
+        gram = max(size, 2 * run // 3)
+        m = self._matrix([s[0][::-1] + s[1] for s in sides], 0).astype(np.uint64)
+        h = np.zeros((len(sides), m.shape[1] - gram + 1), np.uint64)
+        for j in range(gram):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + m[:, j : m.shape[1] - gram + 1 + j] + np.uint64(1)
+        h = mix64(h, 12)
+        low = h[:, : h.shape[1] - (run - gram)]
+        for j in range(1, run - gram + 1):
+            low = np.minimum(low, h[:, j : low.shape[1] + j])
+        row, at = np.nonzero(np.arange(low.shape[1]) <= (self.length.sum(0) - run)[:, None])
+        names, key = np.unique(low[row, at], return_inverse=True)
+        pair = np.unique(key.astype(np.int64) * len(sides) + row)
+        self.of_key, self.key = pair % len(sides), pair // len(sides)
+        self.first = np.searchsorted(self.key, np.arange(len(names) + 1))
+        order = np.argsort(self.of_key, kind="stable")
+        self.own, self.at = self.key[order], np.searchsorted(self.of_key[order], np.arange(len(sides) + 1))
+
+    @staticmethod
+    def _matrix(rows: list[bytes], more: int) -> np.ndarray:
+        m = np.zeros((len(rows), max(map(len, rows)) + more), np.uint8)
+        for i, x in enumerate(rows):
+            m[i, : len(x)] = np.frombuffer(x, np.uint8)
+        return m
+
+    def _ran(self, k: int, i: int, j: np.ndarray) -> np.ndarray:
+        unlike = self.words[k][j] != self.words[k][i]
+        unlike[:, -1] = True
+        return np.minimum(unlike.argmax(1), np.minimum(self.length[k][j], self.length[k][i]))
+
+    def _resumes(self, k: int, i: int, at: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether a run may begin again within SKIP words of where the first one ends."""
+        out = np.zeros(len(j), dtype=bool)
+        for lo in range(0, len(j), 256):
+            places = np.minimum(at[lo : lo + 256, None] + np.arange(SKIP + 1), self.grams[k].shape[1] - 1)
+            theirs, mine = self.grams[k][j[lo : lo + 256, None], places], self.grams[k][i][places]
+            out[lo : lo + 256] = (theirs[:, :, None] == mine[:, None, :]).any((1, 2))
+        return out
 
-    def __init__(self, before: int, codes: bytes):
-        self.before, self.after = before, len(codes) - before
-        self.left = int.from_bytes(codes[:before][::-1].ljust(SIDE * 2, b"\0"), "big")
-        self.right = int.from_bytes(codes[before:].ljust(SIDE * 2, b"\0"), "big")
+    def may_share(self, i: int) -> np.ndarray:
+        """Windows that window i may have a passage in common with."""
+        j = np.unique(np.concatenate([self.of_key[self.first[k] : self.first[k + 1]] for k in self.own[self.at[i] : self.at[i + 1]].tolist()]))
+        j = j[j != i]
+        p, q = self._ran(0, i, j), self._ran(1, i, j)
+        same = q >= self.size
+        exact = same & (p + q >= self.passage)
+        rest = same & ~exact
+        some = j[rest]
+        if not len(some):
+            return j[exact]
+        some = some[self._resumes(0, i, p[rest], some) | self._resumes(1, i, q[rest], some)]
+        return np.sort(np.concatenate([j[exact], some]))
 
-    def common(self, other: "Around", size: int, passage: int, similarity: float) -> tuple[int, int] | None:
-        """Words before c and from c on of the longest similar stretch; None: no passage."""
-        a, b = min(self.before, other.before), min(self.after, other.after)
-        if a + b < passage:
-            return None
-        # a differing word spoils ``size`` shingles at most: (s - e size) / (s + e size) >= similarity
-        worst = size * (1 + similarity) / (1 - similarity)
-        most = int((a + b) / worst)
-        left, right = _gaps(self.left ^ other.left, a, most), _gaps(self.right ^ other.right, b, most)
-        if right[0] < size and right[0] < b:
-            return None  # equal signatures of different shingles
-        best = None
-        for i, x in enumerate(left):
-            for j, y in enumerate(right):
-                if x + y >= passage and x + y - size + 1 >= (i + j) * worst and (best is None or x + y > sum(best)):
-                    best = (x, y)
-        return best
-
-
-def _first_gaps(x: np.ndarray, length: np.ndarray, n: int) -> list[np.ndarray]:
-    """``_gaps`` of many pairs: where the first n differing places are, -1 behind the end."""
-    x = np.concatenate([x, np.ones((len(x), 1), dtype=bool)], axis=1)
-    x |= np.arange(x.shape[1]) >= length[:, None]
-    out, row, over = [], np.arange(len(x)), np.zeros(len(x), dtype=bool)
-    for _ in range(n):
-        at = x.argmax(1)
-        out.append(np.where(over, -1, at))
-        over |= at >= length
-        x[row, at] = over
-    return out
 
+def _similar(sides: list[tuple[bytes, bytes]], apart, size: int, passage: int, similarity: float, bucket: int) -> list[tuple[int, ...]]:
+    """(i, j, words before c, from c on in i, the same in j) of different windows; ``apart``: in different texts."""
+    n, out = len(sides), []
+    if n <= bucket:
+        for j in range(n):
+            for i in range(j):
+                if apart(i, j) and (got := common(sides[i], sides[j], size, passage, similarity)):
+                    out.append((i, j, *got))
+        return out
+    kinds, label, led = _Kinds(sides, size, passage, similarity), np.arange(n), np.zeros(n, dtype=bool)
+    linked = np.zeros(n, dtype=bool)
+
+    def lead(i: int, others: np.ndarray) -> None:
+        led[i] = True
+        for j in others.tolist():
+            if apart(i, j) and (got := common(sides[i], sides[j], size, passage, similarity)):
+                out.append((i, j, *got))
+                linked[i] = linked[j] = True
+                if label[i] != label[j]:
+                    label[label == label[j]] = label[i]
 
-def _similar_pairs(own: list[Around], codes: list[tuple[int, bytes]], size: int, passage: int, similarity: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, words before c, words from c on): for each window the later ones that have a passage in common with it."""
-    if len(own) <= NARROW:
-        for i, x in enumerate(own):
-            got = [(j, *found) for j in range(i + 1, len(own)) if (found := x.common(own[j], size, passage, similarity))]
-            if got:
-                yield i, *np.array(got).T
-        return
-    before, after = np.array([x.before for x in own]), np.array([x.after for x in own])
-    left, right = np.zeros((len(own), before.max()), np.uint8), np.zeros((len(own), after.max()), np.uint8)
-    for k, (b, c) in enumerate(codes):
-        left[k, :b] = np.frombuffer(c[:b], np.uint8)[::-1]
-        right[k, : len(c) - b] = np.frombuffer(c[b:], np.uint8)
-    worst = size * (1 + similarity) / (1 - similarity)
-    n = int((before.max() + after.max()) / worst) + 1
-    for i in range(len(own) - 1):
-        a, b = np.minimum(before[i], before[i + 1 :]), np.minimum(after[i], after[i + 1 :])
-        some = np.flatnonzero((a + b >= passage) & (right[i + 1 :, :size] == right[i, :size]).all(1))
-        if not len(some):
-            continue
-        a, b, at = a[some], b[some], some + i + 1
-        lefts, rights = _first_gaps(left[at] != left[i], a, n), _first_gaps(right[at] != right[i], b, n)
-        best, x, y = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        for k, p in enumerate(lefts):
-            for m, q in enumerate(rights):
-                better = (p >= 0) & (q >= 0) & (p + q >= passage) & (p + q - size + 1 >= (k + m) * worst) & (p + q > best)
-                best, x, y = np.where(better, p + q, best), np.where(better, p, x), np.where(better, q, y)
-        got = best > 0
-        if got.any():
-            yield i, at[got], x[got], y[got]
-
-
-def _told(kept: set[tuple[int, int, int, int]], members: list[list[tuple[int, int]]], other: list[tuple[int, int] | None]) -> list[tuple[int, int, int, int, int]]:
-    """Links of kinds of windows as links between places of different texts."""
-    out = []
-    for i, j, x, y in kept:
-        u, v = members[i][0], members[j][0]
-        if u[0] == v[0]:
-            u, v = (other[i], v) if other[i] else (u, other[j])
-        # a kind that one text has in several places isn't linked in itself
-        pairs = {(u, v)} | ({(m, v) for m in members[i]} if not other[i] else set()) | ({(u, m) for m in members[j]} if not other[j] else set())
-        out += [(t, c - x, t2, c2 - x, x + y) for (t, c), (t2, c2) in pairs]
+    for i in range(n):
+        if not linked[i]:
+            lead(i, kinds.may_share(i))
+    # what is like a window of another class has one end outside the largest class
+    names, sizes = np.unique(label, return_counts=True)
+    for i in np.flatnonzero(linked & ~led & (label != names[sizes.argmax()])).tolist():
+        others = kinds.may_share(i)
+        lead(i, others[label[others] != label[i]])
     return out
 
 
-def group_links(rows: list[tuple[int, int, int, bytes]], size: int, passage: int, similarity: float) -> list[tuple[int, int, int, int, int]]:
-    """Links of windows (text, c, before, codes) of a signature: every two are compared, and what
-    follows from others is left out.
+def _thin(found: list[tuple[int, ...]], n: int) -> list[tuple[int, ...]]:
+    """Links that connect what all connect, and for each window those that reach furthest to either side.
 
-    All stretches of a window contain c, so they unite: the one that reaches furthest to the left, the one
-    that does to the right, and links that connect what all of them connect are enough.
+    All stretches of a window contain c, so these unite to the same.
     """
+    label, kept = list(range(n)), set()
+
+    def root(i: int) -> int:
+        while label[i] != i:
+            label[i] = label[label[i]]
+            i = label[i]
+        return i
+
+    best: dict[tuple[int, int], tuple[int, tuple[int, ...]]] = {}
+    for link in found:
+        i, j, *reach = link
+        if root(i) != root(j):
+            label[root(i)] = root(j)
+            kept.add(link)
+        for k, r in zip(((i, 0), (i, 1), (j, 0), (j, 1)), reach):
+            if r > best.get(k, (0,))[0]:
+                best[k] = (r, link)
+    return sorted(kept | {link for _, link in best.values()})
+
+
+def group_links(rows: list[tuple[int, int, int, bytes]], size: int, passage: int, similarity: float, bucket: int = BUCKET) -> list[tuple[int, int, int, int, int, int]]:
+    """Links (text, first word, words) twice of windows (text, c, before, codes) of a signature."""
     alike: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
     for text, c, before, codes in sorted(rows):
         if len(codes) >= passage:
@@ -303,73 +393,59 @@ def group_links(rows: list[tuple[int, int, int, bytes]], size: int, passage: int
         if two:
             for text, c in own[1:]:
                 t, k = own[0] if text != own[0][0] else two
-                out.append((t, k - before, text, c - before, len(codes)))
+                out.append((t, k - before, len(codes), text, c - before, len(codes)))
     if len(kinds) < 2:
         return out
-    around = [Around(before, codes) for before, codes in kinds]
-    kept: set[tuple[int, int, int, int]] = set()
-    if len(kinds) <= FEW:
-        for j, x in enumerate(around):
-            for i in range(j):
-                if (members[i][0][0] != members[j][0][0] or other[i] or other[j]) and (got := around[i].common(x, size, passage, similarity)):
-                    kept.add((i, j, *got))
-        return out + _told(kept, members, other)
-    label, first, several = np.arange(len(kinds)), np.array([own[0][0] for own in members]), np.array([m is not None for m in other])
-    furthest = np.zeros((2, len(kinds)), np.int64)  # to the left and right, and by which links
-    by = np.zeros((2, len(kinds), 4), np.int64)
-    for i, j, x, y in _similar_pairs(around, kinds, size, passage, similarity):
-        told = (first[j] != first[i]) | several[j] | several[i]  # else both are in one text only
-        j, x, y = j[told], x[told], y[told]
-        if not len(j):
-            continue
-        rows_ = np.stack([np.full(len(j), i), j, x, y], axis=1)
-        for side, reach in enumerate((x, y)):
-            k = int(reach.argmax())
-            if reach[k] > furthest[side, i]:
-                furthest[side, i], by[side, i] = reach[k], rows_[k]
-            more = reach > furthest[side, j]
-            furthest[side, j[more]], by[side, j[more]] = reach[more], rows_[more]
-        apart = np.flatnonzero(label[j] != label[i])
-        if len(apart):
-            joined, at = np.unique(label[j[apart]], return_index=True)
-            kept |= set(map(tuple, rows_[apart[at]].tolist()))
-            label[np.isin(label, joined)] = label[i]
-    kept |= set(map(tuple, by[furthest > 0].tolist()))
-    return out + _told(kept, members, other)
-
-
-def _compare(batches: Iterator[pa.RecordBatch], size: int, passage: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    apart = lambda i, j: members[i][0][0] != members[j][0][0] or other[i] or other[j]
+    found = _similar([(codes[:before][::-1], codes[before:]) for before, codes in kinds], apart, size, passage, similarity, bucket)
+    for i, j, xa, ya, xb, yb in _thin(found, len(kinds)):
+        u, v = members[i][0], members[j][0]
+        if u[0] == v[0]:
+            u, v = (other[i], v) if other[i] else (u, other[j])
+        # a kind that one text has in several places isn't linked in itself
+        pairs = {(u, v)} | ({(m, v) for m in members[i]} if not other[i] else set()) | ({(u, m) for m in members[j]} if not other[j] else set())
+        out += [(t, c - xa, xa + ya, t2, c2 - xb, xb + yb) for (t, c), (t2, c2) in pairs]
+    return out
+
+
+def _compare(batches: Iterator[pa.RecordBatch], size: int, passage: int, similarity: float, bucket: int) -> Iterator[pa.RecordBatch]:
     """Links within each group (a bounded list of windows)."""
     for batch in batches:
         out = []
         for group in batch.column(0):
-            out += group_links([(r["text"], r["c"], r["before"], r["codes"]) for r in group.as_py()], size, passage, similarity)
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], ["ta", "fa", "tb", "fb", "n"])
+            out += group_links([(r["text"], r["c"], r["before"], r["codes"]) for r in group.as_py()], size, passage, similarity, bucket)
+        kinds = (pa.int64(), pa.int32(), pa.int32()) * 2
+        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], ["ta", "fa", "na", "tb", "fb", "nb"])
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """A table of a few columns, to be broadcast if its rows are counted to be few: else a join deals both sides out."""
+    return F.broadcast(df) if df.count() <= SENT else df
 
 
 def _links(windows: DataFrame, *, shingle: int, passage: int, similarity: float, bucket: int) -> DataFrame:
-    """(ta, fa, tb, fb, n): verified stretches of n words in two texts, from windows (sig, text, c, before, codes)."""
+    """(ta, fa, na, tb, fb, nb): verified stretches of na and nb words in two texts, from windows (sig, text, c, before, codes)."""
     sizes = windows.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
-    hot = materialise(sizes.where(F.col("size") > bucket).select("sig"), "hot-signatures")
+    hot = _few(materialise(sizes.where(F.col("size") > bucket).select("sig"), "hot-signatures"))
     many = windows.join(hot, "sig", "left_semi").where(F.length("codes") >= passage)
     place = F.struct("text", "c")
     # the same words around c in several texts: linked to the first, or its text's to the last
     ends = materialise(many.groupBy("sig", "before", "codes").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low.text <> high.text"), "equal-windows")
     same = many.join(ends, ["sig", "before", "codes"])
     to = F.when(F.col("text") == F.col("low.text"), F.col("high")).otherwise(F.col("low"))
-    exact = same.withColumn("to", to).select(F.col("to.text").alias("ta"), (F.col("to.c") - F.col("before")).alias("fa"), F.col("text").alias("tb"), (F.col("c") - F.col("before")).alias("fb"), F.length("codes").alias("n"))
+    n = F.length("codes")
+    exact = same.withColumn("to", to).select(F.col("to.text").alias("ta"), (F.col("to.c") - F.col("before")).alias("fa"), n.alias("na"), F.col("text").alias("tb"), (F.col("c") - F.col("before")).alias("fb"), n.alias("nb"))
     two = ends.select("sig", "before", "codes", F.explode(F.array("low", "high")).alias("x")).select("sig", "x.text", "x.c", "before", "codes")
     firsts = materialise(many.join(ends, ["sig", "before", "codes"], "left_anti").select(two.columns).unionByName(two), "hot-windows")
     # blocks of different windows, of which each two meet in a bounded group
     group = bucket * BLOCK
-    sized = firsts.join(firsts.groupBy("sig").agg(F.count(F.lit(1)).alias("size")), "sig")
-    cut = sized.withColumn("blocks", F.when(F.col("size") > group, F.ceil(2 * F.col("size") / group)).otherwise(1).cast("int")).withColumn("own", F.pmod(F.xxhash64("before", "codes"), F.col("blocks")).cast("int"))
-    met = cut.withColumn("x", F.explode(F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, own) as a, greatest(x, own) as b))")))
+    sizes = _few(materialise(firsts.groupBy("sig").agg(F.count(F.lit(1)).alias("size")), "hot-sizes"))
+    cut = firsts.join(sizes, "sig").withColumn("blocks", F.when(F.col("size") > group, F.ceil(2 * F.col("size") / group)).otherwise(1).cast("int")).withColumn("own", F.pmod(F.xxhash64("before", "codes"), F.col("blocks")).cast("int"))
+    met = cut.withColumn("x", F.explode(F.expr("transform(filter(sequence(0, blocks - 1), x -> x <> own or blocks = 1), x -> struct(least(x, own) as a, greatest(x, own) as b))")))
     cold = windows.join(hot, "sig", "left_anti").withColumn("x", F.expr("named_struct('a', 0, 'b', 0)"))
     columns = ["sig", "x", "text", "c", "before", "codes"]
     groups = cold.select(columns).unionByName(met.select(columns)).groupBy("sig", "x").agg(F.collect_list(F.struct("text", "c", "before", "codes")).alias("rows")).where(F.size("rows") > 1)
-    found = groups.select("rows").mapInArrow(partial(_compare, size=shingle, passage=passage, similarity=similarity), "ta long, fa int, tb long, fb int, n int")
+    found = groups.select("rows").mapInArrow(partial(_compare, size=shingle, passage=passage, similarity=similarity, bucket=bucket), "ta long, fa int, na int, tb long, fb int, nb int")
     return found.unionByName(exact).where("ta <> tb").distinct()
 
 
@@ -395,7 +471,7 @@ def repeated_passages(docs: DataFrame, *, shingle: int = SHINGLE, passage: int =
     # copies: the whole of a text that is long enough
     n_words = F.size(F.filter(F.split("raw", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     copies = own.groupBy("text").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("raw").alias("raw")).where("low < high").select("text", F.lit(0).alias("f"), n_words.alias("l")).where(F.col("l") >= passage)
-    ends = links.select(F.col("ta").alias("text"), F.col("fa").alias("f"), (F.col("fa") + F.col("n")).alias("l")).unionByName(links.select(F.col("tb").alias("text"), F.col("fb").alias("f"), (F.col("fb") + F.col("n")).alias("l")))
+    ends = links.select(F.col("ta").alias("text"), F.col("fa").alias("f"), (F.col("fa") + F.col("na")).alias("l")).unionByName(links.select(F.col("tb").alias("text"), F.col("fb").alias("f"), (F.col("fb") + F.col("nb")).alias("l")))
     # united stretches: a text's own rows only, at most so many as it has stretches
     in_text = Window.partitionBy("text").orderBy("f", "l")
     reach = F.max("l").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
@@ -403,7 +479,7 @@ def repeated_passages(docs: DataFrame, *, shingle: int = SHINGLE, passage: int =
     numbered = marked.withColumn("span", F.sum("new").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
     numbered = materialise(numbered.select("text", "f", "l", F.xxhash64("text", "span").alias("node")), "stretches")
     side = lambda t, f, node: numbered.select(F.col("text").alias(t), F.col("f").alias(f), F.col("l").alias(f"l{t}"), F.col("node").alias(node))
-    edges = links.withColumns({"lta": F.col("fa") + F.col("n"), "ltb": F.col("fb") + F.col("n")}).join(side("ta", "fa", "a"), ["ta", "fa", "lta"]).join(side("tb", "fb", "b"), ["tb", "fb", "ltb"]).select("a", "b")
+    edges = links.withColumns({"lta": F.col("fa") + F.col("na"), "ltb": F.col("fb") + F.col("nb")}).join(side("ta", "fa", "a"), ["ta", "fa", "lta"]).join(side("tb", "fb", "b"), ["tb", "fb", "ltb"]).select("a", "b")
     reached = components(edges, "passage-classes")
     spans = numbered.groupBy("node").agg(F.min("text").alias("text"), F.min("f").alias("first"), F.max("l").alias("last"))
     classed = spans.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
