@@ -15,11 +15,9 @@ sliding windows, and the tree over them alone gives the same windows.
    both sides, run by run, across changed, inserted and deleted words, and the longest stretch whose
    sets of shingles have a Jaccard similarity of ``SIMILARITY`` or more is told, if it is a passage
    in both texts. In groups of up to ``BUCKET`` different windows every two are compared. In
-   larger ones a window that nothing is linked to yet is compared with all others, and
-   then, so that no two classes stay apart, each window outside the largest class: every window
-   that is like any other is linked, and what all links would connect is connected. Windows are
-   set aside there by the run around c (``NEAR`` words at least) and the nearest runs beside it
-   (edits of up to ``EDIT`` words at once). Groups of over ``BLOCK`` times ``BUCKET`` are cut
+   larger ones windows that verified links connect already aren't compared again, and two others are only if
+   they share as many shingles as similar passages do at least: every window that is like any other is
+   linked, and what all links would connect is connected. Groups of over ``BLOCK`` times ``BUCKET`` are cut
    into blocks, of which each two meet in a bounded group. Equal windows are linked to the first.
 3. Verified stretches are united within a text, and united ones that links connect are
    a class.
@@ -36,6 +34,7 @@ text that is one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -245,83 +244,32 @@ def common(one: tuple[bytes, bytes], two: tuple[bytes, bytes], size: int, passag
     return best
 
 
-def shortest_run(size: int, passage: int, similarity: float) -> int:
-    """Words of the longest run that two similar passages have in common, at least.
-
-    e separate edits spoil least when words are put in: (s - (size - 1) e) / (s + size e) >= similarity for s
-    shingles, and the words that stay lie in e + 1 runs.
-    """
-    least = lambda e: max(passage, e * (size - 1 + similarity * size) / (1 - similarity) + size - 1)
-    return int(min((least(e) - e) / (e + 1) for e in range(1, 2 * SIDE))) if similarity < 1 else passage
-
-
 class _Kinds:
-    """The different windows of a group as matrices, to tell many unlike ones at once."""
-
-    def __init__(self, sides: list[tuple[bytes, bytes]], size: int, passage: int, similarity: float):
-        self.size, self.passage = size, passage
-        self.length = np.array([[len(x) for x in s] for s in sides]).T
-        self.words, self.grams = [], []
-        for k in range(2):
-            m = self._matrix([s[k] for s in sides], size + SKIP + 1)
-            g = np.zeros((len(sides), m.shape[1] - size + 1), np.uint64)
-            for j in range(size):
-                g = (g << np.uint64(8)) | m[:, j : m.shape[1] - size + 1 + j]
-            self.words.append(m)
-            self.grams.append(g)
-        # fingerprints: the least hash of the grams in each run of that length
-        run = shortest_run(size, passage, similarity)
-        gram = max(size, 2 * run // 3)
-        m = self._matrix([s[0][::-1] + s[1] for s in sides], 0).astype(np.uint64)
-        h = np.zeros((len(sides), m.shape[1] - gram + 1), np.uint64)
-        for j in range(gram):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + m[:, j : m.shape[1] - gram + 1 + j] + np.uint64(1)
-        h = mix64(h, 12)
-        low = h[:, : h.shape[1] - (run - gram)]
-        for j in range(1, run - gram + 1):
-            low = np.minimum(low, h[:, j : low.shape[1] + j])
-        row, at = np.nonzero(np.arange(low.shape[1]) <= (self.length.sum(0) - run)[:, None])
-        names, key = np.unique(low[row, at], return_inverse=True)
-        pair = np.unique(key.astype(np.int64) * len(sides) + row)
-        self.of_key, self.key = pair % len(sides), pair // len(sides)
-        self.first = np.searchsorted(self.key, np.arange(len(names) + 1))
-        order = np.argsort(self.of_key, kind="stable")
-        self.own, self.at = self.key[order], np.searchsorted(self.of_key[order], np.arange(len(sides) + 1))
-
-    @staticmethod
-    def _matrix(rows: list[bytes], more: int) -> np.ndarray:
-        m = np.zeros((len(rows), max(map(len, rows)) + more), np.uint8)
-        for i, x in enumerate(rows):
-            m[i, : len(x)] = np.frombuffer(x, np.uint8)
-        return m
-
-    def _ran(self, k: int, i: int, j: np.ndarray) -> np.ndarray:
-        unlike = self.words[k][j] != self.words[k][i]
-        unlike[:, -1] = True
-        return np.minimum(unlike.argmax(1), np.minimum(self.length[k][j], self.length[k][i]))
-
-    def _resumes(self, k: int, i: int, at: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether a run may begin again within SKIP words of where the first one ends."""
-        out = np.zeros(len(j), dtype=bool)
-        for lo in range(0, len(j), 256):
-            places = np.minimum(at[lo : lo + 256, None] + np.arange(SKIP + 1), self.grams[k].shape[1] - 1)
-            theirs, mine = self.grams[k][j[lo : lo + 256, None], places], self.grams[k][i][places]
-            out[lo : lo + 256] = (theirs[:, :, None] == mine[:, None, :]).any((1, 2))
-        return out
-
-    def may_share(self, i: int) -> np.ndarray:
-        """Windows that window i may have a passage in common with."""
-        j = np.unique(np.concatenate([self.of_key[self.first[k] : self.first[k + 1]] for k in self.own[self.at[i] : self.at[i + 1]].tolist()]))
-        j = j[j != i]
-        p, q = self._ran(0, i, j), self._ran(1, i, j)
-        same = q >= self.size
-        exact = same & (p + q >= self.passage)
-        rest = same & ~exact
-        some = j[rest]
-        if not len(some):
-            return j[exact]
-        some = some[self._resumes(0, i, p[rest], some) | self._resumes(1, i, q[rest], some)]
-        return np.sort(np.concatenate([j[exact], some]))
+    """The different windows of a group, with an index of their shingles (the r-th of a kind in a window apart)."""
+
+    def __init__(self, codes: list[bytes], size: int, least: int):
+        self.n, self.least = len(codes), least
+        length = np.array([len(x) - size + 1 for x in codes])
+        words = np.frombuffer(b"".join(codes), np.uint8).astype(np.uint64)
+        gram = np.zeros(len(words) - size + 1, np.uint64)
+        for j in range(size):
+            gram = gram << np.uint64(8) | words[j : len(gram) + j]
+        at = np.repeat(np.cumsum([0, *map(len, codes)])[:-1] - np.cumsum([0, *length])[:-1], length) + np.arange(length.sum())
+        row, gram = np.repeat(np.arange(self.n), length), gram[at]
+        order = np.lexsort((gram, row))
+        row, gram = row[order], gram[order]
+        new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (row[1:] != row[:-1])])
+        rank = np.arange(len(row)) - np.maximum.accumulate(np.where(new, np.arange(len(row)), 0))
+        key = np.unique(gram << np.uint64(8) | rank.astype(np.uint64), return_inverse=True)[1]
+        self.own, self.at = key, np.searchsorted(row, np.arange(self.n + 1))
+        order = np.argsort(key, kind="stable")
+        self.of_key, self.first = row[order], np.searchsorted(key[order], np.arange(int(key.max()) + 2)).tolist()
+
+    def near(self, i: int) -> np.ndarray:
+        """Later windows that share ``least`` shingles or more with window i, most first."""
+        count = np.bincount(np.concatenate([self.of_key[self.first[k] : self.first[k + 1]] for k in self.own[self.at[i] : self.at[i + 1]].tolist()]), minlength=self.n)
+        j = np.flatnonzero(count[i + 1 :] >= self.least) + i + 1
+        return j[np.argsort(-count[j], kind="stable")]
 
 
 def _similar(sides: list[tuple[bytes, bytes]], apart, size: int, passage: int, similarity: float, bucket: int) -> list[tuple[int, ...]]:
@@ -333,26 +281,18 @@ def _similar(sides: list[tuple[bytes, bytes]], apart, size: int, passage: int, s
                 if apart(i, j) and (got := common(sides[i], sides[j], size, passage, similarity)):
                     out.append((i, j, *got))
         return out
-    kinds, label, led = _Kinds(sides, size, passage, similarity), np.arange(n), np.zeros(n, dtype=bool)
-    linked = np.zeros(n, dtype=bool)
-
-    def lead(i: int, others: np.ndarray) -> None:
-        led[i] = True
-        for j in others.tolist():
+    # of passages with s shingles each, at least 2 s similarity / (1 + similarity) are shared
+    kinds = _Kinds([a[::-1] + b for a, b in sides], size, math.ceil(2 * (passage - size + 1) * similarity / (1 + similarity) - 1e-9))
+    label = np.arange(n)
+    for i in range(n):
+        others = kinds.near(i)
+        others = others[label[others] != label[i]]
+        while len(others):
+            j, others = int(others[0]), others[1:]
             if apart(i, j) and (got := common(sides[i], sides[j], size, passage, similarity)):
                 out.append((i, j, *got))
-                linked[i] = linked[j] = True
-                if label[i] != label[j]:
-                    label[label == label[j]] = label[i]
-
-    for i in range(n):
-        if not linked[i]:
-            lead(i, kinds.may_share(i))
-    # what is like a window of another class has one end outside the largest class
-    names, sizes = np.unique(label, return_counts=True)
-    for i in np.flatnonzero(linked & ~led & (label != names[sizes.argmax()])).tolist():
-        others = kinds.may_share(i)
-        lead(i, others[label[others] != label[i]])
+                label[label == label[j]] = label[i]
+                others = others[label[others] != label[i]]
     return out
 
 
