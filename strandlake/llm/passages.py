@@ -1,7 +1,7 @@
 """Substring dedup with compact windows: near-duplicate passages of many words.
 
-A text is a sequence of word shingles; each of ``HASHES`` functions gives every shingle a
-value. A passage's signature under a function is its least value. The Cartesian tree over a
+A text is a sequence of word shingles, the first, second, ... of a kind in the text told apart; each
+of ``HASHES`` functions gives every one a value. A passage's signature under a function is its least value. The Cartesian tree over a
 text's values groups all its passages by the place of their minimum: the compact
 window (first, c, last) holds exactly the passages between first and last that contain
 c, the place of the least value between them. Only minima whose window has room for a passage of
@@ -20,7 +20,9 @@ sliding windows, and the tree over them alone gives the same windows.
    linked, and what all links would connect is connected. Groups of over ``BLOCK`` times ``BUCKET`` are cut
    into blocks, of which each two meet in a bounded group. Equal windows are linked to the first.
 3. Verified stretches are united within a text, and united ones that links connect are
-   a class.
+   a class. Where a text repeats what it has in common with others, the first occurrence meets
+   theirs, the second the second; the further ones of a text are aligned to its first one, and are
+   of its class if that is told.
 
 Word codes have eight bits, so a stretch can reach a word too far at either end once in 256 times;
 it cannot come about by chance.
@@ -123,6 +125,17 @@ def tree_extents(keys: list[int], places: list[int], texts: list[int], first: li
     return low, high
 
 
+def ranks(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each shingle how many of its kind come before it in its text, and places ordered by kind, then place."""
+    key = h + mix64(text.astype(np.uint64), 13)
+    order = np.argsort(key, kind="stable")
+    new = np.concatenate([[True], np.diff(key[order]) != 0])
+    at = np.arange(len(h))
+    rank = np.empty(len(h), np.int64)
+    rank[order] = at - np.maximum.accumulate(np.where(new, at, 0))
+    return rank, order
+
+
 def compact_windows(words: np.ndarray, text: np.ndarray, *, shingle: int = SHINGLE, passage: int = PASSAGE, hashes: int = HASHES) -> Iterator[tuple[np.ndarray, ...]]:
     """For each function: signature, text, first, c and last (shingles, counted over all texts)."""
     t = passage - shingle + 1
@@ -130,6 +143,7 @@ def compact_windows(words: np.ndarray, text: np.ndarray, *, shingle: int = SHING
     if n < t:
         return
     h = shingle_hashes(words, shingle)
+    h = h + ranks(h, text[:n])[0].astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
     whole = np.flatnonzero(text[: len(words) - passage + 1] == text[passage - 1 :])  # windows within a text
     border = np.searchsorted(text, np.arange(int(text[-1]) + 2))
     at = np.arange(n, dtype=np.uint64)
@@ -172,24 +186,54 @@ def _signatures(batches: Iterator[pa.RecordBatch], options: dict) -> Iterator[pa
             yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(keys[own])], ["sig", "text"])
 
 
-def _windows(batches: Iterator[pa.RecordBatch], shared, options: dict) -> Iterator[pa.RecordBatch]:
-    """Windows with a signature that may be shared, with the codes of the words around c."""
+def _again(h: np.ndarray, text: np.ndarray, codes: bytes, border: np.ndarray, size: int, passage: int, similarity: float):
+    """A function from a place c and the words around it to its text's further occurrences that are like it there:
+    (first word, words) of the first and of the other, all in one list."""
+    rank, order = ranks(h, text[: len(h)])
+    place = np.empty(len(h), np.int64)
+    place[order] = np.arange(len(h))
+
+    def found(c: int, lo: int, hi: int) -> list[int]:
+        out: list[int] = []
+        if rank[c]:
+            return out
+        one, start, end = (codes[lo:c][::-1], codes[c:hi]), int(border[text[c]]), int(border[text[c] + 1])
+        for k in range(int(place[c]) + 1, len(order)):
+            d = int(order[k])
+            if not rank[d]:
+                break
+            if d + size <= end and (got := common(one, (codes[max(start, d - SIDE) : d][::-1], codes[d : min(end, d + SIDE + size)]), size, passage, similarity)):
+                out += [c - got[0] - start, got[0] + got[1], d - got[2] - start, got[2] + got[3]]
+        return out
+
+    return found
+
+
+def _windows(batches: Iterator[pa.RecordBatch], shared, options: dict, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Windows with a signature that may be shared, with the codes of the words around c and the text's further
+    occurrences of what is there."""
     known = cuckoo.CuckooFilter.loads(shared.value) if shared is not None else None
-    size = options["shingle"]
+    size, passage = options["shingle"], options["passage"]
     for keys, raw in _texts(batches):
         words, text = word_hashes(raw)
+        if len(words) < passage:
+            continue
         codes = (words >> np.uint64(56)).astype(np.uint8).tobytes()
         border = np.searchsorted(text, np.arange(len(raw) + 1))
-        for sig, own, first, c, last in compact_windows(words, text, **options) if len(words) else ():
+        again = _again(shingle_hashes(words, size), text, codes, border, size, passage, similarity)
+        for sig, own, first, c, last in compact_windows(words, text, **options):
             if known is not None:
                 hit = known.probe(sig)
                 sig, own, first, c, last = sig[hit], own[hit], first[hit], c[hit], last[hit]
             lo, hi = np.maximum(first, c - SIDE), np.minimum(last, c + SIDE) + size
-            around = [codes[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
+            ends = list(zip(c.tolist(), lo.tolist(), hi.tolist()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sig.view(np.int64)), pa.array(keys[own]), pa.array((c - border[own]).astype(np.int32)), pa.array((c - lo).astype(np.int32)), pa.array(around, pa.binary())],
-                ["sig", "text", "c", "before", "codes"],
-            )
+                [
+                    pa.array(sig.view(np.int64)), pa.array(keys[own]), pa.array((c - border[own]).astype(np.int32)), pa.array((c - lo).astype(np.int32)),
+                    pa.array([codes[a:b] for _, a, b in ends], pa.binary()), pa.array([again(*x) for x in ends], pa.list_(pa.int32())),
+                ],
+                ["sig", "text", "c", "before", "codes", "again"],
+            )
 
 
 def _run(a: bytes, x: int, b: bytes, y: int) -> int:
@@ -403,7 +447,7 @@ def repeated_passages(docs: DataFrame, *, shingle: int = SHINGLE, passage: int =
     if n * 3 <= filter_bytes:
         held = shared.toArrow().column("sig").to_numpy().view(np.uint64)
         sent = spark.sparkContext.broadcast(cuckoo.build(held).dumps())
-    drawn = texts.mapInArrow(partial(_windows, shared=sent, options=options), "sig long, text long, c int, before int, codes binary")
+    drawn = texts.mapInArrow(partial(_windows, shared=sent, options=options, similarity=similarity), "sig long, text long, c int, before int, codes binary, again array<int>")
     if sent is None:
         drawn = drawn.join(shared, "sig", "left_semi")
     windows = materialise(drawn.dropDuplicates(["sig", "text", "c"]), "windows")
@@ -422,8 +466,17 @@ def repeated_passages(docs: DataFrame, *, shingle: int = SHINGLE, passage: int =
     edges = links.withColumns({"lta": F.col("fa") + F.col("na"), "ltb": F.col("fb") + F.col("nb")}).join(side("ta", "fa", "a"), ["ta", "fa", "lta"]).join(side("tb", "fb", "b"), ["tb", "fb", "ltb"]).select("a", "b")
     reached = components(edges, "passage-classes")
     spans = numbered.groupBy("node").agg(F.min("text").alias("text"), F.min("f").alias("first"), F.max("l").alias("last"))
-    classed = spans.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = own.select("doc", "text").join(classed, "text")
+    classed = materialise(spans.join(reached, "node", "left").select("text", "first", "last", F.coalesce("component", "node").alias("component")), "passages")
+    # further occurrences in the same text of what is told there
+    quads = F.expr("transform(sequence(0, size(again) div 4 - 1), k -> struct(again[4 * k] as f0, again[4 * k + 1] as n0, again[4 * k + 2] as first, again[4 * k + 3] as n))")
+    more = windows.where(F.size("again") > 0).select("text", F.explode(quads).alias("x")).select("text", "x.*").distinct()
+    held = classed.select("text", F.col("first").alias("a"), F.col("last").alias("b"), "component")
+    further = more.join(held, "text").where(F.least("b", F.col("f0") + F.col("n0")) - F.greatest("a", "f0") >= passage).select("text", "first", (F.col("first") + F.col("n")).alias("last"), "component")
+    in_all = Window.partitionBy("text").orderBy("first", "last")
+    before = F.max("last").over(in_all.rowsBetween(Window.unboundedPreceding, -1))
+    parts = classed.unionByName(further.distinct()).withColumn("new", F.when(before >= F.col("first"), 0).otherwise(1)).withColumn("span", F.sum("new").over(in_all.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = parts.groupBy("text", "span").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("component").alias("component")).drop("span")
+    placed = own.select("doc", "text").join(whole, "text")
     low = placed.groupBy("component").agg(F.min(F.when(F.col("doc") != F.lit(NULL_ID), F.col("doc"))).alias("class_id"))
     return placed.join(low, "component").select("doc", "first", "last", "class_id")
 

@@ -203,6 +203,21 @@ def test_own_word_each(spark, n):
     assert {r.doc for r in found} == set(range(n)) and {r.class_id for r in found} == {0}
 
 
+def test_further_occurrences(spark):
+    """A text that has a passage several times, once with a word changed, tells every occurrence."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(5000)]
+    prose = lambda k: rng.choices(vocabulary, k=k)
+    passage, alone = prose(90), prose(90)
+    changed = passage[:45] + ["changed"] + passage[46:]
+    rows = [(0, prose(30) + passage + prose(70) + passage + prose(60) + changed), (1, prose(50) + passage + prose(20)), (2, alone + prose(60) + alone)]
+    found = passages.repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()
+    got = {i: sorted((r.first, r.last) for r in found if r.doc == i) for i in range(3)}
+    close = lambda a, b: len(a) == len(b) and all(abs(x - y) <= 2 for p, q in zip(a, b) for x, y in zip(p, q))
+    assert close(got[0], [(30, 120), (190, 280), (340, 430)]) and close(got[1], [(50, 140)]) and not got[2]
+    assert {r.class_id for r in found} == {0}
+
+
 def variants(n, rng):
     """A passage in a base and in n texts, each with another one of its words 10 to 49 changed, in different surroundings."""
     vocabulary = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(5000)]
