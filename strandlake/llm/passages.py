@@ -17,8 +17,9 @@ sliding windows, and the tree over them alone gives the same windows.
    in both texts. In groups of up to ``BUCKET`` different windows every two are compared. In
    larger ones windows that verified links connect already aren't compared again, and two others are only if
    they share as many shingles as similar passages do at least: every window that is like any other is
-   linked, and what all links would connect is connected. Groups of over ``BLOCK`` times ``BUCKET`` are cut
-   into blocks, of which each two meet in a bounded group. Equal windows are linked to the first.
+   linked, and what all links would connect is connected. Groups of over ``BLOCK`` times ``BUCKET`` windows are
+   divided by fingerprints of runs so long as similar passages have one in common at least, by the
+   pigeonhole principle; what is as large still is cut into blocks, of which each two meet. Equal windows are linked to the first.
 3. Verified stretches are united within a text, and united ones that links connect are
    a class. Where a text repeats what it has in common with others, the first occurrence meets
    theirs, the second the second; the further ones of a text are aligned to its first one, and are
@@ -57,8 +58,8 @@ HASHES = 3
 BUCKET = 64
 #: Words on each side of c that are verified.
 SIDE = 64
-#: Larger groups meet in blocks, two of which have so many times BUCKET windows.
-BLOCK = 16
+#: Groups of so many times BUCKET windows are compared in one task; larger ones are divided.
+BLOCK = 128
 #: Words that are skipped at once in any pair.
 SKIP = 20
 #: Rows of a table that is broadcast, at most.
@@ -288,6 +289,38 @@ def common(one: tuple[bytes, bytes], two: tuple[bytes, bytes], size: int, passag
     return best
 
 
+def shortest_run(size: int, passage: int, similarity: float) -> int:
+    """Words of the longest run that two similar passages have in common, at least.
+
+    e separate edits spoil least when words are put in: (s - (size - 1) e) / (s + size e) >= similarity for s
+    shingles, and the words that stay lie in e + 1 runs.
+    """
+    least = lambda e: max(passage, e * (size - 1 + similarity * size) / (1 - similarity) + size - 1)
+    return int(min((least(e) - e) / (e + 1) for e in range(1, 2 * SIDE))) if similarity < 1 else passage
+
+
+def fingerprints(codes: bytes, run: int, gram: int) -> np.ndarray:
+    """The least hash of the grams in each run of that length: windows with such a run in common share one."""
+    words = np.frombuffer(codes, np.uint8).astype(np.uint64)
+    n = len(words) - gram + 1
+    if len(words) < run:
+        return np.zeros(0, np.int64)
+    h = np.zeros(n, np.uint64)
+    for j in range(gram):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + words[j : n + j] + np.uint64(1)
+    return np.unique(sliding_min(mix64(h, 12), run - gram + 1)).view(np.int64)
+
+
+def _divided(batches: Iterator[pa.RecordBatch], run: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Windows, once for each fingerprint."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 1000):
+            part = batch.slice(lo, 1000)
+            keys = [fingerprints(x, run, gram) for x in part.column(4).to_pylist()]
+            rows = part.take(pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys])))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))], [*part.schema.names, "part"])
+
+
 class _Kinds:
     """The different windows of a group, with an index of their shingles (the r-th of a kind in a window apart)."""
 
@@ -407,7 +440,7 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SENT else df
 
 
-def _links(windows: DataFrame, *, shingle: int, passage: int, similarity: float, bucket: int) -> DataFrame:
+def _links(windows: DataFrame, *, shingle: int, passage: int, similarity: float, bucket: int, block: int) -> DataFrame:
     """(ta, fa, na, tb, fb, nb): verified stretches of na and nb words in two texts, from windows (sig, text, c, before, codes)."""
     sizes = windows.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
     hot = _few(materialise(sizes.where(F.col("size") > bucket).select("sig"), "hot-signatures"))
@@ -421,19 +454,26 @@ def _links(windows: DataFrame, *, shingle: int, passage: int, similarity: float,
     exact = same.withColumn("to", to).select(F.col("to.text").alias("ta"), (F.col("to.c") - F.col("before")).alias("fa"), n.alias("na"), F.col("text").alias("tb"), (F.col("c") - F.col("before")).alias("fb"), n.alias("nb"))
     two = ends.select("sig", "before", "codes", F.explode(F.array("low", "high")).alias("x")).select("sig", "x.text", "x.c", "before", "codes")
     firsts = materialise(many.join(ends, ["sig", "before", "codes"], "left_anti").select(two.columns).unionByName(two), "hot-windows")
-    # blocks of different windows, of which each two meet in a bounded group
-    group = bucket * BLOCK
-    sizes = _few(materialise(firsts.groupBy("sig").agg(F.count(F.lit(1)).alias("size")), "hot-sizes"))
-    cut = firsts.join(sizes, "sig").withColumn("blocks", F.when(F.col("size") > group, F.ceil(2 * F.col("size") / group)).otherwise(1).cast("int")).withColumn("own", F.pmod(F.xxhash64("before", "codes"), F.col("blocks")).cast("int"))
-    met = cut.withColumn("x", F.explode(F.expr("transform(filter(sequence(0, blocks - 1), x -> x <> own or blocks = 1), x -> struct(least(x, own) as a, greatest(x, own) as b))")))
-    cold = windows.join(hot, "sig", "left_anti").withColumn("x", F.expr("named_struct('a', 0, 'b', 0)"))
-    columns = ["sig", "x", "text", "c", "before", "codes"]
-    groups = cold.select(columns).unionByName(met.select(columns)).groupBy("sig", "x").agg(F.collect_list(F.struct("text", "c", "before", "codes")).alias("rows")).where(F.size("rows") > 1)
+    columns, group = ["sig", "part", "x", "text", "c", "before", "codes"], bucket * block
+    whole = lambda df: df.withColumns({"part": F.lit(0).cast("long"), "x": F.expr("named_struct('a', 0, 'b', 0)")}).select(columns)
+    large = materialise(firsts.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > group).select("sig"), "large-signatures")
+    cold = windows.join(hot, "sig", "left_anti")
+    parts = whole(cold).unionByName(whole(firsts.join(_few(large), "sig", "left_anti")))
+    if large.count():
+        # divided by what similar passages share, and what is still large into blocks of which each two meet
+        run = shortest_run(shingle, passage, similarity)
+        over = firsts.join(_few(large), "sig", "left_semi").select("sig", "text", "c", "before", "codes")
+        divided = materialise(over.mapInArrow(partial(_divided, run=run, gram=max(1, 2 * run // 3)), "sig long, text long, c int, before int, codes binary, part long"), "divided-windows")
+        sized = divided.groupBy("sig", "part").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        cut = divided.join(sized, ["sig", "part"]).withColumn("blocks", F.when(F.col("size") > group, F.ceil(2 * F.col("size") / group)).otherwise(1).cast("int")).withColumn("own", F.pmod(F.xxhash64("before", "codes"), F.col("blocks")).cast("int"))
+        met = cut.withColumn("x", F.explode(F.expr("transform(filter(sequence(0, blocks - 1), x -> x <> own or blocks = 1), x -> struct(least(x, own) as a, greatest(x, own) as b))")))
+        parts = parts.unionByName(met.select(columns))
+    groups = parts.groupBy("sig", "part", "x").agg(F.collect_list(F.struct("text", "c", "before", "codes")).alias("rows")).where(F.size("rows") > 1)
     found = groups.select("rows").mapInArrow(partial(_compare, size=shingle, passage=passage, similarity=similarity, bucket=bucket), "ta long, fa int, na int, tb long, fb int, nb int")
     return found.unionByName(exact).where("ta <> tb").distinct()
 
 
-def repeated_passages(docs: DataFrame, *, shingle: int = SHINGLE, passage: int = PASSAGE, similarity: float = SIMILARITY, hashes: int = HASHES, bucket: int = BUCKET, filter_bytes: int = FILTER_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_passages(docs: DataFrame, *, shingle: int = SHINGLE, passage: int = PASSAGE, similarity: float = SIMILARITY, hashes: int = HASHES, bucket: int = BUCKET, block: int = BLOCK, filter_bytes: int = FILTER_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, first, last, class_id): passages in words (last exclusive) that other documents
     repeat; class_id is the smallest id of a document with a passage of the class, null if none has an id."""
     spark = docs.sparkSession
@@ -451,7 +491,7 @@ def repeated_passages(docs: DataFrame, *, shingle: int = SHINGLE, passage: int =
     if sent is None:
         drawn = drawn.join(shared, "sig", "left_semi")
     windows = materialise(drawn.dropDuplicates(["sig", "text", "c"]), "windows")
-    links = materialise(_links(windows, shingle=shingle, passage=passage, similarity=similarity, bucket=bucket), "passage-links")
+    links = materialise(_links(windows, shingle=shingle, passage=passage, similarity=similarity, bucket=bucket, block=block), "passage-links")
     # copies: the whole of a text that is long enough
     n_words = F.size(F.filter(F.split("raw", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     copies = own.groupBy("text").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("raw").alias("raw")).where("low < high").select("text", F.lit(0).alias("f"), n_words.alias("l")).where(F.col("l") >= passage)

@@ -167,8 +167,8 @@ def test_common():
     assert told_ == n > 250
 
 
-@pytest.mark.parametrize("bucket", [64, 2])
-def test_recall(spark, bucket):
+@pytest.mark.parametrize("bucket, block", [(64, 128), (2, 128), (1, 1)])
+def test_recall(spark, bucket, block):
     """Pairs of planted passages with a similarity of 0.8 or more are found, however words differ."""
     rng = random.Random(5)
     vocabulary = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(20_000)]
@@ -183,7 +183,7 @@ def test_recall(spark, bucket):
                 pairs.setdefault(kind, []).append((len(rows), len(rows) + 1))
                 rows += [(len(rows) + k, " ".join(prose(rng.randint(20, 150)) + x + prose(rng.randint(20, 150)))) for k, x in enumerate((own, other))]
     found = {}
-    for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), bucket=bucket).collect():
+    for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), bucket=bucket, block=block).collect():
         found.setdefault(r.class_id, set()).add(r.doc)
     joined = {frozenset(x) for x in found.values()}
     for kind, own in pairs.items():
@@ -191,15 +191,15 @@ def test_recall(spark, bucket):
     assert set().union(*joined) <= {i for own in pairs.values() for p in own for i in p}
 
 
-@pytest.mark.parametrize("n", [40, 100, 200])
-def test_own_word_each(spark, n):
+@pytest.mark.parametrize("n, bucket, block", [(40, 64, 128), (100, 64, 128), (200, 64, 128), (200, 4, 8)])
+def test_own_word_each(spark, n, bucket, block):
     """Copies of a passage, each with a word of its own in the middle: more copies lose none."""
     rng = random.Random(n)
     vocabulary = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(5000)]
     prose = lambda k: rng.choices(vocabulary, k=k)
     passage = prose(98)
     rows = [(i, " ".join(prose(40) + passage[:49] + [f"own{i}"] + passage[49:] + prose(40))) for i in range(n)]
-    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), bucket=bucket, block=block).collect()
     assert {r.doc for r in found} == set(range(n)) and {r.class_id for r in found} == {0}
 
 
@@ -218,6 +218,19 @@ def test_further_occurrences(spark):
     assert {r.class_id for r in found} == {0}
 
 
+def test_fingerprints():
+    """Similar passages have one in common."""
+    rng = random.Random(4)
+    run = passages.shortest_run(5, 50, 0.8)
+    assert 20 <= run <= 25
+    for _ in range(300):
+        a = rng.sample(range(200), rng.randint(50, 100))
+        b = edited(a, rng.choice(["changed", "inserted", "deleted", "block"]), rng, iter([250, 251, 252]))
+        if min(len(a), len(b)) >= 50 and jaccard(a, b) >= 0.8:
+            x, y = (passages.fingerprints(bytes(rng.choices(range(200), k=20)) + bytes(w), run, 2 * run // 3) for w in (a, b))
+            assert set(x.tolist()) & set(y.tolist())
+
+
 def variants(n, rng):
     """A passage in a base and in n texts, each with another one of its words 10 to 49 changed, in different surroundings."""
     vocabulary = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(5000)]
