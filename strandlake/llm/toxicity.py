@@ -1,27 +1,28 @@
 """Toxicity by maximum-scoring segments over token log-odds, with extreme-value calibration.
 
-Fit, on labelled rows (at most ``FIT_DOCS``, dealt by a hash of the id): the log-odds
+Fit, on labelled rows (at most about ``FIT_DOCS``, dealt by a hash of the id): the log-odds
 of toxic against clean rows to have a token, both with an informative Dirichlet prior
-that follows the token's frequency in all rows. Words also count by their first letters,
-for forms that weren't seen. Tokens whose log-odds aren't ``MIN_Z`` standard errors
-above zero, or are below the penalty, cost just the common penalty: the sum over a clean text drifts
-down, so that high segments are rare events.
+that follows the token's frequency in all rows. Log-odds keep their sign; each is drawn towards
+zero by ``SHRINK`` standard errors, so that chance says little. Words also count by their first
+letters, for forms that weren't seen. A token scores its log-odds less a common penalty: the sum
+over a clean text drifts down, so that high segments are rare events.
 
 Score: a linear scan (Ruzzo and Tompa) finds all maximal scoring segments of a text.
 Their scores are calibrated as extreme values: lambda solves
-E[exp(lambda s)] = 1 for token scores s in clean rows, K is read from the clean rows'
-highest segments, and a segment of score S in n tokens has expectation
-E = K n exp(-lambda S). A text's evidence adds up over its significant segments. A
-logistic curve, fitted on the labelled rows, turns the evidence into a probability.
+E[exp(lambda s)] = 1 for token scores s in clean rows (counted on a fixed grid of ``GRID`` steps a
+unit), K is read from the clean rows' highest segments, and a segment of score S in n tokens has
+expectation E = K n exp(-lambda S). A text's evidence adds up over its segments. A
+logistic curve, fitted on the labelled rows, turns the evidence into a probability. The driver
+gets two numbers a labelled row, never its tokens.
 
 Only the fit uses a bounded sample; every text is scored, in full. Labels, language,
 source and id are never inputs of a score.
 
 Defined results: a null or empty text has the score of no evidence; with no toxic or no clean
 row to learn from, every text gets the labelled rows' share of toxic ones (0 without rows);
-a document labelled more than once counts as often as it is labelled; labels that are
-null or belong to no document are ignored; an empty table gives no rows; other columns
-are ignored.
+a document that is labelled more than once counts once for each label; labels that are
+null or belong to no document are ignored; rows with the same id are scored apart; very long texts
+are scanned whole, in linear time; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,9 +43,14 @@ from strandlake.llm.runtime import crc_mod, materialise, ship_code, slices
 #: Labelled rows that a fit uses, at most (about).
 FIT_DOCS = 40_000
 PRIOR = 50.0
-MIN_Z = 4.0
+SHRINK = 1.0
+#: Rows that a token of the vocabulary is in, at least, and tokens in it, at most: those in most rows.
 MIN_TEXTS = 3
+VOCABULARY = 500_000
 PENALTY = 2.0
+#: Steps of the grid of token scores, to a unit, and its ends.
+GRID = 64
+ENDS = 40
 SIGNIFICANT = 0.05
 THRESHOLD = 0.3
 
@@ -146,33 +152,25 @@ class Model:
         x = a * math.log1p(self.evidence(self.scored(words), len(words))) + b
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, x))))
 
-    def calibrate(self, rows: list[tuple[int, int, bytes]]) -> None:
-        """Fits lambda, K and the curve to labelled rows (label, tokens, scored tokens as pairs of doubles)."""
-        labels = np.array([y for y, _, _ in rows], dtype=float)
-        self.share = float(labels.mean()) if len(labels) else 0.0
-        if not len(labels) or labels.min() == labels.max():
+    def solve(self, scores: np.ndarray, counts: np.ndarray) -> None:
+        """Lambda, the positive root of E[exp(lambda s)] = 1, from how often clean rows' tokens have each score."""
+        # one more token than was seen, shared by all scores: clean rows may have none of the high ones
+        all_ = np.array([*self.weights.values(), -self.penalty])
+        s, c = np.concatenate([scores, all_]), np.concatenate([counts, np.full(len(all_), 1 / len(all_))])
+        if s.max() <= 0 or (s * c).sum() >= 0:
             return
-        pairs = lambda found: [(int(i), s) for i, s in np.frombuffer(found, "<f8").reshape(-1, 2).tolist()]
-        clean = [(n, found) for y, n, found in rows if not y]
-        s, c = np.unique(np.frombuffer(b"".join(f for _, f in clean), "<f8")[1::2], return_counts=True)
-        size = sum(n for n, _ in clean)
-        # one more token than was seen, shared by all scores: clean rows may have none of them
-        all_ = np.array(list(self.weights.values()))
-        s, c = np.concatenate([s, all_, [-self.penalty]]), np.concatenate([c, np.full(len(all_), 1 / max(1, len(all_))), [size - c.sum()]])
-        if s.max() > 0 and (s * c).sum() < 0:
-            lo, hi = 1e-6, 50.0
-            for _ in range(100):  # the positive root of E[exp(lambda s)] = 1
-                mid = (lo + hi) / 2
-                lo, hi = (lo, mid) if (c * np.exp(np.clip(mid * s, -700, 700))).sum() > c.sum() else (mid, hi)
-            self.lam = (lo + hi) / 2
-        # K: so that segments as high as the median of clean texts' highest are expected as often as found
-        tops = [max((x[2] for x in self.passages(pairs(f), n)), default=0.0) for n, f in clean]
+        lo, hi = 1e-6, 50.0
+        for _ in range(100):
+            mid = (lo + hi) / 2
+            lo, hi = (lo, mid) if (c * np.exp(np.clip(mid * s, -700, 700))).sum() > c.sum() else (mid, hi)
+        self.lam = (lo + hi) / 2
+
+    def scale(self, tops: list[float], size: int) -> None:
+        """K, so that segments as high as the median of clean texts' highest are expected as often as found."""
         high = sorted(t for t in tops if t > 0)
         if high:
             level = high[len(high) // 2]
             self.k = max(1e-12, sum(t >= level for t in high) / max(1, size) * math.exp(min(self.lam * level, 600.0)))
-        x = np.array([math.log1p(self.evidence(pairs(f), n)) for _, n, f in rows])
-        self.curve = _logistic(x, labels)
 
 
 def _model(weights, penalty, share, lam, k, curve) -> Model:
@@ -206,39 +204,61 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([rows[y][w] for w in names], pa.int64()) for y in (1, 0))], ["token", "toxic", "clean"])
 
 
-def _sparse(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    """For each labelled text its number of tokens and the scored ones."""
+def _measured(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+    """For each labelled text its tokens, its highest segment and how often it has each score, on the grid."""
+    own = model.value
+    for batch in slices(batches):
+        rows: tuple[list, ...] = ([], [], [], [])
+        for text in batch.column(0).to_pylist():
+            words = tokens(text or "")
+            found = own.scored(words)
+            places = np.round(np.clip([s for _, s in found], -ENDS, ENDS) * GRID).astype(np.int64) if found else np.zeros(0, np.int64)
+            bins, sizes = np.unique(places, return_counts=True)
+            top = max((x[2] for x in segments([i for i, _ in found], [s for _, s in found], own.penalty)), default=0.0)
+            for column, x in zip(rows, (len(words), top, bins.tolist(), sizes.tolist())):
+                column.append(x)
+        kinds = (pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(x, t) for x, t in zip(rows, kinds))], ["toxic", "n", "top", "bins", "sizes"])
+
+
+def _evidence(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     own = model.value
     for batch in slices(batches):
         words = [tokens(t or "") for t in batch.column(0).to_pylist()]
-        found = [own.scored(w) for w in words]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(1), pa.array([len(w) for w in words], pa.int64()), pa.array([np.array(f, dtype="<f8").tobytes() for f in found], pa.binary())],
-            ["toxic", "n", "found"],
-        )
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([own.evidence(own.scored(w), len(w)) for w in words], pa.float64())], ["toxic", "evidence"])
 
 
-def learn(rows: DataFrame, *, fit_docs: int = FIT_DOCS, prior: float = PRIOR, min_z: float = MIN_Z, min_texts: int = MIN_TEXTS, penalty: float = PENALTY) -> Model:
-    """Fits a model to rows of (text, toxic), at most about ``fit_docs`` of them by a hash of the text."""
+def learn(rows: DataFrame, *, prior: float = PRIOR, shrink: float = SHRINK, min_texts: int = MIN_TEXTS, penalty: float = PENALTY, vocabulary: int = VOCABULARY) -> Model:
+    """Fits a model to rows of (text, toxic), which should be a bounded sample."""
     spark = rows.sparkSession
+    ship_code(spark)
     rows = materialise(rows.select("text", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)"), "toxic-rows")
-    counts = rows.mapInArrow(_counted, "token string, toxic long, clean long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     own = {r["toxic"]: float(r["count"]) for r in rows.groupBy("toxic").count().collect()}
     n1, n0 = own.get(1, 0.0), own.get(0, 0.0)
-    weights: dict[str, float] = {}
-    if n1 and n0:
-        seen = F.col("toxic") + F.col("clean")
-        alpha = F.lit(prior) * seen / (n1 + n0)
-        a, b = F.col("toxic") + alpha, F.col("clean") + alpha
-        # a token in nearly all rows would leave nothing outside it
-        odds = F.log(a / F.greatest(n1 + prior - a, F.lit(1.0))) - F.log(b / F.greatest(n0 + prior - b, F.lit(1.0)))
-        told = counts.where(seen >= min_texts).select("token", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z")).where(F.col("z") >= min_z)
-        # what scores less than the penalty costs the penalty, like any other token
-        weights = {r["token"]: r["odds"] - penalty for r in told.where(F.col("odds") > penalty).collect()}
-    model = Model(weights, penalty)
-    sent = spark.sparkContext.broadcast(model)
-    got = rows.mapInArrow(partial(_sparse, model=sent), "toxic int, n long, found binary").toArrow()
-    model.calibrate(list(zip(*(got.column(c).to_pylist() for c in ("toxic", "n", "found")))))
+    model = Model({}, penalty)
+    model.share = n1 / max(1.0, n1 + n0)
+    if not n1 or not n0:
+        return model
+    counts = rows.mapInArrow(_counted, "token string, toxic long, clean long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    seen = F.col("toxic") + F.col("clean")
+    alpha = F.lit(prior) * seen / (n1 + n0)
+    a, b = F.col("toxic") + alpha, F.col("clean") + alpha
+    # a token in nearly all rows would leave nothing outside it
+    odds = F.log(a / F.greatest(n1 + prior - a, F.lit(1.0))) - F.log(b / F.greatest(n0 + prior - b, F.lit(1.0)))
+    sure = F.signum(odds) * F.greatest(F.abs(odds) - shrink * F.sqrt(1 / a + 1 / b), F.lit(0.0))
+    told = counts.where(seen >= min_texts).select("token", seen.alias("seen"), sure.alias("odds")).where("odds <> 0")
+    got = told.orderBy(F.desc("seen"), "token").limit(vocabulary).select("token", "odds").toArrow()
+    model = Model({w: x - penalty for w, x in zip(got.column("token").to_pylist(), got.column("odds").to_pylist())}, penalty)
+    model.share = n1 / (n1 + n0)
+    measured = materialise(rows.mapInArrow(partial(_measured, model=spark.sparkContext.broadcast(model)), "toxic int, n long, top double, bins array<long>, sizes array<long>"), "toxic-scores")
+    clean = measured.where("toxic = 0")
+    grid = clean.select(F.explode(F.arrays_zip("bins", "sizes")).alias("x")).groupBy("x.bins").agg(F.sum("x.sizes").alias("c")).toArrow()
+    scores, seen_ = grid.column("bins").to_numpy() / GRID, grid.column("c").to_numpy().astype(float)
+    size = clean.agg(F.sum("n")).first()[0] or 0
+    model.solve(np.append(scores, -penalty), np.append(seen_, size - seen_.sum()))
+    model.scale(clean.select("top").toArrow().column("top").to_pylist(), size)
+    final = rows.mapInArrow(partial(_evidence, model=spark.sparkContext.broadcast(model)), "toxic int, evidence double").toArrow()
+    model.curve = _logistic(np.log1p(final.column("evidence").to_numpy()), final.column("toxic").to_numpy().astype(float))
     return model
 
 
@@ -282,11 +302,11 @@ def passages(texts: DataFrame, model: Model, *, significant: float = SIGNIFICANT
 def op7_toxicity(docs: DataFrame, labels: DataFrame, *, fit_docs: int = FIT_DOCS) -> DataFrame:
     """Learns from rows whose crc32 of the id, modulo 4, isn't 2, and scores all documents."""
     ship_code(docs.sparkSession)
-    told = labels.where(F.col("toxic").isNotNull() & (crc_mod("doc_id", 4) != 2)).select("doc_id", "toxic")
+    told = labels.where(F.col("toxic").isNotNull() & (crc_mod("doc_id", 4) != 2)).select("doc_id", "toxic").distinct()
     n = told.count()
     if n > fit_docs:
         told = told.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(n)) < fit_docs)
-    # the sample is bounded by fit_docs (about), and so is what is broadcast
+    # two labels an id and fit_docs ids, about: what is broadcast is bounded
     rows = docs.select("doc_id", "text").join(F.broadcast(told), "doc_id")
     found = score(docs.select(F.col("doc_id").alias("key"), "text"), learn(rows))
     return found.select(F.col("key").alias("doc_id"), F.coalesce(crc_mod("key", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -62,6 +62,45 @@ def test_toxicity(labelled):
     assert sum(r.predicted == r.toxic for r in held) > 0.95 * len(held)
 
 
+def test_learn(labelled):
+    """Signed log-odds, lambda, evidence and scores are those of their definitions."""
+    import math
+    import re
+    from collections import Counter
+
+    model, rows = toxicity.learn(labelled), labelled.collect()
+    split = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    seen = {0: Counter(), 1: Counter()}
+    for r in rows:
+        seen[r.toxic].update({x for w in split(r.text) for x in (w, *([w[:5] + "*"] if len(w) > 4 else []), *([w[:4] + "*"] if len(w) > 3 else []))})
+    n = Counter(r.toxic for r in rows)
+    want = {}
+    for w in seen[0].keys() | seen[1].keys():
+        both = seen[0][w] + seen[1][w]
+        a, b = (seen[y][w] + 50 * both / len(rows) for y in (1, 0))
+        odds = math.log(a / max(n[1] + 50 - a, 1)) - math.log(b / max(n[0] + 50 - b, 1))
+        sure = math.copysign(max(0, abs(odds) - math.sqrt(1 / a + 1 / b)), odds)
+        if both >= 3 and sure:
+            want[w] = sure - 2
+    assert model.weights.keys() == want.keys() and all(abs(model.weights[w] - x) < 1e-9 for w, x in want.items())
+    assert min(want.values()) < -2 < 0 < max(want.values())  # evidence of both signs
+
+    def score(w):
+        return next((want[x] for x in (w, w[:5] + "*", w[:4] + "*") if x in want and (x == w or len(w) >= len(x) - 1)), -2.0)
+
+    clean = [score(w) for r in rows if not r.toxic for w in split(r.text)]
+    chance = sum(math.exp(model.lam * s) for s in [*want.values(), -2.0]) / (len(want) + 1)  # the one token more
+    assert abs((sum(math.exp(model.lam * s) for s in clean) + chance) / (len(clean) + 1) - 1) < 0.02
+    got = {r.key: r.score for r in toxicity.score(labelled.selectExpr("doc_id as key", "text"), model).collect()}
+    for r in rows[:40]:
+        words = split(r.text)
+        e = 0.0
+        for _, _, s in brute_segments([score(w) for w in words]):
+            e -= math.log(max(1e-300, -math.expm1(-model.k * len(words) * math.exp(-model.lam * s))))
+        a, b = model.curve
+        assert abs(got[r.doc_id] - 1 / (1 + math.exp(-(a * math.log1p(e) + b)))) < 1e-6
+
+
 def test_passages(labelled):
     model = toxicity.learn(labelled)
     text = "abc def " * 40 + "zzmoron, you zzscum! " + "abc def " * 40
