@@ -80,6 +80,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op(_read(spark, sf_dir, "documents"))
 
 
+def secret_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patterns of op8 alone, which SQL can express."""
+    from strandlake.llm.secrets import base_values
+
+    return base_values(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -92,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": op8_secrets,
         "op9_passages": op9_passages,
         "op10_language": op10_language,
+        "secret_patterns": secret_patterns,
     }
 
 
@@ -126,6 +134,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (lost > 0 AND (left_words < 50 OR 100 * stays < 80 * total)) AS kept FROM told
 """
 
+SECRETS_SQL = """
+WITH found AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+kinds AS (SELECT doc_id, list_filter(regexp_extract_all(t, '(?i:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1), lambda x: length(x) >= 8) AS a,
+                 list_filter(regexp_extract_all(t, 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 16) AS k, list_filter(regexp_extract_all(t, '[0-9a-f]+'), lambda x: length(x) >= 32) AS h FROM found)
+SELECT doc_id, len(a)::bigint AS n_assign, array_to_string(a, ' ') AS assign_values, len(k)::bigint AS n_access, array_to_string(k, ' ') AS access_values, len(h)::bigint AS n_hex, array_to_string(h, ' ') AS hex_values FROM kinds
+"""
+
 BENCHMARK_SQL = f"""
 WITH items AS (SELECT item_id::varchar AS item, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
 windows AS (SELECT DISTINCT item, least(10, len(ws)) AS size, array_to_string(ws[i:i + 9], ' ') AS w FROM (SELECT item, ws, unnest(range(1, greatest(2, len(ws) - 8))) AS i FROM items WHERE len(ws) > 0) x),
@@ -141,4 +156,4 @@ FROM docs d LEFT JOIN marked m USING (doc_id) LEFT JOIN named a USING (doc_id)
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB's SQL for the queries that SQL can express on whole tables in reasonable time."""
-    return {"op3_line_dedup": LINES_SQL, "op4_quality": QUALITY_SQL, "op6_decontaminate": BENCHMARK_SQL}
+    return {"op3_line_dedup": LINES_SQL, "op4_quality": QUALITY_SQL, "op6_decontaminate": BENCHMARK_SQL, "secret_patterns": SECRETS_SQL}
