@@ -2,8 +2,9 @@
 
 The blended-spectrum presence kernel of two texts is the cosine of their sets of byte
 n-grams (n = 1 to 4, over letters, with one mark for everything between words), the
-n-grams hashed to ``DIMS`` places. Of the labelled rows at most ``FIT_ROWS`` a language
-are used, dealt by a hash of the id; of these, ``LANDMARKS`` in all are landmarks.
+n-grams hashed to ``DIMS`` places. Of the labelled rows about ``FIT_ROWS`` a language and, with many
+languages, about ``FIT_TOTAL`` in all are used, ``LEAST_ROWS`` a language at least, dealt by a hash of the id; no
+language is left out. Of these rows ``LANDMARKS`` in all are landmarks.
 With K the kernel between landmarks, a text's features are its kernel values with the
 landmarks times K^(-1/2) (Nyström); a ridge regression for each language, one against the rest,
 is solved on them. Scoring multiplies batches: presence rows times the landmark
@@ -14,8 +15,8 @@ and the id are never inputs of a prediction.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; rows
 without an id aren't learned from; with no row to learn from, all are ``und``; with a single
-language, it is always predicted; an empty table gives no rows; other columns are
-ignored.
+language, it is always predicted; rows with the same id are labelled apart; very long texts are taken
+whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,16 +27,17 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm.runtime import crc_mod, ship_code
 
 DIMS = 1 << 14
 ORDERS = (1, 2, 3, 4)
-#: Bounds of the fit: rows a language, languages and landmarks.
+#: Bounds of the fit: rows a language, rows in all, rows a language however many there are, and landmarks.
 FIT_ROWS = 1500
-FIT_LANGS = 400
+FIT_TOTAL = 24_000
+LEAST_ROWS = 8
 LANDMARKS = 256
 RIDGE = 1e-2
 BATCH = 256
@@ -76,7 +78,8 @@ class Model:
     @classmethod
     def fit(cls, places: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> "Model":
         langs = sorted(set(labels))
-        y = np.array([[1.0 if lang == a else -1.0 for a in langs] for lang in labels])
+        number = {a: k for k, a in enumerate(langs)}
+        own = np.array([number[a] for a in labels])
         # landmarks: the same number from each language, in the order that the rows came
         rank: dict[str, int] = {}
         order = []
@@ -89,12 +92,14 @@ class Model:
         keep = value > 1e-6 * value.max()
         root = vector[:, keep] / np.sqrt(value[keep])
         gram, right = np.zeros((keep.sum(), keep.sum())), np.zeros((keep.sum(), len(langs)))
-        weight = np.array([1 / labels.count(a) for a in langs])
+        weight = 1 / np.bincount(own)
         for lo in range(0, len(places), BATCH):
             f = (_rows(places[lo : lo + BATCH]) @ chosen.T) @ root
-            w = np.array([weight[langs.index(a)] for a in labels[lo : lo + BATCH]])[:, None]
-            gram += f.T @ (f * w)
-            right += f.T @ (y[lo : lo + BATCH] * w)
+            part = own[lo : lo + BATCH]
+            weighed = f * weight[part][:, None]
+            gram += f.T @ weighed
+            right -= weighed.sum(0)[:, None]  # against the rest: -1, and 1 for the own language
+            np.add.at(right.T, part, 2 * weighed)
         solved = np.linalg.solve(gram + ridge * np.trace(gram) / len(gram) * np.eye(len(gram)), right)
         return cls(langs, np.ascontiguousarray(chosen.T), (root @ solved).astype(np.float32))
 
@@ -112,17 +117,18 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bits, pa.binary())], ["lang", "order", "bits"])
 
 
-def learn(labelled: DataFrame, *, fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS) -> Model | None:
-    """Fits a model to rows of (key, text, lang); of each language about ``fit_rows``, by a hash of the key."""
+def learn(labelled: DataFrame, *, fit_rows: int = FIT_ROWS, fit_total: int = FIT_TOTAL, landmarks: int = LANDMARKS) -> Model | None:
+    """Fits a model to rows of (key, text, lang), a bounded number of them by a hash of the key."""
+    ship_code(labelled.sparkSession)
     rows = labelled.where("key is not null and lang is not null")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(FIT_LANGS).collect()}
-    if not counts:
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    langs = counts.count()
+    if not langs:
         return None
+    quota = max(LEAST_ROWS, min(fit_rows, fit_total // langs))
     order = F.xxhash64("key", F.lit(11))
-    share: Column = F.lit(None)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(float(min(1.0, fit_rows / n)))).otherwise(share)
-    dealt = rows.withColumn("order", order).where(F.pmod("order", F.lit(1 << 30)) < share * float(1 << 30))
+    share = counts.select("lang", F.least(F.lit(1.0), quota / F.col("n")).alias("share"))
+    dealt = rows.withColumn("order", order).join(share, "lang").where(F.pmod("order", F.lit(1 << 30)) < F.col("share") * float(1 << 30))
     got = dealt.select("lang", "text", "order").mapInArrow(_features, "lang string, order long, bits binary").where("bits is not null").collect()
     got.sort(key=lambda r: (r["order"], r["lang"], r["bits"]))
     if not got:

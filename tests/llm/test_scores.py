@@ -141,6 +141,45 @@ def test_kernel():
     assert all(0.5 < s <= 1 for s in scores)
 
 
+def test_exact_kernel(spark):
+    """Against the kernel on exact n-gram sets, with every row as a landmark and the ridge problem solved whole."""
+    import re
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [r for r in df.collect() if r.text and re.search(r"[^\W\d_]", r.text)]
+
+    def grams(text):
+        b = (" " + re.sub(r"[\W\d_]+", " ", text.lower()).strip() + " ").encode()
+        return {b[i : i + n] for n in (1, 2, 3, 4) for i in range(len(b) - n + 1)}
+
+    import zlib
+
+    learned = [r for r in rows if r.lang and zlib.crc32(str(r.doc_id).encode()) % 5]
+    sets, own = [grams(r.text) for r in rows], [grams(r.text) for r in learned]
+    kernel = lambda xs, ys: np.array([[len(x & y) / np.sqrt(len(x) * len(y)) for y in ys] for x in xs])
+    langs = sorted({r.lang for r in learned})
+    y = np.array([[1.0 if r.lang == a else -1.0 for a in langs] for r in learned])
+    alpha = np.linalg.solve(kernel(own, own) + 1e-2 * np.eye(len(own)), y)
+    want = {r.doc_id: langs[k] for r, k in zip(rows, (kernel(sets, own) @ alpha).argmax(1))}
+    got = {r.doc_id: r.lang_pred for r in language.op10_language(df).collect()}
+    assert sum(got[i] == lang for i, lang in want.items()) >= 0.97 * len(want)
+
+
+def test_many_languages(spark):
+    """Every language is learned, however many there are."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(450):
+        letters = [chr(0x4E00 + 40 * k + j) for j in range(12)]
+        rows += [(len(rows), "".join(rng.choices(letters, k=60)), f"l{k}") for _ in range(6)]
+    rows = [(i, t, lang) for i, (_, t, lang) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(df.selectExpr("doc_id as key", "text", "lang"), landmarks=600)
+    assert len(model.langs) == 450
+    got = language.identify(df.selectExpr("doc_id as key", "text"), model).collect()
+    assert sum(r.lang_pred == rows[r.key][2] for r in got) > 0.9 * len(rows)
+
+
 def test_language_edges(spark, docs, tricky, empty):
     rows = language.op10_language(docs).collect()
     assert len(rows) == len(tricky) and {r.lang_pred for r in rows} == {"und"}
