@@ -78,12 +78,18 @@ class CuckooFilter:
     def remove(self, hashes: np.ndarray) -> None:
         """Removes items that were added; one copy each."""
         mark, bucket = self._places(hashes)
-        for m, b, o in zip(mark, bucket, self._partner(bucket, mark)):
-            for at in (b, o):
-                found = np.flatnonzero(self.table[at] == m)
-                if len(found):
-                    self.table[at, found[0]] = 0
-                    break
+        for second in (False, True):
+            at = self._partner(bucket, mark) if second else bucket
+            order = np.lexsort((mark, at))
+            mark, bucket, at = mark[order], bucket[order], at[order]
+            new = np.concatenate([[True], (at[1:] != at[:-1]) | (mark[1:] != mark[:-1])])[: len(at)]
+            n = np.arange(len(at))
+            rank = n - np.maximum.accumulate(np.where(new, n, 0)) if len(at) else n
+            hit = self.table[at] == mark[:, None]
+            here = rank < hit.sum(1)
+            slot = (np.cumsum(hit[here], 1) == (rank[here] + 1)[:, None]).argmax(1)
+            self.table[at[here], slot] = 0
+            mark, bucket = mark[~here], bucket[~here]
 
     def dumps(self) -> bytes:
         return struct.pack("<I", len(self.table)) + self.table.tobytes()

@@ -2,17 +2,17 @@
 
 A text is normalised to its words: A-Z lower-cased, words are runs of ASCII letters,
 digits and non-ASCII characters, one space between them. The automaton holds every
-window of ``window`` consecutive words of a benchmark item, with a space at both ends;
+window of ``window`` consecutive words of a benchmark item, as a sequence of the words' numbers;
 an item with fewer words is one window. A document's normalised text is scanned once;
-matches are mapped back to words and, for documents with matches, to offsets in the
-original.
+matches are mapped back to offsets in the original.
 
-The automaton is built in each Python worker from the items, which are sent there only
-in blocks of at most ``BLOCK_WORDS`` words: a benchmark beyond that is searched for in
-several scans, whose hits are united by document, so no size is cut off.
+There is one automaton, built in each Python worker. Over word numbers it has one node a word
+of a window, about a sixth of one over characters, so that ``BLOCK_WORDS`` words of a benchmark fit
+in a worker. Only a benchmark beyond that is searched for in several scans, whose hits are
+united by document, so no size is cut off.
 
 Defined results: a null or empty text has no words; items without words match nothing;
-equal items all count; items without an id are searched for like others, count together as
+very long texts are scanned whole; equal items all count; items without an id are searched for like others, count together as
 one in n_items and have no part in items_sha256; rows with the same id are scanned apart; empty tables give no
 rows or no hits; other columns are ignored, whatever their names.
 """
@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.runtime import ship_code, slices, utf8
+from strandlake.llm.runtime import materialise, ship_code, slices, utf8
 
 WINDOW = 10
 #: Benchmark words in one automaton at most.
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 1_000_000
 
 _letters = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _fold = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -46,20 +46,21 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 def automaton(items: list[tuple[str | None, bytes]], window: int):
-    """The automaton, None if nothing is to be found, and the items of each window."""
+    """The automaton, None if nothing is to be found, the items of each window and the words' numbers."""
     import ahocorasick
 
-    where: dict[bytes, set[int]] = {}
+    where: dict[tuple[int, ...], set[int]] = {}
+    number: dict[bytes, int] = {}
     for k, (_, raw) in enumerate(items):
-        words = words_of(raw)
+        words = tuple(number.setdefault(w, len(number) + 1) for w in words_of(raw))
         for i in range(max(1, len(words) - window + 1) if words else 0):
-            where.setdefault(b" " + b" ".join(words[i : i + window]) + b" ", set()).add(k)
-    made = ahocorasick.Automaton()
+            where.setdefault(words[i : i + window], set()).add(k)
+    made = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for n, w in enumerate(where):
-        made.add_word(w.decode("latin-1"), (n, len(w)))
+        made.add_word(w, (n, len(w)))
     if where:
         made.make_automaton()
-    return (made if where else None), [sorted(x) for x in where.values()]
+    return (made if where else None), [sorted(x) for x in where.values()], number
 
 
 def _automaton_of(items: list[tuple[str | None, bytes]], window: int):
@@ -72,7 +73,7 @@ def _automaton_of(items: list[tuple[str | None, bytes]], window: int):
 
 
 def _scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str | None, bytes]], window: int) -> Iterator[pa.RecordBatch]:
-    found, of_window = _automaton_of(items, window)
+    found, of_window, number = _automaton_of(items, window)
     names = [i for i, _ in items]
     for batch in slices(batches):
         rows: dict[str, list] = {"n_words": [], "first": [], "last": [], "start": [], "end": [], "items": []}
@@ -80,25 +81,21 @@ def _scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str | None, bytes
             words = words_of(raw)
             spans, got = [], set()
             if found is not None and words:
-                text = (b" " + b" ".join(words) + b" ").decode("latin-1")
-                for end, (n, size) in found.iter(text):
+                for end, (n, size) in found.iter(tuple(number.get(w, 0) for w in words)):
                     got.add(n)
-                    begin = end - size + 1  # both are at the spaces around the window
-                    if spans and begin <= spans[-1][1]:
-                        spans[-1][1] = max(end, spans[-1][1])
-                        spans[-1][0] = min(begin, spans[-1][0])
-                        while len(spans) > 1 and spans[-1][0] <= spans[-2][1]:
-                            spans[-2] = [min(spans[-2][0], spans[-1][0]), max(spans[-2][1], spans[-1][1])]
-                            spans.pop()
+                    begin = end - size + 1
+                    # spans of words, last exclusive; they come by their ends
+                    while spans and begin <= spans[-1][1] and begin < spans[-1][0]:
+                        begin = min(begin, spans.pop()[0])
+                    if spans and begin <= spans[-1][1] - 1:
+                        spans[-1][1] = end + 1
                     else:
-                        spans.append([begin, end])
+                        spans.append([begin, end + 1])
             first, last, start, stop = [], [], [], []
             if spans:
-                starts = np.cumsum([0] + [len(w) + 1 for w in words])
                 places = [m.span() for m in _letters.finditer(raw)]
                 points = np.cumsum([0] + [(c & 0xC0) != 0x80 for c in raw]) if not raw.isascii() else None
-                for a, b in spans:
-                    i, j = int(np.searchsorted(starts, a)), int(np.searchsorted(starts, b))
+                for i, j in spans:
                     first.append(i)
                     last.append(j)
                     x, y = places[i][0], places[j - 1][1]
@@ -113,7 +110,7 @@ def _scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str | None, bytes
 
 
 def _blocks(items: DataFrame, block_words: int) -> list[list[tuple[str | None, bytes]]]:
-    """The items by blocks of bounded size, read one block at a time."""
+    """The items by blocks of bounded size: one, or as many as it takes."""
     sized = items.select("item", "text", F.length("text").alias("n"))
     total = sized.agg(F.sum("n")).first()[0] or 0
     if total <= 4 * block_words:
@@ -134,7 +131,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = W
     if len(blocks) == 1:
         return own.mapInArrow(partial(_scan, items=blocks[0], window=window), schema)
     # several automata: rows get a number so that equal ids stay apart, and their spans are united
-    own = own.withColumn("doc_id", F.struct("doc_id", F.monotonically_increasing_id().alias("row")))
+    # written first, so that every scan has the same numbers
+    own = materialise(own.withColumn("doc_id", F.struct("doc_id", F.monotonically_increasing_id().alias("row"))), "numbered")
     wide = schema.replace(schema.split(",")[0], f"doc_id {own.schema['doc_id'].dataType.simpleString()}")
     all_ = None
     for b in blocks:
@@ -156,11 +154,11 @@ def op6_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _clean(batches: Iterator[pa.RecordBatch], text_at: int, items: list[tuple[str | None, bytes]], window: int) -> Iterator[pa.RecordBatch]:
-    found, _ = _automaton_of(items, window)
+    found, _, number = _automaton_of(items, window)
     for batch in slices(batches):
         if found is not None:
-            texts = ((b" " + b" ".join(words_of(raw)) + b" ").decode("latin-1") for raw in utf8(batch.column(text_at)))
-            batch = batch.filter(pa.array([next(found.iter(t), None) is None for t in texts], pa.bool_()))
+            texts = (tuple(number.get(w, 0) for w in words_of(raw)) for raw in utf8(batch.column(text_at)))
+            batch = batch.filter(pa.array([not t or next(found.iter(t), None) is None for t in texts], pa.bool_()))
         yield batch
 
 

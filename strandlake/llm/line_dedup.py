@@ -4,7 +4,7 @@ The index is a folder in shared storage with three tables, a new version for eac
 
     postings  (h1, h2, doc): each document's distinct line keys, as 128-bit hashes
     refs      (h1, h2, refs, first, last): documents that hold a key, exactly
-    filters   (shard, data): cuckoo filters of the keys in two documents or more
+    filters   (data, shard): cuckoo filters of the keys in two documents or more
 
 A line goes if its key is in two documents or more and the document isn't the first
 (smallest id). The filters settle most lines without the reference counts: what they
@@ -13,14 +13,18 @@ positives change nothing. Insertions add to the counts, deletions of documents t
 from them, keys that become shared or unshared enter or leave the filters, and a line
 comes back to the next document when its first holder is deleted.
 
-Filters go to the executors as a broadcast only if their measured size is below
-``FILTER_BYTES``; beyond it, the exact join alone decides, with the same result.
+Filters go to the executors as a broadcast while their measured size is below
+``FILTER_BYTES``; beyond it, postings are dealt out by shard (a shard's by a hash of the document too, so that
+a hot line's are split) and each task reads the filters of its own shards from the folder.
+
+Each version ends with a manifest; an index is opened again by its folder, at its latest whole version. The
+number of shards grows with the shared keys.
 
 Defined results: a null or empty text is one empty line; rows without an id are one
 document that comes last; rows with the same id are one document, and a line only they
-share stays; an empty table gives an empty index and no rows. Of other columns nothing
-is used; ``apply`` passes them on, and its own result columns replace any of the
-same name.
+share stays, and they count as one reference; an empty table gives an empty index and no rows; very long
+texts are taken whole. Of other columns nothing is used; ``apply`` passes them on, whatever their names, but its own
+result columns replace any of the same name. The id has to be a number or a text that is one.
 """
 
 from __future__ import annotations
@@ -108,6 +112,30 @@ def _probe(batches: Iterator[pa.RecordBatch], filters, shards: int) -> Iterator[
         yield batch.filter(pa.array(keep)).select([0, 1, 2])
 
 
+def _probe_stored(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """The same for postings that come sorted by shard, with one filter at a time, read from its folder."""
+    from pyarrow import fs
+    from pyarrow import parquet as pq
+
+    store, root = fs.FileSystem.from_uri(folder)
+    now, held = None, None
+    for batch in batches:
+        shard = batch.column(3).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if hi == lo:
+                continue
+            if shard[lo] != now:
+                now, held = shard[lo], None
+                for f in store.get_file_info(fs.FileSelector(f"{root}/shard={now}", allow_not_found=True)):
+                    if f.path.endswith(".parquet"):
+                        for data in pq.read_table(f.path, filesystem=store, partitioning=None).column("data").to_pylist():
+                            held = cuckoo.CuckooFilter.loads(data)
+            if held is not None:
+                part = batch.slice(lo, hi - lo)
+                yield part.filter(pa.array(held.probe(part.column(0).to_numpy().view(np.uint64)))).select([0, 1, 2])
+
+
 def _drop(batches: Iterator[pa.RecordBatch], text_at: int, keys_at: int, min_points: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 500):
@@ -139,12 +167,31 @@ class LineIndex:
         ship_code(spark)
         self.spark, self.folder = spark, folder or scratch_path(spark, "lines")
         self.id_col, self.text_col, self.min_points = id_col, text_col, min_points
-        self.version, self.shards = 0, 1
+        self.version, self.shards = self._latest()
+
+    def _latest(self) -> tuple[int, int]:
+        """The last version with a manifest, and its shards."""
+        jvm = self.spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(self.folder)
+        store = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not store.exists(where):
+            return 0, 1
+        names = [s.getPath().getName() for s in store.listStatus(where)]
+        for n in sorted((int(x[1:]) for x in names if x[:1] == "v" and x[1:].isdigit()), reverse=True):
+            if store.exists(jvm.org.apache.hadoop.fs.Path(f"{self.folder}/v{n}/manifest/_SUCCESS")):
+                return n, self.spark.read.schema("shards long").json(f"{self.folder}/v{n}/manifest").first()["shards"]
+        return 0, 1
+
+    def _done(self) -> None:
+        """The version that was written is whole."""
+        self.version += 1
+        self.spark.range(1).select(F.lit(self.shards).cast("long").alias("shards")).write.mode("overwrite").json(f"{self.folder}/v{self.version}/manifest")
 
-    def _table(self, name: str, schema: str) -> DataFrame:
-        if not self.version:
+    def _table(self, name: str, schema: str, version: int | None = None) -> DataFrame:
+        version = self.version if version is None else version
+        if not version:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/v{self.version}/{name}")
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/v{version}/{name}")
 
     @property
     def postings(self) -> DataFrame:
@@ -156,11 +203,30 @@ class LineIndex:
 
     @property
     def filters(self) -> DataFrame:
-        return self._table("filters", "shard long, data binary")
+        return self._table("filters", "data binary, shard long").select("shard", "data")
 
     def _keys_of(self, docs: DataFrame) -> DataFrame:
         own = docs.select(doc_key(self.id_col).alias("doc"), F.col(self.text_col).alias("text"))
-        return own.mapInArrow(partial(_postings, min_points=self.min_points), "h1 long, h2 long, doc long")
+        keys = lambda df: df.select("doc", "text").mapInArrow(partial(_postings, min_points=self.min_points), "h1 long, h2 long, doc long")
+        again = own.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc")
+        if again.isEmpty():
+            return keys(own)
+        # documents of several rows count once for a key
+        return keys(own.join(again, "doc", "left_anti")).unionByName(keys(own.join(again, "doc", "left_semi")).distinct())
+
+    def _fit(self, shared: int) -> bool:
+        """Whether there have to be more shards for so many shared keys."""
+        want = max(16, 1 << max(0, shared // SHARD_KEYS).bit_length())
+        grown, self.shards = want > self.shards, max(want, self.shards)
+        return grown
+
+    def _build(self, refs: DataFrame, to: str) -> None:
+        shared = refs.where("first < last").select("h1", _shard(self.shards).alias("shard"))
+        self._put(shared.groupBy("shard").applyInPandas(_build_filter, "shard long, data binary"), to)
+
+    @staticmethod
+    def _put(filters: DataFrame, to: str) -> None:
+        filters.write.mode("overwrite").partitionBy("shard").parquet(f"{to}/filters")
 
     @staticmethod
     def _counted(postings: DataFrame) -> DataFrame:
@@ -170,16 +236,16 @@ class LineIndex:
         """Adds documents that aren't in the index."""
         to = f"{self.folder}/v{self.version + 1}"
         if not self.version:
-            self._keys_of(docs).write.parquet(f"{to}/postings")
-            added = self.spark.read.schema("h1 long, h2 long, doc long").parquet(f"{to}/postings")
-            self._counted(added).write.parquet(f"{to}/refs")
-            self.version = 1
-            shared = self.refs.where("first < last").select("h1", "h2")
-            self.shards = max(16, 1 << max(0, shared.count() // SHARD_KEYS).bit_length())
-            shared.select("h1", _shard(self.shards).alias("shard")).groupBy("shard").applyInPandas(_build_filter, "shard long, data binary").write.parquet(f"{to}/filters")
+            self._keys_of(docs).write.mode("overwrite").parquet(f"{to}/postings")
+            added = self._table("postings", "h1 long, h2 long, doc long", 1)
+            self._counted(added).write.mode("overwrite").parquet(f"{to}/refs")
+            refs = self._table("refs", "h1 long, h2 long, refs long, first long, last long", 1)
+            self._fit(refs.where("first < last").count())
+            self._build(refs, to)
+            self._done()
             return
-        self._keys_of(docs).write.parquet(f"{to}/added")
-        added = self.spark.read.schema("h1 long, h2 long, doc long").parquet(f"{to}/added")
+        self._keys_of(docs).write.mode("overwrite").parquet(f"{to}/added")
+        added = self._table("added", "h1 long, h2 long, doc long", self.version + 1)
         old, new = self.refs, self._counted(added).toDF(*KEY, "n", "a", "b")
         merged = old.join(new, KEY, "full").select(
             *KEY, (F.coalesce("refs", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("refs"), F.least("first", "a").alias("first"), F.greatest("last", "b").alias("last"),
@@ -203,42 +269,59 @@ class LineIndex:
         self._change(left.select("h1", "h2", "doc"), merged, to)
 
     def _change(self, postings: DataFrame, merged: DataFrame, to: str) -> None:
-        merged.write.parquet(f"{to}/merged")
+        merged.write.mode("overwrite").parquet(f"{to}/merged")
         merged = self.spark.read.schema(merged.schema).parquet(f"{to}/merged")
-        postings.write.parquet(f"{to}/postings")
-        merged.where("refs > 0").select(*KEY, "refs", "first", "last").write.parquet(f"{to}/refs")
+        postings.write.mode("overwrite").parquet(f"{to}/postings")
+        merged.where("refs > 0").select(*KEY, "refs", "first", "last").write.mode("overwrite").parquet(f"{to}/refs")
+        refs = self._table("refs", "h1 long, h2 long, refs long, first long, last long", self.version + 1)
+        if self._fit(refs.where("first < last").count()):
+            self._build(refs, to)
+            self._done()
+            return
         now = F.coalesce(F.col("first") < F.col("last"), F.lit(False)) & (F.col("refs") > 0)
         change = merged.where("touched").where(now != F.col("was")).select("h1", _shard(self.shards).alias("shard"), now.alias("entered"))
-        self.filters.groupBy("shard").cogroup(change.groupBy("shard")).applyInPandas(_change_filter, "shard long, data binary").write.parquet(f"{to}/changed")
-        changed = self.spark.read.schema("shard long, data binary").parquet(f"{to}/changed")
+        self.filters.groupBy("shard").cogroup(change.groupBy("shard")).applyInPandas(_change_filter, "shard long, data binary").write.mode("overwrite").parquet(f"{to}/changed")
+        changed = self._table("changed", "shard long, data binary", self.version + 1)
         full = changed.where("data is null").select("shard")
-        self.version += 1
-        shared = self.refs.where("first < last").select("h1", _shard(self.shards).alias("shard"))
+        shared = refs.where("first < last").select("h1", _shard(self.shards).alias("shard"))
         built = shared.join(full, "shard", "left_semi").groupBy("shard").applyInPandas(_build_filter, "shard long, data binary")
-        changed.where("data is not null").unionByName(built).write.parquet(f"{to}/filters")
+        self._put(changed.where("data is not null").unionByName(built), to)
+        self._done()
 
     def drops(self, filter_bytes: int = FILTER_BYTES) -> DataFrame:
         """(doc, keys): documents that lose lines and the hashes of the keys they lose."""
         shared = self.refs.where("first < last").select(*KEY, "first")
-        postings = self.postings
+        sharded = self.postings.withColumn("shard", _shard(self.shards))
         size = self.filters.agg(F.sum(F.length("data"))).first()[0] or 0
         if size <= filter_bytes:
             held = {r["shard"]: bytes(r["data"]) for r in self.filters.collect()}
             sent = self.spark.sparkContext.broadcast(held)
-            postings = postings.withColumn("shard", _shard(self.shards)).mapInArrow(partial(_probe, filters=sent, shards=self.shards), "h1 long, h2 long, doc long")
+            postings = sharded.mapInArrow(partial(_probe, filters=sent, shards=self.shards), "h1 long, h2 long, doc long")
+        else:
+            salt = F.pmod(F.xxhash64("doc"), F.lit(max(16, self.spark.sparkContext.defaultParallelism)))
+            dealt = sharded.repartition("shard", salt).sortWithinPartitions("shard")
+            postings = dealt.mapInArrow(partial(_probe_stored, folder=f"{self.folder}/v{self.version}/filters"), "h1 long, h2 long, doc long")
         gone = postings.join(shared, KEY).where(F.col("doc") > F.col("first"))
         return gone.groupBy("doc").agg(F.collect_set(F.struct(*KEY)).alias("keys"))
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """The documents with n_lines, n_dropped, kept_text and kept_sha256."""
         own = {"n_lines", "n_dropped", "kept_text", "kept_sha256"}
-        passed = docs.select([c for c in docs.columns if c not in own])
-        drops = self.drops().select(F.col("doc").alias("__doc"), F.col("keys").alias("__keys"))
-        joined = passed.withColumn("__doc", doc_key(self.id_col)).join(drops, "__doc", "left").drop("__doc")
+        passed = docs.select([F.col(f"`{c}`") for c in docs.columns if c not in own])
+        drops = self.drops().select(F.col("doc").alias("doc"), F.col("keys").alias("keys"))
+        held = passed.select(F.struct("*").alias("row"), doc_key(self.id_col).alias("doc"))
+        flat = [F.col("row")[c].alias(c) for c in passed.columns]
+        joined = held.join(drops, "doc", "left").select(*flat, F.col("keys").alias(_free("keys", passed.columns)))
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in passed.schema.fields)
         return joined.mapInArrow(partial(_drop, text_at=passed.columns.index(self.text_col), keys_at=len(passed.columns), min_points=self.min_points), f"{schema}, n_lines long, n_dropped long, kept_text string, kept_sha256 string")
 
 
+def _free(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     """Indexes the documents and drops repeated lines from them."""
     index = LineIndex(docs.sparkSession, **options)

@@ -2,13 +2,13 @@
 
 Every document becomes its token ids and an end id. Runs longer than a sequence
 are cut into whole sequences and a remainder. Documents are dealt by a hash of
-their id to groups of some thousands; each group is packed on its own: pieces in
+their id (their text, where they have none) to groups of some thousands; each group is packed on its own: pieces in
 decreasing length, each into the first bin with room, which a tournament tree over
 the bins' free capacities finds in logarithmic time. A group streams through one
 task in blocks of bounded size, so no group, however large, is held at once.
 
 Defined results: a null or empty text is the end id alone; rows with the same id
-are packed apart, each with its own ``start``; an empty table gives no rows; columns
+are packed apart, each with its own ``start``; a very long text is many whole sequences and a remainder; an empty table gives no rows; columns
 other than the id and the text are ignored, whatever their names; ties in length go
 by id, then by start.
 """
@@ -159,7 +159,7 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, capacity: int = 20
     ship_code(spark)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     groups = max(1, -(-own.count() // group_docs))
-    dealt = own.select(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(groups)).alias("__group"), "doc_id", "text")
+    dealt = own.select(F.pmod(F.xxhash64("doc_id", F.lit(seed), F.when(F.col("doc_id").isNull(), F.xxhash64("text"))), F.lit(groups)).alias("__group"), "doc_id", "text")
     pieces = dealt.mapInArrow(partial(_pieces, path=tokenizer, end_id=end_id, capacity=capacity), "__group long, doc_id long, start long, doc_tokens long, ids16 binary")
     sorted_ = pieces.repartition("__group").sortWithinPartitions("__group", "doc_id", "start", "ids16")
     return sorted_.mapInArrow(partial(_packed, capacity=capacity, block=BLOCK_PIECES), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")

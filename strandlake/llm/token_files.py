@@ -15,7 +15,7 @@ leaves no half-written shard behind; a second attempt writes the same bytes.
 
 Defined results: a null or empty text is the end id alone; rows without an id come
 first; rows with the same id stay neighbours, ordered by a hash of their text; an empty
-table gives no files; columns besides the id and the text are ignored.
+table gives no files; very long texts are encoded whole; columns besides the id and the text are ignored.
 """
 
 from __future__ import annotations
@@ -229,11 +229,11 @@ def read_ids(spark: SparkSession, folder: str, shards: list[dict], *, read_docs:
     """Documents from shards: doc_id, start (ids of all documents before it), n_tokens and ids
     (little-endian unsigned 32-bit). A task opens a shard and decodes only its own chunks."""
     ship_code(spark)
-    parts = [(r["name"], r["start"], lo, read_docs) for r in shards for lo in range(0, r["n_docs"], read_docs)]
-    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("start", T.LongType()), T.StructField("first_doc", T.LongType()), T.StructField("docs", T.LongType())])
-    plan = spark.createDataFrame(parts, schema)
-    if parts:
-        plan = plan.repartition(min(len(parts), 8 * spark.sparkContext.defaultParallelism))
+    rows = [(r["name"], r["start"], r["n_docs"]) for r in shards if r["n_docs"]]
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("start", T.LongType()), T.StructField("n_docs", T.LongType())])
+    plan = spark.createDataFrame(rows, schema).select("name", "start", F.explode(F.expr(f"sequence(0L, n_docs - 1, {read_docs}L)")).alias("first_doc"), F.lit(read_docs).cast("long").alias("docs"))
+    if rows:
+        plan = plan.repartition(min(sum(-(-r[2] // read_docs) for r in rows), 8 * spark.sparkContext.defaultParallelism))
     return plan.mapInArrow(partial(_read, folder=folder), "doc_id long, start long, n_tokens long, ids binary")
 
 

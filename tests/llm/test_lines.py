@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from strandlake.llm import cuckoo
+from strandlake.llm import cuckoo, line_dedup
 from strandlake.llm.line_dedup import LineIndex, dedup_lines, op3_line_dedup
 from tests.llm.conftest import low
 
@@ -76,6 +76,41 @@ def test_insert_and_delete(spark):
     assert index.refs.count() == 0
 
 
+def test_opened_again(spark, monkeypatch):
+    """An index goes on where its folder ends; its shards grow with the shared keys."""
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 2)
+    pool = [f"a line with number {i} in it" for i in range(120)]
+    rng = random.Random(6)
+    rows = [(i, "\n".join(rng.choices(pool, k=12))) for i in range(40)]
+    table = lambda r: spark.createDataFrame(r, "doc_id long, text string")
+    first = LineIndex(spark)
+    first.insert(table(rows[:5]))
+    again = LineIndex(spark, first.folder)
+    assert (again.version, again.shards) == (1, first.shards) and again.refs.count() > 0
+    again.insert(table(rows[5:]))
+    assert again.shards > first.shards
+    third = LineIndex(spark, first.folder)
+    assert (third.version, third.shards) == (2, again.shards)
+    assert told(third.apply(table(rows))) == expected(rows)
+    third.delete(table(rows[:7]).select("doc_id"))
+    assert told(LineIndex(spark, first.folder).apply(table(rows[7:]))) == expected(rows[7:])
+    (spark.range(1).write.parquet(f"{first.folder}/v4/postings"))  # a change that didn't end
+    last = LineIndex(spark, first.folder)
+    assert last.version == 3
+    last.insert(table(rows[:7]))
+    assert told(last.apply(table(rows))) == expected(rows)
+    a, b = ({(r.doc, frozenset((k.h1, k.h2) for k in r["keys"])) for r in last.drops(n).collect()} for n in (1 << 30, -1))
+    assert a == b and a
+
+
+def test_references(spark):
+    """Rows with one id are one document, and one reference."""
+    rows = [(1, "the same line here"), (1, "the same line here\nanother line of it"), (2, "the same line here")]
+    index = LineIndex(spark)
+    index.insert(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.refs for r in index.refs.collect()) == [1, 2]
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 1000, 40_000])
 def test_cuckoo(n):
     rng = np.random.default_rng(n)
