@@ -112,24 +112,20 @@ def _without(text: Column, host: Column, lost: Column) -> Column:
     return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.coalesce(F.array_contains(lost, _line_key(host, x)), F.lit(False))), "\n")
 
 
-def _chars(text: Column) -> Column:
-    """Code points of the lines of a text, stripped."""
-    return F.aggregate(F.transform(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(ENDS)))), F.lit(0).cast("long"), lambda a, n: a + n)
-
-
 def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", left_percent: int = LEFT_PERCENT, line_docs: int = LINE_DOCS, line_percent: int = LINE_PERCENT, min_words: int = MIN_WORDS, **rules) -> DataFrame:
     """For each row doc_id, the text rules' columns, lost (keys of its lines that are boilerplate, null: none),
     left_words and left_chars (of what stays), depleted and kept."""
     own = docs.select(F.col(id_col).alias("doc_id"), *_own(docs, id_col, text_col, host_col))
     common = materialise(boilerplate(own, line_docs=line_docs, line_percent=line_percent), "boilerplate")
-    hit = _lines(own).join(common, "line").groupBy("doc", "copy").agg(F.collect_set("line").alias("lost"))
-    stays = _without(F.col("text"), F.col("host"), F.col("lost"))
-    # a text that loses nothing isn't taken apart: only rows with hits are joined
-    left = own.join(hit, ["doc", "copy"]).dropDuplicates(["doc", "copy"]).withColumn("text", stays).select("doc", "copy", "lost", F.size(words_of(F.col("text"))).alias("left_words"), _chars(F.col("text")).alias("left_chars"))
+    # every occurrence by its place; lines, not texts, meet the boilerplate, and only those found are measured
+    each = own.select("doc", "copy", F.posexplode(F.transform(F.split("text", "\n"), lambda x: F.struct(_line_key(F.col("host"), x).alias("line"), x.alias("x")))).alias("i", "e"))
+    hit = each.select("doc", "copy", "i", F.col("e.line").alias("line"), F.col("e.x").alias("x")).where("line is not null").join(common, "line")
+    once = hit.groupBy("doc", "copy", "i").agg(F.min("line").alias("line"), F.max(F.length(F.btrim("x", F.lit(ENDS)))).alias("chars"), F.max(F.regexp_count("x", F.lit(r"[^\x20\x09-\x0D]+"))).alias("words"))
+    lost = once.groupBy("doc", "copy").agg(F.collect_set("line").alias("lost"), F.sum("chars").alias("lost_chars"), F.sum("words").alias("lost_words"))
     # written first: a filter on the result would otherwise be moved into the rules' expressions,
     # which then run anew for every element of every array
     ruled = materialise(text_rules(own, min_words=min_words, **rules).drop("text", "host"), "text-rules")
-    joined = ruled.join(materialise(left, "left-lines"), ["doc", "copy"], "left")
+    joined = ruled.join(lost, ["doc", "copy"], "left").withColumns({"left_words": F.col("n_words") - F.coalesce("lost_words", F.lit(0)), "left_chars": F.col("line_chars") - F.coalesce("lost_chars", F.lit(0))})
     depleted = F.col("lost").isNotNull() & ((F.col("left_words") < min_words) | (100 * F.col("left_chars") < left_percent * F.col("line_chars")))
     return joined.withColumn("depleted", depleted).withColumn("kept", ~F.col("base_failed") & ~depleted)
 
