@@ -5,19 +5,29 @@ from __future__ import annotations
 import math
 
 
-def nice_step(span: float, ticks: int = 5) -> float:
-    """The smallest of 1, 2 or 5 times a power of ten that cuts the span in at most so many steps."""
-    if span <= 0:
-        return 1.0
-    power = 10.0 ** math.floor(math.log10(span / ticks))
-    return next(m * power for m in (1, 2, 5, 10) if m * power * ticks >= span * (1 - 1e-12))
+#: The steps that an axis may have.
+STEPS = (0.1, 0.2, 0.25, 0.5, 1, 2, 5, 10)
+
+
+def figure_size(samples: int, base_width: float = 12, per_sample: float = 0.7, height: float = 4) -> tuple[float, float]:
+    """Width and height: so much a sample, but no narrower than the base."""
+    return max(base_width, samples * per_sample), height
+
+
+def nice_step(raw: float) -> float:
+    """The least step that isn't below a raw one; 1 beyond the largest."""
+    return next((s for s in STEPS if raw <= s), 1)
 
 
 def log_ticks(low: float, high: float) -> list[float]:
-    """The powers of ten from below the smallest to above the largest value."""
-    if low <= 0 or high <= 0:
-        raise ValueError("values have to be positive")
-    return [10.0**k for k in range(math.floor(math.log10(low)), math.ceil(math.log10(high)) + 1)]
+    """Whole numbers: both ends, the powers of ten between them, and five times each of those where that is between too.
+
+    Without a range above zero just the ends.
+    """
+    if not 0 < low < high:
+        return [low] if low == high else [low, high]
+    tens = [10.0**k for k in range(math.floor(math.log10(low)), math.ceil(math.log10(high)) + 1) if low < 10.0**k < high]
+    return sorted({int(round(t)) for t in [low, high, *tens, *(5 * t for t in tens if 5 * t < high)]})
 
 
 def dark(red: float, green: float, blue: float) -> bool:

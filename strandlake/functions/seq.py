@@ -16,8 +16,13 @@ def search_patterns(anchor: str) -> list[str]:
 
 
 def anchor_regex(anchor: str) -> str:
-    """One regular expression for all search patterns."""
-    return "(?:" + "|".join(p.removesuffix(".*") for p in search_patterns(anchor)) + ").*"
+    """One regular expression for all search patterns.
+
+    One base is free, so one half of the anchor stands as it is: places without either half are passed
+    by at once.
+    """
+    half = len(anchor) // 2
+    return f"(?:{'|'.join(p.removesuffix('.*') for p in search_patterns(anchor))}).*" if half < 4 else f"(?={anchor[:half]}|.{{{half}}}{anchor[half:]})(?:{'|'.join(p.removesuffix('.*') for p in search_patterns(anchor))}).*"
 
 
 def anchored(read: Column, anchor: str) -> Column:

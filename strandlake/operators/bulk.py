@@ -13,7 +13,9 @@ def extract(reads: DataFrame, *, anchor: str, start: int = 23, length: int = 18)
 
     Too short ends give short barcodes or empty ones; counting drops them.
     """
-    return reads.select("sample", F.substring(anchored(F.col("seq"), anchor), start, length).alias("gbc")).where("gbc is not null")
+    # a generator keeps filters on the result from repeating the pattern
+    tail = reads.select("sample", F.explode(F.array(anchored(F.col("seq"), anchor))).alias("tail"))
+    return tail.where("tail is not null").select("sample", F.substring("tail", start, length).alias("gbc"))
 
 
 def raw_counts(barcodes: DataFrame, *, length: int = 18) -> DataFrame:

@@ -5,6 +5,8 @@ Each table holds all samples; ``sample`` is part of every key.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -212,6 +214,24 @@ def support_density(scored: DataFrame, bins: int = 20) -> DataFrame:
     return scored.groupBy("sample", cut("max_ratio").alias("ratio_bin"), cut("normalized_abundance").alias("abundance_bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def support_kde(scored: DataFrame, points: int = 20) -> DataFrame:
+    """(sample, x, y, density): a Gaussian kernel density of max_ratio and normalized_abundance on a grid over the unit square.
+
+    The kernel has the sample's covariance, scaled by Scott's rule; equal points are counted first, so the work grows with
+    distinct points times the grid. A sample without an area has no rows.
+    """
+    both = scored.select("sample", F.col("max_ratio").alias("x"), F.col("normalized_abundance").alias("y"))
+    weights = both.groupBy("sample", "x", "y").agg(F.count(F.lit(1)).alias("w"))
+    shape = both.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"), F.covar_samp("x", "y").alias("c"))
+    kernel = shape.withColumns({"f": F.pow(F.col("n").cast("double"), F.lit(-1 / 3)), "det": F.col("vx") * F.col("vy") - F.col("c") * F.col("c")}).where("det > 1e-12")
+    centres = F.array(*(F.lit((i + 0.5) / points) for i in range(points)))
+    grid = kernel.withColumn("gx", F.explode(centres)).withColumn("gy", F.explode(centres))
+    dx, dy = F.col("gx") - F.col("x"), F.col("gy") - F.col("y")
+    form = (F.col("vy") * dx * dx - 2 * F.col("c") * dx * dy + F.col("vx") * dy * dy) / (F.col("det") * F.col("f"))
+    summed = grid.join(weights, "sample").groupBy("sample", "gx", "gy", "n", "f", "det").agg(F.sum(F.col("w") * F.exp(-form / 2)).alias("s"))
+    return summed.select("sample", F.col("gx").alias("x"), F.col("gy").alias("y"), (F.col("s") / (F.col("n") * 2 * math.pi * F.col("f") * F.sqrt("det"))).alias("density"))
+
+
 def retained_share(status: DataFrame) -> DataFrame:
     """(sample, n_combos, retained_percent)."""
     return status.groupBy("sample").agg(F.count(F.lit(1)).alias("n_combos"), (100 * F.count_if(F.col("status") == "supported") / F.count(F.lit(1))).alias("retained_percent"))

@@ -1,21 +1,29 @@
 """Hamming similarity joins by the pigeonhole principle.
 
-Two sequences of one length within t substitutions agree on at least one of t + 1 disjoint segments.
-Each side sends one key a segment, equal keys meet in a hash join, and the packed distance
-decides. No pair within t is missed, and no side is crossed with the other.
+Two sequences of one length within t substitutions agree on at least m - t of m disjoint segments.
+Each side sends a key for each choice of m - t segments, equal keys meet in a hash join, and the packed
+distance decides. No pair within t is missed, and no side is crossed with the other. More segments
+make longer keys, which bring fewer chance pairs together, and more of them.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.functions.seq import MAX_PACKED, hamming, packed, packed_hamming
 
 
-def segments(length: int, threshold: int) -> list[tuple[int, int]]:
-    """(start, length) of threshold + 1 segments, counted from 1, as equal as can be."""
-    parts = threshold + 1
+#: Bases of a key, at least where the length allows it, and keys a sequence, at most.
+KEY_BASES = 8
+KEYS = 20
+
+
+def segments(length: int, parts: int) -> list[tuple[int, int]]:
+    """(start, length) of so many segments, counted from 1, as equal as can be."""
     if parts > length:
         raise ValueError(f"{length} bases can't be cut into {parts} segments")
     short, more = divmod(length, parts)
@@ -27,9 +35,31 @@ def segments(length: int, threshold: int) -> list[tuple[int, int]]:
     return out
 
 
+def choices(length: int, threshold: int) -> list[tuple[tuple[int, int], ...]]:
+    """The segments of each key: of the fewest that make keys of KEY_BASES, or of the longest keys there are."""
+    best = None
+    for parts in range(threshold + 1, length + 1):
+        if math.comb(parts, threshold) > KEYS:
+            break
+        cut = segments(length, parts)
+        keys = list(itertools.combinations(cut, parts - threshold))
+        bases = min(sum(size for _, size in k) for k in keys)
+        if best is None or bases > best[0]:
+            best = bases, keys
+        if bases >= KEY_BASES:
+            break
+    if best is None:
+        raise ValueError(f"{length} bases and {threshold} substitutions need over {KEYS} keys")
+    return best[1]
+
+
+def _bases(seq: str | Column, key: tuple[tuple[int, int], ...]) -> Column:
+    return F.concat(*(F.substring(seq, at, size) for at, size in key))
+
+
 def segment_keys(seq: Column, length: int, threshold: int) -> Column:
-    """One string for each segment: its number and its bases."""
-    return F.array(*(F.concat(F.lit(f"{i}:"), F.substring(seq, at, size)) for i, (at, size) in enumerate(segments(length, threshold))))
+    """One string for each key: its number and its bases."""
+    return F.array(*(F.concat(F.lit(f"{i}:"), _bases(seq, key)) for i, key in enumerate(choices(length, threshold))))
 
 
 def distance(a: Column, b: Column, length: int) -> Column:
@@ -44,7 +74,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, *, by: list[str], left_col:
     The result has the columns of both and ``hamming``.
     """
     short = length <= MAX_PACKED
-    keys = segments(length, threshold)
+    keys = choices(length, threshold)
 
     def sent(df: DataFrame, col: str, side: str) -> DataFrame:
         own = df.where(F.length(col) == length)
@@ -57,8 +87,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, *, by: list[str], left_col:
         met = met.where(condition)
     ham = packed_hamming(F.col("__l"), F.col("__r")) if short else hamming(F.col(left_col), F.col(right_col))
     near = met.withColumn("hamming", ham.cast("int")).where(F.col("hamming") <= threshold)
-    # a pair that agrees on several segments is told by the first of them, without a second shuffle
-    first = F.coalesce(*(F.when(F.substring(left_col, at, size) == F.substring(right_col, at, size), F.lit(f"{i}:")) for i, (at, size) in enumerate(keys)))
+    # a pair that agrees on several keys is told by the first of them, without a second shuffle
+    first = F.coalesce(*(F.when(_bases(left_col, key) == _bases(right_col, key), F.lit(f"{i}:")) for i, key in enumerate(keys)))
     return near.where(F.col("__key").startswith(first)).drop("__key", "__l", "__r")
 
 

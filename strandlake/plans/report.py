@@ -17,11 +17,36 @@ PAGE = """<!doctype html><html><head><meta charset="utf-8"><title>{title}</title
 <script type="application/json" id="data">{data}</script></body></html>"""
 
 
-def sample_documents(metrics: DataFrame, parameters: dict) -> DataFrame:
-    """(sample, document): one JSON document a sample with its parameters and metrics."""
+#: What the metrics of a run are, for its documents.
+METRICS = {
+    "total_reads": "Reads of the sample", "mapped_reads": "Reads that are mapped", "unmapped_reads": "Reads that aren't mapped",
+    "unique_gbc_bulk_ref": "Barcodes in the bulk reference", "unique_gbc_sc": "Barcodes seen in single cells", "unique_good_GBCs": "Barcodes left after filtering",
+    "unsupported_combos": "Pairs of cell and barcode without support", "supported_combos": "Pairs of cell and barcode with support",
+    "observed_moi_median": "Median of barcodes a cell", "observed_moi_std": "Standard deviation of barcodes a cell", "starting_CBCs": "Cells with any barcode",
+    "uniquely_barcoded_cells": "Cells with one barcode", "n_clones": "Clones", "n_clones_10plus": "Clones of ten cells or more",
+    "n_putative_cells": "Cells that were called", "total_n_transcripts": "Transcripts that were seen",
+    "total_GBC_reads": "Reads with a barcode", "n_unique_GBCs": "Barcodes as read", "n_filtered_GBCs": "Barcodes in the whitelist",
+    "n_corrected_GBCs": "Barcodes that others were corrected to", "n_degenerated_GBCs": "Barcodes that were corrected", "median_n_reads_added": "Median of reads that a correction adds",
+}
+
+
+def sample_documents(metrics: DataFrame, parameters: dict, *, run_type: str = "bulk_gbc", input_type: str | None = None, images: DataFrame | None = None, day: date | None = None, user: str | None = None, folder: str | None = None) -> DataFrame:
+    """(sample, document): one JSON document a sample with the run, its parameters, what the metrics mean, and the sample's own.
+
+    ``images``: (sample, title, image), images as base64.
+    """
     values = [c for c in metrics.columns if c != "sample"]
-    body = F.struct("sample", F.lit(json.dumps(parameters, sort_keys=True)).alias("parameters"), F.struct(*values).alias("metrics"))
-    return metrics.select("sample", F.to_json(body).alias("document"))
+    own = metrics
+    if images is None:
+        own = own.withColumn("qc_images", F.expr("cast(array() as array<struct<title:string,image:string>>)"))
+    else:
+        own = own.join(images.groupBy("sample").agg(F.array_sort(F.collect_list(F.struct("title", "image"))).alias("qc_images")), "sample", "left")
+    run = F.struct(F.lit(str(day or date.today())).alias("date"), F.lit(user).alias("user"), F.lit(folder).alias("working_directory"))
+    settings = F.struct(*(F.lit(None if v is None else str(v)).alias(k) for k, v in sorted(parameters.items()))) if parameters else F.struct(F.lit(None).cast("string").alias("none"))
+    told = F.struct(*(F.lit(METRICS[c]).alias(c) for c in values if c in METRICS))
+    sample = F.struct(F.col("sample").alias("id"), F.struct(*values).alias("metrics"), "qc_images", F.lit(input_type).alias("raw_data_input_type"))
+    body = F.struct(F.lit(run_type).alias("run_type"), run.alias("run_info"), settings.alias("parameters"), told.alias("metrics_info"), F.array(sample).alias("samples"))
+    return own.select("sample", F.to_json(body).alias("document"))
 
 
 def run_document(metrics: DataFrame, parameters: dict, *, run_type: str, day: date | None = None) -> dict:

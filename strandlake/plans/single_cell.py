@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strandlake.operators import consensus, sc
 from strandlake.params import ScParams
@@ -40,3 +41,24 @@ def run_single_cell(elements: DataFrame, params: ScParams = ScParams(), *, bulk:
     status = sc.support(sc.poisson(sc.combos(sc.umi_counts(own))), params, sample_params)
     cells = sc.cell_gbc(status)
     return ScResult(status, cells, sc.clones(sc.unique_cells(cells)), sc.cell_table(cells), sc.run_metrics(status))
+
+
+def run_summary(
+    metrics: DataFrame, *, bulk: DataFrame | None = None, elements: DataFrame | None = None, reads: DataFrame | None = None,
+    alignments: DataFrame | None = None, barcodes: DataFrame | None = None, features: DataFrame | None = None,
+) -> DataFrame:
+    """The metrics of clone calling with what other sources tell of each sample; null where there is no source.
+
+    ``bulk`` and ``barcodes`` and ``features`` have a row for each entry, ``reads`` (sample, total_reads) and ``alignments``
+    (sample, mapped_reads, unmapped_reads) are counted already, by the kind of input there is.
+    """
+    lines = lambda df, name: None if df is None else df.groupBy("sample").agg(F.count(F.lit(1)).alias(name))
+    parts = {
+        "unique_gbc_bulk_ref": lines(bulk, "unique_gbc_bulk_ref"), "unique_gbc_sc": None if elements is None else sc.unique_gbcs(elements),
+        "total_reads": reads, "mapped_reads": alignments, "unmapped_reads": alignments,
+        "n_putative_cells": lines(barcodes, "n_putative_cells"), "total_n_transcripts": lines(features, "total_n_transcripts"),
+    }
+    out = metrics
+    for name, part in parts.items():
+        out = out.withColumn(name, F.lit(None).cast("long")) if part is None else out.join(part.select("sample", F.col(name).cast("long")), "sample", "left")
+    return out

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake import fixtures as fx
-from strandlake.functions.seq import anchor_regex, reverse_complement
+from strandlake.functions.seq import reverse_complement, search_patterns
 from strandlake.operators import bulk, bulk_summary, channels, cluster, consensus, sc
 from strandlake.params import BulkParams, ScParams
 from strandlake.sources import sequences, tables
@@ -45,8 +45,9 @@ def rounded(df: DataFrame) -> DataFrame:
 
 # -- what several oracles share
 
+ANCHOR = "(?:" + "|".join(p.removesuffix(".*") for p in search_patterns(BULK.anchor)) + ").*"
 READS = f"reads AS ({fx.BULK_READS})"
-GBC = f"{READS}, barcodes AS (SELECT sample, substring(regexp_extract(seq, '{anchor_regex(BULK.anchor)}', 0), 23, 18) AS gbc FROM reads WHERE regexp_matches(seq, '{anchor_regex(BULK.anchor)}'))"
+GBC = f"{READS}, barcodes AS (SELECT sample, substring(regexp_extract(seq, '{ANCHOR}', 0), 23, 18) AS gbc FROM reads WHERE regexp_matches(seq, '{ANCHOR}'))"
 RAW = f"{GBC}, raw AS (SELECT sample, gbc, count(*)::bigint AS read_counts FROM barcodes WHERE length(gbc) = 18 GROUP BY ALL)"
 EDGES = f"""{RAW}, nodes AS (SELECT * FROM raw WHERE read_counts > 1),
 edges AS (SELECT a.sample, a.gbc AS src, b.gbc AS dst, a.read_counts AS n_src, b.read_counts AS n_dst, hamming(a.gbc, b.gbc)::bigint AS hamming
@@ -183,11 +184,11 @@ def before_after_fit(spark, sf_dir):
 
 @query(f"""WITH {RAW}, v AS (SELECT sample, log10(read_counts + 1) AS value FROM raw),
 s AS (SELECT sample, min(value) AS lo, max(value) AS hi, stddev_samp(value) AS sd, count(*) AS n FROM v GROUP BY 1),
-g AS (SELECT sample, n, sd * pow(n, -0.2) AS h, lo + i * (hi - lo) / 49 AS x, i FROM s CROSS JOIN range(50) t(i) WHERE sd > 0)
+g AS (SELECT sample, n, sd * pow(n, -0.2) AS h, lo + i * (hi - lo) / 199 AS x, i FROM s CROSS JOIN range(200) t(i) WHERE sd > 0)
 SELECT g.sample, round(g.x, 6) AS x, round(sum(exp(-0.5 * pow((g.x - v.value) / g.h, 2))) / (any_value(g.n) * any_value(g.h) * sqrt(2 * pi())), 6) AS density FROM g JOIN v ON g.sample = v.sample GROUP BY g.sample, g.i, g.x""")
 def raw_count_kde(spark, sf_dir):
     values = _raw(spark, sf_dir).select("sample", F.log10(F.col("read_counts") + F.lit(1.0)).alias("value"))
-    return rounded(bulk_summary.density(values, points=50))
+    return rounded(bulk_summary.density(values, points=200))
 
 
 @query(f"WITH {RAW} SELECT sample, round(median(log10(read_counts + 1)), 6) AS median_log10 FROM raw GROUP BY 1")
@@ -538,3 +539,6 @@ def clone_summary_parse(spark, sf_dir):
     )
     t = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("sample"), F.explode(lines).alias("value"))
     return rounded(tables.clone_summary(t))
+
+
+from strandlake import registry_files  # noqa: E402, F401  (registers the queries that go through files)

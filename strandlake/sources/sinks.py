@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandlake.functions.seq import search_patterns
+
 
 def write_csv(table: DataFrame, path: str, *, sep: str = ",", gzip: bool = False, by_sample: bool = False) -> None:
     """CSV or TSV with a header; one folder for each sample if wanted."""
@@ -26,8 +28,43 @@ def write_counts(corrected: DataFrame, path: str) -> None:
     write_csv(corrected.select("sample", "gbc", "read_count"), path, by_sample=True)
 
 
+def indexed(table: DataFrame) -> DataFrame:
+    """With a first column without a name that numbers the rows, not in unbroken order."""
+    return table.select(F.monotonically_increasing_id().alias(""), "*")
+
+
 def write_combos(status: DataFrame, path: str) -> None:
-    write_csv(status, path, sep="\t", gzip=True, by_sample=True)
+    write_csv(indexed(status), path, sep="\t", gzip=True, by_sample=True)
+
+
+def write_reference(reference: DataFrame, path: str) -> None:
+    """The whitelist of all samples in one table."""
+    write_csv(indexed(reference.select("gbc", "read_count", "sample")), path)
+
+
+def write_overlap(common: DataFrame, path: str) -> None:
+    """Barcodes that two samples have in common, as a matrix; samples are few."""
+    wide = common.groupBy("sample_x").pivot("sample_y").agg(F.first("n_common"))
+    write_csv(wide.withColumnRenamed("sample_x", ""), path)
+
+
+def write_cells(cells: DataFrame, path: str) -> None:
+    write_csv(cells.select("sample", "cell_id", "GBC"), path, by_sample=True)
+
+
+def write_patterns(spark: SparkSession, anchor: str, path: str) -> None:
+    """The search patterns of an anchor, one a line."""
+    spark.createDataFrame([(p,) for p in search_patterns(anchor)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_barcodes(barcodes: DataFrame, path: str) -> None:
+    """Barcodes as read, uncorrected, one a line, a folder for each sample."""
+    barcodes.select("sample", "gbc").write.mode("overwrite").partitionBy("sample").text(path)
+
+
+def write_chunks(chunks: DataFrame, path: str) -> None:
+    """Cell barcodes by chunk, one a line, a folder for each sample and chunk."""
+    chunks.select("sample", "chunk", "CB").write.mode("overwrite").partitionBy("sample", "chunk").text(path)
 
 
 def write_clones(clones: DataFrame, path: str) -> None:
@@ -51,3 +88,17 @@ def write_parquet(table: DataFrame, path: str) -> None:
 def write_json(documents: DataFrame, path: str) -> None:
     """One JSON document a row."""
     documents.select(F.to_json(F.struct(*documents.columns)).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_fastq(reads: DataFrame, folder: str, mate: str) -> None:
+    """Reads (read_id, seq, qual) as compressed FASTQ files of a mate, added to a folder; records stay whole."""
+    spark = reads.sparkSession
+    own = f"{folder}/_{mate}"
+    reads.select(F.concat(F.lit("@"), "read_id", F.lit("\n"), "seq", F.lit("\n+\n"), "qual")).write.mode("overwrite").option("compression", "gzip").text(own)
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(own)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in store.listStatus(where) if f.getPath().getName().startswith("part-"))
+    for k, name in enumerate(names):
+        store.rename(jvm.org.apache.hadoop.fs.Path(own, name), jvm.org.apache.hadoop.fs.Path(folder, f"x_L{k:05d}_{mate}_001.fastq.gz"))
+    store.delete(where, True)

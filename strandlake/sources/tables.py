@@ -4,14 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandlake import schemas
 from strandlake.operators.channels import positive_umis
 
 
+def named(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
+    """The columns of a schema by their names in the files' header, whatever their order and whatever others there are.
+
+    Values that can't be read as their type are null; a column that isn't there is an error. Columns
+    in folder names (sample=...) count too, as they stand there.
+    """
+    there = spark.read.csv(path, header=True, sep=sep).columns
+    wanted = T.StructType.fromDDL(schema).fields
+    missing = [f.name for f in wanted if f.name not in there]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    strings = T.StructType([T.StructField(c, T.StringType()) for c in there])
+    # a header without a name (an index) can't be held against a schema
+    rows = spark.read.schema(strings).csv(path, header=True, sep=sep, enforceSchema="_c0" in there)
+    return rows.select(*(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted))
+
+
 def bulk_sheet(spark: SparkSession, path: str) -> DataFrame:
     """(sample, folder) of the bulk sample sheet."""
-    rows = spark.read.schema(schemas.BULK_SHEET).csv(path, header=True, mode="FAILFAST")
+    rows = named(spark, path, schemas.BULK_SHEET)
     return rows.select(F.col("ID_we_want").alias("sample"), F.concat_ws("/", "path_bulk", "folder_name_bulk").alias("folder"))
 
 
@@ -19,7 +37,7 @@ def sc_sheet(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """The single-cell sheet of an input type: 'fastq', 'fastq,GBC' or 'bam'; others are an error."""
     match kind:
         case "fastq" | "fastq,GBC" | "bam":
-            return spark.read.schema(schemas.SC_SHEETS[kind]).csv(path, header=True, mode="FAILFAST")
+            return named(spark, path, schemas.SC_SHEETS[kind])
         case _:
             raise ValueError(f"unknown input type {kind!r}: 'fastq', 'fastq,GBC' or 'bam'")
 
@@ -48,21 +66,21 @@ def spikeins(spark: SparkSession, path: str | None) -> DataFrame | None:
 
 def sc_elements(spark: SparkSession, path: str) -> DataFrame:
     """Elements with all columns as strings; several files are one table, each with its header."""
-    return spark.read.schema(schemas.SC_ELEMENTS).csv(path, sep="\t", header=True)
+    return named(spark, path, schemas.SC_ELEMENTS, "\t")
 
 
 def bulk_reference(spark: SparkSession, path: str, sample: str | None = None) -> DataFrame:
     """(gbc, read_count, sample); of one sample if named."""
-    rows = spark.read.schema(schemas.BULK_REFERENCE).csv(path, header=True).drop("index")
+    rows = named(spark, path, schemas.BULK_REFERENCE)
     return rows if sample is None else rows.where(F.col("sample") == sample)
 
 
 def sample_map(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.SAMPLE_MAP).csv(path, header=True)
+    return named(spark, path, schemas.SAMPLE_MAP)
 
 
 def sample_params(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.SAMPLE_PARAMS).csv(path, header=True)
+    return named(spark, path, schemas.SAMPLE_PARAMS)
 
 
 def count_table(spark: SparkSession, path: str) -> DataFrame:
@@ -73,8 +91,37 @@ def count_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def combos(spark: SparkSession, path: str) -> DataFrame:
-    """The combos table, read tolerantly: only rows with a positive number of UMIs."""
-    return positive_umis(spark.read.schema(schemas.COMBOS).csv(path, sep="\t", header=True).drop("index"))
+    """The combos table, read tolerantly: only rows with a positive number of UMIs; with their sample, where folders name it."""
+    own = "sample string, " if "sample" in spark.read.csv(path, sep="\t", header=True).columns else ""
+    return positive_umis(named(spark, path, own + schemas.COMBOS, "\t"))
+
+
+def correction(spark: SparkSession, path: str) -> DataFrame:
+    """Correction tables of all samples, by folder."""
+    return named(spark, path, "sample string, " + schemas.CORRECTION)
+
+
+def clone_table(spark: SparkSession, path: str) -> DataFrame:
+    """Clone tables of all samples, by folder."""
+    return named(spark, path, schemas.CLONES).withColumnRenamed("n cells", "n_cells")
+
+
+def cell_table(spark: SparkSession, path: str) -> DataFrame:
+    """Cell tables of all samples, by folder."""
+    return named(spark, path, schemas.CELLS)
+
+
+def sample_counts(spark: SparkSession, path: str, count: str = "read_count") -> DataFrame:
+    """(sample, gbc and the count) of all samples, by folder."""
+    return named(spark, path, f"sample string, gbc string, {count} long")
+
+
+def overlap_matrix(spark: SparkSession, path: str) -> DataFrame:
+    """(sample_x, sample_y, n_common) from a matrix with a column for each sample."""
+    samples = [c for c in spark.read.csv(path, header=True).columns if c != "_c0"]
+    rows = spark.read.csv(path, header=True)
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("sample_y"), F.col(f"`{c}`").try_cast("long").alias("n_common")) for c in samples))).alias("x")
+    return rows.select(F.col("_c0").alias("sample_x"), each).select("sample_x", "x.*")
 
 
 def json_documents(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:

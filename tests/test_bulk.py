@@ -131,6 +131,9 @@ def test_overlap_is_symmetric(spark):
 
 
 def test_segments():
-    assert similarity.segments(18, 3) == [(1, 5), (6, 5), (11, 4), (15, 4)]
+    assert similarity.segments(18, 4) == [(1, 5), (6, 5), (11, 4), (15, 4)]
+    for length, threshold in ((18, 1), (18, 2), (18, 3), (16, 2)):
+        keys = similarity.choices(length, threshold)
+        assert min(sum(n for _, n in k) for k in keys) >= 8 and len(keys) <= 20
     with pytest.raises(ValueError):
-        similarity.segments(3, 3)
+        similarity.segments(3, 4)

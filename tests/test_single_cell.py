@@ -127,8 +127,10 @@ def test_consensus(spark):
 
 
 def test_axis():
-    assert axis.nice_step(100) == 20 and axis.nice_step(0) == 1
-    assert axis.log_ticks(3, 2000) == [1, 10, 100, 1000, 10000]
+    assert [axis.nice_step(x) for x in (0, 0.15, 0.22, 0.3, 1.5, 4, 10, 11)] == [0.1, 0.2, 0.25, 0.5, 2, 5, 10, 1]
+    assert axis.log_ticks(3, 2000) == [3, 10, 50, 100, 500, 1000, 2000] and axis.log_ticks(1, 10) == [1, 10]
+    assert axis.log_ticks(0, 5) == [0, 5] and axis.log_ticks(4, 4) == [4]
+    assert axis.figure_size(3) == (12, 4) and axis.figure_size(40) == (28, 4)
     assert axis.dark(0, 0, 0) and not axis.dark(1, 1, 1)
 
 
