@@ -444,7 +444,7 @@ def _links(windows: DataFrame, *, shingle: int, passage: int, similarity: float,
     """(ta, fa, na, tb, fb, nb): verified stretches of na and nb words in two texts, from windows (sig, text, c, before, codes)."""
     sizes = windows.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
     hot = _few(materialise(sizes.where(F.col("size") > bucket).select("sig"), "hot-signatures"))
-    many = windows.join(hot, "sig", "left_semi").where(F.length("codes") >= passage)
+    many = materialise(windows.join(hot, "sig", "left_semi").where(F.length("codes") >= passage).select("sig", "text", "c", "before", "codes"), "many")
     place = F.struct("text", "c")
     # the same words around c in several texts: linked to the first, or its text's to the last
     ends = materialise(many.groupBy("sig", "before", "codes").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low.text <> high.text"), "equal-windows")
