@@ -40,6 +40,8 @@ FIT_TOTAL = 24_000
 LEAST_ROWS = 8
 LANDMARKS = 256
 RIDGE = 1e-2
+#: Languages whose counts are broadcast, at most.
+SENT = 100_000
 BATCH = 256
 
 _between = re.compile(r"[\W\d_]+")
@@ -126,9 +128,10 @@ def learn(labelled: DataFrame, *, fit_rows: int = FIT_ROWS, fit_total: int = FIT
     if not langs:
         return None
     quota = max(LEAST_ROWS, min(fit_rows, fit_total // langs))
+    named = F.broadcast if langs <= SENT else lambda df: df
     order = F.xxhash64("key", F.lit(11))
     share = counts.select("lang", F.least(F.lit(1.0), quota / F.col("n")).alias("share"))
-    dealt = rows.withColumn("order", order).join(share, "lang").where(F.pmod("order", F.lit(1 << 30)) < F.col("share") * float(1 << 30))
+    dealt = rows.withColumn("order", order).join(named(share), "lang").where(F.pmod("order", F.lit(1 << 30)) < F.col("share") * float(1 << 30))
     got = dealt.select("lang", "text", "order").mapInArrow(_features, "lang string, order long, bits binary").where("bits is not null").collect()
     got.sort(key=lambda r: (r["order"], r["lang"], r["bits"]))
     if not got:
