@@ -23,6 +23,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +82,7 @@ def _scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str | None, bytes
             words = words_of(raw)
             spans, got = [], set()
             if found is not None and words:
-                for end, (n, size) in found.iter(tuple(number.get(w, 0) for w in words)):
+                for end, (n, size) in found.iter(tuple(map(number.get, words, repeat(0)))):
                     got.add(n)
                     begin = end - size + 1
                     # spans of words, last exclusive; they come by their ends
@@ -157,7 +158,7 @@ def _clean(batches: Iterator[pa.RecordBatch], text_at: int, items: list[tuple[st
     found, _, number = _automaton_of(items, window)
     for batch in slices(batches):
         if found is not None:
-            texts = (tuple(number.get(w, 0) for w in words_of(raw)) for raw in utf8(batch.column(text_at)))
+            texts = (tuple(map(number.get, words_of(raw), repeat(0))) for raw in utf8(batch.column(text_at)))
             batch = batch.filter(pa.array([not t or next(found.iter(t), None) is None for t in texts], pa.bool_()))
         yield batch
 
