@@ -65,7 +65,7 @@ SKIP = 20
 #: Rows of a table that is broadcast, at most.
 SENT = 1_000_000
 #: Words that are worked on at a time; a longer text is a batch of its own.
-BATCH_WORDS = 1 << 21
+BATCH_WORDS = 1 << 19
 #: Bytes of the filter of shared signatures that is broadcast, at most.
 FILTER_BYTES = 64 << 20
 
