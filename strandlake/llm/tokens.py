@@ -11,6 +11,8 @@ special token may stand: by default it becomes that token's id, as the library h
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import unicodedata
 from array import array
@@ -21,9 +23,9 @@ MEMO_PIECES = 500_000
 MEMO_CHARS = 48
 
 _word = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!]?)")
-#: White space in a piece beyond one line break before it.
 #: What every special token of these vocabularies begins with.
 MARK = "<|"
+#: White space in a piece beyond one line break before it.
 _odd_space = re.compile(r"\A\n?\Z|.\s|\A[^\S\n]|[\x1c-\x1f\x85]", re.S)
 _encoders: dict[tuple, "Encoder"] = {}
 
@@ -130,5 +132,10 @@ def encoder(path: str, leading_space: bool, special_as_text: bool = False) -> En
 
 
 def forget() -> None:
-    """Frees the memory of this worker's encoders, for operators that don't encode."""
-    _encoders.clear()
+    """Frees the memory of this worker's encoders, for operators that don't encode, and gives it back to the system."""
+    if _encoders:
+        _encoders.clear()
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # GNU's C library has it
+        if trim:
+            trim(0)
