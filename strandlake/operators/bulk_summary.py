@@ -6,7 +6,8 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from strandlake.operators.ranks import numbered, prefix
 
 
 def reference(corrected: DataFrame) -> DataFrame:
@@ -54,16 +55,9 @@ def prevalence(joined: DataFrame) -> DataFrame:
 
 
 def cumulative(corrected: DataFrame) -> DataFrame:
-    """(sample, gbc, read_count, cdf): row number over number of rows, counts ascending, all samples together.
-
-    Rows of a count share a partition's running number, not one global sort: distinct counts are
-    numbered, and each row's place within its count is added.
-    """
-    per = corrected.groupBy("read_count").agg(F.count(F.lit(1)).alias("n"))
-    # the distinct counts are few against the rows
-    before = per.withColumn("before", F.sum("n").over(Window.orderBy("read_count")) - F.col("n")).withColumn("total", F.sum("n").over(Window.partitionBy()))
-    within = corrected.withColumn("k", F.row_number().over(Window.partitionBy("read_count").orderBy("sample", "gbc")))
-    return within.join(before.select("read_count", "before", "total"), "read_count").select("sample", "gbc", "read_count", ((F.col("before") + F.col("k")) / F.col("total")).alias("cdf"))
+    """(sample, gbc, read_count, cdf): row number over number of rows, counts ascending, all samples together."""
+    told = numbered(corrected.select("sample", "gbc", "read_count"), [], [F.col("read_count"), F.col("sample"), prefix("gbc", 4)], [F.col("gbc")], total=True)
+    return told.select("sample", "gbc", "read_count", (F.col("place") / F.col("total")).alias("cdf"))
 
 
 def before_after(raw: DataFrame, corrected: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandlake.operators.ranks import numbered, prefix
+
 
 def tagged(reads: DataFrame, contig: str) -> DataFrame:
     """Mapped reads on the contig with a cell tag; '-' stands for none."""
@@ -25,8 +27,7 @@ def in_cells(reads: DataFrame, barcodes: DataFrame) -> DataFrame:
 
 def chunks(barcodes: DataFrame, size: int) -> DataFrame:
     """(sample, CB, chunk): consecutive slices of the list, numbered from 0 in each sample."""
-    place = F.row_number().over(Window.partitionBy("sample").orderBy("CB"))
-    return barcodes.select("sample", "CB", F.floor((place - 1) / size).cast("long").alias("chunk"))
+    return numbered(barcodes.select("sample", "CB"), ["sample"], [prefix("CB")], [F.col("CB")]).select("sample", "CB", F.floor((F.col("place") - 1) / size).cast("long").alias("chunk"))
 
 
 def molecules(reads: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandlake.functions.seq import checked_reverse_complement, minus_log10, poisson_upper_tail
+from strandlake.operators.ranks import numbered, prefix
 from strandlake.operators.similarity import nearest
 from strandlake.params import ScParams
 
@@ -120,9 +121,9 @@ def clones(cells: DataFrame) -> DataFrame:
     """(sample, clone, GBC_set, n_cells, prevalence): cells by their set of barcodes, largest first, then by set."""
     sets = cells.where("umi > 0").groupBy("sample", "CBC").agg(F.array_join(F.array_sort(F.collect_set("GBC")), ";").alias("GBC_set"))
     sizes = sets.groupBy("sample", "GBC_set").agg(F.count(F.lit(1)).alias("n_cells"))
-    rank = F.row_number().over(Window.partitionBy("sample").orderBy(F.desc("n_cells"), "GBC_set")) - 1
-    total = F.sum("n_cells").over(Window.partitionBy("sample"))
-    return sizes.select("sample", F.concat(F.lit("C"), rank.cast("string")).alias("clone"), "GBC_set", "n_cells", (F.col("n_cells") / total).alias("prevalence"))
+    whole = sizes.groupBy("sample").agg(F.sum("n_cells").alias("cells"))
+    ranked = numbered(sizes, ["sample"], [-F.col("n_cells"), prefix("GBC_set")], [F.col("GBC_set")]).join(whole, "sample")
+    return ranked.select("sample", F.concat(F.lit("C"), (F.col("place") - 1).cast("string")).alias("clone"), "GBC_set", "n_cells", (F.col("n_cells") / F.col("cells")).alias("prevalence"))
 
 
 def unique_cells(cells: DataFrame) -> DataFrame:
@@ -186,16 +187,14 @@ def bulk_check(status: DataFrame, bulk: DataFrame) -> DataFrame:
 
 def umi_rank_curve(combos_: DataFrame) -> DataFrame:
     """(sample, rank, umi): UMI counts descending, from a point at (0, 0)."""
-    rank = F.row_number().over(Window.partitionBy("sample").orderBy(F.desc("umi"), "CBC", "GBC"))
-    points = combos_.select("sample", rank.cast("long").alias("rank"), "umi")
+    points = numbered(combos_.select("sample", "umi", "CBC", "GBC"), ["sample"], [-F.col("umi"), prefix("CBC")], [F.col("CBC"), F.col("GBC")]).select("sample", F.col("place").alias("rank"), "umi")
     zero = combos_.select("sample").distinct().select("sample", F.lit(0).cast("long").alias("rank"), F.lit(0).cast("long").alias("umi"))
     return points.unionByName(zero)
 
 
 def clone_size_curve(clones_: DataFrame) -> DataFrame:
     """(sample, clone, n_cells, n_larger): how many clones are at least as far up, 1 for the largest."""
-    place = F.row_number().over(Window.partitionBy("sample").orderBy(F.desc("n_cells"), "GBC_set"))
-    return clones_.select("sample", "clone", "n_cells", place.cast("long").alias("n_larger"))
+    return numbered(clones_, ["sample"], [-F.col("n_cells"), prefix("GBC_set")], [F.col("GBC_set")]).select("sample", "clone", "n_cells", F.col("place").alias("n_larger"))
 
 
 def box_stats(values: DataFrame, column: str = "umi") -> DataFrame:
