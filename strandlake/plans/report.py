@@ -9,12 +9,20 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: A click on a column's head sorts the table by it, a second one the other way: by number if all its cells are numbers.
+SORT = """for (const head of document.querySelectorAll("th")) head.onclick = () => {
+  const body = document.querySelector("tbody"), rows = [...body.rows], text = r => r.cells[head.cellIndex].textContent.trim();
+  const numeric = rows.every(r => text(r) !== "" && !isNaN(text(r))), sign = head.dataset.sign = head.dataset.sign === "1" ? -1 : 1;
+  rows.sort((a, b) => sign * (numeric ? text(a) - text(b) : text(a).localeCompare(text(b))));
+  body.append(...rows);
+};"""
+
 PAGE = """<!doctype html><html><head><meta charset="utf-8"><title>{title}</title>
 <style>body{{font:15px sans-serif;margin:2em}}table{{border-collapse:collapse}}td,th{{border:1px solid #999;padding:.3em .6em;text-align:right}}td:first-child{{text-align:left}}</style>
 </head><body><h1>{title}</h1><p>{date}</p><h2>Parameters</h2><ul>{params}</ul><h2>Samples</h2>
 <input placeholder="search" oninput="for(const r of document.querySelectorAll('tbody tr'))r.hidden=!r.textContent.toLowerCase().includes(this.value.toLowerCase())">
 <table><thead><tr>{head}</tr></thead><tbody>{rows}</tbody></table>
-<script type="application/json" id="data">{data}</script></body></html>"""
+<script type="application/json" id="data">{data}</script><script>{sort}</script></body></html>"""
 
 
 #: What the metrics of a run are, for its documents.
@@ -63,7 +71,7 @@ def report_page(document: dict, title: str = "Barcode run") -> str:
     rows = "".join(f"<tr><td>{html.escape(str(s['id']))}</td>" + "".join(f"<td>{cell(s['metrics'].get(n))}</td>" for n in names) + "</tr>" for s in document["samples"])
     params = "".join(f"<li>{html.escape(str(k))}: {html.escape(str(v))}</li>" for k, v in document["parameters"].items())
     head = "".join(f"<th>{html.escape(n)}</th>" for n in ["sample", *names])
-    return PAGE.format(title=html.escape(title), date=html.escape(document["run_info"]["date"]), params=params, head=head, rows=rows, data=json.dumps(document).replace("</", "<\\/"))
+    return PAGE.format(title=html.escape(title), date=html.escape(document["run_info"]["date"]), params=params, head=head, rows=rows, sort=SORT, data=json.dumps(document).replace("</", "<\\/"))
 
 
 def summary_text(metrics: dict, sample: str) -> str:

@@ -15,8 +15,13 @@ def write_csv(table: DataFrame, path: str, *, sep: str = ",", gzip: bool = False
     (writer.partitionBy("sample") if by_sample else writer).csv(path)
 
 
+def most_first(table: DataFrame, count: str) -> DataFrame:
+    """Sorted for files: by sample, largest counts first, then by barcode."""
+    return table.orderBy("sample", F.desc(count), "gbc")
+
+
 def write_raw_counts(raw: DataFrame, path: str) -> None:
-    write_csv(raw.select("sample", "gbc", "read_counts"), path, gzip=True, by_sample=True)
+    write_csv(most_first(raw.select("sample", "gbc", "read_counts"), "read_counts"), path, gzip=True, by_sample=True)
 
 
 def write_correction(corrections: DataFrame, path: str) -> None:
@@ -25,7 +30,7 @@ def write_correction(corrections: DataFrame, path: str) -> None:
 
 
 def write_counts(corrected: DataFrame, path: str) -> None:
-    write_csv(corrected.select("sample", "gbc", "read_count"), path, by_sample=True)
+    write_csv(most_first(corrected.select("sample", "gbc", "read_count"), "read_count"), path, by_sample=True)
 
 
 def indexed(table: DataFrame) -> DataFrame:

@@ -100,3 +100,12 @@ def test_stream(spark, tmp_path):
     query = counts_to_table(spark.readStream.schema("sample string, seq string").parquet(f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/cp2")
     query.awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").groupBy("gbc").sum("read_counts").first()[1] == 4
+
+
+def test_counts_order(spark, tmp_path):
+    """Files in the order of their names hold a sample's barcodes by count, ties by barcode."""
+    rows = [(s, f"G{n:03d}", n * 37 % 11) for s in ("a", "b") for n in range(50)]
+    sinks.write_counts(spark.createDataFrame(rows, "sample string, gbc string, read_count long").repartition(5), f"{tmp_path}/counts")
+    for s in ("a", "b"):
+        lines = [x for f in sorted((tmp_path / "counts" / f"sample={s}").glob("part-*")) for x in f.read_text().splitlines() if x != "gbc,read_count"]
+        assert [tuple(x.split(",")) for x in lines] == [(g, str(n)) for _, g, n in sorted((r for r in rows if r[0] == s), key=lambda r: (-r[2], r[1]))]

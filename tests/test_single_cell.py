@@ -105,7 +105,7 @@ def test_whole_flow(spark):
     with pytest.raises(KeyError):
         run_single_cell(elements, bulk=spark.createDataFrame([("r", G1, 5)], "sample string, gbc string, read_count long"), sample_map=spark.createDataFrame([("other", "r")], "sample string, reference string"))
     page = report.report_page(report.run_document(result.metrics, {"umi": 5}, run_type="sc"))
-    assert "unique_good_GBCs" in page and "<td>s</td>" in page
+    assert "unique_good_GBCs" in page and "<td>s</td>" in page and report.SORT in page
 
 
 def test_empty_sample_metrics(spark):
