@@ -80,6 +80,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op(_read(spark, sf_dir, "documents"))
 
 
+def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandlake.llm.suffixes import op13_suffixes as op
+
+    return op(_read(spark, sf_dir, "documents"))
+
+
 def secret_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The patterns of op8 alone, which SQL can express."""
     from strandlake.llm.secrets import base_values
@@ -99,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": op8_secrets,
         "op9_passages": op9_passages,
         "op10_language": op10_language,
+        "op13_suffixes": op13_suffixes,
         "secret_patterns": secret_patterns,
     }
 
