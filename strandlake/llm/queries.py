@@ -80,6 +80,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op(_read(spark, sf_dir, "documents"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandlake.llm.search import op11_search as op
+
+    return op(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandlake.llm.divergence import op12_divergence as op
+
+    return op(_read(spark, sf_dir, "documents"))
+
+
 def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandlake.llm.suffixes import op13_suffixes as op
 
@@ -105,6 +117,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": op8_secrets,
         "op9_passages": op9_passages,
         "op10_language": op10_language,
+        "op11_search": op11_search,
+        "op12_divergence": op12_divergence,
         "op13_suffixes": op13_suffixes,
         "secret_patterns": secret_patterns,
     }
@@ -161,6 +175,33 @@ FROM docs d LEFT JOIN marked m USING (doc_id) LEFT JOIN named a USING (doc_id)
 """
 
 
+SEARCH_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+sums AS (SELECT count(*) FILTER (len(ws) > 0) AS n_docs, sum(len(ws))::bigint AS n_terms FROM docs),
+counts AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(ws) AS n, unnest(ws) AS term FROM docs) x GROUP BY ALL),
+dfs AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+items AS (SELECT i, item_id, term, count(*) AS c FROM (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark) x GROUP BY ALL),
+weights AS (SELECT i, item_id, term, c * floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::bigint AS w FROM items JOIN dfs USING (term) CROSS JOIN sums),
+scores AS (SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::bigint AS score FROM weights JOIN counts USING (term) CROSS JOIN sums GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::int AS rank, doc_id, score FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
+DIVERGENCE_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+words AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS c FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT g.lang, g.source, coalesce(sum(c.c), 0) AS n FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts c ON g.lang = c.lang AND g.source = c.source GROUP BY ALL),
+shares AS (SELECT s.lang, s.source, k.term, coalesce(c.c, 0) AS c, 1 + (1000000000 * (coalesce(c.c, 0) + 2)::hugeint) // (s.n + 2 * l.v) AS p, 1 + (1000000000 * (k.c + 2)::hugeint) // (l.n + 2 * l.v) AS q
+           FROM sizes s JOIN kept k ON s.lang = k.lang JOIN langs l ON s.lang = l.lang LEFT JOIN counts c ON s.lang = c.lang AND s.source = c.source AND k.term = c.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::bigint AS value FROM sizes a JOIN sizes b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::bigint AS value FROM shares WHERE c > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::int AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) x QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB's SQL for the queries that SQL can express on whole tables in reasonable time."""
-    return {"op3_line_dedup": LINES_SQL, "op4_quality": QUALITY_SQL, "op6_decontaminate": BENCHMARK_SQL, "secret_patterns": SECRETS_SQL}
+    return {"op3_line_dedup": LINES_SQL, "op4_quality": QUALITY_SQL, "op6_decontaminate": BENCHMARK_SQL, "op11_search": SEARCH_SQL, "op12_divergence": DIVERGENCE_SQL, "secret_patterns": SECRETS_SQL}
