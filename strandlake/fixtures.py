@@ -42,6 +42,42 @@ FROM (SELECT concat('S', cast(user_id % 3 AS string)) AS sample, event_id, md5(c
       FROM events) a
 """
 
+#: First reads of droplets: cell and UMI bases, some cells with a substitution or an N, and qualities.
+FIRST_READS = f"""
+SELECT sample, concat('r', cast(event_id AS string)) AS read_id,
+       concat(CASE WHEN event_id % 13 = 2 THEN concat(substring(CBC, 1, 2), translate(substring(CBC, 3, 1), 'ACGT', 'CATG'), substring(CBC, 4, 13))
+                   WHEN event_id % 13 = 5 THEN concat(substring(CBC, 1, 2), 'N', substring(CBC, 4, 13))
+                   WHEN event_id % 11 = 4 THEN concat(substring(CBC, 1, p - 1), translate(substring(CBC, p, 1), 'ACGT', 'TGCA'), substring(CBC, p + 1, 16))
+                   WHEN event_id % 17 = 6 THEN concat(substring(CBC, 1, p - 1), 'N', substring(CBC, p + 1, 16)) ELSE CBC END, UMI, 'TTTT') AS seq,
+       translate(substring(md5(concat('Q', cast(event_id AS string))), 1, 32), '0123456789abcdef', 'IIII#5:?HGFED+I5') AS qual
+FROM (SELECT concat('S', cast(user_id % 3 AS string)) AS sample, event_id, cast(1 + event_id % 16 AS int) AS p,
+             substring(translate(md5(concat('C', cast(user_id AS string))), {DNA}), 1, 16) AS CBC,
+             substring(translate(md5(concat('U', cast(event_id % 40 AS string))), {DNA}), 1, 12) AS UMI FROM events) a
+"""
+
+#: Listed barcodes: those of the cells, and for some a second one that differs in the third base.
+WHITELIST = f"""
+SELECT DISTINCT CASE WHEN k = 1 THEN concat(substring(CBC, 1, 2), translate(substring(CBC, 3, 1), 'ACGT', 'TGCA'), substring(CBC, 4, 13)) ELSE CBC END AS CB
+FROM (SELECT DISTINCT user_id, event_id % 2 AS k, substring(translate(md5(concat('C', cast(user_id AS string))), {DNA}), 1, 16) AS CBC FROM events) a WHERE k = 0 OR user_id % 4 = 1
+"""
+
+#: Reads of genes in cells: UMIs with one or two substitutions, of one letter, or with an N.
+GENE_UMIS = f"""
+SELECT sample, CB, gene, CASE WHEN event_id % 61 = 7 THEN 'AAAAAAAAAAAA' WHEN event_id % 59 = 8 THEN concat('N', substring(UMI, 2, 11))
+                              WHEN event_id % 9 = 4 THEN concat(substring(UMI, 1, p - 1), translate(substring(UMI, p, 1), 'ACGT', 'TGCA'), substring(UMI, p + 1, 12))
+                              WHEN event_id % 9 = 5 THEN concat(translate(substring(UMI, 1, 1), 'ACGT', 'TGCA'), translate(substring(UMI, 2, 1), 'ACGT', 'CATG'), substring(UMI, 3, 10)) ELSE UMI END AS UB
+FROM (SELECT concat('S', cast(user_id % 2 AS string)) AS sample, event_id, cast(1 + event_id % 3 AS int) AS p, concat('g', cast(event_id % 5 AS string)) AS gene,
+             substring(translate(md5(concat('C', cast(user_id % 24 AS string))), {DNA}), 1, 16) AS CB,
+             substring(translate(md5(concat('U', cast(event_id % 7 AS string))), {DNA}), 1, 12) AS UMI FROM events) a
+"""
+
+#: UMIs of genes in droplets: a few large cells, some small ones with genes of their own, and ambient droplets.
+DROPLET_GENES = """
+SELECT sample, concat('D', cast(d AS string)) AS CB, concat('g', cast(CASE WHEN d < 8 THEN k % 40 WHEN d < 24 THEN 300 + k % 20 ELSE k % 311 END AS string)) AS gene,
+       cast(sum(CASE WHEN d < 8 THEN q WHEN d < 24 THEN 2 ELSE 1 END) AS bigint) AS n
+FROM (SELECT concat('S', cast(l_suppkey % 2 AS string)) AS sample, l_orderkey % 400 AS d, l_partkey AS k, cast(l_quantity AS bigint) AS q FROM lineitem) a GROUP BY 1, 2, 3
+"""
+
 #: Spike-ins: the two most frequent roots.
 SPIKEINS = f"SELECT substring(translate(md5(concat('GBC', cast(r AS string))), {DNA}), 1, 18) AS gbc FROM (SELECT 0 AS r UNION ALL SELECT 7 AS r) a"
 
@@ -92,3 +128,19 @@ def sample_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sample_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(3).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("sample"), F.concat(F.lit("S"), F.col("id").cast("string")).alias("reference"))
+
+
+def first_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, FIRST_READS)
+
+
+def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, WHITELIST)
+
+
+def gene_umis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, GENE_UMIS)
+
+
+def droplet_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, DROPLET_GENES)

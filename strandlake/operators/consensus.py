@@ -1,19 +1,35 @@
 """From tagged reads to one consensus sequence a molecule, in built-in expressions.
 
-Reads with the same cell, UMI and position are one molecule. At each position bases under the quality
-limit don't vote; the base with the largest sum of qualities wins (ties: the smaller letter).
-This is a quality-weighted vote with the same thresholds as consensus callers use, not any
-caller's error model. Sequences keep the coordinates of their group.
+Reads with the same cell, UMI and position are one molecule. Each read becomes one vector, with eight numbers for each place:
+what its base there adds to each of the four letters, and its votes. Vectors are summed in one aggregation that combines before the
+shuffle, so a read isn't taken apart into rows, and a molecule of any size takes the memory of one vector. Numbers are
+whole, so sums don't depend on order.
+
+Two callers share these sums. ``consensus`` is a vote: at each place bases under the quality limit don't vote, and the letter with
+the largest sum of qualities wins (ties: the smaller letter). ``posterior_consensus`` has an error model: a base's error is its quality's and that of
+changes after the UMI was attached; the letter of largest likelihood is called, with the quality of its posterior and of changes before the UMI was attached.
+Sequences keep the coordinates of their group. Letters other than A, C, G and T don't vote.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Callable
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandlake.operators.ranks import numbered, prefix
 
+LETTERS = "ACGT"
+#: Log-likelihoods are counted in units of this.
+UNIT = 1e-6
+#: Largest quality, and that of a place without a call.
+BEST, NO_CALL = 93, 2
+
 
 def tagged(reads: DataFrame, contig: str) -> DataFrame:
     """Mapped reads on the contig with a cell tag; '-' stands for none."""
@@ -36,25 +52,111 @@ def molecules(reads: DataFrame) -> DataFrame:
     return reads.withColumn("MI", (place - 1).cast("long"))
 
 
-def consensus(grouped: DataFrame, *, min_reads: int = 10, min_base_quality: int = 30) -> DataFrame:
+def read_vector(points: Callable[[Column], Column], min_base_quality: int, length: int) -> Column:
+    """Eight numbers for each of ``length`` places of a read (seq, qual): points for A, C, G and T, then votes."""
+    places = F.zip_with(F.split("seq", ""), F.split(F.left("qual", F.length("seq")), ""), lambda b, s: F.struct(b.alias("b"), (F.ascii(s) - 33).alias("q")))
+    voting = F.filter(F.transform(places, lambda x: F.when(x["q"] >= min_base_quality, x).otherwise(F.struct(F.lit("N").alias("b"), F.lit(0).alias("q")))), lambda x: x["b"] != "")
+    eight = F.flatten(F.transform(voting, lambda x: F.array(*(F.when(x["b"] == c, points(x["q"])).otherwise(0.0) for c in LETTERS), *(F.when(x["b"] == c, 1.0).otherwise(0.0) for c in LETTERS))))
+    return F.concat(eight, F.array_repeat(F.lit(0.0), F.lit(8 * length) - F.size(eight)))
+
+
+def molecule_sums(reads: DataFrame, points: Callable[[Column], Column], *, min_reads: int, min_base_quality: int, read_length: int | None = None) -> DataFrame:
+    """(sample, CB, MI, places) of molecules with enough reads; a place has the sums of points and of votes by letter.
+
+    ``points`` is what a base of a quality adds, at least 0; ``read_length`` is no less than any read's, and is looked up if not given.
+    """
+    length = read_length or reads.agg(F.max(F.length("seq"))).first()[0] or 0
+    vector = array_to_vector(read_vector(points, min_base_quality, length))
+    summed = reads.where("seq is not null").groupBy("sample", "CB", "pos", "UB").agg(Summarizer.normL1(vector).alias("sums"), F.count(F.lit(1)).alias("reads"), F.max(F.length("seq")).alias("length"))
+    named = summed.withColumn("MI", (F.row_number().over(Window.partitionBy("sample", "CB").orderBy("pos", "UB")) - 1).cast("long")).where(F.col("reads") >= min_reads)
+    sums = named.select("sample", "CB", "MI", "length", vector_to_array("sums").alias("sums"))
+    place = lambda i: F.struct(F.slice("sums", 8 * i + 1, 4).alias("points"), F.transform(F.slice("sums", 8 * i + 5, 4), lambda x: x.cast("long")).alias("votes"))
+    places = F.when(F.col("length") > 0, F.transform(F.sequence(F.lit(0), F.col("length") - 1), place))
+    return sums.select("sample", "CB", "MI", F.coalesce(places, F.array().cast("array<struct<points:array<double>,votes:array<bigint>>>")).alias("places"))
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda n, x: n + x)
+
+
+def _summary(called: DataFrame) -> DataFrame:
+    """Rows (sample, CB, MI, calls) with calls of (letter, depth, agree) as sequence, depths and error rate."""
+    whole = called.withColumns({"depth": F.transform("calls", lambda x: x["depth"]), "agree": F.transform("calls", lambda x: F.when(x["letter"] != "N", x["agree"]).otherwise(0))})
+    voted, right = _total(F.col("depth")), _total(F.col("agree"))
+    rate = F.when(voted > 0, 1 - right / voted).otherwise(1.0)
+    return whole.withColumns({"seq": F.array_join(F.transform("calls", lambda x: x["letter"]), ""), "cD": F.coalesce(F.array_max("depth"), F.lit(0).cast("long")), "error_rate": rate})
+
+
+def _voted(reads: DataFrame, min_reads: int, min_base_quality: int, read_length: int | None) -> DataFrame:
+    sums = molecule_sums(reads, lambda q: q.cast("double"), min_reads=min_reads, min_base_quality=min_base_quality, read_length=read_length)
+
+    def call(p: Column) -> Column:
+        best, depth = F.array_position(p["points"], F.array_max(p["points"])).cast("int"), _total(p["votes"])
+        return F.struct(F.when(depth > 0, F.element_at(F.array(*map(F.lit, LETTERS)), best)).otherwise("N").alias("letter"), depth.alias("depth"), F.element_at(p["votes"], best).alias("agree"))
+
+    return _summary(sums.select("sample", "CB", "MI", F.transform("places", call).alias("calls")))
+
+
+def consensus(reads: DataFrame, *, min_reads: int = 10, min_base_quality: int = 30, read_length: int | None = None) -> DataFrame:
     """(sample, CB, MI, seq, cD, error_rate): of molecules with enough reads.
 
-    ``cD`` is the largest depth of voting bases at a position, ``error_rate`` the share of voting
-    bases that differ from the consensus; a position without votes is N.
+    ``cD`` is the largest depth of voting bases at a place, ``error_rate`` the share of voting
+    bases that differ from the consensus; a place without votes is N.
     """
-    per = grouped.select("sample", "CB", "MI", F.posexplode(F.split("seq", "")).alias("at", "base"), "qual").select("sample", "CB", "MI", "at", "base", (F.ascii(F.substring("qual", F.col("at") + 1, F.lit(1))) - 33).alias("q"))
-    voted = per.withColumn("vote", (F.col("q") >= min_base_quality) & (F.col("base") != "N"))
-    bases = voted.groupBy("sample", "CB", "MI", "at", "base").agg(F.sum(F.when(F.col("vote"), F.col("q")).otherwise(0)).alias("weight"), F.count_if("vote").alias("votes"))
-    best = F.max_by(F.struct("base", "votes"), F.struct("weight", F.negate(F.ascii("base"))))
-    places = bases.groupBy("sample", "CB", "MI", "at").agg(best.alias("best"), F.sum("votes").alias("depth"))
-    letter = F.when(F.col("depth") > 0, F.col("best.base")).otherwise("N")
-    right = F.when(F.col("depth") > 0, F.col("best.votes")).otherwise(0)
-    whole = places.select("sample", "CB", "MI", "at", letter.alias("base"), "depth", right.alias("right")).groupBy("sample", "CB", "MI").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "base"))), lambda x: x["base"]), "").alias("seq"), F.max("depth").alias("cD"), F.sum("depth").alias("voted"), F.sum("right").alias("right")
-    )
-    sizes = grouped.groupBy("sample", "CB", "MI").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_reads).select("sample", "CB", "MI")
-    rate = F.when(F.col("voted") > 0, 1 - F.col("right") / F.col("voted")).otherwise(1.0)
-    return whole.join(sizes, ["sample", "CB", "MI"], "left_semi").select("sample", "CB", "MI", "seq", "cD", rate.alias("error_rate"))
+    return _voted(reads, min_reads, min_base_quality, read_length).select("sample", "CB", "MI", "seq", "cD", "error_rate")
+
+
+def either(p: float, q: float) -> float:
+    """The chance that a base is wrong after two changes with these chances; a second one undoes the first once in three times."""
+    return p * (1 - q) + (1 - p) * q + 2 / 3 * p * q
+
+
+def observation_points(error_post: int) -> list[int]:
+    """For each quality, how much likelier a base makes its letter than each other one, in units."""
+    out = []
+    for quality in range(BEST + 1):
+        e = min(either(10 ** (-error_post / 10), 10 ** (-quality / 10)), 0.75)
+        out.append(round((math.log(1 - e) - math.log(e / 3)) / UNIT))
+    return out
+
+
+def posterior_consensus(reads: DataFrame, *, min_reads: int = 10, min_base_quality: int = 30, error_pre: int = 45, error_post: int = 40, read_length: int | None = None) -> DataFrame:
+    """(sample, CB, MI, seq, qual, cD, cM, error_rate, depth, errors): of molecules with enough reads.
+
+    ``error_pre`` and ``error_post`` are the qualities of changes before and after the UMI was attached. All letters are as likely
+    at first. Two letters of equal likelihood, or none with votes, give N. ``cD`` and ``cM`` are the largest and the smallest
+    depth, ``depth`` and ``errors`` the voting and the differing bases of each place.
+    """
+    table = F.array(*(F.lit(float(x)) for x in observation_points(error_post)))
+    sums = molecule_sums(reads, lambda q: F.element_at(table, F.least(q, F.lit(BEST)) + 1), min_reads=min_reads, min_base_quality=min_base_quality, read_length=read_length)
+    pre = 10 ** (-error_pre / 10)
+
+    def call(p: Column) -> Column:
+        top = F.array_max(p["points"])
+        best, depth = F.array_position(p["points"], top).cast("int"), _total(p["votes"])
+        known = (depth > 0) & (F.size(F.filter(p["points"], lambda x: x == top)) == 1)
+        rest = F.aggregate(p["points"], F.lit(-1.0), lambda n, x: n + F.exp((x - top) * UNIT))
+        wrong = rest / (1 + rest)
+        quality = F.floor(-10 * F.log10(pre * (1 - wrong) + (1 - pre) * wrong + 2 / 3 * pre * wrong) + 0.001).cast("int")
+        letter = F.when(known, F.element_at(F.array(*map(F.lit, LETTERS)), best)).otherwise("N")
+        return F.struct(letter.alias("letter"), depth.alias("depth"), F.element_at(p["votes"], best).alias("agree"), F.when(known, F.greatest(F.lit(NO_CALL), F.least(quality, F.lit(BEST)))).otherwise(NO_CALL).alias("quality"))
+
+    called = _summary(sums.select("sample", "CB", "MI", F.transform("places", call).alias("calls")))
+    qual = F.array_join(F.transform("calls", lambda x: F.char(x["quality"] + 33)), "")
+    errors = F.transform("calls", lambda x: F.when(x["letter"] != "N", x["depth"] - x["agree"]).otherwise(x["depth"]))
+    return called.select("sample", "CB", "MI", "seq", qual.alias("qual"), "cD", F.coalesce(F.array_min("depth"), F.lit(0).cast("long")).alias("cM"), "error_rate", "depth", errors.alias("errors"))
+
+
+def filter_posterior(called: DataFrame, *, min_reads: int = 10, min_base_quality: int = 30, max_base_error_rate: float = 0.2, max_read_error_rate: float = 0.025, max_no_call_share: float = 0.2) -> DataFrame:
+    """Sequences of :func:`posterior_consensus` whose bases of too little depth, quality or agreement are N; those
+    with too little depth, too many errors or too many N are left out."""
+    bases = F.arrays_zip(F.split("seq", "").alias("b"), F.split("qual", "").alias("q"), F.col("depth").alias("d"), F.col("errors").alias("e"))
+    good = lambda x: (x["d"] >= min_reads) & (F.ascii(x["q"]) - 33 >= min_base_quality) & (x["e"] <= max_base_error_rate * x["d"])
+    kept = F.filter(bases, lambda x: x["b"] != "")
+    masked = called.withColumn("bases", F.transform(kept, lambda x: F.when(good(x), F.struct(x["b"].alias("b"), x["q"].alias("q"))).otherwise(F.struct(F.lit("N").alias("b"), F.lit(chr(NO_CALL + 33)).alias("q")))))
+    unknown = F.size(F.filter("bases", lambda x: x["b"] == "N"))
+    told = masked.where((F.col("cD") >= min_reads) & (F.col("error_rate") <= max_read_error_rate) & (unknown <= max_no_call_share * F.size("bases")))
+    return told.withColumns({"seq": F.array_join(F.transform("bases", lambda x: x["b"]), ""), "qual": F.array_join(F.transform("bases", lambda x: x["q"]), "")}).select(called.columns)
 
 
 def keep_consensus(called: DataFrame, *, min_reads: int = 10, max_error_rate: float = 0.2) -> DataFrame:
@@ -87,14 +189,11 @@ def cell_tags(r1: DataFrame, whitelist: DataFrame) -> DataFrame:
     return cut.join(exact.unionByName(one), "CR").select("read_id", "CB", "UB")
 
 
-def filter_bases(called: DataFrame, grouped: DataFrame, *, min_base_quality: int = 30, max_base_error_rate: float = 0.2) -> DataFrame:
-    """Consensus sequences whose positions with too many dissenting votes are masked as N.
+def masked_consensus(reads: DataFrame, *, min_reads: int = 10, min_base_quality: int = 30, max_base_error_rate: float = 0.2, read_length: int | None = None) -> DataFrame:
+    """Consensus sequences whose places with too many dissenting votes are masked as N.
 
-    The dissent at a position is the share of voting bases that differ from the consensus base.
+    The dissent at a place is the share of voting bases that differ from the consensus base.
     """
-    base = called.select("sample", "CB", "MI", F.posexplode(F.split("seq", "")).alias("at", "called"))
-    reads = grouped.select("sample", "CB", "MI", F.posexplode(F.split("seq", "")).alias("at", "base"), "qual").where((F.ascii(F.substring("qual", F.col("at") + 1, F.lit(1))) - 33 >= min_base_quality) & (F.col("base") != "N"))
-    votes = reads.join(base, ["sample", "CB", "MI", "at"]).groupBy("sample", "CB", "MI", "at").agg(F.avg((F.col("base") != F.col("called")).cast("int")).alias("dissent"))
-    masked = base.join(votes, ["sample", "CB", "MI", "at"], "left").select("sample", "CB", "MI", "at", F.when(F.coalesce("dissent", F.lit(1.0)) <= max_base_error_rate, F.col("called")).otherwise("N").alias("base"))
-    seqs = masked.groupBy("sample", "CB", "MI").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "base"))), lambda x: x["base"]), "").alias("seq"))
-    return called.drop("seq").join(seqs, ["sample", "CB", "MI"]).select(called.columns)
+    called = _voted(reads, min_reads, min_base_quality, read_length)
+    letters = F.transform("calls", lambda x: F.when((x["depth"] > 0) & (x["depth"] - x["agree"] <= max_base_error_rate * x["depth"]), x["letter"]).otherwise("N"))
+    return called.select("sample", "CB", "MI", F.array_join(letters, "").alias("seq"), "cD", "error_rate")

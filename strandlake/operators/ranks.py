@@ -25,7 +25,7 @@ def numbered(df: DataFrame, by: list[str], steps: list[Column], order: list[Colu
     keyed = df.withColumns(dict(zip(names, steps)))
     group = Window.partitionBy(*by)
     sizes = keyed.groupBy(*by, *names).agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.select(*(F.col(c).alias(f"__by{i}") for i, c in enumerate([*by, *names])), (F.sum("__n").over(group.orderBy(*names)) - F.col("__n")).alias("__before"), F.sum("__n").over(group).alias("total"))
+    before = sizes.select(*(F.col(c).alias(f"__by{i}") for i, c in enumerate([*by, *names])), (F.sum("__n").over(group.orderBy(*names)) - F.col("__n")).alias("__before"), F.sum("__n").over(group).alias("__total"))
     within = keyed.withColumn("__k", F.row_number().over(Window.partitionBy(*by, *names).orderBy(*order)))
     met = [F.col(c).eqNullSafe(F.col(f"__by{i}")) for i, c in enumerate([*by, *names])]
-    return within.join(before, met).select(*df.columns, (F.col("__before") + F.col("__k")).alias("place"), *(["total"] if total else []))
+    return within.join(before, met).select(*df.columns, (F.col("__before") + F.col("__k")).alias("place"), *([F.col("__total").alias("total")] if total else []))

@@ -32,3 +32,5 @@ class ScParams:
     max_ratio_threshold: float = 0.75
     normalized_abundance_threshold: float = 0.75
     contig: str = "lentiCassette"
+    #: Consensus by posterior with its filters, or by vote.
+    error_model: bool = False

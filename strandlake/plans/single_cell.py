@@ -22,9 +22,12 @@ class ScResult:
 
 def elements_from_reads(reads: DataFrame, barcodes: DataFrame, params: ScParams = ScParams()) -> DataFrame:
     """From tagged reads and cell barcodes to elements, by one consensus a molecule."""
-    grouped = consensus.molecules(consensus.in_cells(consensus.tagged(reads, params.contig), barcodes))
-    called = consensus.consensus(grouped, min_reads=params.min_reads, min_base_quality=params.min_base_quality)
-    kept = consensus.keep_consensus(called, min_reads=params.min_reads, max_error_rate=params.max_base_error_rate)
+    kept = consensus.in_cells(consensus.tagged(reads, params.contig), barcodes)
+    limits = {"min_reads": params.min_reads, "min_base_quality": params.min_base_quality}
+    if params.error_model:
+        kept = consensus.filter_posterior(consensus.posterior_consensus(kept, **limits), **limits, max_base_error_rate=params.max_base_error_rate)
+    else:
+        kept = consensus.keep_consensus(consensus.consensus(kept, **limits), min_reads=params.min_reads, max_error_rate=params.max_base_error_rate)
     return consensus.elements(kept, start=params.gbc_start, length=params.gbc_length)
 
 

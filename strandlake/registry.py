@@ -24,6 +24,8 @@ LOOSE = ScParams(umi_threshold=2, max_ratio_threshold=0.05, normalized_abundance
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: Queries that SQL can't express.
+UNTOLD: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(sql: str):
@@ -37,6 +39,12 @@ def query(sql: str):
     return put
 
 
+def untold(f):
+    """Registers a query without an oracle."""
+    UNTOLD[f.__name__] = f
+    return f
+
+
 def rounded(df: DataFrame) -> DataFrame:
     """Counts as long, doubles to six digits."""
     kinds = dict(df.dtypes)
@@ -421,9 +429,9 @@ def _reads(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return reads, barcodes
 
 
-def _molecules(spark, sf_dir) -> DataFrame:
+def _kept(spark, sf_dir) -> DataFrame:
     reads, barcodes = _reads(spark, sf_dir)
-    return consensus.molecules(consensus.in_cells(consensus.tagged(reads, "lentiCassette"), barcodes))
+    return consensus.in_cells(consensus.tagged(reads, "lentiCassette"), barcodes)
 
 
 @query(f"WITH {KEPT} SELECT sample, read_id, CB, UB FROM kept")
@@ -439,28 +447,56 @@ def cb_chunks(spark, sf_dir):
 
 @query(f"WITH {KEPT} SELECT sample, read_id, MI::bigint AS MI FROM mol")
 def umi_groups(spark, sf_dir):
-    return _molecules(spark, sf_dir).select("sample", "read_id", "MI")
+    return consensus.molecules(_kept(spark, sf_dir)).select("sample", "read_id", "MI")
 
 
 @query(f"WITH {CONSENSUS} SELECT sample, CB, MI, seq, cD, round(error_rate, 6) AS error_rate FROM called WHERE cD >= 3 AND error_rate <= 0.2")
 def umi_consensus(spark, sf_dir):
-    called = consensus.consensus(_molecules(spark, sf_dir), min_reads=3)
+    called = consensus.consensus(_kept(spark, sf_dir), min_reads=3)
     return rounded(consensus.keep_consensus(called, min_reads=3))
 
 
 @query(f"""WITH {CONSENSUS}, wrong AS (SELECT b.sample, b.CB, b.MI, b.place, avg(CASE WHEN b.base <> substring(c.seq, b.place + 1, 1) THEN 1 ELSE 0 END) AS dissent FROM bases b JOIN called c USING (sample, CB, MI) WHERE b.q >= 30 AND b.base <> 'N' GROUP BY ALL)
 SELECT c.sample, c.CB, c.MI, string_agg(CASE WHEN coalesce(w.dissent, 1) <= 0.2 THEN substring(c.seq, i + 1, 1) ELSE 'N' END, '' ORDER BY i) AS seq FROM called c CROSS JOIN range(53) t(i) LEFT JOIN wrong w ON w.sample = c.sample AND w.CB = c.CB AND w.MI = c.MI AND w.place = i GROUP BY ALL""")
 def consensus_masked(spark, sf_dir):
-    grouped = _molecules(spark, sf_dir)
-    return consensus.filter_bases(consensus.consensus(grouped, min_reads=3), grouped).select("sample", "CB", "MI", "seq")
+    return consensus.masked_consensus(_kept(spark, sf_dir), min_reads=3).select("sample", "CB", "MI", "seq")
 
 
 @query(f"""WITH {CONSENSUS} SELECT sample, 'read_' || (row_number() OVER (PARTITION BY sample, CB ORDER BY MI) - 1) AS "read_ID", CB AS "CBC", MI::varchar AS "UMI", substring(seq, 34, 18) AS "GBC", cD::varchar AS n_consensus_read FROM called WHERE cD >= 3 AND error_rate <= 0.2""")
 def elements(spark, sf_dir):
-    called = consensus.keep_consensus(consensus.consensus(_molecules(spark, sf_dir), min_reads=3), min_reads=3)
+    called = consensus.keep_consensus(consensus.consensus(_kept(spark, sf_dir), min_reads=3), min_reads=3)
     return consensus.elements(called)
 
 
+def _posterior_sql(pre: float = 45, post: float = 40) -> str:
+    two = lambda p, q: f"({p} * (1 - {q}) + (1 - {p}) * {q} + 2e0 / 3 * {p} * {q})"
+    e, pre = two(f"pow(10e0, {-post / 10})", "pow(10e0, -q / 10e0)"), f"pow(10e0, {-pre / 10})"
+    return f"""{KEPT}, bases AS (SELECT sample, CB, MI, i AS place, substring(seq, i + 1, 1) AS base, ascii(substring(qual, i + 1, 1)) - 33 AS q FROM mol CROSS JOIN range(53) t(i)),
+points AS (SELECT *, round((ln(1 - {e}) - ln({e} / 3)) / 1e-6)::bigint AS w FROM bases WHERE q >= 30 AND base <> 'N'),
+sums AS (SELECT m.sample, m.CB, m.MI, i AS place, letter, coalesce(sum(w), 0) AS w, count(w) AS votes FROM (SELECT sample, CB, MI FROM mol GROUP BY ALL HAVING count(*) >= 3) m CROSS JOIN range(53) t(i) CROSS JOIN (SELECT unnest(['A', 'C', 'G', 'T']) AS letter) l
+         LEFT JOIN points p ON p.sample = m.sample AND p.CB = m.CB AND p.MI = m.MI AND p.place = i AND p.base = letter GROUP BY ALL),
+tops AS (SELECT sample, CB, MI, place, max(w) AS top, sum(votes) AS depth, min(letter) FILTER (w = high) AS letter, count(*) FILTER (w = high) AS n_top, max(votes) FILTER (w = high) AS agree, sum(exp((w - high) * 1e-6)) - 1 AS rest
+         FROM (SELECT *, max(w) OVER (PARTITION BY sample, CB, MI, place) AS high FROM sums) x GROUP BY ALL),
+calls AS (SELECT *, depth > 0 AND n_top = 1 AS known, rest / (1 + rest) AS wrong FROM tops),
+quals AS (SELECT sample, CB, MI, place, depth, CASE WHEN known THEN letter ELSE 'N' END AS letter, CASE WHEN known THEN agree ELSE 0 END AS agree, CASE WHEN known THEN greatest(2, least(93, floor(-10 * log10({two(pre, 'wrong')}) + 0.001)::int)) ELSE 2 END AS quality FROM calls),
+posterior AS (SELECT sample, CB, MI::bigint AS MI, string_agg(letter, '' ORDER BY place) AS seq, string_agg(chr(quality + 33), '' ORDER BY place) AS qual, max(depth)::bigint AS cD, min(depth)::bigint AS cM, CASE WHEN sum(depth) > 0 THEN 1 - sum(agree) / sum(depth) ELSE 1 END AS error_rate,
+                     string_agg((depth - agree)::bigint, ',' ORDER BY place) AS errors FROM quals GROUP BY ALL)"""
+
+
+@query(f"WITH {_posterior_sql()} SELECT sample, CB, MI, seq, qual, cD, cM, round(error_rate, 6) AS error_rate, errors FROM posterior")
+def consensus_posterior(spark, sf_dir):
+    called = consensus.posterior_consensus(_kept(spark, sf_dir), min_reads=3)
+    return rounded(called.drop("depth").withColumn("errors", F.array_join(F.transform("errors", lambda x: x.cast("string")), ",")))
+
+
+@query(f"""WITH {_posterior_sql()}, judged AS (SELECT *, depth >= 3 AND quality >= 45 AND depth - agree <= 0.2 * depth AS good FROM quals),
+masked AS (SELECT sample, CB, MI::bigint AS MI, string_agg(CASE WHEN good THEN letter ELSE 'N' END, '' ORDER BY place) AS seq, string_agg(CASE WHEN good THEN chr(quality + 33) ELSE '#' END, '' ORDER BY place) AS qual, count(*) FILTER (NOT good OR letter = 'N') AS unknown FROM judged GROUP BY ALL)
+SELECT m.sample, m.CB, m.MI, m.seq, m.qual, p.cD FROM masked m JOIN posterior p USING (sample, CB, MI) WHERE p.cD >= 3 AND p.error_rate <= 0.05 AND unknown <= 0.2 * 53""")
+def consensus_filtered(spark, sf_dir):
+    called = consensus.posterior_consensus(_kept(spark, sf_dir), min_reads=3)
+    return consensus.filter_posterior(called, min_reads=3, min_base_quality=45, max_read_error_rate=0.05).select("sample", "CB", "MI", "seq", "qual", "cD")
+
+
 @query(f"WITH {ALIGNED} SELECT sample, count(*) FILTER (flag & 4 = 0)::bigint AS mapped_reads, count(*) FILTER (flag & 4 <> 0)::bigint AS unmapped_reads FROM aligned GROUP BY 1")
 def read_counters(spark, sf_dir):
     return sequences.alignment_counts(fx.aligned_reads(spark, sf_dir))
@@ -541,4 +577,4 @@ def clone_summary_parse(spark, sf_dir):
     return rounded(tables.clone_summary(t))
 
 
-from strandlake import registry_files  # noqa: E402, F401  (registers the queries that go through files)
+from strandlake import registry_cells, registry_files  # noqa: E402, F401  (register their queries)

@@ -6,24 +6,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: What stands between two records: a line break and the first sign of a name line.
+BETWEEN = "\n@"
+
+
+def _pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(file, id, name, seq, plus, qual, n) of the pieces that files fall into at :data:`BETWEEN`, n their lines.
+
+    A piece is a record, or, where a quality line begins with the sign of a name line, three lines of one and then the rest of
+    that line by itself. So the reader finds records wherever a split of a file begins, and a broken record doesn't move the
+    ones after it. Anything else is an error.
+    """
+    read = spark.read.option("lineSep", BETWEEN).text(paths)
+    text = F.regexp_replace(F.regexp_replace("value", r"\r", ""), r"\n+$", "")
+    file = F.col("_metadata.file_path")
+    lines = read.select(file.alias("file"), F.col("_metadata.file_block_start").alias("start"), (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")).alias("end"), F.monotonically_increasing_id().alias("id"), F.split(text, "\n").alias("l"))
+    n = F.size("l")
+    line = lambda k: F.get("l", F.lit(k))
+    good = (n == 1) | (F.coalesce(line(2), F.lit("")).startswith("+") & ((n == 3) | ((n == 4) & (F.length(line(1)) == F.length(line(3))))))
+    broken = F.raise_error(F.concat(F.lit("not a FASTQ record in "), F.col("file"), F.lit(": @"), F.left(F.array_join("l", " | "), F.lit(200))))
+    empty = (n == 3) & (line(1) == "")
+    kind = F.when(empty & good, 4).when(good, n).otherwise(broken.cast("int"))
+    name = F.when(n == 1, line(0)).otherwise(F.regexp_replace(line(0), "^@", ""))
+    return lines.select("file", "start", "end", "id", name.alias("name"), line(1).alias("seq"), F.when(empty, "").otherwise(line(3)).alias("qual"), kind.alias("n"))
+
+
 def fastq(spark: SparkSession, paths: str | list[str], sample: str | None = None) -> DataFrame:
-    """(file, read, read_id, seq, qual) from compressed FASTQ files.
+    """(file, read, read_id, seq, qual) from FASTQ files, compressed or not; ``read`` sorts the reads of a part of a file.
 
-    A gzip file can't be split, so its lines come in order in one partition, and ids that grow
-    from a multiple of four in each partition tell the four lines of a record apart, also where a
-    partition holds several files (each has whole records).
+    Records in one piece need no shuffle. Those whose quality line begins with the sign of a name line, about one in forty,
+    are joined with the rest of that line, the next piece; the last of a split with the first of the next split.
     """
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id"))
-    record = lines.select("file", "value", F.floor(F.col("id") / 4).alias("read"), (F.col("id") % 4).alias("line"))
-    picked = lambda n: F.max(F.when(F.col("line") == n, F.col("value")))
-    reads = record.where("line <> 2").groupBy("file", "read").agg(F.regexp_extract(picked(0), r"^@(\S+)", 1).alias("read_id"), picked(1).alias("seq"), picked(3).alias("qual"))
-    return reads if sample is None else reads.withColumn("sample", F.lit(sample))
+    pieces = _pieces(spark, paths)
+    one = pieces.where("n = 4").select("file", F.col("id").alias("read"), F.regexp_extract("name", r"^(\S+)", 1).alias("read_id"), "seq", "qual")
+    heads = pieces.where("n = 3")
+    rests = pieces.where("n = 1").select(F.col("file").alias("rest_file"), F.col("start").alias("from"), (F.col("id") - 1).alias("before"), F.col("name").alias("rest"))
+    next_ = (F.col("file") == F.col("rest_file")) & (F.col("start") == F.col("from")) & (F.col("id") == F.col("before"))
+    near = heads.join(rests, next_, "left").drop("rest_file", "from", "before")
+    first = rests.join(heads.select("file", "start", "id"), next_, "left_anti").withColumnsRenamed({"rest": "next"}).drop("before")
+    across = near.join(first, (F.col("file") == F.col("rest_file")) & (F.col("end") == F.col("from")) & F.col("rest").isNull(), "left")
+    qual = F.concat(F.lit("@"), F.coalesce("rest", "next"))
+    held = F.when(F.length(qual) == F.length("seq"), qual).otherwise(F.raise_error(F.concat(F.lit("not a FASTQ record in "), F.col("file"), F.lit(": @"), F.col("name"))))
+    both = one.unionByName(across.select("file", F.col("id").alias("read"), F.regexp_extract("name", r"^(\S+)", 1).alias("read_id"), "seq", held.alias("qual")))
+    return both if sample is None else both.withColumn("sample", F.lit(sample))
 
 
 def fastq_sequences(spark: SparkSession, paths: str | list[str], sample: str) -> DataFrame:
     """(sample, seq): the sequence lines only, without a shuffle."""
-    lines = spark.read.text(paths).select("value", F.monotonically_increasing_id().alias("id"))
-    return lines.where("id % 4 = 1").select(F.lit(sample).alias("sample"), F.col("value").alias("seq"))
+    return _pieces(spark, paths).where("n > 1").select(F.lit(sample).alias("sample"), "seq")
 
 
 def bulk_reads(spark: SparkSession, folder: str, sample: str) -> DataFrame:

@@ -27,6 +27,42 @@ def test_fastq(spark, tmp_path):
     assert sorted(r.seq for r in sequences.bulk_reads(spark, str(tmp_path), "s").collect()) == sorted([r.seq for r in reads] + ["TTTT"])
 
 
+def test_records_are_found_in_any_split(spark, tmp_path):
+    """Plain files over many splits, with quality lines that begin as name lines do, read as in one piece."""
+    import random
+
+    rng = random.Random(4)
+    reads = [(f"r{i}", "".join(rng.choices("ACGT", k=n)), "".join(rng.choices("@@+IA", k=n))) for i, n in enumerate(rng.randint(0 if i % 50 == 0 else 1, 60) for i in range(2000))]
+    for k in range(3):
+        (tmp_path / f"p{k}.fastq").write_text("".join(f"@{a} x\n{b}\n+{a if k else ''}\n{c}\n" for a, b, c in reads[k::3]) + "\n" * (k == 2))
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (700, 5000, 1 << 27):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", 1)
+            df = sequences.fastq(spark, str(tmp_path / "*.fastq"))
+            assert sorted((r.read_id, r.seq, r.qual) for r in df.collect()) == sorted(reads)
+            assert sorted(r.seq for r in sequences.fastq_sequences(spark, str(tmp_path / "*.fastq"), "s").collect()) == sorted(b for _, b, _ in reads)
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+
+
+def test_a_broken_file_is_told_and_moves_no_other(spark, tmp_path):
+    for k in range(6):
+        fastq(tmp_path / f"x{k}.fastq.gz", [(f"a{k}_{i}", "ACGTACGT") for i in range(200)])
+    with gzip.open(tmp_path / "x0.fastq.gz", "rt") as f:
+        lines = f.readlines()
+    for broken in (lines[:-1], lines[:401] + lines[402:], lines[:402] + lines[403:], lines[:400] + ["ACGTACGT\n"] + lines[400:]):
+        with gzip.open(tmp_path / "x0.fastq.gz", "wt") as f:
+            f.writelines(broken)
+        with pytest.raises(Exception, match="not a FASTQ record"):
+            sequences.fastq(spark, str(tmp_path / "*.fastq.gz")).collect()
+    with gzip.open(tmp_path / "x0.fastq.gz", "wt") as f:
+        f.writelines(lines[:-4])
+    assert [r.seq for r in sequences.fastq_sequences(spark, str(tmp_path / "*.fastq.gz"), "s").collect()] == ["ACGTACGT"] * 1199
+
+
 def test_fasta(spark, tmp_path):
     (tmp_path / "g.fa").write_text(">chr1 x\nACGT\nAC\n>lentiCassette_v2\nGGG\nTT\n")
     assert [tuple(r) for r in sequences.fasta_extract(spark, str(tmp_path / "g.fa"), "lenti").collect()] == [("lenti", "GGGTT")]
