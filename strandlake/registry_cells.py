@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandlake import fixtures as fx
-from strandlake.operators import cells
-from strandlake.registry import query, rounded, untold
+from strandlake.operators import cells, consensus, remap
+from strandlake.registry import _kept, query, rounded, untold
 
 FIRST = f"first AS ({fx.FIRST_READS}), list AS ({fx.WHITELIST})"
 
@@ -43,11 +43,11 @@ def gene_matrix(spark, sf_dir):
     return cells.gene_counts(cells.collapse_umis(fx.gene_umis(spark, sf_dir)))
 
 
-DROPLETS = cells.CellParams(expected_cells=800, ambient_from=100, ambient_to=390, umi_min=20, simulations=2000)
+DROPLETS = cells.CellParams(expected_cells=600, ambient_from=100, ambient_to=390, umi_min=20, simulations=2000)
 
 
 @query(f"""WITH droplets AS ({fx.DROPLET_GENES}), totals AS (SELECT sample, CB, sum(n)::bigint AS total FROM droplets GROUP BY ALL),
-top AS (SELECT * FROM totals QUALIFY row_number() OVER (PARTITION BY sample ORDER BY total DESC, CB) <= 9) SELECT sample, greatest(1, floor(min(total) / 10e0 + 0.5))::bigint AS threshold FROM top GROUP BY 1""")
+top AS (SELECT * FROM totals QUALIFY row_number() OVER (PARTITION BY sample ORDER BY total DESC, CB) <= 7) SELECT sample, greatest(1, floor(min(total) / 10e0 + 0.5))::bigint AS threshold FROM top GROUP BY 1""")
 def cell_size_limit(spark, sf_dir):
     return cells.knee(cells.droplet_totals(fx.droplet_genes(spark, sf_dir)), DROPLETS)
 
@@ -63,3 +63,15 @@ def ambient_profile(spark, sf_dir):
 def cell_calls(spark, sf_dir):
     """Simulated p-values: SQL can't express them, the tests hold them against planted cells."""
     return rounded(cells.call_cells(fx.droplet_genes(spark, sf_dir), DROPLETS))
+
+
+#: A cassette with room for any barcode.
+CASSETTE = [("lentiCassette", "TAGCAAACTGGGGCACAAGCTTAATTAAGAATT" + "N" * 18 + "GG")]
+
+
+@untold
+def consensus_remapped(spark, sf_dir):
+    """Consensus reads, some with a base lost or put in before the barcode, and the barcode by its place on the cassette."""
+    called = consensus.posterior_consensus(_kept(spark, sf_dir), min_reads=3).select("sample", "CB", "MI", "seq", "cD")
+    changed = F.when(F.col("MI") % 3 == 1, F.concat(F.substring("seq", 1, 20), F.substring("seq", 22, 60))).when(F.col("MI") % 3 == 2, F.concat(F.substring("seq", 1, 12), F.lit("G"), F.substring("seq", 13, 60))).otherwise(F.col("seq"))
+    return remap.remap(called.withColumn("seq", changed), CASSETTE, region=("lentiCassette", 34, 18))

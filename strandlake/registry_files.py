@@ -8,8 +8,8 @@ from strandlake import fixtures as fx
 from strandlake.operators import bulk, bulk_summary, consensus, sc
 from strandlake.plans import report, single_cell
 from strandlake.registry import BULK, CELLS, COMBOS, ELEMENTS, LABELS, LOOSE, ONE, ORACLES, OVERLAP, POOL, RAW, SCORED, STRICT, STRICT_CELLS, _cells, _corrections, _pool, _raw, _scored, _umis, clones_sql, query, rounded, status_sql
-from strandlake.sources import sequences, sinks, tables
-from strandlake.storage import scratch_path
+from strandlake.sources import bam, sequences, sinks, tables
+from strandlake.storage import materialise, scratch_path
 
 
 def _sheet(spark, sf_dir, *columns) -> str:
@@ -265,3 +265,46 @@ SELECT g.sample, round(gx, 6) AS x, round(gy, 6) AS y, round(sum(w * exp(-0.5 *
 FROM g JOIN pts p ON p.sample = g.sample GROUP BY g.sample, gx, gy""")
 def support_kde(spark, sf_dir):
     return rounded(sc.support_kde(_scored(spark, sf_dir)))
+
+
+# -- BAM files, read into a table of Spark's own before anything else is done with them
+
+CONTIGS = [("chrM", 20_000), ("lentiCassette", 5000)]
+PLACED = f"SELECT read_id, contig, cast(100 + event_id % 4000 AS bigint) AS pos, flag, CB, UB, seq, qual, sample FROM (SELECT *, cast(substring(read_id, 2, 20) AS bigint) AS event_id FROM ({fx.ALIGNED_READS}) r) p"
+BAM_COLUMNS = ["read_id", "contig", "pos", "flag", "seq", "qual", "CB", "UB"]
+
+
+def _placed(spark, sf_dir):
+    reads = fx.table(spark, sf_dir, PLACED)
+    return reads.withColumns({"mapq": F.lit(60), "cigar": F.lit("53M")})
+
+
+def _sorted_bam(spark, sf_dir) -> str:
+    path = scratch_path(spark, "bam")
+    bam.write_sorted(_placed(spark, sf_dir), path, CONTIGS)
+    return path
+
+
+@query(f"SELECT read_id, contig, pos, flag::bigint AS flag, seq, qual, CB, UB FROM ({PLACED}) x")
+def file_bam(spark, sf_dir):
+    return rounded(materialise(bam.read_bam(spark, _sorted_bam(spark, sf_dir), split=50_000).select(BAM_COLUMNS), "bam-reads"))
+
+
+@query(f"SELECT read_id, pos, CB, UB FROM ({PLACED}) x WHERE contig = 'lentiCassette' AND pos <= 600 AND pos + 52 >= 500")
+def file_bam_region(spark, sf_dir):
+    return materialise(bam.read_region(spark, _sorted_bam(spark, sf_dir), CONTIGS, ("lentiCassette", 500, 600)).select("read_id", "pos", "CB", "UB"), "bam-region")
+
+
+@query(f"""WITH placed AS ({PLACED}), cb AS (SELECT DISTINCT CB FROM placed WHERE sample = 'S0' AND CB <> '-'), chunks AS (SELECT CB, (row_number() OVER (ORDER BY CB) - 1) // 2 AS chunk FROM cb)
+SELECT p.read_id, p.CB, p.contig, p.seq FROM placed p JOIN chunks c ON p.CB = c.CB WHERE p.sample = 'S0' AND c.chunk = 1""")
+def file_bam_chunk(spark, sf_dir):
+    """Reads of a chunk's cells, from the file that was written for it."""
+    reads, path = _placed(spark, sf_dir).where("sample = 'S0' and CB <> '-'"), scratch_path(spark, "bam-chunks")
+    bam.write_bam(reads.join(consensus.chunks(reads.select('sample', 'CB').distinct(), 2), ["sample", "CB"]), path, CONTIGS, by="chunk")
+    return materialise(bam.read_bam(spark, f"{path}/1/*.bam").select("read_id", "CB", "contig", "seq"), "bam-chunk")
+
+
+@query(f"WITH placed AS ({PLACED}) SELECT count(*) FILTER (flag & 4 = 0)::bigint AS mapped_reads, count(*) FILTER (flag & 4 <> 0)::bigint AS unmapped_reads FROM placed")
+def file_bam_counters(spark, sf_dir):
+    reads = materialise(bam.read_bam(spark, _sorted_bam(spark, sf_dir)).select("flag"), "bam-flags")
+    return sequences.alignment_counts(reads.withColumn("sample", F.lit("s"))).drop("sample")
