@@ -7,14 +7,14 @@ each speaks for the run of windows that it is the anchor of.
 
 1. Initial buckets: anchors with equal grams. An anchor alone in its bucket has no repeated window.
 2. Within a bucket, anchors whose whole run of windows is the same are settled: all their windows are repeated.
-3. What is left of a bucket is refined: the range of offsets between window and anchor is halved, and a half's bucket is named by
-   its parent's bucket and the bytes at the later offsets that all windows of this half hold. An anchor alone in the new
+3. What is left of a bucket is refined: the range of offsets between window and anchor is quartered, and a quarter's bucket is named by
+   its parent's bucket and the bytes at the later offsets that all windows of this quarter hold. An anchor alone in the new
    bucket has no repeated window there; equal runs are settled; the rest is refined in the same way, so each round uses the
    buckets of the one before, down to single offsets. One of each kind of settled runs stays, for others to meet.
    Buckets of up to ``BUCKET`` kinds of runs are finished in one go, by comparing their windows byte by byte.
 
 Rounds of refinement are Spark aggregations and joins, with sums made before the shuffle, so that a bucket that a third of all
-documents share is in no one task; there are at most eight, for offsets are below ``SIZE``.
+documents share is in no one task; there are at most four, for offsets are below ``SIZE``.
 
 A row's key is a 64-bit hash of its id and text, with a seed for which no two different rows share one. Grams and runs are compared by 64-bit
 hashes of both: two different runs count as one only if both agree.
@@ -115,12 +115,22 @@ def _anchored(batches: Iterator[pa.RecordBatch], *, size: int, gram: int) -> Ite
                 yield pa.record_batch({"g": h[anchor].view(np.int64), "c": runs.view(np.int64), "r": keys[part], "place": place})
 
 
+def anew(key: str) -> Column:
+    """The key, as an expression that Spark doesn't take for the column it is partitioned by."""
+    return F.col(key).bitwiseXOR(F.lit(0)).alias(key)
+
+
 def _sized(keyed: DataFrame) -> DataFrame:
-    """Rows (b, u, ...) with the rows of their (b, u), the kinds of runs in b and whether they stand for their kind."""
+    """Rows (b, u, ...) with the rows of their (b, u), the kinds of runs in b and whether they stand for their kind.
+
+    Counts are joined by keys made anew, so that Spark shuffles them once more: with an aggregate's own partitioning it couldn't
+    split the rows of a hot bucket.
+    """
     ref = F.struct("r", "a", "p1", "p2")
     kinds = keyed.groupBy("b", "u").agg(F.count(F.lit(1)).alias("same"), F.min(ref).alias("stands"))
     buckets = kinds.groupBy("b").agg(F.count(F.lit(1)).alias("kinds"), F.sum("same").alias("rows"))
-    return keyed.join(kinds, ["b", "u"]).join(buckets.where("rows > 1"), "b").withColumn("stands", F.col("stands") == ref)
+    counts = kinds.join(buckets.where("rows > 1"), "b").select(anew("b"), anew("u"), "same", "stands", "kinds")
+    return keyed.join(counts, ["b", "u"]).withColumn("stands", F.col("stands") == ref)
 
 
 GOES_ON = "kinds > 1 and (same = 1 or stands)"
@@ -187,15 +197,16 @@ def _spans(out: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out)], ["r", "start", "end"])
 
 
-def _halved(rows: DataFrame, size: int) -> DataFrame:
-    """Runs (b, o1, o2, r, a, p1, p2, ctx) in the halves of their range of offsets, with b and u anew."""
-    mid = F.floor((F.col("o1") + F.col("o2")) / 2).cast("int")
-    halves = F.array(F.struct(F.col("o1").alias("q1"), mid.alias("q2")), F.struct((mid + 1).alias("q1"), F.col("o2").alias("q2")))
-    both = rows.withColumn("half", F.explode(halves)).select("*", F.greatest("half.q1", "p1").alias("n1"), F.least("half.q2", "p2").alias("n2")).where("n1 <= n2 and half.q1 <= half.q2")
+def _divided(rows: DataFrame, size: int) -> DataFrame:
+    """Runs (b, o1, o2, r, a, p1, p2, ctx) in the quarters of their range of offsets, with b and u anew."""
+    width = F.col("o2") - F.col("o1") + 1
+    cut = [(F.col("o1") + F.floor(width * k / 4)).cast("int") for k in range(5)]
+    quarters = F.array(*(F.struct(a.alias("q1"), (b - 1).alias("q2")) for a, b in zip(cut, cut[1:])))
+    both = rows.withColumn("part", F.explode(quarters)).select("*", F.greatest("part.q1", "p1").alias("n1"), F.least("part.q2", "p2").alias("n2")).where("n1 <= n2 and part.q1 <= part.q2")
     held = both.withColumn("cut", F.substring("ctx", F.col("p2") - F.col("n2") + 1, F.lit(size) + F.col("n2") - F.col("n1")))
-    core = F.substring("cut", F.col("n2") - F.col("half.q1") + 1, F.lit(size) - F.col("half.q2") + F.col("half.q1"))
+    core = F.substring("cut", F.col("n2") - F.col("part.q1") + 1, F.lit(size) - F.col("part.q2") + F.col("part.q1"))
     return held.select(
-        F.xxhash64("b", "half.q1", core).alias("b"), F.xxhash64("n1", "n2", "cut").alias("u"), F.col("half.q1").alias("o1"), F.col("half.q2").alias("o2"), "r", "a", F.col("n1").alias("p1"), F.col("n2").alias("p2"), F.col("cut").alias("ctx")
+        F.xxhash64("b", "part.q1", core).alias("b"), F.xxhash64("n1", "n2", "cut").alias("u"), F.col("part.q1").alias("o1"), F.col("part.q2").alias("o2"), "r", "a", F.col("n1").alias("p1"), F.col("n2").alias("p2"), F.col("cut").alias("ctx")
     )
 
 
@@ -212,7 +223,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeated_spans(rows: DataFrame, *, size: int = SIZE, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
     """(r, start, end) in bytes from rows (r, text): what repeated strings cover, in pieces that may overlap."""
     placed = rows.select("r", "text").mapInArrow(partial(_anchored, size=size, gram=gram), "g long, c long, r long, place long")
-    multi = placed.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("x"), F.max("c").alias("y")).where("n > 1").select("g", (F.col("x") == F.col("y")).alias("settled"))
+    multi = placed.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("x"), F.max("c").alias("y")).where("n > 1").select(anew("g"), (F.col("x") == F.col("y")).alias("settled"))
     at, low, high = F.shiftright("place", 16), F.col("place").bitwiseAND(255), F.shiftright("place", 8).bitwiseAND(255)
     live = placed.join(multi, "g").select(F.col("g").alias("b"), F.col("c").alias("u"), "r", at.alias("a"), low.cast("int").alias("p1"), high.cast("int").alias("p2"), "settled")
     live = materialise(live, "anchors")
@@ -227,7 +238,7 @@ def repeated_spans(rows: DataFrame, *, size: int = SIZE, gram: int = GRAM, bucke
     for _ in range(size.bit_length()):
         if large.isEmpty():
             break
-        now = materialise(_sized(_halved(large, size)), "halves")
+        now = materialise(_sized(_divided(large, size)), "parts")
         spans = spans.unionByName(now.where("same > 1").select(_span(size)))
         small.append(now.where(GOES_ON).where(F.col("kinds") <= bucket).select(fine))
         large = now.where(GOES_ON).where(F.col("kinds") > bucket).select(*fine, "o1", "o2")

@@ -66,7 +66,7 @@ def test_empty(spark, empty):
 
 
 @pytest.mark.parametrize("bucket", [2, 16, 256])
-def test_large_buckets_are_halved(spark, bucket):
+def test_large_buckets_are_divided(spark, bucket):
     rows = shared(60, bucket)
     df = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), bucket=bucket)
     got = sorted(((r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in df.collect()), key=str)
