@@ -39,7 +39,7 @@ from strandlake.llm.runtime import NULL_ID, doc_key, materialise, scratch_path,
 TOP = 20
 #: A block ends at so many documents (their numbers take 16 bits) or postings.
 BLOCK_DOCS = 1 << 16
-BLOCK_POSTINGS = 1 << 21
+BLOCK_POSTINGS = 1 << 20
 #: Shares of a term's postings in the first tiers, and how many a list's first tier has at least.
 TIERS = (1 / 16, 1 / 4)
 LEAST = 32
@@ -71,32 +71,40 @@ def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"docs": [docs], "terms": [terms]})
 
 
-def _block(number: int, ids: list[int], lengths: list[int], known: dict[bytes, int], terms: list[np.ndarray], counts: list[np.ndarray], n_docs: int, n_terms: int) -> pa.RecordBatch:
+def _block(number: int, ids: list[int], lengths: list[int], known: dict[bytes, int], terms: list[np.ndarray], counts: list[np.ndarray], n_docs: int, n_terms: int) -> Iterator[pa.RecordBatch]:
     """A block's postings by tier and term; the row of the empty term holds the ids of its documents."""
     order = np.argsort(np.array(ids, np.int64), kind="stable")
-    place = np.empty(len(ids), np.int64)
+    place = np.empty(len(ids), np.int32)
     place[order] = np.arange(len(ids))
-    doc = np.repeat(place, [len(x) for x in terms])
-    m = np.repeat(np.array([75 + 25 * n * n_docs // n_terms for n in lengths], np.int64), [len(x) for x in terms])
-    term, tf = np.concatenate(terms), np.concatenate(counts)
-    impact = 1_000_000_000 * tf // (1000 * tf + 12 * m)
+    sizes = [len(x) for x in terms]
+    doc, m = np.repeat(place, sizes), np.repeat(np.array([75 + 25 * n * n_docs // n_terms for n in lengths], np.int64), sizes)
+    term, tf = np.concatenate(terms), np.concatenate(counts).astype(np.int64)
+    terms.clear()
+    counts.clear()
+    m *= 12
+    m += 1000 * tf
+    impact = (1_000_000_000 * tf // m).astype(np.int32)
+    del m, tf
     by = np.lexsort((doc, -impact, term))
     term, doc, impact = term[by], doc[by], impact[by]
     df = np.bincount(term, minlength=len(known))
     first = np.cumsum(df) - df
     at = np.arange(len(term)) - first[term]
     cuts = np.array([np.minimum(df, np.maximum(LEAST, np.ceil(df * s))) for s in TIERS] + [df], np.int64)
-    tier = sum((at >= c[term]).astype(np.int64) for c in cuts[:-1])
+    tier = sum((at >= c[term]).astype(np.int8) for c in cuts[:-1])
+    del at
     rest = np.array([np.where(c < df, impact[np.minimum(first + c, len(impact) - 1)], 0) for c in cuts], np.int64)
     by = np.lexsort((doc, term, tier))
-    term, doc, impact, tier = term[by], doc[by].astype(np.uint16), impact[by].astype(np.int32), tier[by]
+    term, doc, impact, tier = term[by], doc[by].astype(np.uint16), impact[by], tier[by]
     new = np.flatnonzero(np.concatenate(([True], (np.diff(term) != 0) | (np.diff(tier) != 0))))
     ends = np.concatenate((new, [len(term)]))
     binary = lambda x: pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer((ends * x.itemsize).astype(np.int32)), pa.py_buffer(x)])
     names = pa.array(list(known), pa.binary()).cast(pa.string()).take(pa.array(term[new]))
     lists = pa.record_batch({"block": np.full(len(new), number), "term": names, "tier": tier[new].astype(np.int32), "df": df[term[new]].astype(np.int32), "docs": binary(doc), "impacts": binary(impact), "rest": rest[tier[new], term[new]]})
     held = pa.record_batch([[number], [""], pa.array([0], pa.int32()), pa.array([len(ids)], pa.int32()), [np.array(ids, np.int64)[order].tobytes()], [b""], [0]], schema=lists.schema)
-    return pa.Table.from_batches([held, lists]).combine_chunks().to_batches()[0]
+    yield held
+    for lo in range(0, lists.num_rows, 5000):
+        yield lists.slice(lo, 5000)
 
 
 def _indexed(batches: Iterator[pa.RecordBatch], *, n_docs: int, n_terms: int, block_docs: int, block_postings: int) -> Iterator[pa.RecordBatch]:
@@ -111,15 +119,15 @@ def _indexed(batches: Iterator[pa.RecordBatch], *, n_docs: int, n_terms: int, bl
                     continue
                 ids.append(doc)
                 lengths.append(seen.total())
-                terms.append(np.fromiter((known.setdefault(t, len(known)) for t in seen), np.int64, len(seen)))
-                counts.append(np.fromiter(seen.values(), np.int64, len(seen)))
+                terms.append(np.fromiter((known.setdefault(t, len(known)) for t in seen), np.int32, len(seen)))
+                counts.append(np.fromiter(seen.values(), np.int32, len(seen)))
                 size += len(seen)
                 if len(ids) >= block_docs or size >= block_postings:
-                    yield _block(number, ids, lengths, known, terms, counts, n_docs, n_terms)
+                    yield from _block(number, ids, lengths, known, terms, counts, n_docs, n_terms)
                     number += 1
                     ids, lengths, known, terms, counts, size = [], [], {}, [], [], 0
     if ids:
-        yield _block(number, ids, lengths, known, terms, counts, n_docs, n_terms)
+        yield from _block(number, ids, lengths, known, terms, counts, n_docs, n_terms)
 
 
 def build_index(docs: DataFrame, path: str | None = None, *, block_docs: int = BLOCK_DOCS, block_postings: int = BLOCK_POSTINGS, id_col: str = "doc_id", text_col: str = "text") -> Index:
@@ -225,7 +233,6 @@ def search(index: Index, items: DataFrame, *, top: int = TOP, group: int = GROUP
         ranked = best.select("item", F.explode("lower").alias("score")).withColumn("k", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score")))).where(F.col("k") <= top)
         last = ranked.where(F.col("k") == top).select("item", F.col("score").alias("last"))
         judged = state.join(last, "item", "left").withColumn("open", (F.col("bound") > 0) & (F.col("bound") >= F.coalesce("last", F.lit(0)))).drop("last")
-        judged = materialise(judged, "judged")
         pending = judged.where("open").select("grp", "block", "item")
         closed = judged.where("not open").drop("open")
         settled = closed if settled is None else settled.unionByName(closed)
