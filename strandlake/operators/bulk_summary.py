@@ -88,8 +88,9 @@ def density(values: DataFrame, *, points: int = 200) -> DataFrame:
 
 
 def count_medians(raw: DataFrame) -> DataFrame:
-    """(sample, median_log10): of log10(count + 1)."""
-    return raw.groupBy("sample").agg(F.median(F.log10(F.col("read_counts") + F.lit(1.0))).alias("median_log10"))
+    """(sample, median_log10): of log10(count + 1). Equal counts are counted first, so that a task holds different counts only."""
+    per = raw.groupBy("sample", "read_counts").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("sample").agg(F.percentile(F.log10(F.col("read_counts") + F.lit(1.0)), F.lit(0.5), F.col("n")).alias("median_log10"))
 
 
 def count_ranges(raw: DataFrame) -> DataFrame:

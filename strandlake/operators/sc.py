@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandlake.functions.seq import checked_reverse_complement, minus_log10, poisson_upper_tail
+from strandlake.operators.quantiles import exact_quantiles
 from strandlake.operators.ranks import numbered, prefix
 from strandlake.operators.similarity import nearest
 from strandlake.params import ScParams
@@ -153,20 +154,36 @@ def gbc_occurrences(clones_: DataFrame) -> DataFrame:
 
 
 def run_metrics(status: DataFrame) -> DataFrame:
-    """One row a sample: combos, good barcodes, starting cells, MOI, clones and cells."""
-    cells = cell_gbc(status)
-    first = status.groupBy("sample").agg(
-        F.count_distinct("GBC").alias("unique_good_GBCs"), F.count_if(F.col("status") == "unsupported").alias("unsupported_combos"), F.count_if(F.col("status") == "supported").alias("supported_combos"),
-        F.count_distinct("CBC").alias("starting_CBCs"),
+    """One row a sample: combos, good barcodes, starting cells, MOI, clones and cells.
+
+    The table is read twice, by barcode and by cell; what follows are sums over these: cells by their number of barcodes and, where it is
+    one, by that barcode, which is a clone.
+    """
+    good = F.col("status") == "supported"
+    by_gbc = status.groupBy("sample", "GBC").agg(F.count_if(good).alias("good"), F.count(F.lit(1)).alias("n"))
+    combos_ = by_gbc.groupBy("sample").agg(F.count(F.lit(1)).alias("unique_good_GBCs"), F.sum(F.col("n") - F.col("good")).alias("unsupported_combos"), F.sum("good").alias("supported_combos"))
+    held = good & (F.col("umi") > 0)
+    by_cell = status.groupBy("sample", "CBC").agg(F.count_if(held).alias("moi"), F.min(F.when(held, F.col("GBC"))).alias("GBC"))
+    kinds = by_cell.groupBy("sample", "moi", F.when(F.col("moi") == 1, F.col("GBC")).alias("clone")).agg(F.count(F.lit(1)).alias("cells"))
+    some, one = F.col("moi") > 0, F.col("moi") == 1
+    n, first, second = (F.sum(F.when(some, F.col("cells") * f).otherwise(0)) for f in (F.lit(1), F.col("moi"), F.col("moi") * F.col("moi")))
+    cells = kinds.groupBy("sample").agg(
+        F.sum("cells").alias("starting_CBCs"), F.percentile(F.when(some, F.col("moi")), F.lit(0.5), F.when(some, F.col("cells")).otherwise(0)).alias("observed_moi_median"),
+        F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), (second - first * first / n) / (n - 1)))).alias("observed_moi_std"), F.sum(F.when(one, F.col("cells")).otherwise(0)).alias("uniquely_barcoded_cells"),
+        F.count_if(one).alias("n_clones"), F.count_if(one & (F.col("cells") >= 10)).alias("n_clones_10plus"),
     )
-    named = clones(unique_cells(cells)).groupBy("sample").agg(F.sum("n_cells").alias("uniquely_barcoded_cells"), F.count(F.lit(1)).alias("n_clones"), F.count_if(F.col("n_cells") >= 10).alias("n_clones_10plus"))
-    whole = first.join(moi_stats(cells), "sample", "left").join(named, "sample", "left")
-    return whole.withColumnsRenamed({"median_moi": "observed_moi_median", "std_moi": "observed_moi_std"}).fillna(0, ["uniquely_barcoded_cells", "n_clones", "n_clones_10plus"])
+    columns = ["unique_good_GBCs", "unsupported_combos", "supported_combos", "starting_CBCs", "observed_moi_median", "observed_moi_std", "uniquely_barcoded_cells", "n_clones", "n_clones_10plus"]
+    return combos_.join(cells, "sample").select("sample", *columns)
 
 
 def combo_medians(scored: DataFrame) -> DataFrame:
-    """(sample, and the medians of umi, max_ratio, normalized_abundance and p)."""
-    return scored.groupBy("sample").agg(*(F.median(c).alias(f"median_{c}") for c in THRESHOLDS))
+    """(sample, and the medians of umi, max_ratio, normalized_abundance and p).
+
+    These are nearly as many values as rows, so that a sample's don't go into one task.
+    """
+    values = F.explode(F.array(*(F.struct(F.lit(c).alias("what"), F.col(c).cast("double").alias("value")) for c in THRESHOLDS)))
+    medians = exact_quantiles(scored.select("sample", values.alias("x")).select("sample", "x.*"), ["sample", "what"], "value", [0.5])
+    return medians.groupBy("sample").agg(*(F.max(F.when(F.col("what") == c, F.col("q")[0])).alias(f"median_{c}") for c in THRESHOLDS))
 
 
 def bulk_check(status: DataFrame, bulk: DataFrame) -> DataFrame:
@@ -193,8 +210,8 @@ def umi_rank_curve(combos_: DataFrame) -> DataFrame:
 
 
 def clone_size_curve(clones_: DataFrame) -> DataFrame:
-    """(sample, clone, n_cells, n_larger): how many clones are at least as far up, 1 for the largest."""
-    return numbered(clones_, ["sample"], [-F.col("n_cells"), prefix("GBC_set")], [F.col("GBC_set")]).select("sample", "clone", "n_cells", F.col("place").alias("n_larger"))
+    """(sample, clone, n_cells, n_larger): how many clones are at least as far up, 1 for the largest: a clone's own number."""
+    return clones_.select("sample", "clone", "n_cells", (F.substring("clone", 2, 19).cast("long") + 1).alias("n_larger"))
 
 
 def box_stats(values: DataFrame, column: str = "umi") -> DataFrame:

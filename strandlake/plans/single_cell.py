@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandlake.operators import consensus, sc
 from strandlake.params import ScParams
+from strandlake.storage import materialise
 
 
 @dataclass
@@ -33,7 +34,9 @@ def elements_from_reads(reads: DataFrame, barcodes: DataFrame, params: ScParams
 
 def run_single_cell(elements: DataFrame, params: ScParams = ScParams(), *, bulk: DataFrame | None = None, sample_map: DataFrame | None = None, sample_params: DataFrame | None = None) -> ScResult:
     """From elements to combos with their status, clones, cells and metrics; with a bulk reference and a
-    sample map, barcodes are corrected first. A sample that the map lacks is an error."""
+    sample map, barcodes are corrected first. A sample that the map lacks is an error.
+
+    The combos are written to the shared folder once; all other tables are read from there."""
     own = sc.read_elements(elements)
     if bulk is not None and sample_map is not None:
         missing = [r["sample"] for r in sc.unmapped_samples(own, sample_map).limit(5).collect()]
@@ -41,7 +44,7 @@ def run_single_cell(elements: DataFrame, params: ScParams = ScParams(), *, bulk:
             raise KeyError(f"the sample map lacks {', '.join(missing)}")
         reference = sc.sample_reference(bulk, sample_map)
         own = sc.correct_with_bulk(own, sc.bulk_map(own, reference, threshold=params.bulk_correction_threshold, length=params.gbc_length))
-    status = sc.support(sc.poisson(sc.combos(sc.umi_counts(own))), params, sample_params)
+    status = materialise(sc.support(sc.poisson(sc.combos(sc.umi_counts(own))), params, sample_params), "combos")
     cells = sc.cell_gbc(status)
     return ScResult(status, cells, sc.clones(sc.unique_cells(cells)), sc.cell_table(cells), sc.run_metrics(status))
 

@@ -313,6 +313,19 @@ def cell_gbc_matrix(spark, sf_dir):
     return rounded(sc.cell_matrix(named, MATRIX))
 
 
+#: All thirty barcodes of the fixture.
+WHOLE = [f"GBC{i}" for i in range(30)]
+
+
+@query(f"""WITH {CELLS}, named AS (SELECT c.*, g.name FROM cells c LEFT JOIN (SELECT concat('GBC', cast(i AS string)) AS name, substring(translate(md5(concat('GBC', cast(i AS string))), {fx.DNA}), 1, 18) AS GBC FROM range(30) t(i)) g USING (GBC))
+SELECT sample, CBC, """ + ", ".join(f"round(coalesce(avg(umi) FILTER (name = '{n}'), 0), 6) AS {n}" for n in WHOLE) + " FROM named GROUP BY ALL")
+def cell_gbc_matrix_whole(spark, sf_dir):
+    """Every cell, and a column for every barcode there is."""
+    names = spark.range(30).select(F.concat(F.lit("GBC"), F.col("id").cast("string")).alias("name")).select("name", F.substring(F.translate(F.md5(F.col("name").cast("binary")), "0123456789abcdef", "ACGTACGTACGTACGT"), 1, 18).alias("GBC"))
+    named = _cells(spark, sf_dir).join(names, "GBC", "left").select("sample", "CBC", F.col("name").alias("GBC"), "umi")
+    return rounded(sc.cell_matrix(named, WHOLE))
+
+
 @query(f"WITH {CELLS} SELECT sample, moi, count(*)::bigint AS n_cells FROM moi GROUP BY ALL")
 def moi_distribution(spark, sf_dir):
     return sc.moi_distribution(_cells(spark, sf_dir))
