@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from strandlake import fixtures as fx
 from strandlake.operators import bulk, bulk_summary, consensus, sc
-from strandlake.plans import report, single_cell
-from strandlake.registry import BULK, CELLS, COMBOS, ELEMENTS, LABELS, LOOSE, ONE, ORACLES, OVERLAP, POOL, RAW, SCORED, STRICT, STRICT_CELLS, _cells, _corrections, _pool, _raw, _scored, _umis, clones_sql, query, rounded, status_sql
+from strandlake.params import BulkParams, ScParams
+from strandlake.plans import entry, report, single_cell
+from strandlake.registry import BULK, CELLS, COMBOS, CONSENSUS, ELEMENTS, LABELS, LOOSE, ONE, ORACLES, OVERLAP, POOL, RAW, SCORED, STRICT, STRICT_CELLS, UMIS, _cells, _corrections, _pool, _raw, _scored, _umis, clones_sql, query, rounded, status_sql
 from strandlake.sources import bam, sequences, sinks, tables
 from strandlake.storage import materialise, scratch_path
 
@@ -308,3 +309,54 @@ def file_bam_chunk(spark, sf_dir):
 def file_bam_counters(spark, sf_dir):
     reads = materialise(bam.read_bam(spark, _sorted_bam(spark, sf_dir)).select("flag"), "bam-flags")
     return sequences.alignment_counts(reads.withColumn("sample", F.lit("s"))).drop("sample")
+
+
+# -- whole runs, from their sheets
+
+
+def _calls(where: str) -> str:
+    return f"{CONSENSUS}, el AS (SELECT sample, CB AS CBC, MI AS UMI, reverse(translate(substring(seq, 34, 18), 'ACGTN', 'TGCAN')) AS GBC FROM called WHERE cD >= 3 AND error_rate <= 0.2), {where}"
+
+
+RUN = ScParams(min_reads=3, umi_threshold=1, max_ratio_threshold=0.05, normalized_abundance_threshold=0.05)
+RUN_CLONES = _calls(UMIS.removeprefix(ELEMENTS + ", ") + COMBOS.removeprefix(UMIS) + SCORED.removeprefix(COMBOS) + f", {status_sql('1')}, cells AS (SELECT sample, CBC, GBC, umi FROM status WHERE status = 'supported'), moi AS (SELECT sample, CBC, count(*) AS moi FROM cells GROUP BY ALL), {ONE}, {clones_sql('one', 'clones')}")
+
+
+@query(f"WITH {RUN_CLONES} SELECT sample, clone, GBC_set, n_cells, round(prevalence, 6) AS prevalence FROM clones")
+def run_bam_sheet(spark, sf_dir):
+    """From a sheet of BAM files and lists of cells to clones."""
+    reads = fx.aligned_reads(spark, sf_dir).withColumns({"mapq": F.lit(60), "cigar": F.lit("53M")})
+    folder = scratch_path(spark, "run")
+    bam.write_bam(reads, folder, CONTIGS, by="sample")
+    barcodes = reads.where("CB <> '-' and substring(CB, 1, 1) <> 'A'").select("sample", "CB").distinct()
+    barcodes.write.partitionBy("sample").text(f"{folder}-cells")
+    samples = reads.select("sample").distinct()
+    own = lambda tail: F.concat(F.lit(folder + tail), "sample")
+    sinks.write_csv(samples.select("sample", F.concat(own("/"), F.lit("/*.bam")).alias("bam"), own("-cells/sample=").alias("cell_barcodes")), f"{folder}-sheet")
+    return rounded(entry.run_sheet(spark, f"{folder}-sheet", "bam", RUN).clones)
+
+
+@query(f"WITH {RAW} SELECT gbc, sum(read_counts)::bigint AS read_counts FROM raw GROUP BY gbc")
+def run_bulk_sheet(spark, sf_dir):
+    """From a sheet of folders of FASTQ files to counts."""
+    folder = _fastq(spark, sf_dir)
+    base, _, name = folder.rpartition("/")
+    path = scratch_path(spark, "sheet")
+    sinks.write_csv(spark.createDataFrame([("all", base, name)], "ID_we_want string, path_bulk string, folder_name_bulk string"), path)
+    return entry.run_bulk_sheet(spark, path, BulkParams(min_n_reads=100)).raw.select("gbc", "read_counts")
+
+
+GATHERED = f"""{SCORED}, boxes AS (SELECT sample, count(*)::bigint AS n, quantile_cont(umi, 0.25) AS q1, quantile_cont(umi, 0.5) AS median, quantile_cont(umi, 0.75) AS q3 FROM scored WHERE umi > 0 GROUP BY 1)"""
+
+
+@query(f"WITH {GATHERED} SELECT m.sample, b.n, b.q1::double AS q1, b.median::double AS median, b.q3::double AS q3, m.observed_moi_median::double AS moi, m.n_clones::double AS n_clones FROM ({ORACLES['sc_metrics']}) m JOIN boxes b USING (sample)")
+def run_gathered(spark, sf_dir):
+    """Results written in a folder a sample, and gathered again from these folders."""
+    status = materialise(sc.support(_scored(spark, sf_dir), LOOSE), "combos")
+    metrics = sc.run_metrics(status)
+    path = scratch_path(spark, "results")
+    result = single_cell.ScResult(status, None, None, None, metrics)
+    entry.write_run(result, report.sample_documents(metrics, {"umi": 2}, run_type="sc_gbc", input_type="bam"), path)
+    found = entry.gather(spark, path)
+    clones = found.samples.select("sample", F.element_at("metrics", "n_clones").alias("n_clones"))
+    return rounded(found.quality.select("sample", "n", "q1", "median", "q3", "moi").join(clones, "sample"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.functions.seq import search_patterns
+from strandlake.operators.ranks import numbered, prefix
 
 
 def write_csv(table: DataFrame, path: str, *, sep: str = ",", gzip: bool = False, by_sample: bool = False) -> None:
@@ -33,18 +34,19 @@ def write_counts(corrected: DataFrame, path: str) -> None:
     write_csv(most_first(corrected.select("sample", "gbc", "read_count"), "read_count"), path, by_sample=True)
 
 
-def indexed(table: DataFrame) -> DataFrame:
-    """With a first column without a name that numbers the rows, not in unbroken order."""
-    return table.select(F.monotonically_increasing_id().alias(""), "*")
+def indexed(table: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """With a first column without a name that numbers the rows from 0, within ``by``, in the order of some columns that are strings."""
+    placed = numbered(table, by, [prefix(order[0])], [F.col(c) for c in order])
+    return placed.select((F.col("place") - 1).alias(""), *table.columns)
 
 
 def write_combos(status: DataFrame, path: str) -> None:
-    write_csv(indexed(status), path, sep="\t", gzip=True, by_sample=True)
+    write_csv(indexed(status, ["sample"], ["CBC", "GBC"]), path, sep="\t", gzip=True, by_sample=True)
 
 
 def write_reference(reference: DataFrame, path: str) -> None:
     """The whitelist of all samples in one table."""
-    write_csv(indexed(reference.select("gbc", "read_count", "sample")), path)
+    write_csv(indexed(reference.select("gbc", "read_count", "sample"), [], ["gbc", "sample"]), path)
 
 
 def write_overlap(common: DataFrame, path: str) -> None:
@@ -107,3 +109,23 @@ def write_fastq(reads: DataFrame, folder: str, mate: str) -> None:
     for k, name in enumerate(names):
         store.rename(jvm.org.apache.hadoop.fs.Path(own, name), jvm.org.apache.hadoop.fs.Path(folder, f"x_L{k:05d}_{mate}_001.fastq.gz"))
     store.delete(where, True)
+
+
+def publish(spark: SparkSession, written: str, folder: str, name: str) -> None:
+    """Move what :func:`write_csv` and others wrote by sample to a file of that name in each sample's own folder.
+
+    A sample with several parts keeps them, numbered before the name.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    store = path(written).getFileSystem(conf)
+    for status in store.listStatus(path(written)):
+        inner = status.getPath()
+        if not inner.getName().startswith("sample="):
+            continue
+        own = path(folder, jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(inner.getName().removeprefix("sample=")))
+        store.mkdirs(own)
+        parts = sorted(f.getPath().getName() for f in store.listStatus(inner) if f.getPath().getName().startswith("part-"))
+        for k, part in enumerate(parts):
+            store.rename(path(inner, part), path(own, name if len(parts) == 1 else f"{k}-{name}"))
+    store.delete(path(written), True)
