@@ -2,7 +2,8 @@
 
 The blended-spectrum presence kernel of two texts is the cosine of their sets of byte
 n-grams (n = 1 to 4, over letters, with one mark for everything between words), the
-n-grams hashed to ``DIMS`` places. Of the labelled rows about ``FIT_ROWS`` a language and, with many
+n-grams hashed to ``DIMS`` places. A long text is cut into equal parts of about ``PART`` bytes, and its kernel with another is the
+mean of its parts' kernels: the set of all n-grams of a very long text would be nearly all there are. Of the labelled rows about ``FIT_ROWS`` a language and, with many
 languages, about ``FIT_TOTAL`` in all are used, ``LEAST_ROWS`` a language at least, dealt by a hash of the id; no
 language is left out. Of these rows ``LANDMARKS`` in all are landmarks.
 With K the kernel between landmarks, a text's features are its kernel values with the
@@ -10,13 +11,13 @@ landmarks times K^(-1/2) (Nyström); a ridge regression for each language, one a
 is solved on them. Scoring multiplies batches: presence rows times the landmark
 matrix, then times the weights.
 
-Only the fit uses a bounded sample; every text is scored, in full. ``lang``, ``source``
+Only the fit uses a bounded sample, of each text at most ``FIT_PARTS`` parts, evenly spaced; every text is scored by all its parts. ``lang``, ``source``
 and the id are never inputs of a prediction.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; rows
 without an id aren't learned from; with no row to learn from, all are ``und``; with a single
 language, it is always predicted; rows with the same id are labelled apart; very long texts are taken
-whole; an empty table gives no rows; other columns are ignored.
+whole, part by part; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ from strandlake.llm.runtime import crc_mod, ship_code
 
 DIMS = 1 << 14
 ORDERS = (1, 2, 3, 4)
+#: Bytes of a part of a long text; parts of a text that are learned from.
+PART = 4096
+FIT_PARTS = 4
 #: Bounds of the fit: rows a language, rows in all, rows a language however many there are, and landmarks.
 FIT_ROWS = 1500
 FIT_TOTAL = 24_000
@@ -47,12 +51,14 @@ BATCH = 256
 _between = re.compile(r"[\W\d_]+")
 
 
-def presence(text: str) -> np.ndarray | None:
-    """The places of the text's n-grams, each once; None: no letter."""
+def _clean(text: str) -> np.ndarray | None:
+    """The text's letters with one mark between words; None: no letter."""
     clean = _between.sub(" ", text.lower()).strip()
-    if not clean:
-        return None
-    b = np.frombuffer((" " + clean + " ").encode("utf-8", "replace"), np.uint8).astype(np.uint32)
+    return np.frombuffer((" " + clean + " ").encode("utf-8", "replace"), np.uint8).astype(np.uint32) if clean else None
+
+
+def _places(b: np.ndarray) -> np.ndarray:
+    """The places of the n-grams, each once."""
     seen = np.zeros(DIMS, dtype=bool)
     code = np.zeros(len(b), dtype=np.uint32)
     for n in ORDERS:
@@ -63,11 +69,25 @@ def presence(text: str) -> np.ndarray | None:
     return np.flatnonzero(seen)
 
 
-def _rows(places: list[np.ndarray]) -> np.ndarray:
-    """Presence rows of unit length."""
-    x = np.zeros((len(places), DIMS), dtype=np.float32)
-    for i, p in enumerate(places):
-        x[i, p] = 1 / np.sqrt(len(p))
+def presence(text: str) -> np.ndarray | None:
+    """The places of the whole text's n-grams; None: no letter."""
+    b = _clean(text)
+    return None if b is None else _places(b)
+
+
+def parts(text: str) -> list[np.ndarray] | None:
+    """The places of the n-grams of each part of the text; None: no letter."""
+    b = _clean(text)
+    return None if b is None else [_places(x) for x in np.array_split(b, max(1, round(len(b) / PART)))]
+
+
+def _rows(texts: list) -> np.ndarray:
+    """A row a text: its presence row of unit length, or the mean of its parts'."""
+    x = np.zeros((len(texts), DIMS), dtype=np.float32)
+    for i, own in enumerate(texts):
+        own = [own] if isinstance(own, np.ndarray) else own
+        for p in own:
+            x[i, p] += 1 / np.sqrt(len(p)) / len(own)
     return x
 
 
@@ -78,7 +98,7 @@ class Model:
         self.langs, self.landmarks, self.weights = langs, landmarks, weights
 
     @classmethod
-    def fit(cls, places: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> "Model":
+    def fit(cls, places: list, labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> "Model":
         langs = sorted(set(labels))
         number = {a: k for k, a in enumerate(langs)}
         own = np.array([number[a] for a in labels])
@@ -105,7 +125,7 @@ class Model:
         solved = np.linalg.solve(gram + ridge * np.trace(gram) / len(gram) * np.eye(len(gram)), right)
         return cls(langs, np.ascontiguousarray(chosen.T), (root @ solved).astype(np.float32))
 
-    def score(self, places: list[np.ndarray]) -> tuple[list[str], list[float]]:
+    def score(self, places: list) -> tuple[list[str], list[float]]:
         out = (_rows(places) @ self.landmarks) @ self.weights
         best = out.argmax(1)
         margin = np.exp(4 * (out - out.max(1, keepdims=True)))
@@ -114,9 +134,10 @@ class Model:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        got = [presence(t or "") for t in batch.column(1).to_pylist()]
-        bits = [None if p is None else np.packbits(np.isin(np.arange(DIMS), p)).tobytes() for p in got]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bits, pa.binary())], ["lang", "order", "bits"])
+        got = [parts(t or "") for t in batch.column(1).to_pylist()]
+        few = [None if p is None else [p[k] for k in sorted({i * len(p) // FIT_PARTS for i in range(FIT_PARTS)})] for p in got]
+        bits = [None if p is None else [np.packbits(np.isin(np.arange(DIMS), x)).tobytes() for x in p] for p in few]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bits, pa.list_(pa.binary()))], ["lang", "order", "bits"])
 
 
 def learn(labelled: DataFrame, *, fit_rows: int = FIT_ROWS, fit_total: int = FIT_TOTAL, landmarks: int = LANDMARKS) -> Model | None:
@@ -132,11 +153,11 @@ def learn(labelled: DataFrame, *, fit_rows: int = FIT_ROWS, fit_total: int = FIT
     order = F.xxhash64("key", F.lit(11))
     share = counts.select("lang", F.least(F.lit(1.0), quota / F.col("n")).alias("share"))
     dealt = rows.withColumn("order", order).join(named(share), "lang").where(F.pmod("order", F.lit(1 << 30)) < F.col("share") * float(1 << 30))
-    got = dealt.select("lang", "text", "order").mapInArrow(_features, "lang string, order long, bits binary").where("bits is not null").collect()
+    got = dealt.select("lang", "text", "order").mapInArrow(_features, "lang string, order long, bits array<binary>").where("bits is not null").collect()
     got.sort(key=lambda r: (r["order"], r["lang"], r["bits"]))
     if not got:
         return None
-    places = [np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8))) for r in got]
+    places = [[np.flatnonzero(np.unpackbits(np.frombuffer(x, np.uint8))) for x in r["bits"]] for r in got]
     return Model.fit(places, [r["lang"] for r in got], landmarks)
 
 
@@ -145,7 +166,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
     for batch in batches:
         for lo in range(0, batch.num_rows, BATCH):
             part = batch.slice(lo, BATCH)
-            got = [presence(t or "") for t in part.column(1).to_pylist()]
+            got = [parts(t or "") for t in part.column(1).to_pylist()]
             langs, scores = ["und"] * len(got), [0.0] * len(got)
             known = [i for i, p in enumerate(got) if p is not None]
             if known and own is not None:

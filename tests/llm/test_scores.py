@@ -165,6 +165,57 @@ def test_exact_kernel(spark):
     assert sum(got[i] == lang for i, lang in want.items()) >= 0.97 * len(want)
 
 
+def invented(seed, letters="abcdefghijklmnopqrstuvwxyz"):
+    """A language of its own words over the same letters as others."""
+    rng = random.Random(seed)
+    first = {a: rng.sample(letters, 8) for a in letters}
+
+    def word():
+        out = [rng.choice(letters)]
+        while len(out) < rng.randint(2, 9):
+            out.append(rng.choice(first[out[-1]]))
+        return "".join(out)
+
+    return lambda n, r: " ".join(word() if r.random() < 0.3 else w for w in r.choices(vocabulary, k=n)) if (vocabulary := [word() for _ in range(400)]) else ""
+
+
+@pytest.mark.parametrize("words", [300, 10_000, 50_000])
+def test_long_texts(spark, words):
+    """Languages over one alphabet, learned from short texts, are told on long ones."""
+    rng = random.Random(words)
+    speak = {f"l{k}": invented(k) for k in range(2)}
+    learned = [(i, speak[f"l{i % 2}"](300, rng), f"l{i % 2}") for i in range(200)]
+    model = language.learn(spark.createDataFrame(learned, "key long, text string, lang string"), landmarks=64)
+    n = 40 if words < 50_000 else 12
+    asked = [(i, speak[f"l{i % 2}"](words, rng)) for i in range(n)]
+    got = language.identify(spark.createDataFrame(asked, "key long, text string").repartition(4), model).collect()
+    assert len(got) == n and sum(r.lang_pred == f"l{r.key % 2}" for r in got) >= 0.97 * n
+
+
+def test_a_text_of_a_million_words(spark):
+    """By all its parts, and in the time that its length takes."""
+    rng = random.Random(1)
+    speak = {f"l{k}": invented(k) for k in range(2)}
+    learned = [(i, speak[f"l{i % 2}"](300, rng), f"l{i % 2}") for i in range(100)]
+    model = language.learn(spark.createDataFrame(learned, "key long, text string, lang string"), landmarks=64)
+    # the first tenth is in the other language: a prefix would be told wrong
+    text = {k: speak[f"l{1 - k}"](100_000, rng) + " " + speak[f"l{k}"](900_000, rng) for k in range(2)}
+    got = {r.key: r.lang_pred for r in language.identify(spark.createDataFrame(list(text.items()), "key long, text string"), model).collect()}
+    assert got == {0: "l0", 1: "l1"}
+
+
+def test_parts_are_a_mean_of_kernels():
+    rng = random.Random(5)
+    text = "".join(rng.choices("abcdefgh ", k=20_000))
+    own = language.parts(text)
+    assert len(own) == 5 and len(language.parts("short one")) == 1 and language.parts("1 2 !") is None
+    other = language.presence("".join(rng.choices("abcdefgh ", k=500)))
+    kernel = lambda p, q: len(np.intersect1d(p, q)) / np.sqrt(len(p) * len(q))
+    rows = language._rows([own, other])
+    assert rows[0] @ rows[1] == pytest.approx(np.mean([kernel(p, other) for p in own]), rel=1e-4)
+    assert np.array_equal(language._rows([[other]]), language._rows([other]))
+
+
 def test_many_languages(spark):
     """Every language is learned, however many there are."""
     rng = random.Random(4)
