@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandlake.operators.cluster import correction, labels
 from strandlake.operators.ranks import numbered, prefix
+from strandlake.storage import materialise
 
 LETTERS = "ACGT"
 #: Log-likelihoods are counted in units of this.
@@ -52,6 +54,17 @@ def molecules(reads: DataFrame) -> DataFrame:
     return reads.withColumn("MI", (place - 1).cast("long"))
 
 
+def adjacent_umis(reads: DataFrame, *, edits: int = 1, umi_length: int = 12) -> DataFrame:
+    """Reads with UB replaced by the UMI it was read from: within a cell and position, one with at least twice as many reads less one, up to ``edits``
+    substitutions away, directly or over others. UMIs of other lengths, and those read once only, stay."""
+    if edits == 0:
+        return reads
+    place = F.to_json(F.struct("sample", "CB", F.col("pos").cast("string").alias("pos")))
+    own = reads.where(F.length("UB") == umi_length).groupBy(place.alias("sample"), F.col("UB").alias("gbc")).agg(F.count(F.lit(1)).alias("read_counts"))
+    told = correction(labels(materialise(own, "umis"), threshold=edits, length=umi_length)).select(F.col("sample").alias("__place"), F.col("degenerated").alias("UB"), F.col("correct").alias("__UB"))
+    return reads.withColumn("__place", place).join(told, ["__place", "UB"], "left").withColumn("UB", F.coalesce("__UB", "UB")).select(reads.columns)
+
+
 def read_vector(points: Callable[[Column], Column], min_base_quality: int, length: int) -> Column:
     """Eight numbers for each of ``length`` places of a read (seq, qual): points for A, C, G and T, then votes."""
     places = F.zip_with(F.split("seq", ""), F.split(F.left("qual", F.length("seq")), ""), lambda b, s: F.struct(b.alias("b"), (F.ascii(s) - 33).alias("q")))

@@ -14,6 +14,7 @@ class BulkParams:
     gbc_length: int = 18
     hamming_threshold: int = 3
     min_n_reads: int = 1000
+    method: str = "directional"
 
 
 @dataclass(frozen=True)

@@ -27,6 +27,6 @@ def run_bulk(reads: DataFrame, params: BulkParams = BulkParams(), spikeins: Data
     Raw counts and labels are written once to shared storage, as several results need them.
     """
     raw = materialise(bulk.raw_counts(bulk.extract(reads, anchor=params.anchor, start=params.gbc_start, length=params.gbc_length), length=params.gbc_length), "raw-counts")
-    corrections = cluster.correction(cluster.labels(raw, threshold=params.hamming_threshold, length=params.gbc_length))
+    corrections = cluster.correction(cluster.grouped(raw, params.method, threshold=params.hamming_threshold, length=params.gbc_length))
     corrected = cluster.final_pool(raw, corrections, min_n_reads=params.min_n_reads, spikeins=spikeins)
     return BulkResult(raw, corrections, corrected, bulk.metrics(raw, corrected, corrections), bulk_summary.reference(corrected), bulk_summary.overlap(corrected))

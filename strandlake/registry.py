@@ -119,6 +119,24 @@ def gbc_correction(spark, sf_dir):
     return _corrections(spark, sf_dir)[1]
 
 
+COMPONENTS = f"""{RAW}, nodes AS (SELECT * FROM raw WHERE read_counts > 1), near AS (SELECT a.sample, a.gbc AS src, b.gbc AS dst FROM nodes a JOIN nodes b ON a.sample = b.sample AND a.gbc <> b.gbc AND hamming(a.gbc, b.gbc) <= 3),
+reach AS (SELECT sample, gbc AS root, gbc AS node FROM nodes UNION SELECT r.sample, r.root, e.dst FROM reach r JOIN near e ON r.sample = e.sample AND r.node = e.src),
+parts AS (SELECT r.sample, r.node AS gbc, n.gbc AS best, n.read_counts AS n_best FROM reach r JOIN nodes n ON r.sample = n.sample AND r.root = n.gbc QUALIFY row_number() OVER (PARTITION BY r.sample, r.node ORDER BY n.read_counts DESC, n.gbc) = 1)"""
+
+
+@query(f"WITH RECURSIVE {COMPONENTS} SELECT p.sample, p.best AS correct, p.gbc AS degenerated, p.n_best AS n_reads_correct, n.read_counts AS n_reads_degenerated FROM parts p JOIN nodes n ON p.sample = n.sample AND p.gbc = n.gbc WHERE p.gbc <> p.best")
+def gbc_correction_cluster(spark, sf_dir):
+    return cluster.correction(cluster.grouped(materialise(_raw(spark, sf_dir), "raw-counts"), "cluster"))
+
+
+@query(f"""WITH RECURSIVE {COMPONENTS}, ranked AS (SELECT p.sample, p.gbc, p.best, n.read_counts, row_number() OVER (PARTITION BY p.sample, p.best ORDER BY n.read_counts DESC, p.gbc) AS place FROM parts p JOIN nodes n ON p.sample = n.sample AND p.gbc = n.gbc),
+firsts AS (SELECT e.sample, e.dst AS gbc, min(r.place) AS place FROM near e JOIN ranked r ON e.sample = r.sample AND e.src = r.gbc GROUP BY ALL),
+covers AS (SELECT r.*, f.place AS near_place, least(r.place, f.place) AS cover FROM ranked r LEFT JOIN firsts f ON r.sample = f.sample AND r.gbc = f.gbc), leads AS (SELECT *, max(cover) OVER (PARTITION BY sample, best) AS leads FROM covers)
+SELECT l.sample, r.gbc AS correct, l.gbc AS degenerated, r.read_counts AS n_reads_correct, l.read_counts AS n_reads_degenerated FROM leads l JOIN ranked r ON r.sample = l.sample AND r.best = l.best AND r.place = l.near_place WHERE l.place > l.leads""")
+def gbc_correction_adjacency(spark, sf_dir):
+    return cluster.correction(cluster.grouped(materialise(_raw(spark, sf_dir), "raw-counts"), "adjacency"))
+
+
 @query(f"{POOL} SELECT * FROM corrected")
 def gbc_counts_corrected(spark, sf_dir):
     return _pool(spark, sf_dir)[2]
