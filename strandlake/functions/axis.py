@@ -9,9 +9,14 @@ import math
 STEPS = (0.1, 0.2, 0.25, 0.5, 1, 2, 5, 10)
 
 
-def figure_size(samples: int, base_width: float = 12, per_sample: float = 0.7, height: float = 4) -> tuple[float, float]:
-    """Width and height: so much a sample, but no narrower than the base."""
-    return max(base_width, samples * per_sample), height
+#: Fixed values, in inches: the width of a sample's slot, of the narrowest chart, and a chart's height.
+SLOT, NARROWEST, HEIGHT = 0.7, 12, 4
+
+
+def figure_size(slots: int) -> tuple[float, float]:
+    """Width and height of a chart with so many slots side by side."""
+    asked = slots * SLOT
+    return (asked if asked > NARROWEST else NARROWEST), HEIGHT
 
 
 def nice_step(raw: float) -> float:

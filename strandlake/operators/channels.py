@@ -55,7 +55,8 @@ def sample_metrics(samples: Column, wanted: Column) -> Column:
 
 def order_images(images: Column) -> Column:
     """Images as raw, corrected, before, if each of the three is there; else as they came. Array of structs with title."""
-    found = [F.filter(images, lambda x, w=word: F.contains(F.lower(x["title"]), F.lit(w))) for word in ("raw", "corrected", "before")]
+    named = lambda word: F.filter(images, lambda x: F.contains(F.lower(x["title"]), F.lit(word)))
+    found = [named(word) for word in ("raw", "corrected", "before")]
     picked = F.array(*(F.get(f, 0) for f in found))
     return F.when(F.forall(picked, lambda x: x.isNotNull()), picked).otherwise(images)
 

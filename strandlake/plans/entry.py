@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strandlake.functions.seq import reverse_complement
 from strandlake.operators import cells, channels, remap, sc
 from strandlake.params import BulkParams, ScParams
+from strandlake.plans import report
 from strandlake.plans.bulk import BulkResult, run_bulk
 from strandlake.plans.single_cell import ScResult, elements_from_reads, run_single_cell
 from strandlake.sources import bam, sequences, sinks, tables
@@ -139,3 +140,11 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     parsed = lines.select(F.col("_metadata.file_path").alias("file"), F.from_json("value", DOCUMENT).alias("d"))
     return parsed.where("d.samples is not null").select("file", "d.*")
 
+
+
+def run_report(found: Gathered, title: str = "Barcode run", **page) -> str:
+    """The page of a gathered run: its samples' metrics, charts over all samples and a card for each. Samples are few."""
+    rows = found.samples.orderBy("sample").collect()
+    first = lambda c: next((r[c] for r in rows if r[c]), {})
+    document = {"run_info": first("run_info"), "parameters": first("parameters"), "metrics_info": first("metrics_info"), "samples": [{"id": r["sample"], "metrics": r["metrics"] or {}} for r in rows]}
+    return report.report_page(document, title, figures=report.run_charts(found.quality), **page)

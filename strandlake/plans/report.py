@@ -9,6 +9,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandlake.plans import charts
+
 #: A click on a column's head sorts the table by it, a second one the other way: by number if all its cells are numbers.
 SORT = """for (const head of document.querySelectorAll("th")) head.onclick = () => {
   const body = document.querySelector("tbody"), rows = [...body.rows], text = r => r.cells[head.cellIndex].textContent.trim();
@@ -21,7 +23,7 @@ PAGE = """<!doctype html><html><head><meta charset="utf-8"><title>{title}</title
 <style>body{{font:15px sans-serif;margin:2em}}table{{border-collapse:collapse}}td,th{{border:1px solid #999;padding:.3em .6em;text-align:right}}td:first-child{{text-align:left}}</style>
 </head><body><h1>{title}</h1><p>{date}</p><h2>Parameters</h2><ul>{params}</ul><h2>Samples</h2>
 <input placeholder="search" oninput="for(const r of document.querySelectorAll('tbody tr'))r.hidden=!r.textContent.toLowerCase().includes(this.value.toLowerCase())">
-<table><thead><tr>{head}</tr></thead><tbody>{rows}</tbody></table>
+<table><thead><tr>{head}</tr></thead><tbody>{rows}</tbody></table>{quality}{cards}
 <script type="application/json" id="data">{data}</script><script>{sort}</script></body></html>"""
 
 
@@ -64,14 +66,41 @@ def run_document(metrics: DataFrame, parameters: dict, *, run_type: str, day: da
     return {"run_type": run_type, "run_info": {"date": str(day or date.today())}, "parameters": parameters, "samples": samples}
 
 
-def report_page(document: dict, title: str = "Barcode run") -> str:
-    """A page of its own with the run's table; columns without any value are left out."""
+def run_charts(quality: DataFrame) -> dict[str, str]:
+    """Charts of a run from (sample, reads, moi, n, q1, median, q3, low, high), by title; a row for each sample reaches the driver."""
+    rows = quality.orderBy("sample").collect()
+    known = lambda c: [(r["sample"], float(r[c])) for r in rows if r[c] is not None]
+    out = {title: charts.bars(title, known(c)) for title, c in (("Total reads", "reads"), ("Median MOI", "moi")) if known(c)}
+    umis = [(r["sample"], *(float(r[c]) for c in ("low", "q1", "median", "q3", "high"))) for r in rows if r["n"]]
+    return out | ({"UMIs of a combination": charts.boxes("UMIs of a combination", umis)} if umis else {})
+
+
+def _card(sample: dict) -> str:
+    """A sample's own metrics and images, folded until it is asked for."""
+    shown = lambda v: "NA" if v is None else charts.number(v) if isinstance(v, (int, float)) else html.escape(str(v))
+    lines = "".join(f"<li title=\"{html.escape(METRICS.get(k, ''))}\">{html.escape(k)}: {shown(v)}</li>" for k, v in sample["metrics"].items() if v is not None)
+    images = "".join(f'<figure><img src="data:image/png;base64,{i["image"]}"><figcaption>{html.escape(str(i["title"]))}</figcaption></figure>' for i in sample.get("qc_images") or [])
+    return f'<details id="sample-{html.escape(str(sample["id"]))}"><summary>{html.escape(str(sample["id"]))}</summary><ul>{lines}</ul>{images}</details>'
+
+
+def report_page(document: dict, title: str = "Barcode run", *, figures: dict[str, str] | None = None, template: str | None = None, token: str = "{{DATA}}") -> str:
+    """A page of its own with the run's table, its charts and a card for each sample; columns without any value are left out.
+
+    With a template of one's own only its token is replaced, by the document as JSON.
+    """
+    data = json.dumps(document | ({"run_level_qc": [{"title": t, "image": charts.as_image(svg)} for t, svg in figures.items()]} if figures else {}), default=str).replace("</", "<\\/")
+    if template is not None:
+        if token not in template:
+            raise ValueError(f"the template has no {token}")
+        return template.replace(token, data)
     names = list(dict.fromkeys(k for s in document["samples"] for k, v in s["metrics"].items() if v is not None))
     cell = lambda v: "NA" if v is None else f"{v:.4g}" if isinstance(v, float) else html.escape(str(v))
     rows = "".join(f"<tr><td>{html.escape(str(s['id']))}</td>" + "".join(f"<td>{cell(s['metrics'].get(n))}</td>" for n in names) + "</tr>" for s in document["samples"])
     params = "".join(f"<li>{html.escape(str(k))}: {html.escape(str(v))}</li>" for k, v in document["parameters"].items())
     head = "".join(f"<th>{html.escape(n)}</th>" for n in ["sample", *names])
-    return PAGE.format(title=html.escape(title), date=html.escape(document["run_info"]["date"]), params=params, head=head, rows=rows, sort=SORT, data=json.dumps(document).replace("</", "<\\/"))
+    quality = "".join(["<h2>Quality</h2>", *figures.values()]) if figures else ""
+    cards = "<h2>Each sample</h2>" + "".join(map(_card, document["samples"]))
+    return PAGE.format(title=html.escape(title), date=html.escape(str((document.get("run_info") or {}).get("date", ""))), params=params, head=head, rows=rows, quality=quality, cards=cards, sort=SORT, data=data)
 
 
 def summary_text(metrics: dict, sample: str) -> str:

@@ -360,3 +360,116 @@ def run_gathered(spark, sf_dir):
     found = entry.gather(spark, path)
     clones = found.samples.select("sample", F.element_at("metrics", "n_clones").alias("n_clones"))
     return rounded(found.quality.select("sample", "n", "q1", "median", "q3", "moi").join(clones, "sample"))
+
+
+# -- parameters, lists and documents, from the given tables
+
+
+@query(f"SELECT DISTINCT pattern FROM (SELECT unnest(list_transform(range(1, 22), lambda i: concat(substring(a, 1, i - 1), '.', substring(a, i + 1, 21), '.*'))) AS pattern FROM (SELECT DISTINCT substring(translate(md5(n_name), {fx.DNA}), 1, 21) AS a FROM nation) x) y")
+def file_anchor_patterns(spark, sf_dir):
+    """The search patterns of many anchors, one file an anchor."""
+    path = scratch_path(spark, "patterns")
+    anchors = spark.sql(f"SELECT DISTINCT substring(translate(md5(n_name), {fx.DNA}), 1, 21) AS a FROM {{nation}}", nation=spark.read.parquet(f"{sf_dir}/nation.parquet")).collect()
+    for k, row in enumerate(anchors):
+        sinks.write_patterns(spark, row["a"], f"{path}/{k}")
+    return spark.read.text(f"{path}/*").select(F.col("value").alias("pattern")).distinct()
+
+
+@query(f"SELECT DISTINCT substring(translate(md5(concat('GBC', cast(p_size AS string))), {fx.DNA}), 1, 18) AS gbc FROM part")
+def file_spikein_list(spark, sf_dir):
+    path = scratch_path(spark, "spikein-list")
+    own = spark.sql(f"SELECT DISTINCT substring(translate(md5(concat('GBC', cast(p_size AS string))), {fx.DNA}), 1, 18) AS gbc, 'x' AS note FROM {{part}}", part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    sinks.write_csv(own, path)
+    return tables.spikeins(spark, path)
+
+
+@query("SELECT 'S' || n_nationkey AS sample, (n_nationkey % 7)::double AS umi_treshold, 0.5 + n_regionkey / 10.0 AS p_treshold, 0.05::double AS max_ratio_treshold, CASE WHEN n_regionkey = 0 THEN NULL ELSE 0.3::double END AS normalized_abundance_treshold FROM nation")
+def file_threshold_table(spark, sf_dir):
+    path, k, r = scratch_path(spark, "thresholds"), F.col("n_nationkey"), F.col("n_regionkey")
+    own = spark.read.parquet(f"{sf_dir}/nation.parquet").select((k % 7).alias("umi_treshold"), _name("S").alias("sample"), F.when(r != 0, 0.3).alias("normalized_abundance_treshold"), F.lit(0.05).alias("max_ratio_treshold"), (0.5 + r / 10).alias("p_treshold"))
+    sinks.write_csv(own, path)
+    return rounded(tables.sample_params(spark, path))
+
+
+@query(f"WITH {RAW} SELECT gbc, read_counts AS read_count FROM raw WHERE sample = 'S1'")
+def file_count_table(spark, sf_dir):
+    path = scratch_path(spark, "counts")
+    sinks.write_csv(_raw(spark, sf_dir).where("sample = 'S1'").select("gbc", "read_counts"), path)
+    return tables.count_table(spark, path)
+
+
+@query("SELECT '/x' || n_nationkey || '.bam' AS bam FROM nation WHERE n_nationkey = 7")
+def file_bam_path(spark, sf_dir):
+    sheet = tables.sc_sheet(spark, _sheet(spark, sf_dir, F.concat(_name("/x"), F.lit(".bam")).alias("bam"), _name("/cb/").alias("cell_barcodes"), _name("s").alias("sample")), "bam")
+    return spark.range(1).select(F.lit(tables.bam_path(sheet, "s7")).alias("bam"))
+
+
+@query(f"SELECT sample, total_GBC_reads, n_filtered_GBCs, 'bulk_gbc' AS run_type FROM ({ORACLES['bulk_metrics']}) m")
+def file_bulk_documents(spark, sf_dir):
+    path = scratch_path(spark, "bulk-documents")
+    raw, corrections, corrected = _pool(spark, sf_dir)
+    report.sample_documents(bulk.metrics(raw, corrected, corrections), {"min_n_reads": 100}).select("sample", F.col("document").alias("value")).write.partitionBy("sample").text(path)
+    read = tables.json_documents(spark, path, "run_type string, samples array<struct<id:string,metrics:struct<total_GBC_reads:bigint,n_filtered_GBCs:bigint>>>")
+    return read.select("run_type", F.explode("samples").alias("s")).select(F.col("s.id").alias("sample"), "s.metrics.*", "run_type")
+
+
+@query(f"""SELECT sample, "unique_good_GBCs", unsupported_combos, supported_combos, observed_moi_median, round(observed_moi_std, 2) AS observed_moi_std, "starting_CBCs", uniquely_barcoded_cells, n_clones, n_clones_10plus FROM ({ORACLES['sc_metrics']}) m""")
+def file_clone_summaries(spark, sf_dir):
+    """The summaries of clone calling as text, and read again."""
+    path = scratch_path(spark, "summaries")
+    metrics = sc.run_metrics(sc.support(_scored(spark, sf_dir), LOOSE)).collect()
+    lines = [(r["sample"], line) for r in metrics for line in report.summary_text(r.asDict(), r["sample"]).split("\n")]
+    spark.createDataFrame(lines, "sample string, value string").write.partitionBy("sample").text(path)
+    return rounded(tables.clone_summary(spark.read.schema("value string, sample string").text(path)))
+
+
+@query(f"SELECT sample, n_clones, observed_moi_median AS moi FROM ({ORACLES['sc_metrics']}) m")
+def file_run_document(spark, sf_dir):
+    """All samples' metrics in one document, and read again."""
+    import json
+
+    path = scratch_path(spark, "run-document")
+    document = report.run_document(sc.run_metrics(sc.support(_scored(spark, sf_dir), LOOSE)), {"umi": 2}, run_type="sc_gbc")
+    spark.createDataFrame([(json.dumps(document, default=str),)], "value string").write.text(path)
+    read = tables.json_documents(spark, path, "samples array<struct<id:string,metrics:struct<n_clones:bigint,observed_moi_median:double>>>", strict=True)
+    return rounded(read.select(F.explode("samples").alias("s")).select(F.col("s.id").alias("sample"), "s.metrics.n_clones", F.col("s.metrics.observed_moi_median").alias("moi")))
+
+
+@query("SELECT n_name AS sample, CASE WHEN n_nationkey % 3 = 0 THEN 'raw,corrected,before' ELSE 'before,raw' END AS titles FROM nation")
+def image_order(spark, sf_dir):
+    from strandlake.operators import channels
+
+    titles = F.when(F.col("n_nationkey") % 3 == 0, F.array(F.lit("before and after"), F.lit("Corrected counts"), F.lit("Raw counts"))).otherwise(F.array(F.lit("before"), F.lit("raw")))
+    images = F.transform(titles, lambda t: F.struct(t.alias("title"), F.lit("").alias("image")))
+    ordered = F.transform(channels.order_images(images), lambda x: F.lower(F.regexp_extract(x["title"], "^([A-Za-z]+)", 1)))
+    return spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("sample"), F.array_join(ordered, ",").alias("titles"))
+
+
+@query("SELECT a.n_name AS a, b.n_name AS b, list_sum(list_transform(range(1, least(length(a.n_name), length(b.n_name)) + 1), lambda i: CASE WHEN substring(a.n_name, i, 1) <> substring(b.n_name, i, 1) THEN 1 ELSE 0 END))::bigint AS hamming FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey")
+def hamming_any_length(spark, sf_dir):
+    from strandlake.functions.seq import hamming
+
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    a, b = (nation.select(F.col("n_name").alias(c), "n_regionkey") for c in ("a", "b"))
+    return rounded(a.join(b, "n_regionkey").select("a", "b", hamming(F.col("a"), F.col("b")).alias("hamming")))
+
+
+@query(f"WITH ref AS ({fx.BULK_FOR_SC}) SELECT 'x' || r_regionkey AS sample, gbc, read_count FROM ref JOIN region ON ref.sample = 'S' || (r_regionkey % 3)")
+def sample_references(spark, sf_dir):
+    """Several samples with one reference, by the map."""
+    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    pairs = region.select(_name("x", "r_regionkey").alias("sample"), F.concat(F.lit("S"), (F.col("r_regionkey") % 3).cast("string")).alias("reference"))
+    return sc.sample_reference(fx.bulk_for_sc(spark, sf_dir), pairs)
+
+
+@query(f"WITH reads AS ({fx.BULK_READS}) SELECT concat_ws('_', sample, o, ln) AS read_id, seq, length(seq)::bigint AS n_qual FROM reads WHERE o % 2 = 1")
+def file_second_mate(spark, sf_dir):
+    return sequences.merged_mate(spark, _fastq(spark, sf_dir), "R2", "all").select("read_id", "seq", F.length("qual").cast("long").alias("n_qual"))
+
+
+@query(f"WITH {RAW} SELECT 'S1' AS name, gbc AS seq FROM raw WHERE sample = 'S1'")
+def file_fasta_records(spark, sf_dir):
+    """The records whose name begins with a sample's, under that name."""
+    path = scratch_path(spark, "fasta")
+    _raw(spark, sf_dir).select(F.concat(F.lit(">"), F.concat_ws("_", "sample", "gbc"), F.lit("\n"), "gbc")).write.text(path)
+    return sequences.fasta_extract(spark, path, "S1")

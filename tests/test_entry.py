@@ -147,3 +147,24 @@ def test_incomplete_folders_are_left_out(spark, results, tmp_path):
 def test_combos_are_numbered_without_gaps(spark, results):
     rows = spark.read.csv(f"{results}/*/CBC_GBC_combos.tsv.gz", sep="\t", header=True).collect()
     assert sorted(int(r["_c0"]) for r in rows) == sorted([*range(3), *range(5)])
+
+
+def test_report(spark, results):
+    found = entry.gather(spark, results)
+    page = entry.run_report(found, "A run")
+    assert page.count("<svg") == 2 and page.count("<details") == 2 and "starting_CBCs" in page and "<h1>A run</h1>" in page
+    own = entry.run_report(found, template="<script>const d = {{DATA}};</script>")
+    data = json.loads(own.removeprefix("<script>const d = ").removesuffix(";</script>"))
+    assert {s["id"] for s in data["samples"]} == {"a b", "c=d"} and len(data["run_level_qc"]) == 2
+    with pytest.raises(ValueError, match="no"):
+        entry.run_report(found, template="<html></html>")
+
+
+def test_charts():
+    import xml.etree.ElementTree as ET
+
+    from strandlake.plans import charts
+
+    for svg in (charts.bars("t <1>", [("a", 3.0), ("b&c", 1250000.0)]), charts.bars("none", []), charts.boxes("b", [("a", 1, 2, 3, 4, 2000), ("b", 5, 5, 5, 5, 5)]), charts.boxes("one", [("a", 2, 2, 2, 2, 2)])):
+        assert ET.fromstring(svg).tag.endswith("svg")
+    assert charts.number(1250000.0) == "1,250,000" and charts.number(2.5) == "2.5" and charts.as_image("<svg/>").startswith("data:image/svg+xml;base64,")

@@ -14,7 +14,7 @@ DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("region", "nation", "lineitem", "events"):
+    for t in ("region", "nation", "lineitem", "events", "part"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     return con
 
