@@ -16,6 +16,7 @@ from strandlake.operators.quantiles import exact_quantiles
 from strandlake.operators.ranks import numbered, prefix
 from strandlake.operators.similarity import nearest
 from strandlake.params import ScParams
+from strandlake.storage import materialise
 
 THRESHOLDS = ("umi", "p", "max_ratio", "normalized_abundance")
 
@@ -119,9 +120,12 @@ def moi_stats(cells: DataFrame) -> DataFrame:
 
 
 def clones(cells: DataFrame) -> DataFrame:
-    """(sample, clone, GBC_set, n_cells, prevalence): cells by their set of barcodes, largest first, then by set."""
+    """(sample, clone, GBC_set, n_cells, prevalence): cells by their set of barcodes, largest first, then by set.
+
+    Sizes are written once, as numbering them reads them several times.
+    """
     sets = cells.where("umi > 0").groupBy("sample", "CBC").agg(F.array_join(F.array_sort(F.collect_set("GBC")), ";").alias("GBC_set"))
-    sizes = sets.groupBy("sample", "GBC_set").agg(F.count(F.lit(1)).alias("n_cells"))
+    sizes = materialise(sets.groupBy("sample", "GBC_set").agg(F.count(F.lit(1)).alias("n_cells")), "clone-sizes")
     whole = sizes.groupBy("sample").agg(F.sum("n_cells").alias("cells"))
     ranked = numbered(sizes, ["sample"], [-F.col("n_cells"), prefix("GBC_set")], [F.col("GBC_set")]).join(whole, "sample")
     return ranked.select("sample", F.concat(F.lit("C"), (F.col("place") - 1).cast("string")).alias("clone"), "GBC_set", "n_cells", (F.col("n_cells") / F.col("cells")).alias("prevalence"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 from functools import reduce
 
@@ -18,6 +19,11 @@ from strandlake.sources import bam, sequences, sinks, tables
 from strandlake.storage import materialise, scratch_path
 
 
+def absolute(path: str) -> str:
+    """A path without a scheme as one from the root, as Arrow's file systems want it."""
+    return path if "://" in path else os.path.abspath(path)
+
+
 def run_bulk_sheet(spark: SparkSession, sheet: str, params: BulkParams = BulkParams(), spikeins: str | None = None) -> BulkResult:
     """The bulk flow over all samples of a sheet; a sheet has few rows, and each names a folder of FASTQ files."""
     rows = tables.bulk_sheet(spark, sheet).collect()

@@ -168,3 +168,26 @@ def test_charts():
     for svg in (charts.bars("t <1>", [("a", 3.0), ("b&c", 1250000.0)]), charts.bars("none", []), charts.boxes("b", [("a", 1, 2, 3, 4, 2000), ("b", 5, 5, 5, 5, 5)]), charts.boxes("one", [("a", 2, 2, 2, 2, 2)])):
         assert ET.fromstring(svg).tag.endswith("svg")
     assert charts.number(1250000.0) == "1,250,000" and charts.number(2.5) == "2.5" and charts.as_image("<svg/>").startswith("data:image/svg+xml;base64,")
+
+
+def test_command_line(spark, folders, tmp_path):
+    from strandlake.__main__ import main
+
+    (tmp_path / "sheet.csv").write_text(f"sample,fastq_folder,cell_barcodes\ns,{folders}/gbc,{folders}/cells.tsv\n")
+    (tmp_path / "list.txt").write_text("\n".join(CELLS) + "\n")
+    (tmp_path / "cassette.fa").write_text(f">lentiCassette of a test\n{CASSETTE[0][1]}\n")
+    (tmp_path / "p.json").write_text(json.dumps({"min_reads": 3, "umi_threshold": 9, "sheet": "None", "other": 1}))
+    out = str(tmp_path / "out")
+    main(["cells", str(tmp_path / "sheet.csv"), out, "--type", "fastq,GBC", "--params", str(tmp_path / "p.json"), "--umi-threshold", "2", "--whitelist", str(tmp_path / "list.txt"), "--cassette", str(tmp_path / "cassette.fa"), "--error-model", "true"], spark)
+    assert {(r["GBC_set"], int(r["n cells"])) for r in spark.read.csv(f"{out}/clones", header=True).collect()} == {(GBCS[0], 6), (GBCS[1], 2)}
+    main(["report", f"{out}/samples", str(tmp_path / "page.html"), "--title", "T"], spark)
+    assert "<h1>T</h1>" in (tmp_path / "page.html").read_text()
+    reads = tmp_path / "bulk" / "run"
+    reads.mkdir(parents=True)
+    anchor = "GGGTTTAAACGGGCCCTCTAG"
+    fastq(reads / "x_R1_1.fastq.gz", [(f"b{i}", "TT" + anchor + "A" + GBCS[0] + "CC") for i in range(20)])
+    fastq(reads / "x_R2_1.fastq.gz", [("c", "ACGT")])
+    (tmp_path / "bulk.csv").write_text(f"ID_we_want,path_bulk,folder_name_bulk\ns,{tmp_path}/bulk,run\n")
+    main(["bulk", str(tmp_path / "bulk.csv"), f"{out}/bulk", "--min-n-reads", "5", "--method", "cluster"], spark)
+    assert [(r["gbc"], r["read_count"]) for r in spark.read.csv(f"{out}/bulk/reference", header=True).collect()] == [(GBCS[0], "20")]
+    assert spark.read.text(f"{out}/bulk/search_patterns").count() == 21
