@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from strandlake.llm.runtime import drop, materialise
 
 ROUNDS = 60
+#: Edges of a file between rounds: few edges aren't written in as many files as there are partitions.
+FILE_EDGES = 200_000
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -44,7 +46,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     if not was[0]:
         return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for _ in range(ROUNDS):
-        old, now = now, materialise(_star(_star(now, True), False), label)
+        # a round's edges are no more than those before it, which are counted
+        parts = max(1, was[0] // FILE_EDGES)
+        star = _star(_star(now, True), False)
+        old, now = now, materialise(star.coalesce(parts) if parts < star.sparkSession.sparkContext.defaultParallelism else star, label)
         drop(old)
         is_ = state(now)
         if is_ == was:
