@@ -234,22 +234,35 @@ def support_density(scored: DataFrame, bins: int = 20) -> DataFrame:
     return scored.groupBy("sample", cut("max_ratio").alias("ratio_bin"), cut("normalized_abundance").alias("abundance_bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Standard deviations of the kernel beyond which a point adds nothing that a double would show.
+REACH = 8
+
+
 def support_kde(scored: DataFrame, points: int = 20) -> DataFrame:
     """(sample, x, y, density): a Gaussian kernel density of max_ratio and normalized_abundance on a grid over the unit square.
 
-    The kernel has the sample's covariance, scaled by Scott's rule; equal points are counted first, so the work grows with
-    distinct points times the grid. A sample without an area has no rows.
+    The kernel has the sample's covariance, scaled by Scott's rule. Equal points are counted first, and each goes to the places of the
+    grid within :data:`REACH` only: the more points there are the narrower is the kernel, so that a large sample's points go to a few
+    places each, where they are summed before the shuffle. A sample without an area has no rows.
     """
     both = scored.select("sample", F.col("max_ratio").alias("x"), F.col("normalized_abundance").alias("y"))
     weights = both.groupBy("sample", "x", "y").agg(F.count(F.lit(1)).alias("w"))
     shape = both.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"), F.covar_samp("x", "y").alias("c"))
     kernel = shape.withColumns({"f": F.pow(F.col("n").cast("double"), F.lit(-1 / 3)), "det": F.col("vx") * F.col("vy") - F.col("c") * F.col("c")}).where("det > 1e-12")
-    centres = F.array(*(F.lit((i + 0.5) / points) for i in range(points)))
-    grid = kernel.withColumn("gx", F.explode(centres)).withColumn("gy", F.explode(centres))
-    dx, dy = F.col("gx") - F.col("x"), F.col("gy") - F.col("y")
+
+    def near(at: str, variance: str) -> Column:
+        reach = REACH * F.sqrt(F.col("f") * F.col(variance))
+        first = F.greatest(F.lit(0), F.ceil((F.col(at) - reach) * points - 0.5).cast("int"))
+        last = F.least(F.lit(points - 1), F.floor((F.col(at) + reach) * points - 0.5).cast("int"))
+        return F.when(first <= last, F.sequence(first, last))
+
+    spread = weights.join(kernel, "sample").withColumn("i", F.explode(near("x", "vx"))).withColumn("j", F.explode(near("y", "vy")))
+    dx, dy = (F.col("i") + 0.5) / points - F.col("x"), (F.col("j") + 0.5) / points - F.col("y")
     form = (F.col("vy") * dx * dx - 2 * F.col("c") * dx * dy + F.col("vx") * dy * dy) / (F.col("det") * F.col("f"))
-    summed = grid.join(weights, "sample").groupBy("sample", "gx", "gy", "n", "f", "det").agg(F.sum(F.col("w") * F.exp(-form / 2)).alias("s"))
-    return summed.select("sample", F.col("gx").alias("x"), F.col("gy").alias("y"), (F.col("s") / (F.col("n") * 2 * math.pi * F.col("f") * F.sqrt("det"))).alias("density"))
+    summed = spread.groupBy("sample", "i", "j").agg(F.sum(F.col("w") * F.exp(-form / 2)).alias("s"))
+    places = F.sequence(F.lit(0), F.lit(points - 1))
+    grid = kernel.select("sample", "n", "f", "det", F.explode(places).alias("i")).withColumn("j", F.explode(places)).join(summed, ["sample", "i", "j"], "left")
+    return grid.select("sample", ((F.col("i") + 0.5) / points).alias("x"), ((F.col("j") + 0.5) / points).alias("y"), (F.coalesce("s", F.lit(0.0)) / (F.col("n") * 2 * math.pi * F.col("f") * F.sqrt("det"))).alias("density"))
 
 
 def retained_share(status: DataFrame) -> DataFrame:

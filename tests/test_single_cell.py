@@ -137,3 +137,22 @@ def test_axis():
 def test_types(spark, scored):
     kinds = dict(scored.dtypes)
     assert kinds["umi"] == "bigint" and kinds["p"] == "double" and isinstance(scored.schema["CBC"].dataType, T.StringType)
+
+
+def test_density_of_many_points(spark):
+    """A narrow kernel: the same density as from all points at all places of the grid."""
+    import math
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    rows = [("s", rng.betavariate(2, 5), rng.betavariate(5, 2)) for _ in range(4000)] + [("flat", 0.5, 0.1 * k) for k in range(5)]
+    got = {(r.x, r.y): r.density for r in sc.support_kde(spark.createDataFrame(rows, "sample string, max_ratio double, normalized_abundance double")).where("sample = 's'").collect()}
+    x, y = (np.array([r[k] for r in rows if r[0] == "s"]) for k in (1, 2))
+    f, cov = len(x) ** (-1 / 3), np.cov(x, y)
+    inverse, norm = np.linalg.inv(cov * f), len(x) * 2 * math.pi * f * math.sqrt(np.linalg.det(cov))
+    assert len(got) == 400
+    for (a, b), density in got.items():
+        d = np.array([a - x, b - y])
+        assert density == pytest.approx(np.exp(-0.5 * np.einsum("ik,ij,jk->k", d, inverse, d)).sum() / norm, abs=1e-9)
