@@ -183,10 +183,11 @@ def run_metrics(status: DataFrame) -> DataFrame:
 def combo_medians(scored: DataFrame) -> DataFrame:
     """(sample, and the medians of umi, max_ratio, normalized_abundance and p).
 
-    These are nearly as many values as rows, so that a sample's don't go into one task.
+    These are nearly as many values as rows, so that a sample's don't go into one task. They are written once, as they are read twice.
     """
     values = F.explode(F.array(*(F.struct(F.lit(c).alias("what"), F.col(c).cast("double").alias("value")) for c in THRESHOLDS)))
-    medians = exact_quantiles(scored.select("sample", values.alias("x")).select("sample", "x.*"), ["sample", "what"], "value", [0.5])
+    written = materialise(scored.select("sample", values.alias("x")).select("sample", "x.*"), "combo-values")
+    medians = exact_quantiles(written, ["sample", "what"], "value", [0.5])
     return medians.groupBy("sample").agg(*(F.max(F.when(F.col("what") == c, F.col("q")[0])).alias(f"median_{c}") for c in THRESHOLDS))
 
 
