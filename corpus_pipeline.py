@@ -5,8 +5,9 @@ columns of documents. A stage's table is written as Parquet and read again as th
 one's input. No sampling, limits or id subsets: every stage works on all rows it gets.
 
 Texts that lose lines get the length of what is left as n_chars. Near-duplicates are
-documents whose sets of five-word shingles have a similarity of 0.8 or more: documents
-that share a band of minima are candidates, and the whole sets decide.
+documents whose SimHash fingerprints link as in op5 (three-word shingles, two bits, generalised pigeonhole),
+and, as most pairs near it are further apart, also those whose sets of five-word shingles have a similarity of 0.8 or
+more: of these, documents that share a band of minima are candidates, and the whole sets decide.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id.
 
-    Texts without five words are like equal ones only; null texts count as empty; of equal rows one stays; rows without an id come last; very
+    Documents that op5 links are one group, whatever their sets are like. Texts without five words have one shingle of all of them; null texts count as empty; of equal rows one stays; rows without an id come last; very
     long texts are compared by all their shingles; an empty table stays empty.
     """
     return keep_first(docs, shingle=5, similarity=0.8).select(docs.columns)

@@ -93,3 +93,26 @@ def test_tricky(spark, docs):
         assert out.columns == table.columns
         stage(spark, table.limit(0), DIR).count()
     assert pipeline.packing(spark, table, DIR).count() >= docs.count()
+
+
+def test_near_duplicates_by_fingerprint(spark):
+    """What op5 links goes, too, where sets of shingles, which know no repeats, are far apart."""
+    from strandlake.llm.simhash import op5_simhash
+
+    much = " ".join(["again and on"] * 100)
+    tail = lambda k: " ".join(f"w{k}x{i}" for i in range(25))
+    changed = [f"c{i}" for i in range(300)]
+    rows = [(5, f"{much} {tail(5)}"), (3, f"{much} {tail(3)}"), (9, f"{tail(9)} {much}"), (4, tail(4)), (6, " ".join(changed)), (7, " ".join([*changed[:-30], "other"]))]
+    assert len(shingles(rows[0][1]) & shingles(rows[1][1])) < 0.3 * len(shingles(rows[0][1]) | shingles(rows[1][1]))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    first = {r.doc_id: r.component_id for r in op5_simhash(table).collect()}
+    assert first[5] == first[9] == 3 and len({first[i] for i in (3, 4, 6, 7)}) == 4
+    assert sorted(r.doc_id for r in pipeline.near_duplicates(spark, table, DIR).collect()) == [3, 4, 6]
+
+
+def test_near_duplicates_hold_op5(stages):
+    from strandlake.llm.simhash import op5_simhash
+
+    first = {r.doc_id: r.component_id for r in op5_simhash(stages[2]).collect()}
+    kept = [first[r.doc_id] for r in stages[3].collect()]
+    assert len(kept) == len(set(kept))
