@@ -101,7 +101,7 @@ def write_fastq(reads: DataFrame, folder: str, mate: str) -> None:
     """Reads (read_id, seq, qual) as compressed FASTQ files of a mate, added to a folder; records stay whole."""
     spark = reads.sparkSession
     own = f"{folder}/_{mate}"
-    reads.select(F.concat(F.lit("@"), "read_id", F.lit("\n"), "seq", F.lit("\n+\n"), "qual")).write.mode("overwrite").option("compression", "gzip").text(own)
+    reads.select(F.concat(F.lit("@"), "read_id", F.lit("\n"), "seq", F.lit("\n+\n"), "qual")).write.mode("overwrite").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(own)
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(own)
     store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

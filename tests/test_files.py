@@ -145,3 +145,13 @@ def test_counts_order(spark, tmp_path):
     for s in ("a", "b"):
         lines = [x for f in sorted((tmp_path / "counts" / f"sample={s}").glob("part-*")) for x in f.read_text().splitlines() if x != "gbc,read_count"]
         assert [tuple(x.split(",")) for x in lines] == [(g, str(n)) for _, g, n in sorted((r for r in rows if r[0] == s), key=lambda r: (-r[2], r[1]))]
+
+
+def test_fastq_scans(spark, tmp_path):
+    """Records whose quality line is cut are told from two readings of the files, each splitting a piece once."""
+    text = "".join(f"@r{k} of{chr(9)}x\nACGT\n+\n{'@III' if k % 3 == 0 else 'IIII'}\n" for k in range(30))
+    (tmp_path / "x_R1_001.fastq").write_text(text)
+    found = sequences.fastq(spark, str(tmp_path / "*_R1_*.fastq"))
+    assert sorted((r.read_id, r.seq, r.qual) for r in found.collect()) == sorted((f"r{k}", "ACGT", "@III" if k % 3 == 0 else "IIII") for k in range(30))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("] text") == 1 and plan.count("split(") == 1
