@@ -36,8 +36,9 @@ def match_barcodes(r1: DataFrame, whitelist: DataFrame, *, by: tuple[str, ...] =
     """
     by = list(by)
     cut = r1.select(*by, "read_id", F.substring("seq", 1, cell_length).alias("CR"), F.substring("qual", 1, cell_length).alias("CQ"), F.substring("seq", cell_length + 1, umi_length).alias("UB")).where(F.length("CR") == cell_length)
-    listed = whitelist.select("CB").distinct()
-    seen = cut.groupBy(*by, "CR").agg(F.count(F.lit(1)).alias("n"))
+    cut = materialise(cut, "first-reads")  # read for the counts, the exact matches and the others
+    listed = materialise(whitelist.select("CB").distinct(), "listed-barcodes")
+    seen = materialise(cut.groupBy(*by, "CR").agg(F.count(F.lit(1)).alias("n")), "seen-barcodes")
     exact = seen.join(listed, F.col("CR") == F.col("CB")).select(*by, "CB", "n")
     unknown = F.length("CR") - F.length(F.replace("CR", F.lit("N"), F.lit("")))
     rest = seen.where(unknown <= 1).join(exact.select(*by, F.col("CB").alias("CR")), [*by, "CR"], "left_anti")
@@ -46,7 +47,9 @@ def match_barcodes(r1: DataFrame, whitelist: DataFrame, *, by: tuple[str, ...] =
     near = rest.select(*by, "CR", F.explode(own).alias("x")).select(*by, "CR", "x.at", "x.key").join(keys, "key").join(exact.withColumnRenamed("n", "reads"), [*by, "CB"], "left")
     candidates = near.groupBy(*by, "CR").agg(F.sort_array(F.collect_list(F.struct("CB", "at", F.coalesce("reads", F.lit(0)).alias("reads")))).alias("candidates"))
     misread = lambda at: F.pow(F.lit(10.0), -(F.ascii(F.substring("CQ", at, F.lit(1))) - 33) / 10)
-    weighed = cut.join(candidates, [*by, "CR"]).withColumn("weights", F.transform("candidates", lambda c: (c["reads"] + 1) * misread(c["at"])))
+    # a generator keeps the weights from being computed again for each use
+    weights = F.transform("candidates", lambda c: (c["reads"] + 1) * misread(c["at"]))
+    weighed = cut.join(candidates, [*by, "CR"]).select(*by, "read_id", "UB", "candidates", F.explode(F.array(weights)).alias("weights"))
     best = F.array_max("weights")
     told = weighed.select(
         *by, "read_id", F.element_at("candidates", F.array_position("weights", best).cast("int"))["CB"].alias("CB"), "UB", (best / F.aggregate("weights", F.lit(0.0), lambda n, x: n + x)).alias("posterior")

@@ -155,3 +155,9 @@ def test_too_few_droplets(spark):
     got = cells.call_cells(spark.createDataFrame(rows, "sample string, CB string, gene string, n long"))
     assert {(r["sample"], r.CB, r.reason) for r in got.collect()} == {("s", f"D{i}", "size") for i in range(5)} | {("t", "D0", "size")}
     assert cells.call_cells(spark.createDataFrame([], "sample string, CB string, gene string, n long")).count() == 0
+
+
+def test_reads_are_derived_once(spark):
+    found = cells.match_barcodes(reads(spark, [(A, "I" * 28), (A[:2] + "A" + A[3:], "I" * 28)]), spark.createDataFrame([(A,), (B,)], "CB string"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "LocalRelation" not in plan and "parquet" in plan
