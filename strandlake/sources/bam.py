@@ -246,7 +246,9 @@ def span(cigar: str) -> int:
     return max(total, 1)
 
 
-CODES = {c: k for k, c in enumerate(BASES)}
+#: Each base as a hexadecimal digit, N for what isn't one, and back; qualities without their offset.
+DIGITS = bytes(ord(f"{BASES.find(chr(b)) if chr(b) in BASES else 15:x}") for b in range(256))
+SCORES = bytes(max(b - 33, 0) for b in range(256))
 
 
 def encode(row: dict, numbers: dict[str, int]) -> bytes:
@@ -259,12 +261,16 @@ def encode(row: dict, numbers: dict[str, int]) -> bytes:
         else:
             ops.append(int(n) << 4 | OPERATIONS.index(c))
             n = ""
-    codes = [CODES.get(c, 15) for c in seq] + [0] * (len(seq) % 2)
-    qual = b"\xff" * len(seq) if row["qual"] in (None, "*") else bytes(ord(c) - 33 for c in row["qual"])
+    codes = seq.encode("ascii", "replace").translate(DIGITS).decode() + "0" * (len(seq) % 2)
+    qual = b"\xff" * len(seq) if row["qual"] in (None, "*") else row["qual"].encode("latin-1")
+    if qual[:1] != b"\xff":
+        if qual and min(qual) < 33:
+            raise ValueError(f"not a quality: {row['qual']!r}")
+        qual = qual.translate(SCORES)
     tags = b"".join(t.encode() + b"Z" + row[t].encode() + b"\0" for t in TAGS if row[t] is not None)
     ref = numbers[row["contig"]] if row["contig"] is not None else -1
     body = struct.pack("<iiBBHHHiiii", ref, pos, len(name), row["mapq"] or 0, bin_of(max(pos, 0), max(pos, 0) + span(cigar)), len(ops), row["flag"], len(seq), -1, -1, 0)
-    body += name + struct.pack(f"<{len(ops)}I", *ops) + bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2])) + qual + tags
+    body += name + struct.pack(f"<{len(ops)}I", *ops) + bytes.fromhex(codes) + qual + tags
     return struct.pack("<i", len(body)) + body
 
 

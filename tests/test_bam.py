@@ -135,3 +135,12 @@ def test_nothing_there(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         bam.read_bam(spark, str(tmp_path / "none*.bam"))
     bam.write_bam(spark.createDataFrame([], bam.SCHEMA), str(tmp_path / "e"), CONTIGS)
+
+
+def test_encoded_bases_and_qualities():
+    from strandlake.sources.bam import encode
+
+    row = dict(read_id="r", seq="ACGTNx=", qual="!5I~#FF", cigar="7M", pos=1, mapq=60, flag=0, contig="c", CB=None, UB=None)
+    assert encode(row, {"c": 0})[-11:] == bytes([0x12, 0x48, 0xFF, 0x00]) + bytes(ord(c) - 33 for c in row["qual"])
+    with pytest.raises(ValueError):
+        encode(row | {"qual": "!5I ~FF"}, {"c": 0})
